@@ -127,7 +127,9 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyline.operators.usage import meter_hourly
 
-    return _typed(meter_hourly(requests(spark, sf_dir)).withColumn("id", F.lit(0)), "api_usage_events")
+    hours = F.floor((F.unix_seconds("recorded_at") - F.unix_seconds(_stamp("2024-01-01 00:00:00"))) / 3600)
+    number = (F.col("tenant_id") * 1000 + hours) * 1000 + F.ascii(F.substring("endpoint", 9, 1))
+    return _typed(meter_hourly(requests(spark, sf_dir)).withColumn("id", number), "api_usage_events")
 
 
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:

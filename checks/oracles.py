@@ -43,9 +43,11 @@ invoices AS (SELECT o_orderkey AS id, o_custkey AS tenant_id,
   FROM orders WHERE o_custkey % 8 <> 5),
 requests AS (SELECT user_id AS tenant_id, ts AS requested_at,
   '/api/v1/' || event_type || '?e=' || event_id AS url FROM events),
-usage AS (SELECT tenant_id, date_trunc('hour', requested_at) AS recorded_at,
+buckets AS (SELECT tenant_id, date_trunc('hour', requested_at) AS recorded_at,
   split_part(split_part(url, '?', 1), '#', 1) AS endpoint, CAST(count(*) AS INTEGER) AS event_count
   FROM requests GROUP BY 1, 2, 3),
+usage AS (SELECT (tenant_id * 1000 + datediff('hour', TIMESTAMP '2024-01-01 00:00:00', recorded_at)) * 1000
+  + ascii(substr(endpoint, 9, 1)) AS id, * FROM buckets),
 audit_log AS (
   SELECT id, 'invoices' AS table_name, id AS row_id, 'system' AS changed_by, 'open' AS old_status,
     status AS new_status, coalesce(paid_at, created_at + INTERVAL 10 DAY) AS changed_at
@@ -231,5 +233,261 @@ FROM amounts WHERE charge_cents < credit_cents""",
 }
 
 
+_BROKEN = """
+b_plans AS (SELECT *, TIMESTAMP '1994-01-01 00:00:00' AS created_at FROM plans
+  UNION ALL SELECT 6, 'weekly', -1, 'weekly', 0, TRUE, TIMESTAMP '1994-01-01 00:00:00'
+  UNION ALL SELECT 7, 'pro', 100, 'monthly', NULL, TRUE, TIMESTAMP '1994-01-01 00:00:00'),
+b_tenants AS (SELECT id, CASE WHEN id % 50 = 11 THEN NULL ELSE name END AS name,
+  CASE id % 50 WHEN 7 THEN upper(slug) WHEN 17 THEN 'same-slug' ELSE slug END AS slug, created_at,
+  CASE WHEN id % 50 = 13 THEN created_at - INTERVAL 1 DAY ELSE deleted_at END AS deleted_at FROM tenants),
+b_users AS (SELECT id, CASE WHEN id % 40 = 21 THEN -1 ELSE tenant_id END AS tenant_id,
+  CASE WHEN id % 40 = 9 THEN replace(email, '@', '-')
+       WHEN id % 40 IN (12, 13) THEN 'same@' || tenant_id || '.example' ELSE email END AS email,
+  CASE WHEN id % 40 = 5 THEN 'superuser' ELSE role END AS role, created_at, deleted_at FROM users),
+b_subscriptions AS (SELECT id, tenant_id, CASE WHEN id % 40 = 16 THEN 99 ELSE plan_id END AS plan_id,
+  CASE WHEN id % 40 = 2 THEN 'expired' WHEN id % 2 = 1 AND tenant_id % 30 = 0 THEN 'active' ELSE status END
+    AS status, current_period_start,
+  CASE WHEN id % 40 = 6 THEN current_period_start - INTERVAL 1 DAY ELSE current_period_end END
+    AS current_period_end,
+  CASE WHEN id % 40 = 10 THEN created_at - INTERVAL 1 DAY
+       WHEN id % 2 = 1 AND tenant_id % 30 = 0 THEN NULL ELSE cancelled_at END AS cancelled_at,
+  created_at FROM subscriptions),
+b_invoices AS (SELECT id, tenant_id, CASE WHEN id % 100 = 8 THEN -5 ELSE subscription_id END AS subscription_id,
+  CASE WHEN id % 100 = 1 THEN -1 ELSE amount_cents END AS amount_cents,
+  CASE WHEN id % 100 = 2 THEN 'overdue' ELSE status END AS status,
+  CASE WHEN id % 100 = 6 THEN CAST(created_at AS DATE) - 1 ELSE due_date END AS due_date,
+  CASE id % 100 WHEN 3 THEN NULL WHEN 4 THEN created_at - INTERVAL 1 DAY ELSE paid_at END AS paid_at,
+  CASE WHEN id % 100 = 9 THEN NULL ELSE created_at END AS created_at FROM invoices),
+b_usage AS (SELECT id, tenant_id,
+  CASE WHEN tenant_id % 20 = 4 AND hour(recorded_at) = 6 THEN recorded_at + INTERVAL 1 MINUTE
+       ELSE recorded_at END AS recorded_at,
+  CASE WHEN tenant_id % 20 = 5 AND hour(recorded_at) = 7 THEN '/api/v1/same' ELSE endpoint END AS endpoint,
+  CASE WHEN tenant_id % 20 = 3 AND hour(recorded_at) = 5 THEN 0 ELSE event_count END AS event_count FROM usage),
+b_audit AS (SELECT id, CASE WHEN id % 100 = 6 THEN 'users' ELSE table_name END AS table_name, row_id,
+  changed_by, old_status, CASE WHEN id % 100 = 7 THEN old_status ELSE new_status END AS new_status, changed_at
+  FROM audit_log),
+b_changes AS (SELECT tenant_id || '|' || subscription_id AS id, tenant_id, subscription_id, old_plan_id,
+  CASE WHEN tenant_id % 45 = 12 THEN old_plan_id ELSE new_plan_id END AS new_plan_id, effective_at,
+  CASE WHEN tenant_id % 45 = 15 THEN days_in_cycle + 1 ELSE days_remaining END AS days_remaining, days_in_cycle,
+  CASE WHEN tenant_id % 45 = 21 THEN -1 ELSE credit_cents END AS credit_cents, charge_cents,
+  CASE WHEN tenant_id % 45 = 18 THEN 0 ELSE charge_cents - credit_cents END AS net_cents,
+  effective_at AS created_at FROM amounts)
+"""
+
+_BROKEN_TABLES = {
+    "tenants": "b_tenants", "plans": "b_plans", "users": "b_users", "subscriptions": "b_subscriptions",
+    "invoices": "b_invoices", "api_usage_events": "b_usage", "billing_audit_log": "b_audit",
+    "plan_change_events": "b_changes",
+}
+# Table, rule, what breaks it.
+_ROW_FAULTS = [
+    ("tenants", "slug_format", "NOT regexp_matches(slug, '^[a-z0-9]+(-[a-z0-9]+)*$')"),
+    ("tenants", "deleted_after_created", "deleted_at <= created_at"),
+    ("plans", "price_not_negative", "price_cents < 0"),
+    ("plans", "billing_cycle_known", "billing_cycle NOT IN ('monthly', 'annual')"),
+    ("plans", "api_limit_positive", "api_limit <= 0"),
+    ("users", "email_format", r"NOT regexp_matches(email, '^[^@\s]+@[^@\s]+\.[^@\s]+$', 'i')"),
+    ("users", "role_known", "role NOT IN ('admin', 'member', 'viewer')"),
+    ("users", "deleted_after_created", "deleted_at <= created_at"),
+    ("subscriptions", "status_known", "status NOT IN ('active', 'cancelled', 'past_due', 'trialing')"),
+    ("subscriptions", "period_order", "current_period_end <= current_period_start"),
+    ("subscriptions", "cancelled_has_date",
+     "(status = 'cancelled' AND cancelled_at IS NULL) OR (status <> 'cancelled' AND cancelled_at IS NOT NULL)"),
+    ("subscriptions", "cancelled_after_created", "cancelled_at < created_at"),
+    ("invoices", "amount_not_negative", "amount_cents < 0"),
+    ("invoices", "status_known", "status NOT IN ('draft', 'open', 'paid', 'void', 'uncollectible')"),
+    ("invoices", "paid_has_date",
+     "(status = 'paid' AND paid_at IS NULL) OR (status <> 'paid' AND paid_at IS NOT NULL)"),
+    ("invoices", "paid_after_created", "paid_at < created_at"),
+    ("invoices", "due_after_created", "due_date < CAST(created_at AS DATE)"),
+    ("api_usage_events", "count_positive", "event_count <= 0"),
+    ("api_usage_events", "on_the_hour", "minute(recorded_at) <> 0 OR second(recorded_at) <> 0"),
+    ("billing_audit_log", "table_known", "table_name NOT IN ('subscriptions', 'invoices')"),
+    ("billing_audit_log", "status_differs", "old_status = new_status"),
+    ("plan_change_events", "plans_differ", "old_plan_id = new_plan_id"),
+    ("plan_change_events", "days_in_range", "days_remaining <= 0 OR days_remaining > days_in_cycle"),
+    ("plan_change_events", "cycle_positive", "days_in_cycle <= 0"),
+    ("plan_change_events", "credit_not_negative", "credit_cents < 0"),
+    ("plan_change_events", "charge_not_negative", "charge_cents < 0"),
+    ("plan_change_events", "net_is_difference", "net_cents <> charge_cents - credit_cents"),
+]
+_REQUIRED = {
+    "tenants": "id name slug created_at",
+    "plans": "id name price_cents billing_cycle is_active created_at",
+    "users": "id tenant_id email role created_at",
+    "subscriptions": "id tenant_id plan_id status current_period_start current_period_end created_at",
+    "invoices": "id tenant_id subscription_id amount_cents status due_date created_at",
+    "api_usage_events": "id tenant_id recorded_at endpoint event_count",
+    "billing_audit_log": "id table_name row_id changed_by old_status new_status changed_at",
+    "plan_change_events": "id tenant_id subscription_id old_plan_id new_plan_id effective_at days_remaining "
+                          "days_in_cycle credit_cents charge_cents net_cents created_at",
+}
+_ROW_FAULTS += [
+    (table, f"{column}_not_null", f"{column} IS NULL")
+    for table, columns in _REQUIRED.items() for column in columns.split()
+]
+# Table, rule, key, extra condition.
+_KEY_FAULTS = [
+    (table, "primary_key", {"invoices": "id, created_at", "api_usage_events": "id, recorded_at"}.get(table, "id"), "")
+    for table in _REQUIRED
+] + [
+    ("tenants", "slug_unique", "slug", ""), ("plans", "name_unique", "name", ""),
+    ("users", "email_unique_in_tenant", "tenant_id, email", ""),
+    ("subscriptions", "one_active_per_tenant", "tenant_id", "status = 'active' AND"),
+    ("api_usage_events", "bucket_unique", "tenant_id, recorded_at, endpoint", ""),
+]
+_REFERENCES = [
+    ("users", "tenant_id", "tenants"), ("subscriptions", "tenant_id", "tenants"),
+    ("subscriptions", "plan_id", "plans"), ("invoices", "tenant_id", "tenants"),
+    ("invoices", "subscription_id", "subscriptions"), ("api_usage_events", "tenant_id", "tenants"),
+    ("plan_change_events", "tenant_id", "tenants"),
+    ("plan_change_events", "subscription_id", "subscriptions"),
+    ("plan_change_events", "old_plan_id", "plans"), ("plan_change_events", "new_plan_id", "plans"),
+]
+
+
+def _key_text(key: str) -> str:
+    # Whole seconds only, in the form Spark prints.
+    parts = [
+        f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c.endswith("_at") else f"CAST({c} AS VARCHAR)"
+        for c in key.split(", ")
+    ]
+    return f"concat_ws('|', {', '.join(parts)})"
+
+
+def _violations(table: str) -> list[tuple[str, str]]:
+    """Rule name and the SQL of its violations ``rule, key, rows`` for one faulty table."""
+    source = _BROKEN_TABLES[table]
+    primary = next(key for t, rule, key, _ in _KEY_FAULTS if t == table and rule == "primary_key")
+    found = [
+        (rule, f"SELECT '{rule}' AS rule, {_key_text(primary)} AS key, CAST(1 AS BIGINT) AS rows "
+               f"FROM {source} WHERE {fault}")
+        for t, rule, fault in _ROW_FAULTS if t == table
+    ]
+    found += [
+        (rule, f"SELECT '{rule}', {_key_text(key)}, count(*) FROM {source} WHERE {extra} "
+               f"{' AND '.join(f'{c} IS NOT NULL' for c in key.split(', '))} GROUP BY {key} HAVING count(*) > 1")
+        for t, rule, key, extra in _KEY_FAULTS if t == table
+    ]
+    found += [
+        (f"{column}_exists",
+         f"SELECT '{column}_exists', CAST({column} AS VARCHAR), count(*) FROM {source} WHERE {column} IS NOT NULL "
+         f"AND {column} NOT IN (SELECT id FROM {_BROKEN_TABLES[target]}) GROUP BY {column}")
+        for t, column, target in _REFERENCES if t == table
+    ]
+    return found
+
+
+def _broken_sql(query: str) -> str:
+    return f"WITH {_FIXTURES.strip()},\n{_BROKEN.strip()}\n{query.strip()}"
+
+
+def _violation_list(*tables: str) -> str:
+    return _broken_sql("\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, * FROM ({sql})" for table in tables for _, sql in _violations(table)
+    ))
+
+
+def _summary(*tables: str) -> str:
+    return _broken_sql("\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule, count(*) AS violations FROM ({sql})"
+        for table in tables for rule, sql in _violations(table)
+    ))
+
+
+_OPENED = "CASE WHEN status = 'draft' THEN 'draft' ELSE 'open' END"
+
+AUDIT = {
+    "status_changes": f"""
+SELECT 'invoices' AS table_name, id AS row_id, 'system' AS changed_by, {_OPENED} AS old_status,
+  status AS new_status, {_AS_OF} AS changed_at
+FROM invoices WHERE {_OPENED} <> status""",
+    "status_changes_from_feed": """
+SELECT 'invoices' AS table_name, row_id, 'system' AS changed_by, old_status, status AS new_status,
+  version_at AS changed_at
+FROM (SELECT *, lag(status) OVER (PARTITION BY row_id ORDER BY version_at, version_no) AS old_status FROM versions)
+WHERE old_status <> status""",
+    "audit_history": """
+SELECT * FROM audit_log WHERE table_name = 'subscriptions' AND row_id = 12""",
+    "audit_between": """
+SELECT * FROM audit_log
+WHERE changed_at >= TIMESTAMP '1997-03-01 00:00:00' AND changed_at < TIMESTAMP '1997-05-15 00:00:00'""",
+    "audit_since": """
+SELECT * FROM audit_log
+WHERE changed_at > TIMESTAMP '1998-01-01 00:00:00' AND table_name IN ('invoices', 'subscriptions')""",
+    "next_watermark": """
+SELECT max(changed_at) AS watermark FROM audit_log
+WHERE changed_at > TIMESTAMP '1998-01-01 00:00:00' AND table_name IN ('invoices', 'subscriptions')""",
+}
+
+RULES = {
+    "rule_summary": _summary(*_BROKEN_TABLES),
+    "rule_violations": _violation_list("users", "subscriptions", "invoices", "api_usage_events"),
+    "ledger_edits": _broken_sql("""
+SELECT o.id, CASE WHEN n.id IS NULL THEN 'removed' ELSE 'changed' END AS edit
+FROM invoices o LEFT JOIN (SELECT * FROM b_invoices WHERE id % 100 <> 50) n ON n.id = o.id
+WHERE n.id IS NULL OR (o.tenant_id, o.subscription_id, o.amount_cents, o.due_date, o.created_at)
+  IS DISTINCT FROM (n.tenant_id, n.subscription_id, n.amount_cents, n.due_date, n.created_at)"""),
+    "retired_plan_subscriptions": _sql("""
+SELECT s.id AS subscription_id, s.tenant_id, s.plan_id, p.name AS plan_name, s.created_at
+FROM (SELECT id, tenant_id, plan_id + 1 AS plan_id, created_at FROM subscriptions) s
+JOIN plans p ON p.id = s.plan_id
+WHERE NOT p.is_active AND s.created_at >= TIMESTAMP '1994-06-01 00:00:00'"""),
+}
+
+LEDGER = {
+    "out_of_range_rows": """
+SELECT id, created_at FROM invoices
+WHERE created_at < TIMESTAMP '1996-01-01 00:00:00' OR created_at >= TIMESTAMP '2001-01-01 00:00:00'""",
+    "missing_months": """
+SELECT t.table_name, strftime(m, '%Y-%m') AS month
+FROM (VALUES ('invoices'), ('api_usage_events')) t(table_name),
+  generate_series(TIMESTAMP '2001-01-01 00:00:00', TIMESTAMP '2024-04-01 00:00:00', INTERVAL 1 MONTH) g(m)
+WHERE (t.table_name, strftime(m, '%Y-%m')) NOT IN (
+  SELECT 'invoices', strftime(created_at, '%Y-%m') FROM invoices
+  UNION SELECT 'api_usage_events', strftime(recorded_at, '%Y-%m') FROM usage)""",
+    "ledger_between": """
+SELECT * FROM invoices
+WHERE created_at >= TIMESTAMP '1997-02-10 00:00:00' AND created_at < TIMESTAMP '1997-04-01 00:00:00'""",
+}
+
+_INVOICES_OF = "SELECT id, status, amount_cents, created_at FROM invoices"
+
+LOOKUPS = {
+    "users_of": "SELECT * FROM users WHERE tenant_id = 12",
+    "active_users_of": """
+SELECT id, email, role FROM (
+  SELECT *, CASE WHEN id % 2 = 0 THEN created_at + INTERVAL 1 DAY END AS left_at FROM users)
+WHERE tenant_id = 12 AND left_at IS NULL""",
+    "subscriptions_of": "SELECT * FROM subscriptions WHERE tenant_id = 12",
+    "active_subscriptions_of": "SELECT * FROM subscriptions WHERE tenant_id = 12 AND status = 'active'",
+    "subscriptions_ending": """
+SELECT * FROM subscriptions WHERE status IN ('active', 'trialing') AND current_period_end
+  BETWEEN TIMESTAMP '2024-01-26 00:00:00' AND TIMESTAMP '2024-02-01 00:00:00'""",
+    "subscriptions_on": "SELECT * FROM subscriptions WHERE plan_id = 3",
+    "plan_subscribers": """
+SELECT CAST(p.id AS BIGINT) AS plan_id, p.name AS plan_name, p.is_active, s.status,
+  count(s.id) AS subscriptions
+FROM plans p LEFT JOIN subscriptions s ON s.plan_id = p.id GROUP BY p.id, p.name, p.is_active, s.status""",
+    "invoices_of": f"{_INVOICES_OF} WHERE tenant_id = 12",
+    "open_invoices_of": f"{_INVOICES_OF} WHERE tenant_id = 12 AND status = 'open'",
+    "subscription_invoices_of": f"{_INVOICES_OF} WHERE subscription_id = 24",
+    "reported_invoices_between": f"""{_INVOICES_OF}
+WHERE created_at >= TIMESTAMP '1996-03-05 00:00:00' AND created_at < TIMESTAMP '1996-09-01 00:00:00'
+  AND status NOT IN ('void', 'draft')""",
+    "plan_changes_of": """
+SELECT tenant_id, subscription_id, days_remaining, credit_cents, charge_cents FROM (
+  SELECT tenant_id, subscription_id, CAST(days_remaining AS INTEGER) AS days_remaining, credit_cents,
+    charge_cents FROM amounts) WHERE tenant_id = 12""",
+    "usage_between": """
+SELECT tenant_id, recorded_at, endpoint, event_count FROM usage WHERE tenant_id = 12
+  AND recorded_at >= TIMESTAMP '2024-01-05 00:00:00' AND recorded_at < TIMESTAMP '2024-01-20 00:00:00'""",
+    "platform_usage_between": """
+SELECT tenant_id, recorded_at, endpoint, event_count FROM usage
+WHERE recorded_at >= TIMESTAMP '2024-01-05 00:00:00' AND recorded_at < TIMESTAMP '2024-01-20 00:00:00'""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _sql(query) for group in (REPORTS, USAGE, PRORATION) for name, query in group.items()}
+    plain = (REPORTS, USAGE, PRORATION, AUDIT, LEDGER, LOOKUPS)
+    return {**{name: _sql(query) for group in plain for name, query in group.items()}, **RULES}

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import fixtures as fx
+from checks.broken import broken_tables
 from tallyline import configure
 from tallyline.functions.text import normalise_endpoint
-from tallyline.operators import proration, reports, usage
+from tallyline.operators import audit, ledger, lookups, proration, reports, rules, usage
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = fx.AS_OF
@@ -90,6 +92,133 @@ PRORATION: dict[str, Query] = {
 }
 
 
+def _without_id(df: DataFrame) -> DataFrame:
+    return df.drop("id")
+
+
+def _from_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    after = fx.invoices(spark, sf_dir)
+    return _without_id(audit.status_changes(
+        fx.before_snapshot(after), after, "invoices", changed_at=AS_OF, changed_by="system",
+    ))
+
+
+def _from_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = fx.version_feed(spark, sf_dir).withColumn("app_user", F.lit("system"))
+    return _without_id(audit.status_changes_from_feed(feed))
+
+
+def _log(select: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: select(fx.audit_log(spark, sf_dir))
+
+
+AUDIT: dict[str, Query] = {
+    "status_changes": _from_snapshots,
+    "status_changes_from_feed": _from_feed,
+    "audit_history": _log(lambda log: audit.audit_history(log, "subscriptions", 12)),
+    "audit_between": _log(lambda log: audit.audit_between(log, "1997-03-01", "1997-05-15")),
+    "audit_since": _log(lambda log: audit.audit_since(log, "1998-01-01 00:00:00")),
+    "next_watermark": _log(lambda log: audit.next_watermark(
+        audit.audit_since(log, "1998-01-01 00:00:00", ordered=False), "1998-01-01 00:00:00",
+    )),
+}
+
+
+def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.rule_summary(broken_tables(spark, sf_dir))
+
+
+def _violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = broken_tables(spark, sf_dir)
+    checked = ("users", "subscriptions", "invoices", "api_usage_events")
+    return reduce(DataFrame.unionByName, [rules.validate(name, frames[name], frames) for name in checked])
+
+
+def _edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    later = broken_tables(spark, sf_dir)["invoices"].where("id % 100 <> 50")
+    return rules.ledger_edits(fx.invoices(spark, sf_dir), later)
+
+
+def _retired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = fx.subscriptions(spark, sf_dir).withColumn("plan_id", F.col("plan_id") + 1)
+    return rules.retired_plan_subscriptions(moved, fx.plans(spark), "1994-06-01")
+
+
+RULES: dict[str, Query] = {
+    "rule_summary": _summary,
+    "rule_violations": _violations,
+    "ledger_edits": _edits,
+    "retired_plan_subscriptions": _retired,
+}
+
+
+def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = {
+        "invoices": (fx.invoices(spark, sf_dir), "created_at"),
+        "api_usage_events": (fx.usage(spark, sf_dir), "recorded_at"),
+    }
+    return ledger.missing_months(facts, as_of=AS_OF, since="2001-01")
+
+
+LEDGER: dict[str, Query] = {
+    "out_of_range_rows": lambda spark, sf_dir: ledger.out_of_range_rows(
+        fx.invoices(spark, sf_dir), "created_at", "1996-01", "2000-12",
+    ).select("id", "created_at"),
+    "missing_months": _coverage,
+    "ledger_between": lambda spark, sf_dir: ledger.ledger_between(
+        fx.invoices(spark, sf_dir), "1997-02-10", "1997-04-01",
+    ),
+}
+
+
+def _found(table: str, look_up: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = look_up(getattr(fx, table)(spark, sf_dir))
+        return found.select(*columns) if columns else found
+    return run
+
+
+_INVOICE = ("id", "status", "amount_cents", "created_at")
+_BUCKET = ("tenant_id", "recorded_at", "endpoint", "event_count")
+
+
+def _with_leavers(users: DataFrame) -> DataFrame:
+    return users.withColumn("deleted_at", F.when(F.col("id") % 2 == 0, F.col("created_at") + F.expr("INTERVAL 1 DAY")))
+
+
+def _events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = proration.plan_change_events(_prorated(spark, sf_dir).ok)
+    return lookups.plan_changes_of(events, tenant_id=12).select(
+        "tenant_id", "subscription_id", "days_remaining", "credit_cents", "charge_cents",
+    )
+
+
+LOOKUPS: dict[str, Query] = {
+    "users_of": _found("users", lambda u: lookups.users_of(u, 12)),
+    "active_users_of": _found(
+        "users", lambda u: lookups.users_of(_with_leavers(u), 12, active_only=True), "id", "email", "role",
+    ),
+    "subscriptions_of": _found("subscriptions", lambda s: lookups.subscriptions_of(s, 12)),
+    "active_subscriptions_of": _found("subscriptions", lambda s: lookups.subscriptions_of(s, 12, "active")),
+    "subscriptions_ending": _found(
+        "subscriptions", lambda s: lookups.subscriptions_ending(s, "2024-01-26", "2024-02-01"),
+    ),
+    "subscriptions_on": _found("subscriptions", lambda s: lookups.subscriptions_on(s, 3)),
+    "plan_subscribers": _billing(lookups.plan_subscribers, "plans", "subscriptions"),
+    "invoices_of": _found("invoices", lambda i: lookups.invoices_of(i, tenant_id=12), *_INVOICE),
+    "open_invoices_of": _found("invoices", lambda i: lookups.invoices_of(i, tenant_id=12, status="open"), *_INVOICE),
+    "subscription_invoices_of": _found(
+        "invoices", lambda i: lookups.invoices_of(i, subscription_id=24), *_INVOICE,
+    ),
+    "reported_invoices_between": _found(
+        "invoices", lambda i: lookups.reported_invoices_between(i, "1996-03-05", "1996-09-01"), *_INVOICE,
+    ),
+    "plan_changes_of": _events_of,
+    "usage_between": _found("usage", lambda u: usage.usage_between(u, "2024-01-05", "2024-01-20", 12), *_BUCKET),
+    "platform_usage_between": _found("usage", lambda u: usage.usage_between(u, "2024-01-05", "2024-01-20"), *_BUCKET),
+}
+
+
 def _registered(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return zoneless(query(configure(spark), sf_dir))
@@ -97,7 +226,5 @@ def _registered(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {
-        name: _registered(query)
-        for group in (REPORTS, USAGE, PRORATION) for name, query in group.items()
-    }
+    groups = (REPORTS, USAGE, PRORATION, AUDIT, RULES, LEDGER, LOOKUPS)
+    return {name: _registered(query) for group in groups for name, query in group.items()}

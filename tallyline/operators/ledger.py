@@ -132,6 +132,8 @@ def archive_months(
     write_monthly(old.drop(MONTH), ts, archive, mode="overwrite")
     stored = read_monthly(spark, archive, schema)
     checked = reconcile(old, stored.where(F.col(MONTH) < month_of(before)), ts, amount)
+    # Months archived and removed earlier are in the archive only; they are not up for a decision.
+    checked = checked.where(F.col("source_rows") > 0)
     return checked.withColumnsRenamed({
         "source_rows": "rows", "target_rows": "archived_rows", "source_total": "total",
         "target_total": "archived_total", "matches": "removable",
