@@ -488,6 +488,129 @@ WHERE recorded_at >= TIMESTAMP '2024-01-05 00:00:00' AND recorded_at < TIMESTAMP
 }
 
 
+_FLEET = """
+e AS (SELECT 'db-' || user_id % 4 AS instance, ts, event_id, user_id, event_type,
+  CAST(round(value * 100) AS BIGINT) AS cents, CAST(date_trunc('week', ts) AS TIMESTAMP) AS snapshot_ts,
+  CASE event_id % 4 WHEN 1 THEN 'idle' WHEN 2 THEN 'idle in transaction' ELSE 'active' END AS state
+  FROM events),
+stats AS (SELECT instance, snapshot_ts, 'SELECT ' || event_type || ' ' || event_id % 20 AS query,
+  count(*) AS calls, CAST(sum(cents) AS BIGINT) AS cents, max(cents) AS top,
+  CAST(sum(cents) AS BIGINT) * 100 // count(*) AS mean4 FROM e GROUP BY 1, 2, 3),
+log AS (SELECT * FROM e WHERE event_id % 10 <> 9),
+table_io AS (SELECT instance, snapshot_ts, 't_' || event_id % 12 AS relname,
+  CAST(sum(cents) AS BIGINT) AS heap_blks_hit, CAST(sum(event_id % 500) AS BIGINT) AS heap_blks_read
+  FROM e GROUP BY 1, 2, 3),
+table_stats AS (SELECT 'db-' || o_custkey % 4 AS instance, TIMESTAMP '2024-01-28 00:00:00' AS snapshot_ts,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'tenants' ELSE 'invoices_' || strftime(o_orderdate, '%Y_%m') END AS relname,
+  count(*) FILTER (o_orderstatus <> 'P') AS n_live_tup,
+  count(*) FILTER (o_orderstatus = 'P' AND o_orderkey % 3 = 0) AS n_dead_tup,
+  CAST(sum(o_orderkey % 7) AS BIGINT) AS idx_scan, count(*) FILTER (o_orderkey % 5 = 0) AS seq_scan
+  FROM orders GROUP BY 1, 2, 3),
+c AS (SELECT 'db-' || c_custkey % 4 AS instance, TIMESTAMP '2024-01-28 00:00:00' AS snapshot_ts,
+  c_custkey AS k FROM customer),
+standbys AS (SELECT instance, snapshot_ts, 'standby_' || k AS application_name,
+  CASE WHEN k % 17 = 0 THEN 'catchup' ELSE 'streaming' END AS state,
+  CASE WHEN k % 13 = 0 THEN 'async' ELSE 'sync' END AS sync_state,
+  CASE WHEN k % 5 > 0 THEN k * 37 % 8000 END AS replay_lag_ms, 5000 - k % 5000 AS lag_bytes FROM c),
+replication AS (SELECT *, CASE WHEN state <> 'streaming' THEN 'not streaming'
+  WHEN sync_state <> 'sync' THEN 'not synchronous' WHEN coalesce(replay_lag_ms, 0) < 1000 THEN 'healthy'
+  WHEN replay_lag_ms <= 5000 THEN 'watch' ELSE 'investigate' END AS status FROM standbys),
+sessions AS (SELECT *, TIMESTAMP '2024-02-01 00:00:00' AS taken_at FROM e)
+"""
+
+
+def _fleet_sql(query: str) -> str:
+    return f"WITH {_FLEET.strip()}\n{query.strip()}"
+
+
+def _whole_percent(part: str, whole: str) -> str:
+    return _dollars(f"((20000 * CAST({part} AS HUGEINT) + {whole}) // nullif(2 * ({whole}), 0))")
+
+
+_ROUNDED_MEAN = _dollars("((mean4 + 50) // 100)")
+_TOP = "QUALIFY rank <= 10"
+
+
+def _ranked(order: str) -> str:
+    return f"CAST(row_number() OVER (PARTITION BY instance, snapshot_ts ORDER BY {order}) AS INTEGER) AS rank"
+
+
+_CACHE = _whole_percent("sum(heap_blks_hit)", "sum(heap_blks_hit) + sum(heap_blks_read)")
+_DEAD = _whole_percent("n_dead_tup", "n_live_tup + n_dead_tup")
+_VIA_INDEX = _whole_percent("idx_scan", "seq_scan + idx_scan")
+
+TELEMETRY = {
+    "statement_top_total": f"""
+SELECT instance, snapshot_ts, {_ranked('cents DESC, query')}, query, calls, {_dollars('cents')} AS total_ms,
+  {_ROUNDED_MEAN} AS mean_ms,
+  {_whole_percent('cents', 'sum(cents) OVER (PARTITION BY instance, snapshot_ts)')} AS pct_of_total
+FROM stats {_TOP}""",
+    "statement_top_mean": f"""
+SELECT instance, snapshot_ts, {_ranked('mean4 DESC, query')}, query, calls, {_ROUNDED_MEAN} AS mean_ms,
+  {_dollars('top')} AS max_ms FROM stats WHERE calls > 5 {_TOP}""",
+    "statement_top_spread": f"""
+SELECT instance, snapshot_ts,
+  {_ranked('(top * 100 - mean4 + 50) // 100 DESC, query')}, query, calls, {_ROUNDED_MEAN} AS mean_ms,
+  {_dollars('top')} AS max_ms, {_dollars('((top * 100 - mean4 + 50) // 100)')} AS variance_ms
+FROM stats WHERE calls > 3 {_TOP}""",
+    "parse_slow_log": """
+SELECT date_trunc('second', ts) AS logged_at, CAST(event_id AS INTEGER) AS pid, 'u' || user_id AS user,
+  'billing' AS db, 'api' AS app, '10.0.1.4' AS client, CAST(cents / 100.0 AS DECIMAL(18,3)) AS duration_ms,
+  'SELECT ' || event_type AS statement FROM log WHERE cents > 20000""",
+    "slowest_statements": """
+SELECT date_trunc('second', ts) AS logged_at, CAST(event_id AS INTEGER) AS pid,
+  CAST(cents / 100.0 AS DECIMAL(18,3)) AS duration_ms, 'SELECT ' || event_type AS statement
+FROM log WHERE cents > 20000 ORDER BY cents DESC, 1, 2, 4 LIMIT 20""",
+    "cache_hit_ratio": f"""
+SELECT *, CASE WHEN cache_hit_ratio > 99 THEN 'healthy' WHEN cache_hit_ratio >= 95 THEN 'acceptable'
+  ELSE 'investigate' END AS status
+FROM (SELECT instance, snapshot_ts, CAST(sum(heap_blks_hit) AS BIGINT) AS cache_hits,
+  CAST(sum(heap_blks_read) AS BIGINT) AS disk_reads, {_CACHE} AS cache_hit_ratio FROM table_io GROUP BY 1, 2)""",
+    "cache_hit_by_table": f"""
+SELECT instance, snapshot_ts, {_ranked('heap_blks_read DESC, relname')}, relname, heap_blks_hit,
+  heap_blks_read, {_whole_percent('heap_blks_hit', 'heap_blks_hit + heap_blks_read')} AS cache_hit_ratio
+FROM table_io {_TOP}""",
+    "index_usage": f"""
+SELECT instance, snapshot_ts, relname, seq_scan, idx_scan, {_VIA_INDEX} AS pct_via_index,
+  {_VIA_INDEX} > 90 AS healthy FROM table_stats""",
+    "unused_indexes": """
+SELECT instance, snapshot_ts, 't_' || k % 12 AS table_name, 'ix_' || k AS index_name,
+  CAST(0 AS BIGINT) AS idx_scan, k * 8192 AS index_bytes FROM c WHERE k % 3 = 0""",
+    "replication_health": "SELECT * FROM replication",
+    "retained_log": """
+SELECT instance, snapshot_ts, 'slot_' || k AS slot_name, k % 6 > 0 AS active, 5000 - k % 5001 AS retained_bytes,
+  k % 6 = 0 AND k % 5001 < 5000 AS at_risk FROM c""",
+    "sessions_by_state": """
+SELECT instance, taken_at AS snapshot_ts, state, count(*) AS sessions FROM sessions GROUP BY ALL""",
+    "idle_in_transaction": """
+SELECT instance, taken_at AS snapshot_ts, event_id AS pid, 'u' || user_id AS usename, 'api' AS application_name,
+  state, epoch_us(taken_at) - epoch_us(ts) AS idle_micros, event_type AS query
+FROM sessions WHERE state = 'idle in transaction'""",
+    "pool_pressure": """
+SELECT instance, taken_at AS snapshot_ts, count(*) AS sessions, 90 AS pool_limit, count(*) > 90 AS over_limit
+FROM sessions GROUP BY 1, 2""",
+    "dead_rows": f"""
+SELECT *, CASE WHEN pct_dead < 10 OR pct_dead IS NULL THEN 'healthy' WHEN pct_dead <= 20 THEN 'monitor'
+  ELSE 'investigate' END AS status
+FROM (SELECT instance, snapshot_ts, relname, n_live_tup, n_dead_tup, {_DEAD} AS pct_dead
+  FROM table_stats WHERE relname LIKE 'invoices%')""",
+    "health_check": f"""
+, cache AS (SELECT instance, snapshot_ts, {_CACHE} AS cache_hit_ratio FROM table_io GROUP BY 1, 2),
+lag AS (SELECT instance, snapshot_ts, max(coalesce(replay_lag_ms, 0)) AS replay_lag_ms,
+  count(*) FILTER (status <> 'healthy') AS unhealthy_standbys FROM replication GROUP BY 1, 2),
+idle AS (SELECT instance, taken_at AS snapshot_ts,
+  count(*) FILTER (state = 'idle in transaction') AS idle_in_transaction FROM sessions GROUP BY 1, 2),
+dead AS (SELECT instance, snapshot_ts, n_live_tup, n_dead_tup FROM table_stats
+  WHERE relname = 'invoices_1997_05')
+SELECT * FROM cache FULL JOIN lag USING (instance, snapshot_ts) FULL JOIN idle USING (instance, snapshot_ts)
+FULL JOIN dead USING (instance, snapshot_ts)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     plain = (REPORTS, USAGE, PRORATION, AUDIT, LEDGER, LOOKUPS)
-    return {**{name: _sql(query) for group in plain for name, query in group.items()}, **RULES}
+    return {
+        **{name: _sql(query) for group in plain for name, query in group.items()},
+        **RULES,
+        **{name: _fleet_sql(query) for name, query in TELEMETRY.items()},
+    }

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import fixtures as fx
+from checks import fleet
 from checks.broken import broken_tables
 from tallyline import configure
 from tallyline.functions.text import normalise_endpoint
-from tallyline.operators import audit, ledger, lookups, proration, reports, rules, usage
+from tallyline.operators import audit, ledger, lookups, proration, reports, rules, telemetry, usage
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = fx.AS_OF
@@ -219,6 +220,36 @@ LOOKUPS: dict[str, Query] = {
 }
 
 
+def _fleet(report: Callable, *names: str, **options) -> Query:
+    return lambda spark, sf_dir: report(*[getattr(fleet, n)(spark, sf_dir) for n in names], **options)
+
+
+def _slowest(lines: DataFrame) -> DataFrame:
+    return telemetry.slowest_statements(lines).select("logged_at", "pid", "duration_ms", "statement")
+
+
+TELEMETRY: dict[str, Query] = {
+    "statement_top_total": _fleet(telemetry.statement_top_total, "statement_stats"),
+    "statement_top_mean": _fleet(telemetry.statement_top_mean, "statement_stats", min_calls=5),
+    "statement_top_spread": _fleet(telemetry.statement_top_spread, "statement_stats", min_calls=3),
+    "parse_slow_log": _fleet(telemetry.parse_slow_log, "log_lines"),
+    "slowest_statements": _fleet(_slowest, "log_lines"),
+    "cache_hit_ratio": _fleet(telemetry.cache_hit_ratio, "table_io"),
+    "cache_hit_by_table": _fleet(telemetry.cache_hit_by_table, "table_io"),
+    "index_usage": _fleet(telemetry.index_usage, "table_stats"),
+    "unused_indexes": _fleet(telemetry.unused_indexes, "index_stats"),
+    "replication_health": _fleet(telemetry.replication_health, "replication"),
+    "retained_log": _fleet(telemetry.retained_log, "slots"),
+    "sessions_by_state": _fleet(telemetry.sessions_by_state, "sessions"),
+    "idle_in_transaction": _fleet(telemetry.idle_in_transaction, "sessions"),
+    "pool_pressure": _fleet(telemetry.pool_pressure, "sessions"),
+    "dead_rows": _fleet(telemetry.dead_rows, "table_stats"),
+    "health_check": _fleet(
+        telemetry.health_check, "table_io", "replication", "sessions", "table_stats", partition="invoices_1997_05",
+    ),
+}
+
+
 def _registered(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return zoneless(query(configure(spark), sf_dir))
@@ -226,5 +257,5 @@ def _registered(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    groups = (REPORTS, USAGE, PRORATION, AUDIT, RULES, LEDGER, LOOKUPS)
+    groups = (REPORTS, USAGE, PRORATION, AUDIT, RULES, LEDGER, LOOKUPS, TELEMETRY)
     return {name: _registered(query) for group in groups for name, query in group.items()}
