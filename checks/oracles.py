@@ -607,8 +607,65 @@ FULL JOIN dead USING (instance, snapshot_ts)""",
 }
 
 
+_TOPIC = """CASE table_name WHEN 'invoices' THEN 'billing.invoice.created'
+  WHEN 'subscriptions' THEN 'billing.subscription.changed' END"""
+_ISO = "strftime(changed_at, '%Y-%m-%dT%H:%M:%S') || '+00:00'"
+_PAYLOAD = f"""
+SELECT {_TOPIC} AS topic, CAST(id AS VARCHAR) AS audit_log_id, table_name, CAST(row_id AS VARCHAR) AS row_id,
+  old_status, new_status, {_ISO} AS changed_at, changed_by, strftime(changed_at, '%Y-%m-%d') AS event_date
+FROM audit_log"""
+_EVENT = f"""
+SELECT {_TOPIC} AS topic, CAST(id AS VARCHAR) AS key,
+  '{{"audit_log_id":"' || id || '","table_name":"' || table_name || '","row_id":"' || row_id
+  || '","old_status":"' || old_status || '","new_status":"' || new_status || '","changed_at":"' || {_ISO}
+  || '","changed_by":"' || changed_by || '"}}' AS value FROM audit_log"""
+_MONTH = "strftime(created_at, '%Y-%m')"
+
+LAKE = {
+    "upsert_usage": """
+SELECT tenant_id, recorded_at, endpoint,
+  CASE WHEN tenant_id % 2 = 0 THEN event_count ELSE event_count + 1 END AS event_count FROM usage""",
+    "refresh_usage_by_cycle": f"""
+SELECT subscription_id, endpoint, total_calls, calls_remaining FROM ({REPORTS['usage_by_cycle']})""",
+    "ledger_between_months": f"""
+SELECT id, amount_cents, created_at, {_MONTH} AS month FROM invoices
+WHERE created_at >= TIMESTAMP '1996-02-10 00:00:00' AND created_at < TIMESTAMP '1996-05-01 00:00:00'""",
+    "recover_default": f"""
+SELECT id, {_MONTH} AS month,
+  CASE WHEN {_MONTH} BETWEEN '1996-01' AND '1999-02' THEN 'ledger' ELSE 'quarantine' END AS place FROM invoices""",
+    "migrate_to_monthly": f"""
+SELECT {_MONTH} AS month, count(*) AS source_rows, count(*) AS target_rows,
+  CAST(sum(amount_cents) AS BIGINT) AS source_total, CAST(sum(amount_cents) AS BIGINT) AS target_total,
+  TRUE AS matches FROM invoices GROUP BY 1""",
+    "archive_months": f"""
+SELECT {_MONTH} AS month, count(*) AS rows, count(*) AS archived_rows,
+  CAST(sum(amount_cents) AS BIGINT) AS total, CAST(sum(amount_cents) AS BIGINT) AS archived_total,
+  TRUE AS removable FROM invoices WHERE created_at < TIMESTAMP '1997-01-01 00:00:00' GROUP BY 1""",
+    "write_plan_changes": """
+SELECT tenant_id, subscription_id, CAST(days_remaining AS INTEGER) AS days_remaining, credit_cents, charge_cents,
+  charge_cents - credit_cents AS net_cents FROM amounts""",
+    "route_events": f"SELECT id, table_name, {_TOPIC} AS topic FROM audit_log",
+    "to_event": _EVENT,
+    "parse_event": _PAYLOAD,
+    "land_raw": _PAYLOAD,
+    "verify_landing": f"SELECT count(*) AS events, max({_ISO}) AS newest_changed_at FROM audit_log",
+    "land_raw_replayed": f"""
+SELECT {_TOPIC} AS topic, strftime(changed_at, '%Y-%m-%d') AS event_date, count(*) AS events
+FROM audit_log GROUP BY 1, 2""",
+    "dedupe_events": _EVENT,
+    "meter_hourly_stream": """
+SELECT tenant_id, recorded_at, endpoint, event_count FROM usage
+WHERE recorded_at + INTERVAL 1 HOUR
+  <= (SELECT date_trunc('millisecond', max(requested_at)) FROM requests) - INTERVAL 1 HOUR""",
+    "status_changes_stream": """
+SELECT 'invoices' AS table_name, row_id, old_status, status AS new_status, version_at AS changed_at
+FROM (SELECT *, lag(status) OVER (PARTITION BY row_id ORDER BY version_at, version_no) AS old_status FROM versions)
+WHERE old_status <> status""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    plain = (REPORTS, USAGE, PRORATION, AUDIT, LEDGER, LOOKUPS)
+    plain = (REPORTS, USAGE, PRORATION, AUDIT, LEDGER, LOOKUPS, LAKE)
     return {
         **{name: _sql(query) for group in plain for name, query in group.items()},
         **RULES,

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from checks import fixtures as fx
 from checks import fleet
 from checks.broken import broken_tables
+from checks.lake_queries import LAKE
 from tallyline import configure
 from tallyline.functions.text import normalise_endpoint
 from tallyline.operators import audit, ledger, lookups, proration, reports, rules, telemetry, usage
@@ -257,5 +258,5 @@ def _registered(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    groups = (REPORTS, USAGE, PRORATION, AUDIT, RULES, LEDGER, LOOKUPS, TELEMETRY)
+    groups = (REPORTS, USAGE, PRORATION, AUDIT, RULES, LEDGER, LOOKUPS, TELEMETRY, LAKE)
     return {name: _registered(query) for group in groups for name, query in group.items()}

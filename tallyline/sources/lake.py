@@ -76,7 +76,8 @@ def read_monthly(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """The raw landing as a typed table: the seven payload fields, ``topic`` and ``event_date``."""
-    schema = T.StructType(EVENT_SCHEMA.fields).add("topic", T.StringType()).add("event_date", T.StringType())
+    folders = [T.StructField(name, T.StringType()) for name in ("topic", "event_date")]
+    schema = T.StructType([*EVENT_SCHEMA.fields, *folders])
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).json(path)
