@@ -26,10 +26,9 @@ def broken_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         return F.col("id") % modulus == n
 
     frames = dict(fx.tables(spark, sf_dir).items())
-    extra_plans = spark.createDataFrame(
-        [(6, "weekly", -1, "weekly", 0, True), (7, "pro", 100, "monthly", None, True)],
-        "id long, name string, price_cents int, billing_cycle string, api_limit int, is_active boolean",
-    ).withColumn("created_at", F.lit("1994-01-01").cast("timestamp"))
+    extra_plans = fx.catalogue(
+        spark, "(6, 'weekly', -1, 'weekly', 0, TRUE), (7, 'pro', 100, 'monthly', NULL, TRUE)",
+    )
     old_sub = (F.col("id") % 2 == 1) & (F.col("tenant_id") % 30 == 0)
     hour = F.hour("recorded_at")
     return {

@@ -5,9 +5,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,151 +15,140 @@ AS_OF = "2024-01-28 00:00:00"
 KEY = T.LongType()
 
 # The plan catalogue (id, name, price in cents, cycle, call limit, on sale).
-PLANS = [
-    (1, "free", 0, "monthly", 1000, True),
-    (2, "starter", 2900, "monthly", 10000, True),
-    (3, "pro", 9900, "monthly", None, True),
-    (4, "enterprise", 49900, "annual", None, True),
-    (5, "starter-legacy", 1900, "monthly", 5000, False),
-]
+PLANS = """
+    (1, 'free', 0, 'monthly', 1000, TRUE),
+    (2, 'starter', 2900, 'monthly', 10000, TRUE),
+    (3, 'pro', 9900, 'monthly', NULL, TRUE),
+    (4, 'enterprise', 49900, 'annual', NULL, TRUE),
+    (5, 'starter-legacy', 1900, 'monthly', 5000, FALSE)"""
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+_GIVEN = {
+    "customer": "c_custkey long, c_name string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+}
 
 
-def _shift(day: str, days: Column | int) -> Column:
-    days = F.lit(days) if isinstance(days, int) else days
-    return F.date_add(F.lit(day).cast("date"), days.cast("int")).cast("timestamp")
+def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(_GIVEN[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _stamp(text: str) -> Column:
-    return F.lit(text).cast("timestamp")
+def _build(df: DataFrame, table: str, **columns: str) -> DataFrame:
+    """Columns given as SQL expressions, cast to the declared types of ``table``."""
+    types = {f.name: f.dataType.simpleString() for f in schema_of(table, KEY)}
+    return df.selectExpr(*[f"CAST({columns[name]} AS {kind}) AS {name}" for name, kind in types.items()])
 
 
-def _typed(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema_of(table, KEY)])
+def catalogue(spark: SparkSession, rows: str = PLANS) -> DataFrame:
+    names = "id, name, price_cents, billing_cycle, api_limit, is_active"
+    return _build(
+        spark.sql(f"SELECT * FROM VALUES {rows} AS t({names})"), "plans",
+        **{name: name for name in names.split(", ")}, created_at="TIMESTAMP '1994-01-01 00:00:00'",
+    )
 
 
-def _pick(value: Column, choices: list[str]) -> Column:
-    """``choices[value]`` as a plain expression."""
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), (value + 1).cast("int"))
+def plans(spark: SparkSession) -> DataFrame:
+    return catalogue(spark)
 
 
-def plans(spark: SparkSession) -> DataFrame:
-    schema = "id long, name string, price_cents int, billing_cycle string, api_limit int, is_active boolean"
-    return _typed(
-        spark.createDataFrame(PLANS, schema).withColumn("created_at", _stamp("1994-01-01 00:00:00")), "plans",
-    )
+_CREATED = "date_add(DATE '1994-01-01', CAST(c_custkey % 365 AS INT))"
+_SLUG = "lower(translate(c_name, '#', '-'))"
 
 
 def tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    return _typed(_read(spark, sf_dir, "customer").select(
-        k.alias("id"), F.col("c_name").alias("name"),
-        F.lower(F.translate("c_name", "#", "-")).alias("slug"),
-        _shift("1994-01-01", k % 365).alias("created_at"),
-        F.when(k % 10 == 9, _stamp("1999-06-30 17:00:00")).alias("deleted_at"),
-    ), "tenants")
+    return _build(
+        given(spark, sf_dir, "customer"), "tenants", id="c_custkey", name="c_name", slug=_SLUG, created_at=_CREATED,
+        deleted_at="CASE WHEN c_custkey % 10 = 9 THEN TIMESTAMP '1999-06-30 17:00:00' END",
+    )
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = tenants(spark, sf_dir).select(
-        "id", "slug", "created_at", F.explode(F.array(F.lit(0), F.lit(1))).alias("n"),
+    people = given(spark, sf_dir, "customer").selectExpr("*", "explode(array(0, 1)) AS n")
+    return _build(
+        people, "users", id="2 * c_custkey + n", tenant_id="c_custkey",
+        email=f"concat('user', n, '@', {_SLUG}, '.example')",
+        role="element_at(array('admin', 'member', 'viewer'), CAST((c_custkey + n) % 3 AS INT) + 1)",
+        created_at=_CREATED, deleted_at="NULL",
     )
-    return _typed(people.select(
-        (F.col("id") * 2 + F.col("n")).alias("id"), F.col("id").alias("tenant_id"),
-        F.concat(F.lit("user"), F.col("n"), F.lit("@"), F.col("slug"), F.lit(".example")).alias("email"),
-        _pick((F.col("id") + F.col("n")) % 3, ["admin", "member", "viewer"]).alias("role"),
-        "created_at", F.lit(None).alias("deleted_at"),
-    ), "users")
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, customers = F.col("c_custkey"), _read(spark, sf_dir, "customer").select("c_custkey")
-    status = (
-        F.when(k % 8 <= 4, "active").when(k % 8 == 5, "trialing").when(k % 8 == 6, "past_due")
-        .otherwise("cancelled")
-    )
-    current = customers.select(
-        (k * 2).alias("id"), k.alias("tenant_id"), (1 + k % 4).alias("plan_id"), status.alias("status"),
-        _stamp("2024-01-01 00:00:00").alias("current_period_start"),
-        _shift("2024-01-25", k % 14).alias("current_period_end"),
-        F.when(status == "cancelled", _stamp("2024-01-20 00:00:00")).alias("cancelled_at"),
-        _shift("1994-01-01", k % 365).alias("created_at"),
+    customers = given(spark, sf_dir, "customer").select("c_custkey")
+    current = _build(
+        customers, "subscriptions", id="2 * c_custkey", tenant_id="c_custkey", plan_id="1 + c_custkey % 4",
+        status="CASE WHEN c_custkey % 8 <= 4 THEN 'active' WHEN c_custkey % 8 = 5 THEN 'trialing' "
+               "WHEN c_custkey % 8 = 6 THEN 'past_due' ELSE 'cancelled' END",
+        current_period_start="DATE '2024-01-01'",
+        current_period_end="date_add(DATE '2024-01-25', CAST(c_custkey % 14 AS INT))",
+        cancelled_at="CASE WHEN c_custkey % 8 = 7 THEN DATE '2024-01-20' END", created_at=_CREATED,
     )
-    old = customers.where(k % 3 == 0).select(
-        (k * 2 + 1).alias("id"), k.alias("tenant_id"), F.lit(2).alias("plan_id"),
-        F.lit("cancelled").alias("status"), _stamp("1995-01-01 00:00:00").alias("current_period_start"),
-        _stamp("1995-07-01 00:00:00").alias("current_period_end"),
-        _stamp("1995-06-15 00:00:00").alias("cancelled_at"),
-        _shift("1994-01-01", k % 365).alias("created_at"),
+    old = _build(
+        customers.where("c_custkey % 3 = 0"), "subscriptions", id="2 * c_custkey + 1", tenant_id="c_custkey",
+        plan_id="2", status="'cancelled'", current_period_start="DATE '1995-01-01'",
+        current_period_end="DATE '1995-07-01'", cancelled_at="DATE '1995-06-15'", created_at=_CREATED,
     )
-    return _typed(current.unionByName(old), "subscriptions")
+    return current.unionByName(old)
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, o = F.col("o_custkey"), F.col("o_orderkey")
-    placed = F.col("o_orderdate").cast("timestamp")
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "paid").when(F.col("o_orderstatus") == "O", "open")
-        .when(o % 3 == 0, "void").when(o % 3 == 1, "uncollectible").otherwise("draft")
+    return _build(
+        given(spark, sf_dir, "orders").where("o_custkey % 8 <> 5"), "invoices", id="o_orderkey", tenant_id="o_custkey",
+        subscription_id="CASE WHEN o_custkey % 3 = 0 AND o_orderkey % 2 = 1 THEN 2 * o_custkey + 1 "
+                        "ELSE 2 * o_custkey END",
+        amount_cents="round(o_totalprice * 100)",
+        status="CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'open' ELSE "
+               "CASE o_orderkey % 3 WHEN 0 THEN 'void' WHEN 1 THEN 'uncollectible' ELSE 'draft' END END",
+        due_date="date_add(CAST(o_orderdate AS DATE), 7)",
+        paid_at="CASE WHEN o_orderstatus = 'F' THEN o_orderdate + make_dt_interval(CAST(1 + o_orderkey % 4 AS INT)) END",
+        created_at="o_orderdate",
     )
-    paid_at = placed + F.make_dt_interval((1 + o % 4).cast("int"))
-    return _typed(_read(spark, sf_dir, "orders").where(k % 8 != 5).select(
-        o.alias("id"), k.alias("tenant_id"),
-        F.when((k % 3 == 0) & (o % 2 == 1), k * 2 + 1).otherwise(k * 2).alias("subscription_id"),
-        F.round(F.col("o_totalprice") * 100).alias("amount_cents"), status.alias("status"),
-        F.date_add(F.to_date(placed), 7).alias("due_date"),
-        F.when(status == "paid", paid_at).alias("paid_at"), placed.alias("created_at"),
-    ), "invoices")
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "events").select(
-        F.col("user_id").alias("tenant_id"), F.col("ts").cast("timestamp").alias("requested_at"),
-        F.concat(F.lit("/api/v1/"), F.col("event_type"), F.lit("?e="), F.col("event_id")).alias("url"),
+    return given(spark, sf_dir, "events").selectExpr(
+        "user_id AS tenant_id", "CAST(ts AS TIMESTAMP) AS requested_at",
+        "concat('/api/v1/', event_type, '?e=', event_id) AS url",
     )
 
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyline.operators.usage import meter_hourly
 
-    hours = F.floor((F.unix_seconds("recorded_at") - F.unix_seconds(_stamp("2024-01-01 00:00:00"))) / 3600)
-    number = (F.col("tenant_id") * 1000 + hours) * 1000 + F.ascii(F.substring("endpoint", 9, 1))
-    return _typed(meter_hourly(requests(spark, sf_dir)).withColumn("id", number), "api_usage_events")
+    return _build(
+        meter_hourly(requests(spark, sf_dir)), "api_usage_events",
+        id="(tenant_id * 1000 + (unix_seconds(recorded_at) - unix_seconds(TIMESTAMP '2024-01-01 00:00:00')) DIV 3600)"
+           " * 1000 + ascii(substr(endpoint, 9, 1))",
+        tenant_id="tenant_id", recorded_at="recorded_at", endpoint="endpoint", event_count="event_count",
+    )
 
 
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settled = invoices(spark, sf_dir).where(F.col("status").isin("paid", "void", "uncollectible"))
-    of_invoices = settled.select(
-        "id", F.lit("invoices").alias("table_name"), F.col("id").alias("row_id"),
-        F.lit("system").alias("changed_by"), F.lit("open").alias("old_status"),
-        F.col("status").alias("new_status"),
-        F.coalesce("paid_at", F.col("created_at") + F.make_dt_interval(F.lit(10))).alias("changed_at"),
-    )
-    moved = subscriptions(spark, sf_dir).where(
-        (F.col("id") % 2 == 0) & F.col("status").isin("past_due", "cancelled"),
+    of_invoices = _build(
+        invoices(spark, sf_dir).where("status IN ('paid', 'void', 'uncollectible')"), "billing_audit_log",
+        id="id", table_name="'invoices'", row_id="id", changed_by="'system'", old_status="'open'",
+        new_status="status", changed_at="coalesce(paid_at, created_at + INTERVAL 10 DAYS)",
     )
-    of_subscriptions = moved.select(
-        (F.col("id") + 1_000_000_000).alias("id"), F.lit("subscriptions").alias("table_name"),
-        F.col("id").alias("row_id"), F.lit("system").alias("changed_by"),
-        F.lit("active").alias("old_status"), F.col("status").alias("new_status"),
-        F.coalesce("cancelled_at", _stamp("2024-01-15 00:00:00")).alias("changed_at"),
+    of_subscriptions = _build(
+        subscriptions(spark, sf_dir).where("id % 2 = 0 AND status IN ('past_due', 'cancelled')"),
+        "billing_audit_log", id="id + 1000000000", table_name="'subscriptions'", row_id="id",
+        changed_by="'system'", old_status="'active'", new_status="status",
+        changed_at="coalesce(cancelled_at, TIMESTAMP '2024-01-15 00:00:00')",
     )
-    return _typed(of_invoices.unionByName(of_subscriptions), "billing_audit_log")
+    return of_invoices.unionByName(of_subscriptions)
 
 
 def plan_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, start = F.col("c_custkey"), "1995-06-01"
-    target = F.when(1 + k % 4 == 2, 5).otherwise(1 + k % 4)
-    return _read(spark, sf_dir, "customer").where(k % 3 == 0).select(
-        k.alias("tenant_id"), (k * 2 + 1).alias("subscription_id"),
-        F.when(k % 30 == 0, 99).otherwise(2).cast("long").alias("old_plan_id"),
-        F.when(k % 30 == 3, 99).otherwise(target).cast("long").alias("new_plan_id"),
-        F.when(k % 30 == 9, _shift("1995-05-25", 0)).otherwise(_shift(start, k % 29)).alias("effective_at"),
-        _shift(start, 0).alias("period_start"),
-        F.when(k % 30 == 6, _shift(start, 0)).otherwise(_shift("1995-06-28", k % 5)).alias("period_end"),
+    return given(spark, sf_dir, "customer").where("c_custkey % 3 = 0").selectExpr(
+        "c_custkey AS tenant_id", "2 * c_custkey + 1 AS subscription_id",
+        "CASE WHEN c_custkey % 30 = 0 THEN 99L ELSE 2L END AS old_plan_id",
+        "CASE WHEN c_custkey % 30 = 3 THEN 99L WHEN c_custkey % 4 = 1 THEN 5L ELSE 1L + c_custkey % 4 END AS new_plan_id",
+        "CAST(CASE WHEN c_custkey % 30 = 9 THEN DATE '1995-05-25' "
+        "ELSE date_add(DATE '1995-06-01', CAST(c_custkey % 29 AS INT)) END AS TIMESTAMP) AS effective_at",
+        "TIMESTAMP '1995-06-01 00:00:00' AS period_start",
+        "CAST(CASE WHEN c_custkey % 30 = 6 THEN DATE '1995-06-01' "
+        "ELSE date_add(DATE '1995-06-28', CAST(c_custkey % 5 AS INT)) END AS TIMESTAMP) AS period_end",
     )
 
 
@@ -186,18 +173,12 @@ def before_snapshot(after: DataFrame) -> DataFrame:
 
 def version_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row versions of the ledger: created, touched without a status change, settled."""
-    base = invoices(spark, sf_dir)
-    day = F.make_dt_interval(F.lit(1))
-    first = F.when(F.col("status") == "draft", "draft").otherwise("open")
-    version = [
-        (0, F.col("created_at"), first), (1, F.col("created_at") + day, first),
-        (2, F.coalesce("paid_at", F.col("created_at") + F.make_dt_interval(F.lit(10))), F.col("status")),
-    ]
-    parts = [
-        base.select(
-            F.lit("invoices").alias("table_name"), F.col("id").alias("row_id"), status.alias("status"),
-            at.alias("version_at"), F.lit(n).alias("version_no"), F.lit(None).cast("string").alias("app_user"),
-        )
-        for n, at, status in version
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    opened = "CASE WHEN status = 'draft' THEN 'draft' ELSE 'open' END"
+    versions = ", ".join([
+        f"named_struct('version_no', 0, 'version_at', created_at, 'status', {opened})",
+        f"named_struct('version_no', 1, 'version_at', created_at + INTERVAL 1 DAY, 'status', {opened})",
+        "named_struct('version_no', 2, 'version_at', coalesce(paid_at, created_at + INTERVAL 10 DAYS), 'status', status)",
+    ])
+    return invoices(spark, sf_dir).selectExpr(
+        "'invoices' AS table_name", "id AS row_id", f"inline(array({versions}))",
+    ).selectExpr("*", "CAST(NULL AS STRING) AS app_user")

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import _pick, _stamp
+from checks.fixtures import given
+
+
+def _stamp(text: str) -> Column:
+    return F.lit(text).cast("timestamp")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     event, user = F.col("event_id"), F.col("user_id")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return given(spark, sf_dir, "events").select(
         F.concat(F.lit("db-"), user % 4).alias("instance"), F.col("ts").cast("timestamp").alias("ts"),
         "event_id", "user_id", "event_type", F.round(F.col("value") * 100).cast("long").alias("cents"),
         F.date_trunc("week", F.col("ts").cast("timestamp")).alias("snapshot_ts"),
-        _pick(event % 4, ["active", "idle", "idle in transaction", "active"]).alias("state"),
+        F.when(event % 4 == 1, "idle").when(event % 4 == 2, "idle in transaction").otherwise("active").alias("state"),
     )
 
 
@@ -53,7 +57,7 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(o % 11 == 0, F.lit("tenants")).otherwise(
         F.concat(F.lit("invoices_"), F.date_format(placed, "yyyy_MM")),
     )
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy(
+    return given(spark, sf_dir, "orders").groupBy(
         F.concat(F.lit("db-"), F.col("o_custkey") % 4).alias("instance"),
         _stamp("2024-01-28 00:00:00").alias("snapshot_ts"), name.alias("relname"),
     ).agg(
@@ -65,7 +69,7 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    return given(spark, sf_dir, "customer").select(
         F.concat(F.lit("db-"), c % 4).alias("instance"), _stamp("2024-01-28 00:00:00").alias("snapshot_ts"),
         F.concat(F.lit("t_"), c % 12).alias("relname"), F.concat(F.lit("ix_"), c).alias("indexrelname"),
         (c % 3).alias("idx_scan"), (c * 8192).alias("index_bytes"),
@@ -74,7 +78,7 @@ def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replication(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    return given(spark, sf_dir, "customer").select(
         F.concat(F.lit("db-"), c % 4).alias("instance"), _stamp("2024-01-28 00:00:00").alias("snapshot_ts"),
         F.concat(F.lit("standby_"), c).alias("application_name"),
         F.when(c % 17 == 0, "catchup").otherwise("streaming").alias("state"),
@@ -86,7 +90,7 @@ def replication(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+    return given(spark, sf_dir, "customer").select(
         F.concat(F.lit("db-"), c % 4).alias("instance"), _stamp("2024-01-28 00:00:00").alias("snapshot_ts"),
         F.concat(F.lit("slot_"), c).alias("slot_name"), (c % 6 > 0).alias("active"),
         (c * 1000 + 5000).alias("current_lsn"), (c * 1000 + c % 5001).alias("restart_lsn"),

@@ -254,11 +254,10 @@ def invoice_history(
         F.col("status").alias("invoice_status"), "due_date", "paid_at",
         F.col("created_at").alias("invoice_created_at"),
     )
-    if tenant_id is not None:
-        # One tenant's subscriptions: small unless counted otherwise, and then the ledger is not shuffled.
-        enrolled = broadcast_if_small(enrolled)
-
     subscribed = enrolled.join(owners, F.col("_owner") == F.col("tenant_id"))
+    if tenant_id is not None:
+        # One tenant's subscriptions are few unless counted otherwise; the ledger then stays where it is.
+        subscribed = broadcast_if_small(subscribed)
     with_invoices = split_outer_join(subscribed, billed, "subscription_id", "_billed")
     without_subscription = owners.join(enrolled, F.col("_owner") == F.col("tenant_id"), "left_anti")
     report = (

@@ -134,12 +134,23 @@ def _repeated(df: DataFrame, rule: KeyRule, ignore_case: bool) -> DataFrame:
     )
 
 
-def _dangling(df: DataFrame, rule: ReferenceRule, target: DataFrame) -> DataFrame:
-    used = df.where(F.col(rule.column).isNotNull()).groupBy(rule.column).agg(F.count("*").alias("rows"))
-    known = target.select(F.col("id").alias("_id"))
-    return used.join(known, F.col(rule.column) == F.col("_id"), "left_anti").select(
-        F.lit(rule.name).alias("rule"), F.col(rule.column).cast("string").alias("key"), "rows",
+def _dangling(df: DataFrame, rules: list[ReferenceRule], refs: Mapping[str, DataFrame]) -> DataFrame:
+    """Keys that point nowhere, for all references of a table in one scan of it."""
+    pointers = F.array(*[
+        F.struct(
+            F.lit(r.name).alias("rule"), F.lit(r.target).alias("_target"), F.col(r.column).cast("string").alias("key"),
+        )
+        for r in rules
+    ])
+    used = (
+        df.select(F.inline(pointers)).where(F.col("key").isNotNull())
+        .groupBy("rule", "_target", "key").agg(F.count("*").alias("rows"))
     )
+    known = reduce(DataFrame.unionByName, [
+        refs[target].select(F.lit(target).alias("_target"), F.col("id").cast("string").alias("key"))
+        for target in sorted({r.target for r in rules})
+    ])
+    return used.join(known, ["_target", "key"], "left_anti").select("rule", "key", "rows")
 
 
 def _failing_rows(df: DataFrame, table: str, rules: list[RowRule]) -> DataFrame:
@@ -152,13 +163,15 @@ def _failing_rows(df: DataFrame, table: str, rules: list[RowRule]) -> DataFrame:
 
 def _set_rules(
     table: str, df: DataFrame, refs: Mapping[str, DataFrame], ignore_case: bool,
-) -> list[tuple[str, DataFrame]]:
-    keyed = [
-        (r.name, _repeated(df, r, ignore_case and r.name == "name_unique")) for r in _of(KEY_RULES, table)
-    ]
-    return keyed + [
-        (r.name, _dangling(df, r, refs[r.target])) for r in _of(REFERENCE_RULES, table) if r.target in refs
+) -> list[tuple[list[str], DataFrame]]:
+    """Violations of the key and reference rules, with the names of the rules each frame covers."""
+    found = [
+        ([r.name], _repeated(df, r, ignore_case and r.name == "name_unique")) for r in _of(KEY_RULES, table)
     ]
+    references = [r for r in _of(REFERENCE_RULES, table) if r.target in refs]
+    if references:
+        found.append(([r.name for r in references], _dangling(df, references, refs)))
+    return found
 
 
 def validate(
@@ -190,8 +203,10 @@ def table_summary(
             F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("violations")) for r in rules
         ])
         parts.append(counts.select(F.inline(pairs)))
-    for name, violations in _set_rules(table, df, refs or {}, ignore_name_case):
-        parts.append(violations.agg(F.count("*").alias("violations")).select(F.lit(name).alias("rule"), "violations"))
+    for names, violations in _set_rules(table, df, refs or {}, ignore_name_case):
+        counts = violations.agg(*[F.count_if(F.col("rule") == name).alias(name) for name in names])
+        pairs = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in names])
+        parts.append(counts.select(F.inline(pairs)))
     return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "rule", "violations")
 
 

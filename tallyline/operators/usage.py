@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tallyline.functions.months import MONTH, month_key, within
 from tallyline.functions.text import normalise_endpoint
 from tallyline.sources.lake import (
-    current_version, delete_path, month_folders, path_exists, publish_version, read_monthly,
+    current_version, delete_path, empty_frame, month_folders, path_exists, publish_version, read_monthly,
     write_monthly,
 )
 from tallyline.sources.schema import schema_of
@@ -77,7 +77,7 @@ def upsert_usage(spark: SparkSession, path: str, batch: DataFrame, key_type: T.D
     if known & set(touched):
         old = read_monthly(spark, path, schema).where(F.col(MONTH).isin(*touched))
     else:
-        old = spark.createDataFrame([], schema)
+        old = empty_frame(spark, schema)
     merged = newest_per_bucket(old, merged)
     write_monthly(merged, "recorded_at", stage, mode="overwrite")
     _apply_stage(spark, stage, path, schema)

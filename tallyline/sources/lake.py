@@ -10,6 +10,7 @@ from tallyline.functions.months import MONTH, month_key
 from tallyline.sources.schema import EVENT_SCHEMA
 
 _POINTER = "CURRENT"
+_FEW_DAYS = 64
 
 
 def _path(spark: SparkSession, path: str):
@@ -18,6 +19,13 @@ def _path(spark: SparkSession, path: str):
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of ``schema``, known to be empty when plans are made."""
+    return spark.range(0).where(F.lit(False)).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema],
+    )
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop, fs = _path(spark, path)
     return fs.exists(hadoop)
@@ -74,13 +82,25 @@ def read_monthly(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(declared.add(MONTH, T.StringType())).parquet(path)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The raw landing as a typed table: the seven payload fields, ``topic`` and ``event_date``."""
+def read_raw(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
+    """The raw landing as a typed table: the seven payload fields, ``topic`` and ``event_date``.
+
+    With ``dates`` only those days are read. For a few days just their folders are looked
+    up; the cost of listing the rest of the landing is not paid.
+    """
     folders = [T.StructField(name, T.StringType()) for name in ("topic", "event_date")]
     schema = T.StructType([*EVENT_SCHEMA.fields, *folders])
+    reader = spark.read.schema(schema)
+    if dates is not None and len(dates) <= _FEW_DAYS:
+        days = [
+            f"{path}/{topic}/event_date={day}" for topic in list_folders(spark, path, "topic=") for day in dates
+        ]
+        days = [day for day in days if path_exists(spark, day)]
+        return reader.option("basePath", path).json(days) if days else empty_frame(spark, schema)
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(path)
+        return empty_frame(spark, schema)
+    landed = reader.json(path)
+    return landed if dates is None else landed.where(F.col("event_date").isin(*dates))
 
 
 def publish_version(spark: SparkSession, root: str, version: str) -> None:

@@ -4,17 +4,34 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.sources.lake import path_exists, read_raw
+from tallyline.sources.lake import read_raw
 from tallyline.streaming.events import parse_event
 
 log = logging.getLogger(__name__)
 
 FOLDERS = ["topic", "event_date"]
 IDENTITY = [*FOLDERS, "audit_log_id"]
+EVENTS_PER_FILE = 1_000_000
+
+
+def _spread(events: DataFrame, per_folder: list[Row]) -> DataFrame:
+    """One task per folder, several for a folder with more than ``EVENTS_PER_FILE`` events."""
+    spark = events.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = [(*r[:2], -(-r["count"] // EVENTS_PER_FILE)) for r in per_folder if r["count"] > EVENTS_PER_FILE]
+    if not hot:
+        return events.repartition(tasks, *FOLDERS)
+    # As few rows as there are days in the batch, so safe to broadcast.
+    files = F.broadcast(spark.createDataFrame(hot, "topic string, event_date string, _files long"))
+    salt = F.pmod(F.xxhash64("audit_log_id"), F.coalesce("_files", F.lit(1)))
+    return (
+        events.join(files, FOLDERS, "left").withColumn("_salt", salt)
+        .repartition(tasks, *FOLDERS, "_salt").drop("_files", "_salt")
+    )
 
 
 def land_batch(events: DataFrame, path: str) -> None:
@@ -24,14 +41,13 @@ def land_batch(events: DataFrame, path: str) -> None:
     are searched for it, reading one field.
     """
     spark = events.sparkSession
-    fresh = parse_event(events).dropDuplicates(IDENTITY)
-    if path_exists(spark, path):
-        # Bounded by the calendar: one short text per day.
-        dates = [r["event_date"] for r in fresh.select("event_date").distinct().collect()]
-        landed = read_raw(spark, path).where(F.col("event_date").isin(*dates)).select(*IDENTITY)
-        fresh = fresh.join(landed, IDENTITY, "left_anti")
+    fresh = parse_event(events)
+    # Bounded by the calendar: one short row per topic and day of the batch.
+    per_folder = fresh.groupBy(*FOLDERS).count().collect()
+    landed = read_raw(spark, path, sorted({r["event_date"] for r in per_folder})).select(*IDENTITY)
+    fresh = fresh.dropDuplicates(IDENTITY).join(landed, IDENTITY, "left_anti")
     (
-        fresh.hint("rebalance", *[F.col(c) for c in FOLDERS])
+        _spread(fresh, per_folder)
         .write.mode("append").partitionBy(*FOLDERS).option("ignoreNullFields", "false").json(path)
     )
 
@@ -61,9 +77,14 @@ def run_bounded(query: StreamingQuery, seconds: int = 60) -> bool:
     return False
 
 
-def verify_landing(spark: SparkSession, path: str) -> DataFrame:
-    """One row: number of landed events and the newest change among them. Warns when empty."""
+def verify_landing(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+    """One row: number of landed events and the newest change among them. Warns when empty.
+
+    ``since`` (a day) limits the check to later folders, as a regular run wants.
+    """
     landed = read_raw(spark, path)
+    if since is not None:
+        landed = landed.where(F.col("event_date") >= since)
     if landed.isEmpty():
         log.warning("no events below %s; fine if nothing changed since the last run", path)
     return landed.agg(F.count("*").alias("events"), F.max("changed_at").alias("newest_changed_at"))

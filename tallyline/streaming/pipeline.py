@@ -22,12 +22,12 @@ def audit_stream(
 
 def run_pipeline(
     spark: SparkSession, source: str, landing: str, checkpoint: str, key_type: T.DataType | None = None,
-    seconds: int = 60, max_files: int | None = None,
+    seconds: int = 60, max_files: int | None = None, verify_since: str | None = None,
 ) -> DataFrame:
     """Land every audit event of ``source`` not landed yet; returns the landing's summary row.
 
-    Each step may be repeated at any time.
+    Each step may be repeated at any time. ``verify_since`` limits the summary to later days.
     """
     events = to_event(route(audit_stream(spark, source, key_type, max_files)))
     run_bounded(land_raw(events, landing, checkpoint), seconds)
-    return verify_landing(spark, landing)
+    return verify_landing(spark, landing, verify_since)
