@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from tallyline.functions.months import MONTH, month_key, within
 from tallyline.functions.text import normalise_endpoint
 from tallyline.sources.lake import (
-    current_version, delete_path, empty_frame, month_folders, path_exists, publish_version, read_monthly,
-    write_monthly,
+    current_version, delete_path, empty_frame, is_complete, mark_complete, month_folders, path_exists,
+    publish_version, read_monthly, write_monthly,
 )
 from tallyline.sources.schema import schema_of
 
@@ -62,7 +62,7 @@ def upsert_usage(spark: SparkSession, path: str, batch: DataFrame, key_type: T.D
     """
     schema = schema_of("api_usage_events", key_type)
     stage = f"{path.rstrip('/')}.stage"
-    if path_exists(spark, f"{stage}/_SUCCESS"):
+    if is_complete(spark, stage):
         _apply_stage(spark, stage, path, schema)
     elif path_exists(spark, stage):
         delete_path(spark, stage)
@@ -79,7 +79,8 @@ def upsert_usage(spark: SparkSession, path: str, batch: DataFrame, key_type: T.D
     else:
         old = empty_frame(spark, schema)
     merged = newest_per_bucket(old, merged)
-    write_monthly(merged, "recorded_at", stage, mode="overwrite")
+    write_monthly(merged, "recorded_at", stage)
+    mark_complete(spark, stage)
     _apply_stage(spark, stage, path, schema)
 
 

@@ -10,6 +10,7 @@ from tallyline.functions.months import MONTH, month_key
 from tallyline.sources.schema import EVENT_SCHEMA
 
 _POINTER = "CURRENT"
+_COMPLETE = "_COMPLETE"
 _FEW_DAYS = 64
 
 
@@ -45,6 +46,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Leave a marker that everything below ``path`` is written."""
+    hadoop, fs = _path(spark, f"{path}/{_COMPLETE}")
+    fs.create(hadoop, True).close()
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path}/{_COMPLETE}")
+
+
 def has_month_folders(spark: SparkSession, path: str) -> bool:
     return bool(list_folders(spark, path, f"{MONTH}="))
 
