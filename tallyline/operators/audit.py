@@ -25,7 +25,7 @@ def actor(app_user: Column | str | None = None) -> Column:
 def _with_audit_id(changes: DataFrame) -> DataFrame:
     """The id is a digest of the change, so writing it again is recognised as a repeat."""
     parts = ["table_name", "row_id", "old_status", "new_status", "changed_at"]
-    text = F.concat_ws("|", *[F.coalesce(F.col(p).cast("string"), F.lit("\u0000")) for p in parts])
+    text = F.to_json(F.struct(*[F.col(p).cast("string").alias(p) for p in parts]))
     return changes.withColumn("id", F.sha2(text, 256)).select(*AUDIT_COLUMNS)
 
 

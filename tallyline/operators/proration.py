@@ -117,15 +117,13 @@ def write_plan_changes(spark: SparkSession, ok: DataFrame, path: str, key_type:
     """Append one event per priced change to the month-partitioned log; known events are skipped."""
     schema = schema_of("plan_change_events", key_type)
     schema["id"].dataType = T.StringType()
-    events = plan_change_events(ok).dropDuplicates(["id"])
+    events = plan_change_events(ok).dropDuplicates(["id"]).withColumn(MONTH, month_key(F.col("effective_at")))
     if month_folders(spark, path):
-        recorded = read_monthly(spark, path, schema).select("id", MONTH)
-        # The month is a function of the inputs, so joining on it too prunes nothing away.
-        events = (
-            events.withColumn(MONTH, month_key(F.col("effective_at")))
-            .join(recorded, ["id", MONTH], "left_anti").drop(MONTH)
-        )
-    write_monthly(events, "effective_at", path)
+        # Bounded by the calendar: one short text per touched month. A known event has the same month.
+        touched = [r[MONTH] for r in events.select(MONTH).distinct().collect()]
+        recorded = read_monthly(spark, path, schema).where(F.col(MONTH).isin(*touched)).select("id")
+        events = events.join(recorded, "id", "left_anti")
+    write_monthly(events.drop(MONTH), "effective_at", path)
 
 
 def proration_invoices(ok: DataFrame) -> NetAmounts:

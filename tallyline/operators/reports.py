@@ -259,7 +259,8 @@ def invoice_history(
         # One tenant's subscriptions are few unless counted otherwise; the ledger then stays where it is.
         subscribed = broadcast_if_small(subscribed)
     with_invoices = split_outer_join(subscribed, billed, "subscription_id", "_billed")
-    without_subscription = owners.join(enrolled, F.col("_owner") == F.col("tenant_id"), "left_anti")
+    subscribers = enrolled.select("_owner").distinct()
+    without_subscription = owners.join(subscribers, F.col("_owner") == F.col("tenant_id"), "left_anti")
     report = (
         with_invoices.unionByName(without_subscription, allowMissingColumns=True)
         .join(_plan_columns(plans, "name", "billing_cycle"), "plan_id", "left")
@@ -293,6 +294,13 @@ def outstanding_invoices(
     return _sorted(report, ordered, F.desc("days_overdue"), F.asc("tenant_name"), F.asc("invoice_id"))
 
 
+def _by_month(periods: DataFrame) -> DataFrame:
+    """One row for every month (``_month``) a period touches."""
+    first, last = F.date_trunc("month", "period_start"), F.date_trunc("month", "period_end")
+    months = periods.withColumn("_start", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))))
+    return months.withColumn("_month", month_key(F.col("_start"))).drop("_start")
+
+
 def usage_by_cycle(
     usage: DataFrame, tenants: DataFrame, subscriptions: DataFrame, plans: DataFrame,
     as_of: datetime | str | None = None,
@@ -301,7 +309,7 @@ def usage_by_cycle(
 
     A cycle is split into the months it touches, so usage joins on (tenant, month) and
     only then on the half-open time range: a heavy tenant is spread over its months, and
-    month folders outside every cycle can be pruned. Overlapping cycles count a call twice.
+    month folders outside every cycle are not read. Overlapping cycles count a call twice.
     """
     cycles = (
         _subscription_columns(
@@ -312,12 +320,13 @@ def usage_by_cycle(
         .where(F.col("period_end") > F.col("period_start"))
         .join(active_tenants(tenants, "name"), "tenant_id")
     )
-    first, last = F.date_trunc("month", "period_start"), F.date_trunc("month", "period_end")
-    slices = cycles.select(
+    slices = _by_month(cycles.select(
         F.col("tenant_id").alias("_tenant"), "subscription_id", "period_start", "period_end",
-        F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))).alias("_month_start"),
-    ).withColumn("_month", month_key(F.col("_month_start"))).drop("_month_start")
-
+    ))
+    if MONTH in usage.columns:
+        # The calendar bounds this side whatever the data; it prunes month folders at run time.
+        months = _by_month(cycles.select("period_start", "period_end")).select("_month").distinct()
+        usage = usage.join(F.broadcast(months), F.col(MONTH) == F.col("_month"), "left_semi")
     folder = F.col(MONTH) if MONTH in usage.columns else month_key(F.col("recorded_at"))
     calls = (
         usage.select("tenant_id", "recorded_at", "endpoint", "event_count", folder.alias("_usage_month"))

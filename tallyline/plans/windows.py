@@ -13,26 +13,21 @@ def with_previous(
 
     NULL struct means there is no previous row. ``order`` must be unique within ``keys`` and
     ``cell`` must not decrease along it (say, the day of the first order column). Each
-    (keys, cell) group is sorted on its own, so a hot key spreads over its cells; only one
-    row per cell, the last one, is looked at across cells.
+    (keys, cell) group is sorted on its own, so a hot key spreads over its cells; only the
+    first and last row of a cell are looked at across cells.
     """
-    df = df.withColumn("_cell", cell)
-    cell_keys = [*keys, "_cell"]
-
-    # Last value per cell, combined before the shuffle, handed on to the following cell.
-    last = df.groupBy(*cell_keys).agg(
-        F.max_by(F.struct(F.col(value).alias("value")), F.struct(*order)).alias("_last"),
-    )
-    across = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_cell"))
-    carried = last.select(*cell_keys, F.lag("_last").over(across).alias("_carried"))
-
-    inside = Window.partitionBy(*cell_keys).orderBy(*order)
-    rows = df.select(
+    inside = Window.partitionBy(*keys, "_cell").orderBy(*order)
+    rows = df.withColumns({"_cell": cell, "_value": F.struct(F.col(value).alias("value"))}).select(
         "*",
-        F.lag(F.struct(F.col(value).alias("value"))).over(inside).alias("_inside"),
+        F.lag("_value").over(inside).alias("_before"),
         F.row_number().over(inside).alias("_n"),
+        F.lead(F.lit(1)).over(inside).isNull().alias("_last"),
+    )
+    # Both branches start from the same shuffle, which Spark does once.
+    within_cell = rows.where(F.col("_n") > 1).withColumn(out, F.col("_before"))
+    across = Window.partitionBy(*keys).orderBy(*order)
+    edges = rows.where((F.col("_n") == 1) | F.col("_last")).withColumn(
+        out, F.lag("_value").over(across),
     )
-    joined = rows.join(carried, cell_keys, "left")
-    return joined.withColumn(
-        out, F.when(F.col("_n") == 1, F.col("_carried")).otherwise(F.col("_inside")),
-    ).drop("_cell", "_inside", "_n", "_carried")
+    first_of_cell = edges.where(F.col("_n") == 1)
+    return within_cell.unionByName(first_of_cell).drop("_cell", "_value", "_before", "_n", "_last")

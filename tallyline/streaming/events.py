@@ -35,7 +35,7 @@ def to_event(routed: DataFrame) -> DataFrame:
         "row_id": F.col("row_id").cast("string"),
         "changed_at": iso_instant(F.col("changed_at")),
     }
-    fields = [text.get(name, F.col(name) if name not in text else None).alias(name) for name in EVENT_FIELDS]
+    fields = [(text[name] if name in text else F.col(name)).alias(name) for name in EVENT_FIELDS]
     return routed.select(
         "topic", F.col("id").cast("string").alias("key"),
         F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"), "changed_at",
