@@ -6,6 +6,7 @@ Every run works in new folders below the session's shared checkpoint folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from tallyline import scratch_dir
 from tallyline.functions.months import MONTH
 from tallyline.operators import ledger, proration, reports, usage
 from tallyline.sources.lake import read_monthly, read_raw, write_monthly
-from tallyline.sources.schema import schema_of
+from tallyline.sources.schema import MONTHLY, load, schema_of
 from tallyline.streaming import (
     audit_stream, dedupe_events, land_raw, land_usage, meter_hourly_stream, parse_event, route,
     run_bounded, run_pipeline, status_changes_stream, to_event,
@@ -53,6 +54,31 @@ def _refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.read_usage_by_cycle(spark, path).select("subscription_id", "endpoint", "total_calls", "calls_remaining")
 
 
+def _pruned_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup over usage stored by month, whose folders the cycles prune."""
+    path = f"{scratch_dir(spark, 'cycles')}/usage"
+    write_monthly(fx.usage(spark, sf_dir), "recorded_at", path)
+    return reports.usage_by_cycle(
+        read_monthly(spark, path, _usage_schema()), fx.tenants(spark, sf_dir), fx.subscriptions(spark, sf_dir),
+        fx.plans(spark), as_of=fx.AS_OF,
+    )
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eight tables written and loaded again with their declared schemas."""
+    root = scratch_dir(spark, "tables")
+    for table, df in fx.tables(spark, sf_dir).items():
+        if table in MONTHLY:
+            write_monthly(df, MONTHLY[table], f"{root}/{table}")
+        else:
+            df.write.parquet(f"{root}/{table}")
+    counts = [
+        df.agg(F.lit(table).alias("table_name"), F.count("*").alias("rows"))
+        for table, df in load(spark, root, fx.KEY).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _monthly_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month folders written, then a pruned range of them."""
     path = f"{scratch_dir(spark, 'monthly')}/invoices"
@@ -175,6 +201,8 @@ def _status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LAKE: dict[str, Query] = {
+    "load_tables": _loaded,
+    "usage_by_cycle_months": _pruned_cycles,
     "upsert_usage": _upsert,
     "refresh_usage_by_cycle": _refresh,
     "ledger_between_months": _monthly_read,

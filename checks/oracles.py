@@ -622,6 +622,13 @@ SELECT {_TOPIC} AS topic, CAST(id AS VARCHAR) AS key,
 _MONTH = "strftime(created_at, '%Y-%m')"
 
 LAKE = {
+    "load_tables": """
+SELECT 'tenants' AS table_name, count(*) AS rows FROM tenants UNION ALL SELECT 'plans', count(*) FROM plans
+UNION ALL SELECT 'users', count(*) FROM users UNION ALL SELECT 'subscriptions', count(*) FROM subscriptions
+UNION ALL SELECT 'invoices', count(*) FROM invoices UNION ALL SELECT 'api_usage_events', count(*) FROM usage
+UNION ALL SELECT 'billing_audit_log', count(*) FROM audit_log
+UNION ALL SELECT 'plan_change_events', count(*) FROM amounts""",
+    "usage_by_cycle_months": REPORTS["usage_by_cycle"],
     "upsert_usage": """
 SELECT tenant_id, recorded_at, endpoint,
   CASE WHEN tenant_id % 2 = 0 THEN event_count ELSE event_count + 1 END AS event_count FROM usage""",

@@ -6,6 +6,8 @@ are credited rounded down, the days on the new plan charged rounded up.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +23,12 @@ OLD_PLAN_MISSING = "old plan not found"
 NEW_PLAN_MISSING = "new plan not found"
 PERIOD_INVALID = "period end is not after period start"
 EFFECTIVE_TOO_EARLY = "effective before period start"
+# What the record of a change does not admit.
+INCOMPLETE = "incomplete request"
+SAME_PLAN = "old and new plan are the same"
+
+
+_REQUIRED = ["tenant_id", "subscription_id", "effective_at", "period_start", "period_end"]
 
 
 class Prorated(NamedTuple):
@@ -70,7 +78,9 @@ def prorate(changes: DataFrame, plans: DataFrame, exact: bool = False) -> Prorat
         .withColumn("reject_reason", F.when(F.col("_old_id").isNull(), OLD_PLAN_MISSING)
                     .when(F.col("_new_id").isNull(), NEW_PLAN_MISSING)
                     .when(cycle <= 0, PERIOD_INVALID)
-                    .when(left > cycle, EFFECTIVE_TOO_EARLY))
+                    .when(left > cycle, EFFECTIVE_TOO_EARLY)
+                    .when(reduce(or_, [F.col(c).isNull() for c in _REQUIRED]), INCOMPLETE)
+                    .when(F.col("old_plan_id") == F.col("new_plan_id"), SAME_PLAN))
     )
     rejected = looked_up.where(F.col("reject_reason").isNotNull()).select(*changes.columns, "reject_reason")
 
@@ -116,7 +126,6 @@ def plan_change_events(ok: DataFrame) -> DataFrame:
 def write_plan_changes(spark: SparkSession, ok: DataFrame, path: str, key_type: T.DataType | None = None) -> None:
     """Append one event per priced change to the month-partitioned log; known events are skipped."""
     schema = schema_of("plan_change_events", key_type)
-    schema["id"].dataType = T.StringType()
     events = plan_change_events(ok).dropDuplicates(["id"]).withColumn(MONTH, month_key(F.col("effective_at")))
     if month_folders(spark, path):
         # Bounded by the calendar: one short text per touched month. A known event has the same month.

@@ -77,7 +77,7 @@ def revenue_by_month(
     )
     return _sorted(
         report, ordered, F.asc_nulls_last("tenant_name"), F.asc_nulls_last("billing_month"),
-        F.asc("tenant_id"), F.asc("plan_name"), F.asc("billing_cycle"),
+        F.asc_nulls_last("tenant_id"), F.asc_nulls_last("plan_name"), F.asc_nulls_last("billing_cycle"),
     )
 
 
@@ -98,7 +98,7 @@ def revenue_for_month(
         .withColumn("total_dollars", dollars(F.col("total_cents")))
     )
     return _sorted(
-        report, ordered, F.desc_nulls_first("total_cents"), F.asc("tenant_name"), F.asc("plan_name"),
+        report, ordered, F.desc_nulls_first("total_cents"), F.asc_nulls_last("tenant_name"), F.asc_nulls_last("plan_name"),
     )
 
 
@@ -121,7 +121,7 @@ def lifetime_revenue(invoices: DataFrame, tenants: DataFrame, ordered: bool = Tr
         )
     )
     return _sorted(
-        report, ordered, F.desc_nulls_first("lifetime_cents"), F.asc("tenant_name"), F.asc("tenant_id"),
+        report, ordered, F.desc_nulls_first("lifetime_cents"), F.asc_nulls_last("tenant_name"), F.asc_nulls_last("tenant_id"),
     )
 
 
@@ -169,8 +169,8 @@ def outstanding_balance(
         )
     )
     return _sorted(
-        report, ordered, F.desc_nulls_first("outstanding_cents"), F.asc("tenant_name"),
-        F.asc("tenant_id"), F.asc("plan_name"), F.asc("period_start"), F.asc("period_end"),
+        report, ordered, F.desc_nulls_first("outstanding_cents"), F.asc_nulls_last("tenant_name"),
+        F.asc_nulls_last("tenant_id"), F.asc_nulls_last("plan_name"), F.asc_nulls_last("period_start"), F.asc_nulls_last("period_end"),
     )
 
 
@@ -194,7 +194,7 @@ def renewals_due(
             F.datediff(F.to_date("renews_at"), day_of(as_of)).alias("days_until_renewal"),
         )
     )
-    return _sorted(report, ordered, F.asc("renews_at"), F.asc("tenant_name"), F.asc("plan_name"))
+    return _sorted(report, ordered, F.asc_nulls_last("renews_at"), F.asc_nulls_last("tenant_name"), F.asc_nulls_last("plan_name"))
 
 
 def plan_mrr(subscriptions: DataFrame, plans: DataFrame, tenants: DataFrame, ordered: bool = True) -> DataFrame:
@@ -217,7 +217,7 @@ def plan_mrr(subscriptions: DataFrame, plans: DataFrame, tenants: DataFrame, ord
         mrr_dollars(price * F.col("active_tenant_count"), F.col("billing_cycle"))
         .alias("mrr_contribution_dollars"),
     )
-    return _sorted(report, ordered, F.desc("active_tenant_count"), F.asc("plan_name"))
+    return _sorted(report, ordered, F.desc_nulls_first("active_tenant_count"), F.asc_nulls_last("plan_name"))
 
 
 _HISTORY = [
@@ -267,9 +267,9 @@ def invoice_history(
         .withColumn("amount_dollars", dollars(F.col("amount_cents")))
     )
     report = _sorted(
-        report, ordered, F.asc("tenant_name"), F.asc_nulls_last("_subscribed_at"),
+        report, ordered, F.asc_nulls_last("tenant_name"), F.asc_nulls_last("_subscribed_at"),
         F.asc_nulls_last("invoice_created_at"), F.asc_nulls_last("subscription_id"),
-        F.asc_nulls_last("invoice_id"), F.asc("tenant_id"),
+        F.asc_nulls_last("invoice_id"), F.asc_nulls_last("tenant_id"),
     )
     return report.select(*(_HISTORY if tenant_id is None else _ONE_TENANT_HISTORY))
 
@@ -291,14 +291,13 @@ def outstanding_invoices(
             "invoice_status", "due_date", F.datediff(day_of(as_of), "due_date").alias("days_overdue"),
         )
     )
-    return _sorted(report, ordered, F.desc("days_overdue"), F.asc("tenant_name"), F.asc("invoice_id"))
+    return _sorted(report, ordered, F.desc_nulls_first("days_overdue"), F.asc_nulls_last("tenant_name"), F.asc_nulls_last("invoice_id"))
 
 
 def _by_month(periods: DataFrame) -> DataFrame:
-    """One row for every month (``_month``) a period touches."""
+    """One row for every month a period touches; ``_month`` is its first instant."""
     first, last = F.date_trunc("month", "period_start"), F.date_trunc("month", "period_end")
-    months = periods.withColumn("_start", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))))
-    return months.withColumn("_month", month_key(F.col("_start"))).drop("_start")
+    return periods.withColumn("_month", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))))
 
 
 def usage_by_cycle(
@@ -325,11 +324,15 @@ def usage_by_cycle(
     ))
     if MONTH in usage.columns:
         # The calendar bounds this side whatever the data; it prunes month folders at run time.
-        months = _by_month(cycles.select("period_start", "period_end")).select("_month").distinct()
-        usage = usage.join(F.broadcast(months), F.col(MONTH) == F.col("_month"), "left_semi")
-    folder = F.col(MONTH) if MONTH in usage.columns else month_key(F.col("recorded_at"))
+        months = _by_month(cycles.select("period_start", "period_end")).select(
+            month_key(F.col("_month")).alias("_folder"),
+        ).distinct()
+        usage = usage.join(F.broadcast(months), F.col(MONTH) == F.col("_folder"), "left_semi")
     calls = (
-        usage.select("tenant_id", "recorded_at", "endpoint", "event_count", folder.alias("_usage_month"))
+        usage.select(
+            "tenant_id", "recorded_at", "endpoint", "event_count",
+            F.date_trunc("month", "recorded_at").alias("_usage_month"),
+        )
         .join(
             slices,
             (F.col("tenant_id") == F.col("_tenant"))

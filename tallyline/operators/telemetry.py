@@ -47,7 +47,7 @@ def statement_top_total(stats: DataFrame, n: int = 10) -> DataFrame:
     """Statements by total time, with their share of the snapshot's total over all statements."""
     nanos = (F.col("total_exec_time").cast("decimal(20,6)") * 1_000_000).cast("decimal(28,0)")
     totals = stats.groupBy(*SNAPSHOT).agg(F.sum(nanos).alias("_all"))
-    top = _top(stats, n, F.desc("total_exec_time"), F.asc("query"))
+    top = _top(stats, n, F.desc_nulls_first("total_exec_time"), F.asc_nulls_last("query"))
     return top.join(totals, SNAPSHOT).select(
         *SNAPSHOT, "rank", "query", "calls", _two_decimals(F.col("total_exec_time")).alias("total_ms"),
         _two_decimals(F.col("mean_exec_time")).alias("mean_ms"), _percent(nanos, F.col("_all")).alias("pct_of_total"),
@@ -56,7 +56,7 @@ def statement_top_total(stats: DataFrame, n: int = 10) -> DataFrame:
 
 def statement_top_mean(stats: DataFrame, n: int = 10, min_calls: int = 50) -> DataFrame:
     """Statements called more than ``min_calls`` times, by mean time."""
-    return _top(stats.where(F.col("calls") > min_calls), n, F.desc("mean_exec_time"), F.asc("query")).select(
+    return _top(stats.where(F.col("calls") > min_calls), n, F.desc_nulls_first("mean_exec_time"), F.asc_nulls_last("query")).select(
         *SNAPSHOT, "rank", "query", "calls", _two_decimals(F.col("mean_exec_time")).alias("mean_ms"),
         _two_decimals(F.col("max_exec_time")).alias("max_ms"),
     )
@@ -67,7 +67,7 @@ def statement_top_spread(stats: DataFrame, n: int = 10, min_calls: int = 10) ->
     spread = stats.where(F.col("calls") > min_calls).withColumn(
         "variance_ms", _two_decimals(F.col("max_exec_time") - F.col("mean_exec_time")),
     )
-    return _top(spread, n, F.desc("variance_ms"), F.asc("query")).select(
+    return _top(spread, n, F.desc_nulls_first("variance_ms"), F.asc_nulls_last("query")).select(
         *SNAPSHOT, "rank", "query", "calls", _two_decimals(F.col("mean_exec_time")).alias("mean_ms"),
         _two_decimals(F.col("max_exec_time")).alias("max_ms"), "variance_ms",
     )
@@ -81,13 +81,18 @@ def read_slow_log(spark: SparkSession, path: str) -> DataFrame:
 def parse_slow_log(lines: DataFrame, threshold_ms: float = SLOW_STATEMENT_MS) -> DataFrame:
     """Duration entries of a server log, one row each, slower than ``threshold_ms``.
 
-    A plain substring test comes first, so the pattern only meets lines that can match.
+    A plain substring test comes first, so the pattern only meets lines that can match, and
+    each of those is matched once: its fields come out joined by a control character.
     """
     names = ["logged_at", "pid", "user", "db", "app", "client", "duration_ms", "statement"]
     kept = [c for c in lines.columns if c != "line"]
-    parsed = lines.where(F.col("line").contains("duration:")).where(F.col("line").rlike(LOG_PREFIX)).select(
-        *kept, *[F.regexp_extract("line", LOG_PREFIX, i + 1).alias(name) for i, name in enumerate(names)],
+    joined = F.regexp_replace("line", LOG_PREFIX, "\x01".join(f"${n}" for n in range(1, len(names) + 1)))
+    fields = (
+        lines.where(F.col("line").contains("duration:"))
+        .select(*kept, F.split(joined, "\x01", len(names)).alias("_fields"))
+        .where(F.size("_fields") == len(names))
     )
+    parsed = fields.select(*kept, *[F.col("_fields")[n].alias(name) for n, name in enumerate(names)])
     typed = parsed.withColumns({
         "logged_at": F.to_timestamp("logged_at", "yyyy-MM-dd HH:mm:ss"),
         "pid": F.col("pid").cast("int"), "duration_ms": F.col("duration_ms").cast("decimal(18,3)"),
@@ -98,7 +103,7 @@ def parse_slow_log(lines: DataFrame, threshold_ms: float = SLOW_STATEMENT_MS) ->
 def slowest_statements(lines: DataFrame, n: int = 20, threshold_ms: float = SLOW_STATEMENT_MS) -> DataFrame:
     """The ``n`` slowest logged statements, by the parsed duration."""
     return parse_slow_log(lines, threshold_ms).orderBy(
-        F.desc("duration_ms"), F.asc("logged_at"), F.asc("pid"), F.asc("statement"),
+        F.desc_nulls_first("duration_ms"), F.asc_nulls_last("logged_at"), F.asc_nulls_last("pid"), F.asc_nulls_last("statement"),
     ).limit(n)
 
 
@@ -122,7 +127,7 @@ def cache_hit_ratio(table_io: DataFrame) -> DataFrame:
 def cache_hit_by_table(table_io: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` tables with most disk reads and their cache ratio."""
     hit, read = F.col("heap_blks_hit"), F.col("heap_blks_read")
-    return _top(table_io, n, F.desc("heap_blks_read"), F.asc("relname")).select(
+    return _top(table_io, n, F.desc_nulls_first("heap_blks_read"), F.asc_nulls_last("relname")).select(
         *SNAPSHOT, "rank", "relname", "heap_blks_hit", "heap_blks_read",
         _percent(hit, hit + read).alias("cache_hit_ratio"),
     )
@@ -143,7 +148,7 @@ def unused_indexes(index_stats: DataFrame, ordered: bool = True) -> DataFrame:
         *SNAPSHOT, F.col("relname").alias("table_name"), F.col("indexrelname").alias("index_name"), "idx_scan",
         "index_bytes",
     )
-    return unused.orderBy(F.desc("index_bytes"), *SNAPSHOT, "table_name", "index_name") if ordered else unused
+    return unused.orderBy(F.desc_nulls_first("index_bytes"), *SNAPSHOT, "table_name", "index_name") if ordered else unused
 
 
 def replication_health(replication: DataFrame) -> DataFrame:
@@ -182,7 +187,7 @@ def idle_in_transaction(sessions: DataFrame, ordered: bool = True) -> DataFrame:
         *SNAPSHOT, "pid", "usename", "application_name", "state",
         (F.unix_micros("snapshot_ts") - F.unix_micros("state_change")).alias("idle_micros"), "query",
     )
-    return idle.orderBy(F.desc("idle_micros"), *SNAPSHOT, "pid") if ordered else idle
+    return idle.orderBy(F.desc_nulls_first("idle_micros"), *SNAPSHOT, "pid") if ordered else idle
 
 
 def pool_pressure(sessions: DataFrame, limit: int = POOL_LIMIT) -> DataFrame:

@@ -30,7 +30,7 @@ _COLUMNS: dict[str, str] = {
         id key!, table_name string!, row_id key!, changed_by string!, old_status string!,
         new_status string!, changed_at timestamp!""",
     "plan_change_events": """
-        id key!, tenant_id key!, subscription_id key!, old_plan_id key!, new_plan_id key!,
+        id string!, tenant_id key!, subscription_id key!, old_plan_id key!, new_plan_id key!,
         effective_at timestamp!, days_remaining int!, days_in_cycle int!, credit_cents int!,
         charge_cents int!, net_cents int!, created_at timestamp!""",
 }

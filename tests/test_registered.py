@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from checks import fixtures as fx
@@ -48,6 +49,40 @@ def test_scans_read_only_what_the_report_needs(spark):
     assert "o_orderpriority" not in orders
 
 
+def test_usage_reads_only_the_months_of_the_cycles(spark):
+    plan = plan_of(QUERIES["usage_by_cycle_months"](spark, SF))
+    assert "dynamicpruning" in plan
+
+
+def test_the_version_feed_is_shuffled_once(spark):
+    plan = plan_of(QUERIES["status_changes_from_feed"](spark, SF))
+    assert "ReusedExchange" in plan
+
+
+def test_a_hot_tenant_changes_nothing_but_the_split(spark):
+    """A third of all invoices on one subscription, join partitions split from 1 KB on."""
+    hot = fx.invoices(spark, SF).withColumn(
+        "subscription_id", F.when(F.col("id") % 3 == 0, 24).otherwise(F.col("subscription_id")),
+    )
+    owners = [fx.tenants(spark, SF), fx.subscriptions(spark, SF), fx.plans(spark)]
+    usual = sorted(map(str, reports.invoice_history(*owners, hot).collect()))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        split = reports.invoice_history(*owners, hot)
+        assert sorted(map(str, split.collect())) == usual
+        assert "skew=true" in plan_of(split)
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+
+
 def test_reports_hold_without_any_broadcast(spark):
     """With broadcasts off, as for dimensions beyond their size bound, results stay the same."""
     names = ["invoices", "subscriptions", "plans", "tenants"]
