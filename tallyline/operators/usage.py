@@ -12,7 +12,7 @@ from tallyline.functions.months import MONTH, month_key, within
 from tallyline.functions.text import normalise_endpoint
 from tallyline.sources.lake import (
     current_version, delete_path, empty_frame, is_complete, mark_complete, month_folders, path_exists,
-    publish_version, read_monthly, write_monthly,
+    publish_version, read_monthly, replace_months, write_monthly,
 )
 from tallyline.sources.schema import schema_of
 
@@ -31,6 +31,17 @@ def meter_hourly(requests: DataFrame) -> DataFrame:
     ).agg(F.count("*").cast("int").alias("event_count"))
 
 
+def with_bucket_id(buckets: DataFrame) -> DataFrame:
+    """Buckets with an ``id`` made from their natural key: the same bucket always gets the same one."""
+    if "id" in buckets.columns:
+        return buckets
+    if isinstance(buckets.schema["tenant_id"].dataType, T.StringType):
+        key = F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in NATURAL_KEY])), 256)
+    else:
+        key = F.xxhash64(*NATURAL_KEY)
+    return buckets.withColumn("id", key)
+
+
 def usage_between(
     usage: DataFrame, start: str | datetime, end: str | datetime, tenant_id: object | None = None,
 ) -> DataFrame:
@@ -55,19 +66,22 @@ def newest_per_bucket(old: DataFrame, batch: DataFrame) -> DataFrame:
 def upsert_usage(spark: SparkSession, path: str, batch: DataFrame, key_type: T.DataType | None = None) -> None:
     """Replace-on-conflict write of ``batch`` into the month-partitioned usage table at ``path``.
 
+    ``batch`` is what ``meter_hourly`` returns, or rows of the usage table.
+
     Only the months present in the batch are rewritten. The merged months are first written
-    in full beside the table and the table is overwritten from that copy, so nothing reads
+    in full beside the table and then take the place of the old folders, so nothing reads
     the folder it replaces. If a run dies half-way, the next call finishes it from the copy
     before it starts its own work. Repeating a batch changes nothing.
     """
     schema = schema_of("api_usage_events", key_type)
-    stage = f"{path.rstrip('/')}.stage"
+    path = path.rstrip("/")
+    stage = f"{path}.stage"
     if is_complete(spark, stage):
-        _apply_stage(spark, stage, path, schema)
+        _apply_stage(spark, stage, path)
     elif path_exists(spark, stage):
         delete_path(spark, stage)
 
-    keyed = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema]).withColumn(
+    keyed = with_bucket_id(batch).select(*[F.col(f.name).cast(f.dataType) for f in schema]).withColumn(
         MONTH, month_key(F.col("recorded_at")),
     )
     # Bounded by the calendar, not by the data: one short text per touched month.
@@ -81,12 +95,11 @@ def upsert_usage(spark: SparkSession, path: str, batch: DataFrame, key_type: T.D
     merged = newest_per_bucket(old, merged)
     write_monthly(merged, "recorded_at", stage)
     mark_complete(spark, stage)
-    _apply_stage(spark, stage, path, schema)
+    _apply_stage(spark, stage, path)
 
 
-def _apply_stage(spark: SparkSession, stage: str, path: str, schema: T.StructType) -> None:
-    if month_folders(spark, stage):
-        write_monthly(read_monthly(spark, stage, schema).drop(MONTH), "recorded_at", path, mode="overwrite")
+def _apply_stage(spark: SparkSession, stage: str, path: str) -> None:
+    replace_months(spark, stage, path)
     delete_path(spark, stage)
 
 

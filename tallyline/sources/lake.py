@@ -46,6 +46,22 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def replace_months(spark: SparkSession, stage: str, path: str) -> None:
+    """Put the staged month folders in the place of those of ``path``: renames, no data read.
+
+    A run that dies in between may simply be repeated: a month still staged is moved
+    again, a month no longer staged is in place.
+    """
+    _, fs = _path(spark, path)
+    for month in month_folders(spark, stage):
+        source, _ = _path(spark, f"{stage}/{MONTH}={month}")
+        target, _ = _path(spark, f"{path}/{MONTH}={month}")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, True)
+        if not fs.rename(source, target):
+            raise RuntimeError(f"could not move {source} to {target}")
+
+
 def mark_complete(spark: SparkSession, path: str) -> None:
     """Leave a marker that everything below ``path`` is written."""
     hadoop, fs = _path(spark, f"{path}/{_COMPLETE}")

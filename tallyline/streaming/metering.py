@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.functions.months import MONTH, month_key
 from tallyline.functions.text import normalise_endpoint
+from tallyline.operators.usage import with_bucket_id
 
 
 def meter_hourly_stream(requests: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -30,7 +31,7 @@ def meter_hourly_stream(requests: DataFrame, delay: str = "1 hour") -> DataFrame
 def land_usage(buckets: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Start appending closed buckets to a month-partitioned folder, each exactly once."""
     return (
-        buckets.withColumn(MONTH, month_key(F.col("recorded_at")))
+        with_bucket_id(buckets).withColumn(MONTH, month_key(F.col("recorded_at")))
         .writeStream.format("parquet")
         .partitionBy(MONTH)
         .option("path", path)

@@ -10,7 +10,7 @@ _AT = datetime(2025, 4, 15)
 
 def test_slow_log(spark):
     lines = spark.createDataFrame([
-        ("2025-04-15 09:14:22 UTC [4821]: user=app_user,db=saas,app=api,client=10.0.1.4 LOG:  duration: 312.441 ms  "
+        ("2025-04-15 09:14:22 UTC [4821]: user=app_user,db=billing,app=api,client=10.0.1.4 LOG:  duration: 312.441 ms  "
          "statement: SELECT * FROM invoices WHERE tenant_id = $1",),
         ("2025-04-15 09:15:00 UTC [7]: user=u,db=d,app=,client=[local] LOG:  duration: 1000.000 ms  statement: SELECT 1",),
         ("2025-04-15 09:16:00 UTC [7]: user=u,db=d,app=a,client=c LOG:  duration: 200.000 ms  statement: SELECT 2",),

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 
 from tallyline import scratch_dir
-from tallyline.operators import reports, usage
+from tallyline.operators import reports, rules, usage
 from tallyline.sources.lake import mark_complete, month_folders, read_monthly, write_monthly
 from tallyline.sources.schema import schema_of
 from tests.seed import frame, seed_tables
@@ -50,6 +50,18 @@ def test_upsert_replaces_counts_and_leaves_other_months(spark):
         ]
 
 
+def test_metered_buckets_can_be_upserted_as_they_are(spark):
+    path = f"{scratch_dir(spark, 'test')}/usage"
+    requests = spark.createDataFrame(
+        [("t1", datetime(2025, 4, 1, 9, minute), "/a") for minute in range(3)],
+        "tenant_id string, requested_at timestamp, url string",
+    )
+    for _ in range(2):
+        usage.upsert_usage(spark, path, usage.meter_hourly(requests))
+    assert stored(spark, path) == [("t1", "2025-04-01 09:00:00", "/a", 3, "2025-04")]
+    assert rules.validate("api_usage_events", read_monthly(spark, path, SCHEMA)).count() == 0
+
+
 def test_upsert_finishes_what_a_lost_run_had_staged(spark):
     path = f"{scratch_dir(spark, 'test')}/usage"
     usage.upsert_usage(spark, path, frame(spark, "api_usage_events", [bucket(1, "t1", "2025-03-01 09:00:00", "/a", 1)]))
