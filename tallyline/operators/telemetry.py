@@ -89,7 +89,8 @@ def parse_slow_log(lines: DataFrame, threshold_ms: float = SLOW_STATEMENT_MS) ->
     joined = F.regexp_replace("line", LOG_PREFIX, "\x01".join(f"${n}" for n in range(1, len(names) + 1)))
     fields = (
         lines.where(F.col("line").contains("duration:"))
-        .select(*kept, F.split(joined, "\x01", len(names)).alias("_fields"))
+        # A one-row generator: filters and fields below see its result and do not match again.
+        .select(*kept, F.explode(F.array(F.split(joined, "\x01", len(names)))).alias("_fields"))
         .where(F.size("_fields") == len(names))
     )
     parsed = fields.select(*kept, *[F.col("_fields")[n].alias(name) for n, name in enumerate(names)])
