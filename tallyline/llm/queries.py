@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import bpe, token_counts
+from tallyline.llm import bpe, fingerprints, html_text, pii, quality, token_counts, toxicity
 from tallyline.llm.common import read
 
 WORD_BPE = tokenizer_path("word_bpe_49k.json")
@@ -21,10 +21,35 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(read(spark, sf_dir, "documents"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_bpe": op4_bpe,
         "op5_token_counts": op5_token_counts,
+        "op6_toxicity": op6_toxicity,
+        "op7_pii": op7_pii,
+        "op8_fingerprints": op8_fingerprints,
+        "op9_html_text": op9_html_text,
+        "op10_quality": op10_quality,
     }
 
 
