@@ -7,12 +7,16 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import bpe, fingerprints, html_text, jaccard_join, pii, quality, token_counts, toxicity
+from tallyline.llm import bpe, fingerprints, html_text, jaccard_join, pii, quality, suffix_dedup, token_counts, toxicity
 from tallyline.llm.common import read
 
 WORD_BPE = tokenizer_path("word_bpe_49k.json")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(read(spark, sf_dir, "documents"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(read(spark, sf_dir, "documents")).drop("row_key")
 
@@ -47,6 +51,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_bpe": op4_bpe,
         "op5_token_counts": op5_token_counts,
