@@ -49,8 +49,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: str) -> np.ndarray:
     """A hash for each word of a lower-cased text, words standing between white space."""
-    raw = np.frombuffer("".join([f"{w} " for w in text.lower().split()]).encode("utf-8", "surrogatepass"), np.uint8)
-    if not len(raw):
+    raw = np.frombuffer((" ".join(text.lower().split()) + " ").encode("utf-8", "surrogatepass"), np.uint8)
+    if len(raw) < 2:
         return np.empty(0, np.uint64)
     begins = np.concatenate([[0], np.flatnonzero(raw[:-1] == 32) + 1])
     place = np.arange(len(raw)) - np.repeat(begins, np.diff(np.append(begins, len(raw))))

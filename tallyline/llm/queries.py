@@ -7,12 +7,16 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import bpe, fingerprints, html_text, jaccard_join, pii, quality, suffix_dedup, token_counts, toxicity
+from tallyline.llm import bpe, decontamination, fingerprints, html_text, jaccard_join, pii, quality, suffix_dedup, token_counts, toxicity
 from tallyline.llm.common import read
 
 WORD_BPE = tokenizer_path("word_bpe_49k.json")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(read(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op2_suffix_dedup": op2_suffix_dedup,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_bpe": op4_bpe,

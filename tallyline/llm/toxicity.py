@@ -221,12 +221,10 @@ def learn(train: DataFrame) -> dict[str, float]:
     return learned
 
 
-def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Toxicity of every whole text: doc_id, held_out, score (0 to 1) and predicted (1 from 0.5).
+def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, float], np.ndarray]:
+    """Weights of words and stems, and coefficients of the clause scores, from labelled rows of ``docs``.
 
-    One row for each row of ``docs``, repeated ids included; null and empty texts get the score of
-    a text without any match. Without usable labels the grammar's own weights are used as they
-    are. Columns other than doc_id and text are ignored.
+    Without usable labels the grammar's own weights are used as they are.
     """
     train = labelled(docs, labels, "toxic", FOLDS, FOLD, sample)
     learned = learn(train)
@@ -237,17 +235,43 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
         return {"label": rows["label"], "m": [m for m, _ in found], "s": [s for _, s in found]}
 
     seen = per_slice(train, "label int, m double, s double", inputs).toPandas()
-    beta = np.array([-3.0, 1.0, 0.0])
-    if seen["label"].nunique() == 2:
-        beta = fit(design(seen["m"].to_numpy(), seen["s"].to_numpy()), seen["label"].to_numpy(float))
+    if seen["label"].nunique() < 2:
+        return learned, np.array([-3.0, 1.0, 0.0])
+    return learned, fit(design(seen["m"].to_numpy(), seen["s"].to_numpy()), seen["label"].to_numpy(float))
+
+
+def probabilities(scorer: Scorer, beta: np.ndarray, texts: list[str]) -> np.ndarray:
+    found = np.array([scorer.inputs(t) for t in texts]).reshape(-1, 2)
+    return 1 / (1 + np.exp(-np.clip(design(found[:, 0], found[:, 1]) @ beta, -30, 30)))
+
+
+def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Toxicity of every whole text: doc_id, held_out, score (0 to 1) and predicted (1 from 0.5).
+
+    One row for each row of ``docs``, repeated ids included; null and empty texts get the score of
+    a text without any match. Columns other than doc_id and text are ignored.
+    """
+    learned, beta = fitted(docs, labels, sample)
 
     def run(slices: Iterator[dict]) -> Iterator[dict]:
         scorer = Scorer(learned)
         for rows in slices:
-            found = np.array([scorer.inputs(t) for t in rows["text"]]).reshape(-1, 2)
-            p = 1 / (1 + np.exp(-np.clip(design(found[:, 0], found[:, 1]) @ beta, -30, 30)))
+            p = probabilities(scorer, beta, rows["text"])
             yield {"doc_id": rows["doc_id"], "held_out": rows["held_out"], "score": p.tolist(), "predicted": (p >= 0.5).astype(int).tolist()}
 
     key = docs.schema["doc_id"].dataType.simpleString()
     rows = texts(docs).select("doc_id", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"), "text")
     return per_partition(rows, f"doc_id {key}, held_out boolean, score double, predicted int", run)
+
+
+def clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose score is below a half; null texts stay."""
+    learned, beta = fitted(docs, labels, sample)
+
+    def run(slices: Iterator[dict]) -> Iterator[dict]:
+        scorer = Scorer(learned)
+        for rows in slices:
+            stays = probabilities(scorer, beta, [t or "" for t in rows["text"]]) < 0.5
+            yield {k: [x for x, s in zip(v, stays, strict=True) if s] for k, v in rows.items()}
+
+    return per_partition(docs, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), run)
