@@ -27,7 +27,7 @@ def broken_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     frames = dict(fx.tables(spark, sf_dir).items())
     extra_plans = fx.catalogue(
-        spark, "(6, 'weekly', -1, 'weekly', 0, TRUE), (7, 'pro', 100, 'monthly', NULL, TRUE)",
+        spark, "(6, 'weekly', -1, 'weekly', 0, TRUE), (7, 'studio', 100, 'monthly', NULL, TRUE)",
     )
     old_sub = (F.col("id") % 2 == 1) & (F.col("tenant_id") % 30 == 0)
     hour = F.hour("recorded_at")

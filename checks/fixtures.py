@@ -14,13 +14,13 @@ from tallyline.sources.schema import Tables, schema_of
 AS_OF = "2024-01-28 00:00:00"
 KEY = T.LongType()
 
-# The plan catalogue (id, name, price in cents, cycle, call limit, on sale).
+# An invented plan catalogue (id, name, price in cents, cycle, call limit, on sale).
 PLANS = """
-    (1, 'free', 0, 'monthly', 1000, TRUE),
-    (2, 'starter', 2900, 'monthly', 10000, TRUE),
-    (3, 'pro', 9900, 'monthly', NULL, TRUE),
-    (4, 'enterprise', 49900, 'annual', NULL, TRUE),
-    (5, 'starter-legacy', 1900, 'monthly', 5000, FALSE)"""
+    (1, 'hobby', 0, 'monthly', 2500, TRUE),
+    (2, 'team', 3750, 'monthly', 18000, TRUE),
+    (3, 'studio', 11250, 'monthly', NULL, TRUE),
+    (4, 'fleet', 71880, 'annual', NULL, TRUE),
+    (5, 'team-2019', 2640, 'monthly', 7500, FALSE)"""
 
 
 _GIVEN = {
@@ -89,12 +89,14 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         plan_id="2", status="'cancelled'", current_period_start="DATE '1995-01-01'",
         current_period_end="DATE '1995-07-01'", cancelled_at="DATE '1995-06-15'", created_at=_CREATED,
     )
-    return current.unionByName(old)
+    # A second trial that looks like the first but for its key, and has no invoices.
+    again = current.where("tenant_id % 24 = 5").withColumn("id", F.col("id") + 1)
+    return current.unionByName(old).unionByName(again)
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _build(
-        given(spark, sf_dir, "orders").where("o_custkey % 8 <> 5"), "invoices", id="o_orderkey", tenant_id="o_custkey",
+        given(spark, sf_dir, "orders"), "invoices", id="o_orderkey", tenant_id="o_custkey",
         subscription_id="CASE WHEN o_custkey % 3 = 0 AND o_orderkey % 2 = 1 THEN 2 * o_custkey + 1 "
                         "ELSE 2 * o_custkey END",
         amount_cents="round(o_totalprice * 100)",

@@ -15,17 +15,18 @@ from checks import fixtures as fx
 from tallyline import scratch_dir
 from tallyline.functions.months import MONTH
 from tallyline.operators import ledger, proration, reports, usage
-from tallyline.sources.lake import read_monthly, read_raw, write_monthly
+from tallyline.sources.lake import delete_path, month_folders, read_monthly, read_raw, write_monthly
 from tallyline.sources.schema import MONTHLY, load, schema_of
 from tallyline.streaming import (
     audit_stream, dedupe_events, land_raw, land_usage, meter_hourly_stream, parse_event, route,
-    run_bounded, run_pipeline, status_changes_stream, to_event,
+    rejected, run_pipeline, status_changes_stream, to_event,
 )
+from tallyline.streaming.landing import land_batch
+from tallyline.streaming.status import with_late_versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _USAGE = ("tenant_id", "recorded_at", "endpoint", "event_count")
-_BOUND = 900
 
 
 def _usage_schema():
@@ -39,7 +40,8 @@ def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     usage.upsert_usage(spark, path, buckets.withColumn("event_count", F.col("event_count") + 1), fx.KEY)
     for _ in range(2):
         usage.upsert_usage(spark, path, buckets.where(F.col("tenant_id") % 2 == 0), fx.KEY)
-    return read_monthly(spark, path, _usage_schema()).select(*_USAGE)
+    usage.vacuum_usage(spark, path)
+    return usage.read_usage(spark, path, fx.KEY).select(*_USAGE)
 
 
 def _refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +53,7 @@ def _refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     usage.refresh_usage_by_cycle(spark, rollup.where(F.col("api_limit").isNull()), path, "v1")
     usage.refresh_usage_by_cycle(spark, rollup, path, "v2")
-    return usage.read_usage_by_cycle(spark, path).select("subscription_id", "endpoint", "total_calls", "calls_remaining")
+    return usage.read_usage_by_cycle(spark, path)
 
 
 def _pruned_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,11 +74,21 @@ def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
             write_monthly(df, MONTHLY[table], f"{root}/{table}")
         else:
             df.write.parquet(f"{root}/{table}")
-    counts = [
-        df.agg(F.lit(table).alias("table_name"), F.count("*").alias("rows"))
-        for table, df in load(spark, root, fx.KEY).items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    day = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit("-"))
+    shown = {
+        "tenants": ["id", "name", "slug"],
+        "plans": ["id", "name", "price_cents", F.coalesce(F.col("api_limit").cast("string"), F.lit("-"))],
+        "users": ["id", "tenant_id", "email", "role"],
+        "subscriptions": ["id", "tenant_id", "plan_id", "status", day("current_period_end"), day("cancelled_at")],
+        "invoices": ["id", "tenant_id", "subscription_id", "amount_cents", "status", day("due_date"), day("paid_at"), day("created_at")],
+        "api_usage_events": ["tenant_id", F.date_format("recorded_at", "yyyy-MM-dd HH"), "endpoint", "event_count"],
+        "billing_audit_log": ["id", "table_name", "row_id", "old_status", "new_status", day("changed_at")],
+        "plan_change_events": ["tenant_id", "subscription_id", "credit_cents", "charge_cents"],
+    }
+    loaded = load(spark, root, fx.KEY)
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(table).alias("table_name"), F.concat_ws("|", *shown[table]).alias("content")) for table, df in loaded.items()
+    ])
 
 
 def _monthly_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,11 +156,36 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     for wave in (log.where(F.col("id") % 3 > 0), log):
         wave.write.mode("append").parquet(f"{root}/log")
         summary = run_pipeline(
-            spark, f"{root}/log", f"{root}/raw", f"{root}/checkpoint", fx.KEY, seconds=_BOUND, max_files=16,
+            spark, f"{root}/log", f"{root}/raw", f"{root}/checkpoint", fx.KEY, seconds=None, max_files=16,
         )
     return summary, f"{root}/raw"
 
 
+def _in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs without any time beyond their first batch, until one has caught up."""
+    root = scratch_dir(spark, "slices")
+    fx.audit_log(spark, sf_dir).repartition(4).write.parquet(f"{root}/log")
+    while True:
+        summary = run_pipeline(spark, f"{root}/log", f"{root}/raw", f"{root}/checkpoint", fx.KEY, seconds=0, max_files=2)
+        if summary.first()["caught_up"]:
+            return read_raw(spark, f"{root}/raw")
+
+
+def _with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which three in seven are spoilt, landed twice; every one is accounted for."""
+    path = f"{scratch_dir(spark, 'rejects')}/raw"
+    k = F.col("key").cast("long") % 7
+    value = (
+        F.when(k == 0, F.lit('{"audit_log_id": ')).when(k == 1, F.regexp_replace("value", '"changed_at":"[^"]*"', '"changed_at":"soon"'))
+        .when(k == 2, F.regexp_replace("value", '"audit_log_id":"[^"]*"', '"audit_log_id":null')).otherwise(F.col("value"))
+    )
+    events = _events(spark, sf_dir).withColumn("value", value)
+    for _ in range(2):
+        land_batch(events, path, "7")
+    landed = read_raw(spark, path).select("topic", F.col("audit_log_id").alias("key"), F.lit("landed").alias("outcome"))
+    return landed.unionByName(rejected(spark, path).select("topic", "key", F.col("reason").alias("outcome")))
+
+
 def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log twice in one stream; the watermark spans its whole time range."""
     root = scratch_dir(spark, "dedupe")
@@ -159,7 +196,7 @@ def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
         events.drop("changed_at").writeStream.format("parquet").option("path", f"{root}/events")
         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     )
-    run_bounded(query, _BOUND)
+    query.awaitTermination()
     return spark.read.schema("topic string, key string, value string").parquet(f"{root}/events")
 
 
@@ -169,26 +206,34 @@ def _landed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx.audit_log(spark, sf_dir).write.parquet(f"{root}/log")
     for run in range(2):
         events = to_event(route(audit_stream(spark, f"{root}/log", fx.KEY)))
-        run_bounded(land_raw(events, f"{root}/raw", f"{root}/checkpoint-{run}"), _BOUND)
+        land_raw(events, f"{root}/raw", f"{root}/checkpoint-{run}").awaitTermination()
     return read_raw(spark, f"{root}/raw").groupBy("topic", "event_date").agg(F.count("*").alias("events"))
 
 
-def _metered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _metered(spark: SparkSession, sf_dir: str) -> str:
+    """The usage table after a stream of all requests: hours it has closed."""
     root = scratch_dir(spark, "metering")
     fx.requests(spark, sf_dir).write.parquet(f"{root}/requests")
     requests = spark.readStream.schema("tenant_id long, requested_at timestamp, url string").parquet(f"{root}/requests")
-    run_bounded(land_usage(meter_hourly_stream(requests), f"{root}/usage", f"{root}/checkpoint"), _BOUND)
-    return spark.read.schema(
-        "tenant_id long, recorded_at timestamp, endpoint string, event_count int, month string",
-    ).parquet(f"{root}/usage").select(*_USAGE)
+    land_usage(meter_hourly_stream(requests), f"{root}/usage", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/usage"
 
 
-def _status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row versions in two waves, so that steps cross the boundary between runs."""
-    root = scratch_dir(spark, "status")
-    feed = fx.version_feed(spark, sf_dir).drop("app_user")
-    steps = None
-    for wave in (feed.where("version_no < 2"), feed.where("version_no = 2")):
+def _metered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return usage.read_usage(spark, _metered(spark, sf_dir), fx.KEY).select(*_USAGE)
+
+
+def _completed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After the stream, the hours from the newest closed one on are metered again from the requests."""
+    path = _metered(spark, sf_dir)
+    newest = usage.read_usage(spark, path, fx.KEY).agg(F.max("recorded_at")).first()[0]
+    usage.remeter(spark, path, fx.requests(spark, sf_dir), newest, key_type=fx.KEY)
+    return usage.read_usage(spark, path, fx.KEY).select(*_USAGE)
+
+
+def _landed_steps(spark: SparkSession, feed: DataFrame, *waves: str) -> DataFrame:
+    root, steps = scratch_dir(spark, "status"), None
+    for wave in map(feed.where, waves):
         wave.write.mode("append").parquet(f"{root}/feed")
         versions = spark.readStream.schema(feed.schema).parquet(f"{root}/feed")
         steps = status_changes_stream(versions)
@@ -196,10 +241,73 @@ def _status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             steps.writeStream.format("parquet").option("path", f"{root}/steps")
             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
         )
-        run_bounded(query, _BOUND)
+        query.awaitTermination()
     return spark.read.schema(steps.schema).parquet(f"{root}/steps")
 
 
+def _status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row versions in two waves, so that steps cross the boundary between runs."""
+    feed = fx.version_feed(spark, sf_dir).drop("app_user")
+    return _landed_steps(spark, feed, "version_no < 2", "version_no = 2").where("NOT late").drop("late")
+
+
+def _late_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest versions of a third of the rows arrive first; their steps are taken again."""
+    feed = fx.version_feed(spark, sf_dir).drop("app_user")
+    steps = _landed_steps(spark, feed, "version_no < 2 AND row_id % 3 > 0 OR version_no = 2 AND row_id % 3 = 0",
+                          "version_no < 2 AND row_id % 3 = 0 OR version_no = 2 AND row_id % 3 > 0")
+    return with_late_versions(steps, feed)
+
+
+def _late_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive, retire what may be, let more rows of the same months arrive, archive again."""
+    root, rows = scratch_dir(spark, "late"), fx.invoices(spark, sf_dir)
+    path, archive, schema = f"{root}/invoices", f"{root}/archive", schema_of("invoices", fx.KEY)
+    for wave in ("id % 6 <> 1", "id % 6 = 1"):
+        write_monthly(rows.where(wave), "created_at", path)
+        report = ledger.archive_months(spark, path, archive, "1997-01-01", "created_at", "amount_cents", schema)
+        for month in [r["month"] for r in report.where("removable").select("month").collect()]:
+            delete_path(spark, f"{path}/{MONTH}={month}")
+    return read_monthly(spark, archive, schema).select("id", "amount_cents", MONTH)
+
+
+def _conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month waits in the quarantine; of every fifth row the table has it, and the quarantine holds another amount."""
+    root, schema = scratch_dir(spark, "conflicts"), schema_of("invoices", fx.KEY)
+    path, quarantine = f"{root}/invoices", f"{root}/invoices_default"
+    rows = fx.invoices(spark, sf_dir).where("date_format(created_at, 'yyyy-MM') = '1996-03'")
+    write_monthly(rows.where("id % 5 = 0"), "created_at", path)
+    write_monthly(rows.withColumn("amount_cents", F.col("amount_cents") + F.when(F.col("id") % 5 == 0, 1).otherwise(0)), "created_at", quarantine)
+    for _ in range(2):
+        ledger.recover_default(spark, path, quarantine, "1996-03", "created_at", schema)
+    held = [(path, "ledger"), (quarantine, "quarantine")]
+    return reduce(DataFrame.unionByName, [
+        read_monthly(spark, p, schema).select("id", "amount_cents", F.lit(place).alias("place")) for p, place in held
+    ])
+
+
+def _month_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges over month folders: an end with an offset and a day without zeros, one whole month, the undeclared months."""
+    path = f"{scratch_dir(spark, 'ranges')}/invoices"
+    write_monthly(fx.invoices(spark, sf_dir), "created_at", path)
+    stored = read_monthly(spark, path, schema_of("invoices", fx.KEY))
+    found = {
+        "offset end": ledger.ledger_between(stored, "1997-1-5", "1997-01-31T23:00:00-05:00"),
+        "one month": ledger.ledger_between(stored, "1996-01-01", "1996-02-01"),
+        "outside": ledger.out_of_range_rows(stored, "created_at", "1993-01", "1997-12"),
+    }
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("range"), "id", MONTH) for name, df in found.items()])
+
+
+def _stored_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage from a listing of folders."""
+    path = f"{scratch_dir(spark, 'coverage')}/invoices"
+    write_monthly(fx.invoices(spark, sf_dir), "created_at", path)
+    stored = read_monthly(spark, path, schema_of("invoices", fx.KEY))
+    return ledger.missing_months({"invoices": (stored, "created_at")}, as_of=fx.AS_OF, since="1990-01",
+                                 stored={"invoices": month_folders(spark, path)})
+
+
 LAKE: dict[str, Query] = {
     "load_tables": _loaded,
     "usage_by_cycle_months": _pruned_cycles,
@@ -212,11 +320,19 @@ LAKE: dict[str, Query] = {
     "write_plan_changes": _recorded_changes,
     "route_events": _route_events,
     "to_event": lambda spark, sf_dir: _events(spark, sf_dir).select("topic", "key", "value"),
-    "parse_event": lambda spark, sf_dir: parse_event(_events(spark, sf_dir)),
+    "parse_event": lambda spark, sf_dir: parse_event(_events(spark, sf_dir)).drop("key", "value", "reason"),
     "land_raw": lambda spark, sf_dir: read_raw(spark, _pipeline(spark, sf_dir)[1]),
     "verify_landing": lambda spark, sf_dir: _pipeline(spark, sf_dir)[0],
     "land_raw_replayed": _landed_twice,
     "dedupe_events": _deduped,
     "meter_hourly_stream": _metered_stream,
     "status_changes_stream": _status_stream,
+    "pipeline_in_slices": _in_slices,
+    "land_raw_rejects": _with_rejects,
+    "archive_late_rows": _late_archive,
+    "recover_default_conflicts": _conflicts,
+    "ranges_by_month": _month_ranges,
+    "missing_months_stored": _stored_coverage,
+    "meter_stream_completed": _completed_stream,
+    "status_changes_late": _late_versions,
 }

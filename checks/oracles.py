@@ -4,9 +4,9 @@ from __future__ import annotations
 
 _FIXTURES = """
 plans(id, name, price_cents, billing_cycle, api_limit, is_active) AS (VALUES
-  (1, 'free', 0, 'monthly', 1000, TRUE), (2, 'starter', 2900, 'monthly', 10000, TRUE),
-  (3, 'pro', 9900, 'monthly', NULL, TRUE), (4, 'enterprise', 49900, 'annual', NULL, TRUE),
-  (5, 'starter-legacy', 1900, 'monthly', 5000, FALSE)),
+  (1, 'hobby', 0, 'monthly', 2500, TRUE), (2, 'team', 3750, 'monthly', 18000, TRUE),
+  (3, 'studio', 11250, 'monthly', NULL, TRUE), (4, 'fleet', 71880, 'annual', NULL, TRUE),
+  (5, 'team-2019', 2640, 'monthly', 7500, FALSE)),
 tenants AS (SELECT c_custkey AS id, c_name AS name, lower(replace(c_name, '#', '-')) AS slug,
   CAST(DATE '1994-01-01' + CAST(c_custkey % 365 AS INTEGER) AS TIMESTAMP) AS created_at,
   CASE WHEN c_custkey % 10 = 9 THEN TIMESTAMP '1999-06-30 17:00:00' END AS deleted_at
@@ -29,7 +29,12 @@ subscriptions AS (
   SELECT 2 * c_custkey + 1, c_custkey, 2, 'cancelled', TIMESTAMP '1995-01-01 00:00:00',
     TIMESTAMP '1995-07-01 00:00:00', TIMESTAMP '1995-06-15 00:00:00',
     CAST(DATE '1994-01-01' + CAST(c_custkey % 365 AS INTEGER) AS TIMESTAMP)
-  FROM customer WHERE c_custkey % 3 = 0),
+  FROM customer WHERE c_custkey % 3 = 0
+  UNION ALL
+  SELECT 2 * c_custkey + 1, c_custkey, 1 + c_custkey % 4, 'trialing', TIMESTAMP '2024-01-01 00:00:00',
+    CAST(DATE '2024-01-25' + CAST(c_custkey % 14 AS INTEGER) AS TIMESTAMP), NULL,
+    CAST(DATE '1994-01-01' + CAST(c_custkey % 365 AS INTEGER) AS TIMESTAMP)
+  FROM customer WHERE c_custkey % 24 = 5),
 invoices AS (SELECT o_orderkey AS id, o_custkey AS tenant_id,
   CASE WHEN o_custkey % 3 = 0 AND o_orderkey % 2 = 1 THEN 2 * o_custkey + 1 ELSE 2 * o_custkey END
     AS subscription_id,
@@ -40,7 +45,7 @@ invoices AS (SELECT o_orderkey AS id, o_custkey AS tenant_id,
   CASE WHEN o_orderstatus = 'F' THEN o_orderdate + to_days(CAST(1 + o_orderkey % 4 AS INTEGER)) END
     AS paid_at,
   o_orderdate AS created_at
-  FROM orders WHERE o_custkey % 8 <> 5),
+  FROM orders),
 requests AS (SELECT user_id AS tenant_id, ts AS requested_at,
   '/api/v1/' || event_type || '?e=' || event_id AS url FROM events),
 buckets AS (SELECT tenant_id, date_trunc('hour', requested_at) AS recorded_at,
@@ -236,7 +241,7 @@ FROM amounts WHERE charge_cents < credit_cents""",
 _BROKEN = """
 b_plans AS (SELECT *, TIMESTAMP '1994-01-01 00:00:00' AS created_at FROM plans
   UNION ALL SELECT 6, 'weekly', -1, 'weekly', 0, TRUE, TIMESTAMP '1994-01-01 00:00:00'
-  UNION ALL SELECT 7, 'pro', 100, 'monthly', NULL, TRUE, TIMESTAMP '1994-01-01 00:00:00'),
+  UNION ALL SELECT 7, 'studio', 100, 'monthly', NULL, TRUE, TIMESTAMP '1994-01-01 00:00:00'),
 b_tenants AS (SELECT id, CASE WHEN id % 50 = 11 THEN NULL ELSE name END AS name,
   CASE id % 50 WHEN 7 THEN upper(slug) WHEN 17 THEN 'same-slug' ELSE slug END AS slug, created_at,
   CASE WHEN id % 50 = 13 THEN created_at - INTERVAL 1 DAY ELSE deleted_at END AS deleted_at FROM tenants),
@@ -422,7 +427,7 @@ WHERE changed_at > TIMESTAMP '1998-01-01 00:00:00' AND table_name IN ('invoices'
 
 RULES = {
     "rule_summary": _summary(*_BROKEN_TABLES),
-    "rule_violations": _violation_list("users", "subscriptions", "invoices", "api_usage_events"),
+    "rule_violations": _violation_list(*_BROKEN_TABLES),
     "ledger_edits": _broken_sql("""
 SELECT o.id, CASE WHEN n.id IS NULL THEN 'removed' ELSE 'changed' END AS edit
 FROM invoices o LEFT JOIN (SELECT * FROM b_invoices WHERE id % 100 <> 50) n ON n.id = o.id
@@ -433,6 +438,15 @@ SELECT s.id AS subscription_id, s.tenant_id, s.plan_id, p.name AS plan_name, s.c
 FROM (SELECT id, tenant_id, plan_id + 1 AS plan_id, created_at FROM subscriptions) s
 JOIN plans p ON p.id = s.plan_id
 WHERE NOT p.is_active AND s.created_at >= TIMESTAMP '1994-06-01 00:00:00'"""),
+    "rollup_violations": _sql(f"""
+SELECT 'usage_by_cycle' AS table_name, 'primary_key' AS rule, subscription_id || '|' || endpoint AS key, CAST(2 AS BIGINT) AS rows
+FROM ({REPORTS['usage_by_cycle']}) WHERE subscription_id % 4 = 0"""),
+    "overlapping_periods": _sql("""
+SELECT tenant_id, subscription_id, period_start, period_end, busy_until
+FROM (SELECT tenant_id, id AS subscription_id, current_period_start AS period_start, current_period_end AS period_end,
+  max(current_period_end) OVER (PARTITION BY tenant_id ORDER BY current_period_start, id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS busy_until FROM subscriptions)
+WHERE busy_until > period_start"""),
 }
 
 LEDGER = {
@@ -623,17 +637,23 @@ _MONTH = "strftime(created_at, '%Y-%m')"
 
 LAKE = {
     "load_tables": """
-SELECT 'tenants' AS table_name, count(*) AS rows FROM tenants UNION ALL SELECT 'plans', count(*) FROM plans
-UNION ALL SELECT 'users', count(*) FROM users UNION ALL SELECT 'subscriptions', count(*) FROM subscriptions
-UNION ALL SELECT 'invoices', count(*) FROM invoices UNION ALL SELECT 'api_usage_events', count(*) FROM usage
-UNION ALL SELECT 'billing_audit_log', count(*) FROM audit_log
-UNION ALL SELECT 'plan_change_events', count(*) FROM amounts""",
+SELECT 'tenants' AS table_name, id || '|' || name || '|' || slug AS content FROM tenants
+UNION ALL SELECT 'plans', id || '|' || name || '|' || price_cents || '|' || coalesce(CAST(api_limit AS VARCHAR), '-') FROM plans
+UNION ALL SELECT 'users', id || '|' || tenant_id || '|' || email || '|' || role FROM users
+UNION ALL SELECT 'subscriptions', id || '|' || tenant_id || '|' || plan_id || '|' || status || '|'
+  || strftime(current_period_end, '%Y-%m-%d') || '|' || coalesce(strftime(cancelled_at, '%Y-%m-%d'), '-') FROM subscriptions
+UNION ALL SELECT 'invoices', id || '|' || tenant_id || '|' || subscription_id || '|' || amount_cents || '|' || status || '|'
+  || strftime(due_date, '%Y-%m-%d') || '|' || coalesce(strftime(paid_at, '%Y-%m-%d'), '-') || '|' || strftime(created_at, '%Y-%m-%d') FROM invoices
+UNION ALL SELECT 'api_usage_events', tenant_id || '|' || strftime(recorded_at, '%Y-%m-%d %H') || '|' || endpoint || '|' || event_count FROM usage
+UNION ALL SELECT 'billing_audit_log', id || '|' || table_name || '|' || row_id || '|' || old_status || '|' || new_status || '|'
+  || strftime(changed_at, '%Y-%m-%d') FROM audit_log
+UNION ALL SELECT 'plan_change_events', tenant_id || '|' || subscription_id || '|' || credit_cents || '|' || charge_cents FROM amounts""",
     "usage_by_cycle_months": REPORTS["usage_by_cycle"],
     "upsert_usage": """
 SELECT tenant_id, recorded_at, endpoint,
   CASE WHEN tenant_id % 2 = 0 THEN event_count ELSE event_count + 1 END AS event_count FROM usage""",
     "refresh_usage_by_cycle": f"""
-SELECT subscription_id, endpoint, total_calls, calls_remaining FROM ({REPORTS['usage_by_cycle']})""",
+{REPORTS['usage_by_cycle']}""",
     "ledger_between_months": f"""
 SELECT id, amount_cents, created_at, {_MONTH} AS month FROM invoices
 WHERE created_at >= TIMESTAMP '1996-02-10 00:00:00' AND created_at < TIMESTAMP '1996-05-01 00:00:00'""",
@@ -655,7 +675,27 @@ SELECT tenant_id, subscription_id, CAST(days_remaining AS INTEGER) AS days_remai
     "to_event": _EVENT,
     "parse_event": _PAYLOAD,
     "land_raw": _PAYLOAD,
-    "verify_landing": f"SELECT count(*) AS events, max({_ISO}) AS newest_changed_at FROM audit_log",
+    "verify_landing": f"SELECT count(*) AS events, max({_ISO}) AS newest_changed_at, TRUE AS caught_up FROM audit_log",
+    "pipeline_in_slices": _PAYLOAD,
+    "land_raw_rejects": f"""
+SELECT {_TOPIC} AS topic, CAST(id AS VARCHAR) AS key, 'landed' AS outcome FROM audit_log WHERE id % 7 > 2
+UNION ALL SELECT {_TOPIC}, CAST(id AS VARCHAR),
+  CASE id % 7 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'no date' ELSE 'no id' END FROM audit_log WHERE id % 7 <= 2""",
+    "archive_late_rows": f"""
+SELECT id, amount_cents, {_MONTH} AS month FROM invoices WHERE created_at < TIMESTAMP '1997-01-01 00:00:00'""",
+    "recover_default_conflicts": f"""
+SELECT id, amount_cents, 'ledger' AS place FROM invoices WHERE {_MONTH} = '1996-03'
+UNION ALL SELECT id, amount_cents + 1, 'quarantine' FROM invoices WHERE {_MONTH} = '1996-03' AND id % 5 = 0""",
+    "ranges_by_month": f"""
+SELECT 'offset end' AS range, id, {_MONTH} AS month FROM invoices
+WHERE created_at >= TIMESTAMP '1997-01-05 00:00:00' AND created_at < TIMESTAMP '1997-02-01 04:00:00'
+UNION ALL SELECT 'one month', id, {_MONTH} FROM invoices WHERE {_MONTH} = '1996-01'
+UNION ALL SELECT 'outside', id, {_MONTH} FROM invoices WHERE {_MONTH} NOT BETWEEN '1993-01' AND '1997-12'""",
+    "missing_months_stored": """
+SELECT 'invoices' AS table_name, strftime(m, '%Y-%m') AS month
+FROM generate_series(TIMESTAMP '1990-01-01 00:00:00', TIMESTAMP '2024-04-01 00:00:00', INTERVAL 1 MONTH) g(m)
+WHERE strftime(m, '%Y-%m') NOT IN (SELECT strftime(created_at, '%Y-%m') FROM invoices)""",
+    "meter_stream_completed": "SELECT tenant_id, recorded_at, endpoint, event_count FROM usage",
     "land_raw_replayed": f"""
 SELECT {_TOPIC} AS topic, strftime(changed_at, '%Y-%m-%d') AS event_date, count(*) AS events
 FROM audit_log GROUP BY 1, 2""",
@@ -667,6 +707,10 @@ WHERE recorded_at + INTERVAL 1 HOUR
     "status_changes_stream": """
 SELECT 'invoices' AS table_name, row_id, old_status, status AS new_status, version_at AS changed_at
 FROM (SELECT *, lag(status) OVER (PARTITION BY row_id ORDER BY version_at, version_no) AS old_status FROM versions)
+WHERE old_status <> status""",
+    "status_changes_late": """
+SELECT 'invoices' AS table_name, row_id, old_status, status AS new_status, version_at AS changed_at
+FROM (SELECT *, lag(status) OVER (PARTITION BY row_id ORDER BY version_at, version_no) AS old_status FROM versions)
 WHERE old_status <> status""",
 }
 

@@ -132,8 +132,16 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = broken_tables(spark, sf_dir)
-    checked = ("users", "subscriptions", "invoices", "api_usage_events")
-    return reduce(DataFrame.unionByName, [rules.validate(name, frames[name], frames) for name in checked])
+    # The id of a change is a digest; what it is made of is easier to state in SQL.
+    named = frames["plan_change_events"].withColumn("id", F.concat_ws("|", "tenant_id", "subscription_id"))
+    frames = {**frames, "plan_change_events": named}
+    return reduce(DataFrame.unionByName, [rules.validate(name, df, frames) for name, df in frames.items()])
+
+
+def _rollup_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup with the rows of every second cycle repeated."""
+    rollup = REPORTS["usage_by_cycle"](spark, sf_dir)
+    return rules.validate("usage_by_cycle", rollup.unionByName(rollup.where("subscription_id % 4 = 0")))
 
 
 def _edits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,6 +159,8 @@ RULES: dict[str, Query] = {
     "rule_violations": _violations,
     "ledger_edits": _edits,
     "retired_plan_subscriptions": _retired,
+    "rollup_violations": _rollup_violations,
+    "overlapping_periods": lambda spark, sf_dir: rules.overlapping_periods(fx.subscriptions(spark, sf_dir)),
 }
 
 

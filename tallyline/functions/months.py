@@ -60,14 +60,16 @@ def day_of(moment: Column | datetime | date | str | None) -> Column:
 def within(df: DataFrame, ts: str, start: str | datetime | None, end: str | datetime | None) -> DataFrame:
     """Rows with ``start <= ts < end``, pruning month folders where the frame has them.
 
-    The engine does not derive a folder filter from a timestamp range, so both are stated.
+    The engine does not derive a folder filter from a timestamp range, so both are stated. The
+    folder bounds come from the same instants as the row bounds, whatever way these are
+    written, and fold to literals. The last folder is that of the last instant before ``end``.
     """
     if start is not None:
         df = df.where(F.col(ts) >= instant(start))
         if MONTH in df.columns:
-            df = df.where(F.col(MONTH) >= month_of(start))
+            df = df.where(F.col(MONTH) >= month_key(instant(start)))
     if end is not None:
         df = df.where(F.col(ts) < instant(end))
         if MONTH in df.columns:
-            df = df.where(F.col(MONTH) <= month_of(end))
+            df = df.where(F.col(MONTH) <= month_key(instant(end) - F.expr("INTERVAL '0.000001' SECOND")))
     return df

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
+from operator import and_
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.functions.months import (
-    MONTH, day_of, instant, month_bounds, month_key, month_of, within,
+from tallyline.functions.months import MONTH, day_of, instant, month_bounds, month_key, within
+from tallyline.sources.lake import (
+    delete_path, empty_frame, is_complete, mark_complete, month_folders, read_monthly, replace_months, write_monthly,
 )
-from tallyline.sources.lake import delete_path, month_folders, read_monthly, write_monthly
 
 
 def ledger_between(df: DataFrame, start: str | datetime, end: str | datetime, ts: str = "created_at") -> DataFrame:
@@ -25,18 +28,24 @@ def out_of_range_rows(df: DataFrame, ts: str, first: str, last: str) -> DataFram
     Healthy is none. Months are contiguous, so this is a range test on the raw timestamp.
     """
     start, end = month_bounds(first)[0], month_bounds(last)[1]
-    return df.where((F.col(ts) < instant(start)) | (F.col(ts) >= instant(end)) | F.col(ts).isNull())
+    outside = df.where((F.col(ts) < instant(start)) | (F.col(ts) >= instant(end)) | F.col(ts).isNull())
+    if MONTH not in df.columns:
+        return outside
+    # The declared months' folders hold none of these rows and need not be opened.
+    return outside.where((F.col(MONTH) < first) | (F.col(MONTH) > last) | F.col(MONTH).isNull())
 
 
 def missing_months(
     facts: dict[str, tuple[DataFrame, str]], as_of: date | datetime | str | None = None, ahead: int = 3,
-    since: str | None = None,
+    since: str | None = None, stored: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """Months without rows from ``since`` (default: this month) to ``ahead`` months from now.
 
-    ``facts`` maps a table name to its frame and timestamp column. Months present are taken
-    from the ``month`` folder where there is one, combined before any shuffle.
+    ``facts`` maps a table name to its frame and timestamp column. ``stored`` may give a table's
+    months instead, as ``month_folders`` lists them; then no data is read. Months of a
+    frame are taken from its ``month`` folder where there is one, combined before any shuffle.
     """
+    stored = stored or {}
     reports = []
     for table, (df, ts) in facts.items():
         current = F.date_trunc("month", day_of(as_of))
@@ -45,6 +54,9 @@ def missing_months(
         wanted = df.sparkSession.range(1).select(
             F.explode(F.sequence(first, until, F.expr("INTERVAL 1 MONTH"))).alias("_start"),
         ).select(F.lit(table).alias("table_name"), month_key(F.col("_start")).alias(MONTH))
+        if table in stored:
+            reports.append(wanted.where(~F.col(MONTH).isin(stored[table])))
+            continue
         present = df.select((F.col(MONTH) if MONTH in df.columns else month_key(F.col(ts))).alias(MONTH)).distinct()
         reports.append(wanted.join(present, MONTH, "left_anti").select("table_name", MONTH))
     result = reports[0]
@@ -62,30 +74,61 @@ def write_declared(
     write_monthly(out_of_range_rows(df, ts, first, last), ts, quarantine, mode)
 
 
+class Recovered(NamedTuple):
+    """What ``recover_default`` did with a month: rows now in the table, rows that had to stay."""
+
+    moved: int
+    conflicts: int
+
+
+def _same_row(left: DataFrame, right: DataFrame, columns: list[str]):
+    """Equality of all columns, NULLs included."""
+    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
 def recover_default(
     spark: SparkSession, path: str, quarantine: str, month: str, ts: str, schema: T.StructType,
-) -> int:
-    """Move one month's rows from the quarantine into the table; returns how many were there.
+) -> Recovered:
+    """Move one month's rows from the quarantine into the table.
 
-    Rows are removed from the quarantine only after the table is seen to hold them all, and
-    rows already moved by an interrupted run are not added twice.
+    A row goes if the table holds the same row, or nothing under its key ``(id, ts)``. A row whose key is
+    taken by a different one, in the table or in the quarantine itself, stays where it is and
+    is counted as a conflict. Nothing leaves the quarantine before the table is seen to
+    hold it, and rows already moved by an interrupted run are not added twice.
     """
+    stage = f"{quarantine.rstrip('/')}.stage"
+    if is_complete(spark, stage):  # a run that died while it put the rest back
+        replace_months(spark, stage, quarantine)
+    delete_path(spark, stage)
     if month not in month_folders(spark, quarantine):
-        return 0
+        return Recovered(0, 0)
     waiting = read_monthly(spark, quarantine, schema).where(F.col(MONTH) == month).drop(MONTH)
-    fresh = waiting
-    if month in month_folders(spark, path):
-        stored = read_monthly(spark, path, schema).where(F.col(MONTH) == month)
-        fresh = waiting.join(stored.select("id", ts), ["id", ts], "left_anti").select(*waiting.columns)
+    columns, key = waiting.columns, ["id", ts]
+
+    def stored() -> DataFrame:
+        if month not in month_folders(spark, path):
+            return empty_frame(spark, waiting.schema)
+        return read_monthly(spark, path, schema).where(F.col(MONTH) == month).drop(MONTH)
+
+    distinct = waiting.distinct()
+    several = distinct.groupBy(*key).count().where("count > 1").select(*[F.col(k).alias(f"_{k}") for k in key])
+    known = stored()
+    taken = [distinct[k].eqNullSafe(known[k]) for k in key]
+    fresh = distinct.join(known, taken, "left_anti")
+    fresh = fresh.join(several, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key], "left_anti").select(*columns)
     write_monthly(fresh, ts, path)
 
-    stored = read_monthly(spark, path, schema).where(F.col(MONTH) == month)
-    lost = waiting.join(stored.select("id", ts), ["id", ts], "left_anti")
-    moved = waiting.count()
-    if not lost.isEmpty():
-        raise RuntimeError(f"rows of {month} did not reach {path}; quarantine left as it is")
-    delete_path(spark, f"{quarantine.rstrip('/')}/{MONTH}={month}")
-    return moved
+    known = stored()
+    left = waiting.join(known, _same_row(waiting, known, columns), "left_anti").select(*columns)
+    conflicts, total = left.count(), waiting.count()
+    if conflicts:
+        write_monthly(left, ts, stage)
+        mark_complete(spark, stage)
+        replace_months(spark, stage, quarantine)
+        delete_path(spark, stage)
+    else:
+        delete_path(spark, f"{quarantine.rstrip('/')}/{MONTH}={month}")
+    return Recovered(total - conflicts, conflicts)
 
 
 def _per_month(df: DataFrame, ts: str, amount: str, side: str) -> DataFrame:
@@ -97,9 +140,10 @@ def _per_month(df: DataFrame, ts: str, amount: str, side: str) -> DataFrame:
 
 def reconcile(source: DataFrame, target: DataFrame, ts: str, amount: str) -> DataFrame:
     """Row count and total per month on both sides, and whether they agree."""
-    both = _per_month(source, ts, amount, "source").join(_per_month(target, ts, amount, "target"), MONTH, "full")
+    left, right = _per_month(source, ts, amount, "source"), _per_month(target, ts, amount, "target")
+    both = left.join(right, left[MONTH].eqNullSafe(right[MONTH]), "full")
     counted = both.select(
-        MONTH, F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
+        F.coalesce(left[MONTH], right[MONTH]).alias(MONTH), F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
         F.coalesce("target_rows", F.lit(0)).alias("target_rows"), "source_total", "target_total",
     )
     return counted.withColumn("matches", (
@@ -123,18 +167,51 @@ def archive_months(
     spark: SparkSession, path: str, archive: str, before: date | datetime | str, ts: str, amount: str,
     schema: T.StructType,
 ) -> DataFrame:
-    """Copy months earlier than ``before`` to the archive and verify the copy.
+    """Add months earlier than ``before`` to the archive and verify the copy.
 
-    ``removable`` is true for a month whose copy agrees. Nothing is deleted here.
+    The archive only grows: a month's new copy is what it held, with rows of the table added, or
+    put in the place of an older state of the same ``(id, ts)``. It is staged, seen to hold all of both, and
+    then swapped in. ``removable`` is true for a month whose every row the archive
+    holds as it is. Nothing is deleted from the table here.
     """
-    table = read_monthly(spark, path, schema)
-    old = table.where(F.col(MONTH) < month_of(before))
-    write_monthly(old.drop(MONTH), ts, archive, mode="overwrite")
-    stored = read_monthly(spark, archive, schema)
-    checked = reconcile(old, stored.where(F.col(MONTH) < month_of(before)), ts, amount)
+    archive = archive.rstrip("/")
+    stage = f"{archive}.stage"
+    if is_complete(spark, stage):  # finish what a lost run had verified
+        replace_months(spark, stage, archive)
+    delete_path(spark, stage)
+
+    limit = month_key(instant(before))
+    old = read_monthly(spark, path, schema).where(F.col(MONTH) < limit)
+    columns = [c for c in old.columns if c != MONTH]
+    # One short text per month, from a listing of folders.
+    months = sorted(set(month_folders(spark, path)) & set(month_folders(spark, archive)))
+
+    def archived(wanted: Column | None = None) -> DataFrame:
+        if not month_folders(spark, archive):
+            return empty_frame(spark, old.schema)
+        return read_monthly(spark, archive, schema).where(F.lit(True) if wanted is None else wanted)
+
+    held = archived((F.col(MONTH) < limit) & F.col(MONTH).isin(months))
+    key = ["id", ts]
+    kept = held.join(old.select(*key), key, "left_anti").select(*columns)
+    write_monthly(kept.unionByName(old.select(*columns)), ts, stage)
+    staged = read_monthly(spark, stage, schema) if month_folders(spark, stage) else empty_frame(spark, old.schema)
+    lost = held.select(*key).join(staged.select(*key), key, "left_anti")
+    missing = old.join(staged, _same_row(old, staged, columns), "left_anti")
+    if not lost.isEmpty() or not missing.isEmpty():
+        raise RuntimeError(f"the new copy below {stage} is not whole; archive left as it is")
+    mark_complete(spark, stage)
+    replace_months(spark, stage, archive)
+    delete_path(spark, stage)
+
+    stored = archived(F.col(MONTH) < limit)
+    absent = (old.join(stored, _same_row(old, stored, columns), "left_anti")
+              .groupBy(F.col(MONTH).alias("_month")).agg(F.count("*").alias("_absent")))
     # Months archived and removed earlier are in the archive only; they are not up for a decision.
-    checked = checked.where(F.col("source_rows") > 0)
-    return checked.withColumnsRenamed({
-        "source_rows": "rows", "target_rows": "archived_rows", "source_total": "total",
-        "target_total": "archived_total", "matches": "removable",
-    })
+    checked = reconcile(old, stored, ts, amount).where(F.col("source_rows") > 0)
+    checked = checked.join(absent, F.col(MONTH).eqNullSafe(F.col("_month")), "left")
+    return checked.select(
+        MONTH, F.col("source_rows").alias("rows"), F.col("target_rows").alias("archived_rows"),
+        F.col("source_total").alias("total"), F.col("target_total").alias("archived_total"),
+        (F.coalesce("_absent", F.lit(0)) == 0).alias("removable"),
+    )

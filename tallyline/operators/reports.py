@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.money import dollars, mrr_dollars, percent_of
 from tallyline.functions.months import MONTH, day_of, instant, month_bounds, month_key, within
-from tallyline.plans.joins import broadcast_if_small, split_outer_join
+from tallyline.plans.joins import split_outer_join
 
 CURRENT_STATUSES = ("active", "trialing")
 METERED_STATUSES = ("active", "trialing", "past_due")
@@ -255,10 +255,13 @@ def invoice_history(
         F.col("created_at").alias("invoice_created_at"),
     )
     subscribed = enrolled.join(owners, F.col("_owner") == F.col("tenant_id"))
-    if tenant_id is not None:
-        # One tenant's subscriptions are few unless counted otherwise; the ledger then stays where it is.
-        subscribed = broadcast_if_small(subscribed)
-    with_invoices = split_outer_join(subscribed, billed, "subscription_id", "_billed")
+    if tenant_id is None:
+        with_invoices = split_outer_join(subscribed, billed, "subscription_id", "_billed")
+    else:
+        # The ledger is read once, down to what these subscriptions were billed; the outer join is between the rest.
+        wanted = subscribed.select(F.col("subscription_id").alias("_wanted"))
+        billed = billed.join(wanted, F.col("_billed") == F.col("_wanted"), "left_semi")
+        with_invoices = subscribed.join(billed, F.col("subscription_id") == F.col("_billed"), "left")
     subscribers = enrolled.select("_owner").distinct()
     without_subscription = owners.join(subscribers, F.col("_owner") == F.col("tenant_id"), "left_anti")
     report = (
@@ -294,10 +297,17 @@ def outstanding_invoices(
     return _sorted(report, ordered, F.desc_nulls_first("days_overdue"), F.asc_nulls_last("tenant_name"), F.asc_nulls_last("invoice_id"))
 
 
-def _by_month(periods: DataFrame) -> DataFrame:
-    """One row for every month a period touches; ``_month`` is its first instant."""
-    first, last = F.date_trunc("month", "period_start"), F.date_trunc("month", "period_end")
-    return periods.withColumn("_month", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))))
+def _by_month(periods: DataFrame, usage: DataFrame) -> DataFrame:
+    """One row for every month a period touches and usage reaches; ``_month`` is its first instant.
+
+    A period may be open-ended; the months to look at are those between the first and the last usage.
+    """
+    month = F.to_timestamp(F.concat(MONTH, F.lit("-01"))) if MONTH in usage.columns else F.date_trunc("month", "recorded_at")
+    low, high = usage.select(F.min(month)).scalar(), usage.select(F.max(month)).scalar()
+    first, last = F.greatest(F.date_trunc("month", "period_start"), low), F.least(F.date_trunc("month", "period_end"), high)
+    clamped = periods.withColumn("_first", first).withColumn("_last", last).where(low.isNotNull() & (F.col("_first") <= F.col("_last")))
+    months = F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 MONTH")))
+    return clamped.withColumn("_month", months).drop("_first", "_last")
 
 
 def usage_by_cycle(
@@ -321,10 +331,10 @@ def usage_by_cycle(
     )
     slices = _by_month(cycles.select(
         F.col("tenant_id").alias("_tenant"), "subscription_id", "period_start", "period_end",
-    ))
+    ), usage)
     if MONTH in usage.columns:
         # The calendar bounds this side whatever the data; it prunes month folders at run time.
-        months = _by_month(cycles.select("period_start", "period_end")).select(
+        months = _by_month(cycles.select("period_start", "period_end"), usage).select(
             month_key(F.col("_month")).alias("_folder"),
         ).distinct()
         usage = usage.join(F.broadcast(months), F.col(MONTH) == F.col("_folder"), "left_semi")

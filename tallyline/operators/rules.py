@@ -1,8 +1,8 @@
 """Data rules as data, checked over whole tables.
 
-Row rules of a table share one scan. Key rules are one grouped count each and reference
-rules look up only the distinct referring keys; both combine before they shuffle, so a
-value that fills half a table costs no more than any other. A test that is NULL passes,
+Row rules of a table share one scan. Its key and reference rules share another: all key tuples go
+into one grouped count, and only distinct referring keys are looked up. Counts combine before they
+shuffle, so a value that fills half a table costs no more than any other. A test that is NULL passes,
 and keys with a NULL part are neither duplicates nor dangling.
 """
 
@@ -13,7 +13,7 @@ from datetime import datetime
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.months import instant
@@ -42,7 +42,8 @@ class ReferenceRule(NamedTuple):
 
 # The rules and the texts and words they allow.
 ROW_RULES = [
-    RowRule("tenants", "slug_format", r"slug RLIKE r'^[a-z0-9]+(-[a-z0-9]+)*\z'"),
+    # Words of small letters and digits between single hyphens; written so that no length makes the matcher recurse.
+    RowRule("tenants", "slug_format", r"slug <> '' AND NOT slug RLIKE r'[^a-z0-9-]|--|^-|-\z'"),
     RowRule("tenants", "deleted_after_created", "deleted_at IS NULL OR deleted_at > created_at"),
     RowRule("plans", "price_not_negative", "price_cents >= 0"),
     RowRule("plans", "billing_cycle_known", "billing_cycle IN ('monthly', 'annual')"),
@@ -122,35 +123,23 @@ def _key_text(columns: Iterable[str]) -> Column:
     return F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
 
 
-def _repeated(df: DataFrame, rule: KeyRule, ignore_case: bool) -> DataFrame:
-    rows = df if rule.where is None else df.where(rule.where)
-    columns = list(rule.columns)
-    if ignore_case:
-        rows = rows.withColumn(columns[-1], F.lower(columns[-1]))
-    return (
-        rows.dropna(subset=columns).groupBy(*columns).agg(F.count("*").alias("rows"))
-        .where(F.col("rows") > 1)
-        .select(F.lit(rule.name).alias("rule"), _key_text(columns).alias("key"), "rows")
-    )
-
-
-def _dangling(df: DataFrame, rules: list[ReferenceRule], refs: Mapping[str, DataFrame]) -> DataFrame:
-    """Keys that point nowhere, for all references of a table in one scan of it."""
-    pointers = F.array(*[
-        F.struct(
-            F.lit(r.name).alias("rule"), F.lit(r.target).alias("_target"), F.col(r.column).cast("string").alias("key"),
-        )
-        for r in rules
-    ])
-    used = (
-        df.select(F.inline(pointers)).where(F.col("key").isNotNull())
-        .groupBy("rule", "_target", "key").agg(F.count("*").alias("rows"))
-    )
-    known = reduce(DataFrame.unionByName, [
-        refs[target].select(F.lit(target).alias("_target"), F.col("id").cast("string").alias("key"))
-        for target in sorted({r.target for r in rules})
-    ])
-    return used.join(known, ["_target", "key"], "left_anti").select("rule", "key", "rows")
+def _tuples(table: str, rules: list[KeyRule], references: list[ReferenceRule], ignore_case: bool) -> Column:
+    """What a row contributes to the key and reference rules of its table: (rule, target, key) each."""
+    made = []
+    for r in rules:
+        parts = [F.col(c).cast("string") for c in r.columns]
+        if ignore_case and r.name == "name_unique":
+            parts[-1] = F.lower(parts[-1])
+        counted = reduce(lambda x, y: x & y, [p.isNotNull() for p in parts])
+        if r.where is not None:
+            counted = counted & F.expr(r.where)
+        entry = F.struct(F.lit(r.name).alias("rule"), F.lit(None).cast("string").alias("_target"), F.array(*parts).alias("_key"))
+        made.append(F.when(counted, entry))
+    for r in references:
+        key = F.col(r.column).cast("string")
+        entry = F.struct(F.lit(r.name).alias("rule"), F.lit(r.target).alias("_target"), F.array(key).alias("_key"))
+        made.append(F.when(key.isNotNull(), entry))
+    return F.array_compact(F.array(*made))
 
 
 def _failing_rows(df: DataFrame, table: str, rules: list[RowRule]) -> DataFrame:
@@ -163,15 +152,23 @@ def _failing_rows(df: DataFrame, table: str, rules: list[RowRule]) -> DataFrame:
 
 def _set_rules(
     table: str, df: DataFrame, refs: Mapping[str, DataFrame], ignore_case: bool,
-) -> list[tuple[list[str], DataFrame]]:
-    """Violations of the key and reference rules, with the names of the rules each frame covers."""
-    found = [
-        ([r.name], _repeated(df, r, ignore_case and r.name == "name_unique")) for r in _of(KEY_RULES, table)
-    ]
-    references = [r for r in _of(REFERENCE_RULES, table) if r.target in refs]
-    if references:
-        found.append(([r.name for r in references], _dangling(df, references, refs)))
-    return found
+) -> tuple[list[str], DataFrame]:
+    """Names of the key and reference rules of a table, and their violations: repeated keys, keys that point nowhere."""
+    keys, references = _of(KEY_RULES, table), [r for r in _of(REFERENCE_RULES, table) if r.target in refs]
+    counted = df.select(F.inline(_tuples(table, keys, references, ignore_case))).groupBy("rule", "_target", "_key").agg(
+        F.count("*").alias("rows"))
+    names = [r.name for r in [*keys, *references]]
+    if not references:
+        found = counted.where(F.col("rows") > 1)
+    else:
+        known = reduce(DataFrame.unionByName, [
+            refs[target].select(F.lit(target).alias("_in"), F.array(F.col("id").cast("string")).alias("_id"))
+            for target in sorted({r.target for r in references})
+        ]).distinct()
+        at = (F.col("_target") == F.col("_in")) & (F.col("_key") == F.col("_id"))
+        found = counted.join(known, at, "left").where(
+            F.when(F.col("_target").isNull(), F.col("rows") > 1).otherwise(F.col("_in").isNull()))
+    return names, found.select("rule", F.concat_ws("|", "_key").alias("key"), "rows")
 
 
 def validate(
@@ -183,7 +180,7 @@ def validate(
     dangling one, each with its number of rows. Reference rules run for the tables in
     ``refs``. Plan names are compared as written; ``ignore_name_case`` compares them lowered.
     """
-    parts = [part for _, part in _set_rules(table, df, refs or {}, ignore_name_case)]
+    parts = [_set_rules(table, df, refs or {}, ignore_name_case)[1]]
     if rules := _of(ROW_RULES, table):
         parts.insert(0, _failing_rows(df, table, rules))
     return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "rule", "key", "rows")
@@ -203,10 +200,10 @@ def table_summary(
             F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("violations")) for r in rules
         ])
         parts.append(counts.select(F.inline(pairs)))
-    for names, violations in _set_rules(table, df, refs or {}, ignore_name_case):
-        counts = violations.agg(*[F.count_if(F.col("rule") == name).alias(name) for name in names])
-        pairs = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in names])
-        parts.append(counts.select(F.inline(pairs)))
+    names, violations = _set_rules(table, df, refs or {}, ignore_name_case)
+    counts = violations.agg(*[F.count_if(F.col("rule") == name).alias(name) for name in names])
+    pairs = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in names])
+    parts.append(counts.select(F.inline(pairs)))
     return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "rule", "violations")
 
 
@@ -235,3 +232,17 @@ def retired_plan_subscriptions(
     return subscriptions.where(F.col("created_at") >= instant(since)).join(retired, "plan_id").select(
         F.col("id").alias("subscription_id"), "tenant_id", "plan_id", "plan_name", "created_at",
     )
+
+
+def overlapping_periods(subscriptions: DataFrame) -> DataFrame:
+    """Subscriptions whose period begins before an earlier one of their tenant has ended; such cycles count usage twice.
+
+    ``tenant_id, subscription_id, period_start, period_end, busy_until``: the latest end among
+    the tenant's periods that began before. Of equal beginnings the lesser id is the earlier one.
+    """
+    w = Window.partitionBy("tenant_id").orderBy("period_start", "subscription_id").rowsBetween(Window.unboundedPreceding, -1)
+    periods = subscriptions.select(
+        "tenant_id", F.col("id").alias("subscription_id"), F.col("current_period_start").alias("period_start"),
+        F.col("current_period_end").alias("period_end"),
+    ).where(F.col("period_end") > F.col("period_start"))
+    return periods.withColumn("busy_until", F.max("period_end").over(w)).where(F.col("busy_until") > F.col("period_start"))

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.functions.months import MONTH, month_key, within
 from tallyline.functions.text import normalise_endpoint
 from tallyline.sources.lake import (
-    current_version, delete_path, empty_frame, is_complete, mark_complete, month_folders, path_exists,
-    publish_version, read_monthly, replace_months, write_monthly,
+    current_version, delete_path, empty_frame, list_folders, path_exists, publish_version, read_text, write_text,
 )
 from tallyline.sources.schema import schema_of
 
+DAY = "day"
 NATURAL_KEY = ["tenant_id", "recorded_at", "endpoint"]
 
 
@@ -63,54 +65,105 @@ def newest_per_bucket(old: DataFrame, batch: DataFrame) -> DataFrame:
     return ranked.groupBy(*NATURAL_KEY).agg(newest.alias("_row")).select(*NATURAL_KEY, "_row.*")
 
 
-def upsert_usage(spark: SparkSession, path: str, batch: DataFrame, key_type: T.DataType | None = None) -> None:
-    """Replace-on-conflict write of ``batch`` into the month-partitioned usage table at ``path``.
+def _folders(spark: SparkSession, path: str) -> dict[str, str]:
+    """The folder of each day that readers see, as the published manifest lists them."""
+    current = current_version(spark, path)
+    return {} if current is None else json.loads(read_text(spark, current))
+
+
+def _read_days(spark: SparkSession, path: str, folders: list[str], schema: T.StructType) -> DataFrame:
+    if not folders:
+        return empty_frame(spark, T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())]))
+    stored = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in (MONTH, DAY, "version")]])
+    files = spark.read.schema(stored).option("basePath", f"{path}/data").parquet(*[f"{path}/data/{f}" for f in folders])
+    return files.drop(DAY, "version")
 
-    ``batch`` is what ``meter_hourly`` returns, or rows of the usage table.
 
-    Only the months present in the batch are rewritten. The merged months are first written
-    in full beside the table and then take the place of the old folders, so nothing reads
-    the folder it replaces. If a run dies half-way, the next call finishes it from the copy
-    before it starts its own work. Repeating a batch changes nothing.
+def read_usage(spark: SparkSession, path: str, key_type: T.DataType | None = None) -> DataFrame:
+    """The usage table that ``upsert_usage`` and ``land_usage`` keep, with its ``month`` folder.
+
+    A reader sees the table as it was published when the frame was made, whatever is written meanwhile.
     """
-    schema = schema_of("api_usage_events", key_type)
     path = path.rstrip("/")
-    stage = f"{path}.stage"
-    if is_complete(spark, stage):
-        _apply_stage(spark, stage, path)
-    elif path_exists(spark, stage):
-        delete_path(spark, stage)
-
-    keyed = with_bucket_id(batch).select(*[F.col(f.name).cast(f.dataType) for f in schema]).withColumn(
-        MONTH, month_key(F.col("recorded_at")),
-    )
-    # Bounded by the calendar, not by the data: one short text per touched month.
-    touched = [r[MONTH] for r in keyed.select(MONTH).distinct().collect()]
-    known = set(month_folders(spark, path))
-    merged = keyed.drop(MONTH)
-    if known & set(touched):
-        old = read_monthly(spark, path, schema).where(F.col(MONTH).isin(*touched))
-    else:
-        old = empty_frame(spark, schema)
-    merged = newest_per_bucket(old, merged)
-    write_monthly(merged, "recorded_at", stage)
-    mark_complete(spark, stage)
-    _apply_stage(spark, stage, path)
+    return _read_days(spark, path, sorted(_folders(spark, path).values()), schema_of("api_usage_events", key_type))
+
 
+def upsert_usage(spark: SparkSession, path: str, batch: DataFrame, key_type: T.DataType | None = None) -> None:
+    """Replace-on-conflict write of ``batch`` into the usage table at ``path``.
 
-def _apply_stage(spark: SparkSession, stage: str, path: str) -> None:
-    replace_months(spark, stage, path)
+    ``batch`` is what ``meter_hourly`` returns, or rows of the usage table. It is evaluated once,
+    staged by day. Only the days it touches are merged, into new folders; a manifest that names a
+    folder for every day is then published in one rename. Readers therefore never meet a
+    day half replaced, a run that dies publishes nothing, and repeating a batch changes nothing.
+    ``vacuum_usage`` removes folders no longer named.
+    """
+    schema, path = schema_of("api_usage_events", key_type), path.rstrip("/")
+    version, stage = uuid.uuid4().hex, f"{path}/stage-{uuid.uuid4().hex}"
+    rows = with_bucket_id(batch).select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    rows.withColumn(DAY, _day()).write.partitionBy(DAY).parquet(stage)
+    # Bounded by the calendar, not by the data: one short text per touched day.
+    touched = [name.split("=", 1)[1] for name in list_folders(spark, stage, f"{DAY}=")]
+    if touched:
+        folders = _folders(spark, path)
+        old = _read_days(spark, path, [folders[d] for d in touched if d in folders], schema)
+        merged = newest_per_bucket(old, spark.read.schema(schema).parquet(stage).drop(DAY))
+        (
+            merged.withColumn(MONTH, month_key(F.col("recorded_at"))).withColumn(DAY, _day()).withColumn("version", F.lit(version))
+            .hint("rebalance", F.col(DAY)).sortWithinPartitions(DAY, "tenant_id", "recorded_at")
+            .write.mode("append").partitionBy(MONTH, DAY, "version").parquet(f"{path}/data")
+        )
+        folders |= {d: f"{MONTH}={d[:7]}/{DAY}={d}/version={version}" for d in touched}
+        manifest = f"manifest-{version}.json"
+        write_text(spark, f"{path}/{manifest}", json.dumps(folders, sort_keys=True))
+        publish_version(spark, path, manifest)
     delete_path(spark, stage)
 
 
+def _day() -> Column:
+    return F.date_format("recorded_at", "yyyy-MM-dd")
+
+
+def remeter(
+    spark: SparkSession, path: str, requests: DataFrame, start: str | datetime, end: str | datetime | None = None,
+    key_type: T.DataType | None = None,
+) -> None:
+    """Meter the hours of ``[start, end)`` again from the raw requests and put them in the table.
+
+    For hours a stream left open or closed before their last request came. Both bounds must be
+    whole hours, since an hour's count is replaced.
+    """
+    upsert_usage(spark, path, meter_hourly(within(requests, "requested_at", start, end)), key_type)
+
+
+def vacuum_usage(spark: SparkSession, path: str) -> int:
+    """Delete folders and manifests that are not published; returns how many folders went.
+
+    Not to be run while somebody reads an older state or writes a new one.
+    """
+    path = path.rstrip("/")
+    named, gone = set(_folders(spark, path).values()), 0
+    for month in list_folders(spark, f"{path}/data", f"{MONTH}="):
+        for day in list_folders(spark, f"{path}/data/{month}", f"{DAY}="):
+            for version in list_folders(spark, f"{path}/data/{month}/{day}", "version="):
+                if f"{month}/{day}/{version}" not in named:
+                    delete_path(spark, f"{path}/data/{month}/{day}/{version}")
+                    gone += 1
+    for stage in list_folders(spark, path, "stage-"):
+        delete_path(spark, f"{path}/{stage}")
+    return gone
+
+
 def refresh_usage_by_cycle(spark: SparkSession, rollup: DataFrame, path: str, version: str) -> str:
     """Write ``rollup`` as a new version below ``path`` and point readers at it.
 
     Readers keep the previous version until the pointer moves, and it moves only if the
-    stored copy is unique on (subscription, endpoint). Returns the new version's path.
+    stored copy is unique on (subscription, endpoint). A version that exists is never written again;
+    that of a refused or lost refresh stays unpublished. Returns the new version's path.
     """
     target = f"{path.rstrip('/')}/{version}"
-    rollup.write.mode("overwrite").parquet(target)
+    if path_exists(spark, target):
+        raise ValueError(f"rollup version {version} exists; versions are written once")
+    rollup.write.parquet(target)
     repeated = (
         spark.read.parquet(target).groupBy("subscription_id", "endpoint").count().where("count > 1")
     )

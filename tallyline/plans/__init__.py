@@ -1,6 +1,6 @@
 """Plan shapes shared by the operators: joins and windows that stay safe under skew."""
 
-from tallyline.plans.joins import broadcast_if_small, split_outer_join
+from tallyline.plans.joins import split_outer_join
 from tallyline.plans.windows import with_previous
 
-__all__ = ["broadcast_if_small", "split_outer_join", "with_previous"]
+__all__ = ["split_outer_join", "with_previous"]

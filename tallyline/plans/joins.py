@@ -5,18 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting that it has at most ``max_rows`` rows.
-
-    The count stops at ``max_rows + 1``. A larger frame comes back unmarked, so the join
-    falls to a shuffle join that AQE may still split.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def split_outer_join(base: DataFrame, facts: DataFrame, base_key: str, fact_key: str) -> DataFrame:
     """``base LEFT JOIN facts`` for a small side with unique keys kept and a large side looked up.
 

@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Listing thousands of day folders as one task each costs more than the listing.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
+    # State of streams lies on disk, not in executor heaps.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Only settable before the session starts.
@@ -27,11 +30,6 @@ START_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-STATE_STORE_CONF = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-}
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""

@@ -11,7 +11,6 @@ from tallyline.sources.schema import EVENT_SCHEMA
 
 _POINTER = "CURRENT"
 _COMPLETE = "_COMPLETE"
-_FEW_DAYS = 64
 
 
 def _path(spark: SparkSession, path: str):
@@ -109,35 +108,38 @@ def read_monthly(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(declared.add(MONTH, T.StringType())).parquet(path)
 
 
-def read_raw(spark: SparkSession, path: str, dates: list[str] | None = None) -> DataFrame:
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """The raw landing as a typed table: the seven payload fields, ``topic`` and ``event_date``.
 
-    With ``dates`` only those days are read. For a few days just their folders are looked
-    up; the cost of listing the rest of the landing is not paid.
+    Both are folders; a filter on them leaves the other folders' files unread.
     """
     folders = [T.StructField(name, T.StringType()) for name in ("topic", "event_date")]
     schema = T.StructType([*EVENT_SCHEMA.fields, *folders])
-    reader = spark.read.schema(schema)
-    if dates is not None and len(dates) <= _FEW_DAYS:
-        days = [
-            f"{path}/{topic}/event_date={day}" for topic in list_folders(spark, path, "topic=") for day in dates
-        ]
-        days = [day for day in days if path_exists(spark, day)]
-        return reader.option("basePath", path).json(days) if days else empty_frame(spark, schema)
-    if not path_exists(spark, path):
-        return empty_frame(spark, schema)
-    landed = reader.json(path)
-    return landed if dates is None else landed.where(F.col("event_date").isin(*dates))
+    return spark.read.schema(schema).json(path) if path_exists(spark, path) else empty_frame(spark, schema)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    hadoop, fs = _path(spark, path)
+    out = fs.create(hadoop, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    hadoop, fs = _path(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def publish_version(spark: SparkSession, root: str, version: str) -> None:
     """Point readers at ``root/version``. The pointer is replaced in one rename."""
     jvm = spark._jvm
-    target, fs = _path(spark, f"{root}/{_POINTER}")
+    target, _ = _path(spark, f"{root}/{_POINTER}")
+    write_text(spark, f"{root}/.{_POINTER}.{version}", version)
     draft = jvm.org.apache.hadoop.fs.Path(f"{root}/.{_POINTER}.{version}")
-    out = fs.create(draft, True)
-    out.write(bytearray(version, "utf-8"))
-    out.close()
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
@@ -146,12 +148,5 @@ def publish_version(spark: SparkSession, root: str, version: str) -> None:
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     """Path of the version readers should use, or None before the first one."""
-    pointer, fs = _path(spark, f"{root}/{_POINTER}")
-    if not fs.exists(pointer):
-        return None
-    stream = fs.open(pointer)
-    try:
-        version = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return f"{root}/{version}"
+    pointer = f"{root}/{_POINTER}"
+    return f"{root}/{read_text(spark, pointer)}" if path_exists(spark, pointer) else None

@@ -43,14 +43,22 @@ def to_event(routed: DataFrame) -> DataFrame:
 
 
 def parse_event(events: DataFrame) -> DataFrame:
-    """Events as ``topic``, the payload's fields and ``event_date``. Malformed JSON stops the job.
+    """Events as ``topic``, the payload's fields, ``event_date``, and ``key``, ``value`` and ``reason``.
 
-    The date is the first ten characters of the text, in the writer's zone as written.
+    The date is the first ten characters of the text, in the writer's zone as written. ``reason``
+    says why an event cannot be used: no JSON object, no id, or no date that exists. It is NULL for
+    all others. A bad event never stops its batch.
     """
-    payload = F.from_json("value", EVENT_SCHEMA, {"mode": "FAILFAST"})
-    return (
-        events.select("topic", payload.alias("_payload")).select("topic", "_payload.*")
-        .withColumn("event_date", F.substring("changed_at", 1, 10))
+    payload = F.from_json("value", EVENT_SCHEMA, {"mode": "PERMISSIVE"})
+    day = F.substring("_payload.changed_at", 1, 10)
+    dated = day.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_date(day, "yyyy-MM-dd").isNotNull()
+    nothing = F.coalesce(*[F.col(f"_payload.{f.name}").cast("string") for f in EVENT_SCHEMA]).isNull()
+    reason = (
+        F.when(nothing, "unreadable").when(F.col("_payload.audit_log_id").isNull(), "no id")
+        .when(~F.coalesce(dated, F.lit(False)), "no date")
+    )
+    return events.select("topic", "key", "value", payload.alias("_payload")).select(
+        "topic", "_payload.*", day.alias("event_date"), "key", "value", reason.alias("reason"),
     )
 
 

@@ -3,78 +3,130 @@
 from __future__ import annotations
 
 import logging
+import time
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.sources.lake import read_raw
+from tallyline.sources.lake import delete_path, path_exists, read_raw, write_text
 from tallyline.streaming.events import parse_event
 
 log = logging.getLogger(__name__)
 
 FOLDERS = ["topic", "event_date"]
 IDENTITY = [*FOLDERS, "audit_log_id"]
-EVENTS_PER_FILE = 1_000_000
 
 
-def _spread(events: DataFrame, per_folder: list[Row]) -> DataFrame:
-    """One task per folder, several for a folder with more than ``EVENTS_PER_FILE`` events."""
-    spark = events.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = [(*r[:2], -(-r["count"] // EVENTS_PER_FILE)) for r in per_folder if r["count"] > EVENTS_PER_FILE]
-    if not hot:
-        return events.repartition(tasks, *FOLDERS)
-    # As few rows as there are days in the batch, so safe to broadcast.
-    files = F.broadcast(spark.createDataFrame(hot, "topic string, event_date string, _files long"))
-    salt = F.pmod(F.xxhash64("audit_log_id"), F.coalesce("_files", F.lit(1)))
-    return (
-        events.join(files, FOLDERS, "left").withColumn("_salt", salt)
-        .repartition(tasks, *FOLDERS, "_salt").drop("_files", "_salt")
-    )
+class Drain:
+    """The time a run may take. It ends between batches, never inside one, and never before the first."""
+
+    def __init__(self, seconds: float | None = None) -> None:
+        self.seconds, self.begun, self.batches, self.paused = seconds, time.monotonic(), 0, False
+
+    def over(self) -> bool:
+        self.paused = self.seconds is not None and self.batches > 0 and time.monotonic() - self.begun > self.seconds
+        return self.paused
+
+
+class _Paused(Exception):
+    """Raised before a batch is begun; the next run begins with it."""
+
+
+def _ids(path: str) -> str:
+    return f"{path.rstrip('/')}.ids"
+
+
+def _rejects(path: str) -> str:
+    return f"{path.rstrip('/')}.rejects"
 
 
-def land_batch(events: DataFrame, path: str) -> None:
+def landed_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Topic, day and id of what has landed: an index by month beside the landing, a few bytes an event."""
+    schema = "topic string, event_date string, audit_log_id string, event_month string"
+    return spark.read.schema(schema).parquet(_ids(path)) if path_exists(spark, _ids(path)) else spark.createDataFrame([], schema)
+
+
+def _index(events: DataFrame, path: str, mode: str) -> None:
+    keyed = events.select(*IDENTITY, F.substring("event_date", 1, 7).alias("event_month"))
+    keyed.hint("rebalance", F.col("event_month")).write.mode(mode).partitionBy("event_month").parquet(_ids(path))
+
+
+def land_batch(events: DataFrame, path: str, batch: str = "") -> None:
     """Append the events not yet landed. Repeating a batch, whole or in part, adds nothing.
 
-    An event's topic, date and id never change, so only the folders of the batch's dates
-    are searched for it, reading one field.
+    An event's topic, date and id never change, so only the index folders of the batch's months
+    are searched for it. Events without an id or a date that exists do not land; they go, as they came,
+    to the folder beside the landing that ``rejected`` reads, below the name of the ``batch``.
     """
     spark = events.sparkSession
-    fresh = parse_event(events)
-    # Bounded by the calendar: one short row per topic and day of the batch.
-    per_folder = fresh.groupBy(*FOLDERS).count().collect()
-    landed = read_raw(spark, path, sorted({r["event_date"] for r in per_folder})).select(*IDENTITY)
-    fresh = fresh.dropDuplicates(IDENTITY).join(landed, IDENTITY, "left_anti")
-    (
-        _spread(fresh, per_folder)
-        .write.mode("append").partitionBy(*FOLDERS).option("ignoreNullFields", "false").json(path)
-    )
-
-
-def land_raw(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    pending = f"{_ids(path)}.pending"
+    if path_exists(spark, pending):  # a run died between events and index: one reading of the landing
+        _index(read_raw(spark, path), path, "overwrite")
+        delete_path(spark, pending)
+
+    sound = parse_event(events).persist()
+    try:
+        wrong = sound.where("reason is not null").select("topic", "key", "value", "reason")
+        if not wrong.isEmpty():
+            wrong.withColumn("batch", F.lit(batch)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("batch").json(_rejects(path))
+        good = sound.where("reason is null").drop("key", "value", "reason")
+        # Bounded by the calendar, since every date exists: one short text per month of the batch.
+        months = [r[0] for r in good.select(F.substring("event_date", 1, 7)).distinct().collect()]
+        known = landed_ids(spark, path).where(F.col("event_month").isin(months)).select(*IDENTITY)
+        fresh = good.dropDuplicates(IDENTITY).join(known, IDENTITY, "left_anti").persist()
+        try:
+            write_text(spark, pending, batch)
+            (
+                fresh.hint("rebalance", *[F.col(c) for c in FOLDERS])
+                .write.mode("append").partitionBy(*FOLDERS).option("ignoreNullFields", "false").json(path)
+            )
+            _index(fresh, path, "append")
+            delete_path(spark, pending)
+        finally:
+            fresh.unpersist()
+    finally:
+        sound.unpersist()
+
+
+def rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Events that could not land, with the reason."""
+    schema = "topic string, key string, value string, reason string, batch string"
+    return spark.read.schema(schema).json(_rejects(path)) if path_exists(spark, _rejects(path)) else spark.createDataFrame([], schema)
+
+
+def land_raw(events: DataFrame, path: str, checkpoint: str, drain: Drain | None = None) -> StreamingQuery:
     """Start landing a stream of ``topic, key, value`` events; stops once it has caught up.
 
     Progress lives in the checkpoint and moves only after a batch is written. A batch
-    repeated after a failure lands nothing twice.
+    repeated after a failure lands nothing twice. ``drain`` may end the run before some later batch.
     """
+    drain = drain or Drain()
+
+    def land(batch: DataFrame, number: int) -> None:
+        if drain.over():
+            raise _Paused
+        land_batch(batch, path, str(number))
+        drain.batches += 1
+
     return (
-        events.writeStream.foreachBatch(lambda batch, _: land_batch(batch, path))
+        events.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def run_bounded(query: StreamingQuery, seconds: int = 60) -> bool:
-    """Wait until the query has caught up, for at most ``seconds``; true if it has.
-
-    Stopping early is safe: the next run goes on from the checkpoint.
-    """
-    if query.awaitTermination(seconds):
-        return True
-    query.stop()
-    return False
+def caught_up(query: StreamingQuery, drain: Drain) -> bool:
+    """Wait for a query to end; false if its drain ended it with batches still to come."""
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if not drain.paused:
+            raise
+    return not drain.paused
 
 
 def verify_landing(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:

@@ -5,35 +5,42 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tallyline.session import STATE_STORE_CONF
+from tallyline.operators.audit import status_changes_from_feed
 
-_ORDER = ["version_at", "version_no"]
+_ORDER = ["_at", "version_no"]
 
 
-def _last_status_processor(keys: list[str], order: list[str]) -> StatefulProcessor:
+def _last_status_processor(keys: list[str], order: list[str], kinds: dict[str, T.DataType]) -> StatefulProcessor:
     """The class is local, so it travels with the job and workers need not have this package."""
 
     class LastStatus(StatefulProcessor):
-        """Keeps the last status of one row and emits the steps between versions."""
+        """Keeps the newest version of one row and emits the steps between versions."""
 
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self._last = handle.getValueState("last", T.StructType([T.StructField("status", T.StringType())]))
+            fields = [T.StructField(c, kinds[c]) for c in (*order, "status")]
+            self._last = handle.getValueState("last", T.StructType(fields))
 
         def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
             versions = sorted(rows, key=lambda v: [v[c] for c in order])
-            known = self._last.get()
-            # The first version ever seen of a row has no predecessor and makes no step.
-            previous = known[0] if known is not None else versions[0]["status"]
+            last = self._last.get()
+            changed = False
             for version in versions:
-                if version["status"] != previous:
-                    yield Row(**dict(zip(keys, key)), old_status=previous, new_status=version["status"],
-                              changed_at=version["version_at"])
-                previous = version["status"]
-            if known is None or known[0] != previous:
-                self._last.update((previous,))
+                at = [version[c] for c in order]
+                step = dict(zip(keys, key)) | {"new_status": version["status"], "changed_at": version["version_at"]}
+                if last is not None and at < list(last[: len(order)]):
+                    # Its place is among versions whose steps are out already.
+                    yield Row(**step, old_status=None, late=True)
+                    continue
+                # The first version ever seen of a row has no predecessor and makes no step.
+                if last is not None and version["status"] != last[len(order)]:
+                    yield Row(**step, old_status=last[len(order)], late=False)
+                last, changed = (*at, version["status"]), True
+            if changed:
+                self._last.update(last)
 
         def close(self) -> None:
             pass
@@ -42,22 +49,33 @@ def _last_status_processor(keys: list[str], order: list[str]) -> StatefulProcess
 
 
 def status_changes_stream(feed: DataFrame) -> DataFrame:
-    """Status steps of each row: ``table_name, row_id, old_status, new_status, changed_at``.
+    """Status steps of each row: ``table_name, row_id, old_status, new_status, changed_at, late``.
 
-    State is one short text per row. Versions are ordered inside a micro-batch and batches
-    are taken as they arrive. A row's versions of one micro-batch meet in one task, so
-    limit the source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) where a row may
-    change without bound; for a backlog use the batch form, which splits such rows.
+    State is the newest version of a row. Versions are ordered inside a micro-batch; one older than
+    what an earlier batch has brought makes no step but comes out as ``late``, without an
+    ``old_status``: the steps around it are to be taken again from the batch form, for that row only
+    (``late_rows``). A row's versions of one micro-batch meet in one task, so limit the
+    source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) where a row may change without bound; for a
+    backlog use the batch form, which splits such rows.
     """
-    spark = feed.sparkSession
-    for name, value in STATE_STORE_CONF.items():
-        spark.conf.set(name, value)
     keys = ["table_name", "row_id"]
+    # Whole microseconds: what state gives back compares with what arrives.
+    feed = feed.withColumn("_at", F.unix_micros("version_at"))
+    kinds = {c: feed.schema[c].dataType for c in (*_ORDER, "status")}
     schema = T.StructType([
         *[T.StructField(k, feed.schema[k].dataType) for k in keys],
-        T.StructField("old_status", T.StringType()), T.StructField("new_status", T.StringType()),
-        T.StructField("changed_at", T.TimestampType()),
+        T.StructField("new_status", T.StringType()), T.StructField("changed_at", T.TimestampType()),
+        T.StructField("old_status", T.StringType()), T.StructField("late", T.BooleanType()),
     ])
-    return feed.select(*keys, "status", *_ORDER).groupBy(*keys).transformWithState(
-        statefulProcessor=_last_status_processor(keys, _ORDER), outputStructType=schema, outputMode="Append", timeMode="None",
+    return feed.select(*keys, "status", "version_at", *_ORDER).groupBy(*keys).transformWithState(
+        statefulProcessor=_last_status_processor(keys, _ORDER, kinds), outputStructType=schema, outputMode="Append", timeMode="None",
     )
+
+
+def with_late_versions(steps: DataFrame, feed: DataFrame) -> DataFrame:
+    """Landed steps with those of rows that had late versions taken again, in order, from all their versions."""
+    keys = ["table_name", "row_id"]
+    rows = steps.where("late").select(*keys).distinct()
+    sound = steps.join(rows, keys, "left_anti").select(*keys, "old_status", "new_status", "changed_at")
+    again = status_changes_from_feed(feed.join(rows, keys, "left_semi"))
+    return sound.unionByName(again.select(*sound.columns))

@@ -67,8 +67,8 @@ def test_feed_against_brute_force_with_a_hot_row(spark, cell):
 
 
 def test_history_and_range(log):
-    assert [r["id"] for r in audit.audit_history(log, "invoices", "i12").collect()] == ["a4"]
-    found = audit.audit_between(log, "2024-09-15 11:00:00", "2025-03-09 08:00:00")
+    assert [r["id"] for r in audit.audit_history(log, "invoices", "i10").collect()] == ["a4"]
+    found = audit.audit_between(log, "2025-05-21 15:20:00", "2025-08-19 06:30:00")
     assert {r["id"] for r in found.collect()} == {"a1", "a4"}
 
 
@@ -76,7 +76,7 @@ def test_incremental_pull(log):
     first = audit.audit_since(log, "1970-01-01 00:00:00")
     assert [r["id"] for r in first.collect()] == ["a3", "a1", "a4", "a2", "a5"]
     mark = audit.next_watermark(first, "1970-01-01 00:00:00").first()["watermark"]
-    assert mark == datetime(2025, 3, 15, 9)
+    assert mark == datetime(2025, 9, 12, 18)
     assert audit.audit_since(log, mark).count() == 0
     assert audit.next_watermark(audit.audit_since(log, mark), mark).first()["watermark"] == mark
     assert [r["id"] for r in audit.audit_since(log, mark, overlap_seconds=60).collect()] == ["a5"]

@@ -43,9 +43,9 @@ def amounts(spark, rows, plans, **options):
 
 @pytest.mark.parametrize("exact", [False, True])
 def test_worked_example(spark, exact):
-    plans = plans_of(spark, 2900, 9900)
-    row = change("p2900", "p9900", "2024-09-15 11:05:00", "2024-08-31", "2024-09-30")
-    assert amounts(spark, [row], plans, exact=exact) == [(15, 30, 1450, 4950, 3500)]
+    plans = plans_of(spark, 3750, 11250)
+    row = change("p3750", "p11250", "2025-05-21 15:25:00", "2025-04-28", "2025-05-29")
+    assert amounts(spark, [row], plans, exact=exact) == [(8, 31, 967, 2904, 1937)]
 
 
 def test_rounding_the_rate_costs_a_cent(spark):
@@ -164,4 +164,4 @@ def test_recording_twice_records_once(spark):
     for batch in (rows[:1], rows, rows):
         proration.write_plan_changes(spark, proration.prorate(spark.createDataFrame(batch, _CHANGE), t.plans).ok, path)
     stored = read_monthly(spark, path, schema_of("plan_change_events")).orderBy("effective_at").collect()
-    assert [(r["month"], r["net_cents"]) for r in stored] == [("2024-09", 3500), ("2024-10", -2566)]
+    assert [(r["month"], r["net_cents"]) for r in stored] == [("2024-09", 3750), ("2024-10", -2750)]

@@ -34,10 +34,12 @@ def test_the_seed_is_clean_and_every_rule_is_counted(t):
 
 # Table, bad rows, the rule they break and the key reported.
 CASES = {
-    "duplicate slug": ("tenants", [("x", "Dupe", "acme-corp", _T, None)], "slug_unique", "acme-corp"),
+    "duplicate slug": ("tenants", [("x", "Dupe", "kiln-kettle", _T, None)], "slug_unique", "kiln-kettle"),
     "upper-case slug": ("tenants", [("x", "Bad", "Bad-Slug", _T, None)], "slug_format", "x"),
     "slug with space": ("tenants", [("x", "Bad", "bad slug", _T, None)], "slug_format", "x"),
     "slug with final hyphen": ("tenants", [("x", "Bad", "bad-slug-", _T, None)], "slug_format", "x"),
+    "slug with two hyphens": ("tenants", [("x", "Bad", "bad--slug", _T, None)], "slug_format", "x"),
+    "empty slug": ("tenants", [("x", "Bad", "", _T, None)], "slug_format", "x"),
     "slug with final newline": ("tenants", [("x", "Bad", "bad-slug\n", _T, None)], "slug_format", "x"),
     "tenant deleted before created": ("tenants", [("x", "P", "paradox", _T, _BEFORE)], "deleted_after_created", "x"),
     "tenant without name": ("tenants", [("x", None, "no-name", _T, None)], "name_not_null", "x"),
@@ -45,7 +47,7 @@ CASES = {
     "weekly cycle": ("plans", [("x", "wk", 1000, "weekly", None, True, _T)], "billing_cycle_known", "x"),
     "zero limit": ("plans", [("x", "zero", 1000, "monthly", 0, True, _T)], "api_limit_positive", "x"),
     "negative limit": ("plans", [("x", "neg", 1000, "monthly", -100, True, _T)], "api_limit_positive", "x"),
-    "duplicate plan name": ("plans", [("x", "pro", 999, "monthly", None, True, _T)], "name_unique", "pro"),
+    "duplicate plan name": ("plans", [("x", "studio", 999, "monthly", None, True, _T)], "name_unique", "studio"),
     "duplicate e-mail in tenant": (
         "users", [("x", "t1", "d@example.com", "admin", _T, None), ("y", "t1", "d@example.com", "member", _T, None)],
         "email_unique_in_tenant", "t1|d@example.com",
@@ -128,7 +130,7 @@ ACCEPTED = {
     "second cancelled subscription": (
         "subscriptions", [("x", "t1", "p2", "cancelled", *_SUB[1:], "2025-02-01 00:00:00", _T)],
     ),
-    "plan name in other case": ("plans", [("x", "PRO", 999, "monthly", None, True, _T)]),
+    "plan name in other case": ("plans", [("x", "STUDIO", 999, "monthly", None, True, _T)]),
 }
 
 
@@ -139,8 +141,8 @@ def test_good_rows_are_accepted(spark, t, case):
 
 
 def test_plan_names_may_be_compared_without_case(spark, t):
-    df = t["plans"].union(frame(spark, "plans", [("x", "PRO", 999, "monthly", None, True, _T)]))
-    assert [r["key"] for r in rules.validate("plans", df, ignore_name_case=True).collect()] == ["pro"]
+    df = t["plans"].union(frame(spark, "plans", [("x", "STUDIO", 999, "monthly", None, True, _T)]))
+    assert [r["key"] for r in rules.validate("plans", df, ignore_name_case=True).collect()] == ["studio"]
 
 
 def test_rollup_key(spark):
@@ -150,6 +152,21 @@ def test_rollup_key(spark):
     ]
 
 
+def test_a_slug_of_any_length_is_checked(spark, t):
+    long = [("x", "Long", "-".join(["ab"] * 20_000), _T, None), ("y", "Long", "-".join(["ab"] * 20_000) + "-", _T, None)]
+    assert set(broken(spark, t, "tenants", *long)) == {("slug_format", "y")}
+
+
+def test_overlapping_periods(spark, t):
+    found = lambda df: {(r["subscription_id"], str(r["busy_until"])) for r in rules.overlapping_periods(df).collect()}
+    assert found(t["subscriptions"]) == set()
+    more = frame(spark, "subscriptions", [
+        ("x1", "t5", "p2", "trialing", "2025-09-29 00:00:00", "2025-10-05 00:00:00", None, _T),
+        ("x2", "t5", "p2", "trialing", "2025-10-05 00:00:00", "2025-10-06 00:00:00", None, _T),
+    ])
+    assert found(t["subscriptions"].union(more)) == {("x1", "2025-09-30 23:59:59")}
+
+
 def test_ledger_edits(spark, t):
     before = t["invoices"]
     settled = before.where("id <> 'i1'").selectExpr(
@@ -164,4 +181,4 @@ def test_ledger_edits(spark, t):
 def test_new_subscriptions_on_a_retired_plan(spark, t):
     sub = frame(spark, "subscriptions", [("x", "t5", "p5", *_SUB, None, _T)])
     found = rules.retired_plan_subscriptions(t["subscriptions"].union(sub), t["plans"], "2025-01-01")
-    assert [(r["subscription_id"], r["plan_name"]) for r in found.collect()] == [("x", "starter-legacy")]
+    assert [(r["subscription_id"], r["plan_name"]) for r in found.collect()] == [("x", "team-2019")]

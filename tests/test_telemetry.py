@@ -10,8 +10,8 @@ _AT = datetime(2025, 4, 15)
 
 def test_slow_log(spark):
     lines = spark.createDataFrame([
-        ("2025-04-15 09:14:22 UTC [4821]: user=app_user,db=billing,app=api,client=10.0.1.4 LOG:  duration: 312.441 ms  "
-         "statement: SELECT * FROM invoices WHERE tenant_id = $1",),
+        ("2025-04-15 07:41:03 UTC [932]: user=web,db=shop,app=cart,client=192.0.2.9 LOG:  duration: 871.250 ms  "
+         "statement: UPDATE baskets SET total = total + 1",),
         ("2025-04-15 09:15:00 UTC [7]: user=u,db=d,app=,client=[local] LOG:  duration: 1000.000 ms  statement: SELECT 1",),
         ("2025-04-15 09:16:00 UTC [7]: user=u,db=d,app=a,client=c LOG:  duration: 200.000 ms  statement: SELECT 2",),
         ("2025-04-15 09:17:00 UTC [7]: LOG:  checkpoint starting",),
@@ -19,10 +19,10 @@ def test_slow_log(spark):
     ], "line string")
     found = telemetry.slowest_statements(lines).collect()
     assert [(r["duration_ms"], r["pid"], r["app"]) for r in found] == [
-        (Decimal("1000.000"), 7, ""), (Decimal("312.441"), 4821, "api"),
+        (Decimal("1000.000"), 7, ""), (Decimal("871.250"), 932, "cart"),
     ]
-    assert found[1]["statement"] == "SELECT * FROM invoices WHERE tenant_id = $1"
-    assert found[1]["logged_at"] == datetime(2025, 4, 15, 9, 14, 22)
+    assert found[1]["statement"] == "UPDATE baskets SET total = total + 1"
+    assert found[1]["logged_at"] == datetime(2025, 4, 15, 7, 41, 3)
     assert len(telemetry.slowest_statements(lines, n=1).collect()) == 1
 
 

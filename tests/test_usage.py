@@ -6,19 +6,14 @@ import pytest
 
 from tallyline import scratch_dir
 from tallyline.operators import reports, rules, usage
-from tallyline.sources.lake import mark_complete, month_folders, read_monthly, write_monthly
-from tallyline.sources.schema import schema_of
 from tests.seed import frame, seed_tables
 
-SCHEMA = schema_of("api_usage_events")
-
-
 def bucket(number, tenant, at, endpoint, count):
     return (f"e{number}", tenant, at, endpoint, count)
 
 
 def stored(spark, path):
-    rows = read_monthly(spark, path, SCHEMA).collect()
+    rows = usage.read_usage(spark, path).collect()
     return sorted((r["tenant_id"], str(r["recorded_at"]), r["endpoint"], r["event_count"], r["month"]) for r in rows)
 
 
@@ -59,29 +54,47 @@ def test_metered_buckets_can_be_upserted_as_they_are(spark):
     for _ in range(2):
         usage.upsert_usage(spark, path, usage.meter_hourly(requests))
     assert stored(spark, path) == [("t1", "2025-04-01 09:00:00", "/a", 3, "2025-04")]
-    assert rules.validate("api_usage_events", read_monthly(spark, path, SCHEMA)).count() == 0
+    assert rules.validate("api_usage_events", usage.read_usage(spark, path)).count() == 0
 
 
-def test_upsert_finishes_what_a_lost_run_had_staged(spark):
+def test_readers_see_whole_states_and_lost_runs_leave_no_trace(spark):
     path = f"{scratch_dir(spark, 'test')}/usage"
     usage.upsert_usage(spark, path, frame(spark, "api_usage_events", [bucket(1, "t1", "2025-03-01 09:00:00", "/a", 1)]))
-    # A run that died after staging: the merged month is complete beside the table.
-    staged = [bucket(1, "t1", "2025-03-01 09:00:00", "/a", 7), bucket(2, "t1", "2025-03-02 09:00:00", "/a", 8)]
-    write_monthly(frame(spark, "api_usage_events", staged), "recorded_at", f"{path}.stage")
-    mark_complete(spark, f"{path}.stage")
-    usage.upsert_usage(spark, path, frame(spark, "api_usage_events", [bucket(3, "t2", "2025-03-03 09:00:00", "/a", 9)]))
-    assert [row[3] for row in stored(spark, path)] == [7, 8, 9]
-    # One that died while staging left an unfinished copy, which counts for nothing.
-    write_monthly(frame(spark, "api_usage_events", staged[:1]), "recorded_at", f"{path}.stage")
-    usage.upsert_usage(spark, path, frame(spark, "api_usage_events", [bucket(3, "t2", "2025-03-03 09:00:00", "/a", 10)]))
-    assert [row[3] for row in stored(spark, path)] == [7, 8, 10]
-    assert month_folders(spark, f"{path}.stage") == []
+    before = usage.read_usage(spark, path)
+    usage.upsert_usage(spark, path, frame(spark, "api_usage_events", [bucket(1, "t1", "2025-03-01 09:00:00", "/a", 7)]))
+    assert [r["event_count"] for r in before.collect()] == [1]
+    # A run that died before it published: its folder is there, and nobody reads it.
+    day = f"{path}/data/month=2025-03/day=2025-03-02/version=lost"
+    frame(spark, "api_usage_events", [bucket(9, "t9", "2025-03-02 09:00:00", "/a", 9)]).write.parquet(day)
+    assert [row[3] for row in stored(spark, path)] == [7]
+    assert usage.vacuum_usage(spark, path) == 2
+    assert [row[3] for row in stored(spark, path)] == [7]
+
+
+def test_hours_metered_again_replace_what_the_stream_left(spark):
+    path = f"{scratch_dir(spark, 'test')}/usage"
+    requests = spark.createDataFrame(
+        [("t1", datetime(2025, 4, 1, hour, 5), "/a") for hour in (8, 8, 9)], "tenant_id string, requested_at timestamp, url string")
+    usage.upsert_usage(spark, path, usage.meter_hourly(requests.limit(1)))
+    usage.remeter(spark, path, requests, "2025-04-01 09:00:00")
+    assert [row[3] for row in stored(spark, path)][1:] == [1]
+    usage.remeter(spark, path, requests, "2025-04-01 08:00:00", "2025-04-01 09:00:00")
+    assert [row[3] for row in stored(spark, path)] == [2, 1]
+
+
+def test_an_existing_rollup_version_is_never_written_again(spark):
+    path = f"{scratch_dir(spark, 'test')}/rollup"
+    good = spark.createDataFrame([("s1", "/a", 1)], "subscription_id string, endpoint string, total_calls int")
+    usage.refresh_usage_by_cycle(spark, good, path, "v1")
+    with pytest.raises(ValueError):
+        usage.refresh_usage_by_cycle(spark, good.union(good), path, "v1")
+    assert usage.read_usage_by_cycle(spark, path).count() == 1
 
 
 def test_usage_between(spark):
     t = seed_tables(spark)
-    assert usage.usage_between(t.api_usage_events, "2025-04-01", "2025-04-02").count() == 8
-    assert usage.usage_between(t.api_usage_events, "2025-04-01", "2025-04-02", "t2").count() == 2
+    assert usage.usage_between(t.api_usage_events, "2025-10-04", "2025-10-05").count() == 5
+    assert usage.usage_between(t.api_usage_events, "2025-10-04", "2025-10-05", "t2").count() == 1
 
 
 def test_readers_keep_the_old_rollup_until_the_new_one_is_sound(spark):
@@ -89,7 +102,7 @@ def test_readers_keep_the_old_rollup_until_the_new_one_is_sound(spark):
     path = f"{scratch_dir(spark, 'test')}/rollup"
     with pytest.raises(FileNotFoundError):
         usage.read_usage_by_cycle(spark, path)
-    rollup = reports.usage_by_cycle(t.api_usage_events, t.tenants, t.subscriptions, t.plans, as_of="2025-04-20")
+    rollup = reports.usage_by_cycle(t.api_usage_events, t.tenants, t.subscriptions, t.plans, as_of="2025-10-18")
     usage.refresh_usage_by_cycle(spark, rollup.where("tenant_id = 't1'"), path, "v1")
     assert usage.read_usage_by_cycle(spark, path).count() == 2
     with pytest.raises(ValueError):
