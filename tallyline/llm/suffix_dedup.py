@@ -22,9 +22,9 @@ anchor is the same in all copies, at most ``REACH`` - 1 bytes from their beginni
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -260,11 +260,16 @@ def _packed(rows: DataFrame, names: list[str]) -> DataFrame:
         return {**{n: r[n] for n in names}, "packed": [press.compress(t.encode("utf-8", "surrogatepass")) for t in r["text"]]}
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return per_slice(rows.select(*names, "text"), ", ".join(f"{n} {kinds[n]}" for n in names) + ", packed binary", pack)
+    return per_slice(rows.select(*names, "text"), ", ".join(f"{n} {kinds[n]}" for n in names) + ", packed binary", pack, rows=128)
+
+
+@cache
+def _decompressor() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
 
 
 def _unpacked(packed: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(packed)
+    return _decompressor().decompress(packed)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -276,14 +281,16 @@ def _anchored(rows: DataFrame, length: int, reach: int, share: float, times: int
     """Anchors whose key repeats: (row, at, key, right, left, long, full)."""
     frequent = rows.sparkSession.sparkContext.broadcast(_frequent(rows, length, reach, share, times))
 
-    @F.pandas_udf("long")
-    def dealt(row: pd.Series, key: pd.Series, right: pd.Series, left: pd.Series) -> pd.Series:
-        both = left ^ right
-        hot = {n: s.isin(frequent.value[n]) for n, s in (("key", key), ("right", right), ("both", both))}
-        return key.where(~hot["key"], right.where(~hot["right"], both.where(~hot["both"], row)))
+    def deal(r: dict) -> dict:
+        """By key; a key known to be frequent goes by the right side, that by both sides, and these by row."""
+        out, known = _anchor_rows(r, length, reach), frequent.value
+        out["deal"] = [
+            key if key not in known["key"] else right if right not in known["right"] else left ^ right if left ^ right not in known["both"] else row
+            for row, key, right, left in zip(out["row"], out["key"], out["right"], out["left"], strict=True)]
+        return out
 
-    found = per_slice(rows, _ANCHOR, lambda r: _anchor_rows(r, length, reach))
-    return (found.withColumn("deal", dealt("row", "key", "right", "left")).repartition("deal").drop("deal")
+    found = per_slice(rows, f"{_ANCHOR}, deal long", deal, rows=128)
+    return (found.repartition("deal").drop("deal")
             .sortWithinPartitions("key", "right", "left")
             .mapInArrow(lambda it: _flags(it, frequent.value), "row long, at long, key long, right long, left long, long boolean, full boolean"))
 
@@ -313,7 +320,7 @@ def _fetched(rows: DataFrame, contexts: DataFrame, length: int, reach: int) -> D
 
     points = contexts.groupBy("row").agg(F.collect_list(F.struct("at", "key", "large")).alias("points"))
     joined = _packed(rows, ["row"]).join(points, "row")
-    return per_slice(joined, "shard long, rank int, unit long, row long, at long, before binary, after binary", fetch)
+    return per_slice(joined, "shard long, rank int, unit long, row long, at long, before binary, after binary", fetch, rows=128)
 
 
 def covered(rows: DataFrame, length: int = LENGTH, reach: int = REACH, share: float = SAMPLE, times: int = FREQUENT) -> DataFrame:
@@ -381,4 +388,4 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, k
     key = docs.schema["doc_id"].dataType.simpleString()
     extra = ", spans array<string>, kept binary" if keep_bytes else ""
     joined = _packed(rows, ["row", "doc_id"]).join(spans, "row", "left")
-    return per_slice(joined, f"doc_id {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string{extra}", cut)
+    return per_slice(joined, f"doc_id {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string{extra}", cut, rows=128)
