@@ -40,10 +40,12 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC ["), F.col("event_id"), F.lit("]: user=u"),
         F.col("user_id"), F.lit(",db=billing,app=api,client=10.0.1.4 LOG:  duration: "),
         F.call_function("div", F.col("cents"), F.lit(100)), F.lit("."),
-        F.lpad((F.col("cents") % 100).cast("string"), 2, "0"), F.lit("0 ms  statement: SELECT "), "event_type",
+        F.lpad((F.col("cents") % 100).cast("string"), 2, "0"), F.lit("0 ms"),
+        F.when(F.col("event_id") % 10 == 5, "").when(F.col("event_id") % 10 == 7, "  execute q1: ").otherwise("  statement: "),
+        F.when(F.col("event_id") % 10 == 5, "").otherwise(F.concat(F.lit("SELECT "), "event_type")),
     )
     noise = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC [1]: LOG:  checkpoint starting"))
-    return e.select(F.when(F.col("event_id") % 10 == 9, noise).otherwise(line).alias("line"))
+    return e.select(F.when(F.col("event_id") % 10 == 9, noise).when(F.col("event_id") % 100 == 8, F.lit("duration: unknown")).otherwise(line).alias("line"))
 
 
 def table_io(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +65,7 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(
         F.count_if(F.col("o_orderstatus") != "P").alias("n_live_tup"),
         F.count_if((F.col("o_orderstatus") == "P") & (o % 3 == 0)).alias("n_dead_tup"),
+        F.min(placed).alias("last_autovacuum"), F.max(placed).alias("last_vacuum"), F.lit("public").alias("schemaname"),
         F.sum(o % 7).alias("idx_scan"), F.sum(F.when(o % 5 == 0, 1).otherwise(0)).alias("seq_scan"),
     )
 
@@ -83,6 +86,7 @@ def replication(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("standby_"), c).alias("application_name"),
         F.when(c % 17 == 0, "catchup").otherwise("streaming").alias("state"),
         F.when(c % 13 == 0, "async").otherwise("sync").alias("sync_state"),
+        (c * 11 % 3000).alias("write_lag_ms"), (c * 23 % 5000).alias("flush_lag_ms"),
         F.when(c % 5 > 0, c * 37 % 8000).alias("replay_lag_ms"),
         (c * 1000 + 5000).alias("current_lsn"), (c * 1000 + c % 5000).alias("replay_lsn"),
     )
@@ -101,5 +105,5 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select(
         "instance", _stamp("2024-02-01 00:00:00").alias("snapshot_ts"), F.col("event_id").alias("pid"),
         F.concat(F.lit("u"), F.col("user_id")).alias("usename"), F.lit("api").alias("application_name"), "state",
-        F.col("ts").alias("state_change"), F.col("event_type").alias("query"),
+        F.col("ts").alias("state_change"), F.col("ts").alias("query_start"), F.col("event_type").alias("query"),
     )

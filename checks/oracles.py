@@ -518,6 +518,7 @@ table_stats AS (SELECT 'db-' || o_custkey % 4 AS instance, TIMESTAMP '2024-01-28
   CASE WHEN o_orderkey % 11 = 0 THEN 'tenants' ELSE 'invoices_' || strftime(o_orderdate, '%Y_%m') END AS relname,
   count(*) FILTER (o_orderstatus <> 'P') AS n_live_tup,
   count(*) FILTER (o_orderstatus = 'P' AND o_orderkey % 3 = 0) AS n_dead_tup,
+  min(CAST(o_orderdate AS TIMESTAMP)) AS last_autovacuum, max(CAST(o_orderdate AS TIMESTAMP)) AS last_vacuum,
   CAST(sum(o_orderkey % 7) AS BIGINT) AS idx_scan, count(*) FILTER (o_orderkey % 5 = 0) AS seq_scan
   FROM orders GROUP BY 1, 2, 3),
 c AS (SELECT 'db-' || c_custkey % 4 AS instance, TIMESTAMP '2024-01-28 00:00:00' AS snapshot_ts,
@@ -525,7 +526,8 @@ c AS (SELECT 'db-' || c_custkey % 4 AS instance, TIMESTAMP '2024-01-28 00:00:00'
 standbys AS (SELECT instance, snapshot_ts, 'standby_' || k AS application_name,
   CASE WHEN k % 17 = 0 THEN 'catchup' ELSE 'streaming' END AS state,
   CASE WHEN k % 13 = 0 THEN 'async' ELSE 'sync' END AS sync_state,
-  CASE WHEN k % 5 > 0 THEN k * 37 % 8000 END AS replay_lag_ms, 5000 - k % 5000 AS lag_bytes FROM c),
+  CASE WHEN k % 5 > 0 THEN k * 37 % 8000 END AS replay_lag_ms, 5000 - k % 5000 AS lag_bytes,
+  k * 11 % 3000 AS write_lag_ms, k * 23 % 5000 AS flush_lag_ms FROM c),
 replication AS (SELECT *, CASE WHEN state <> 'streaming' THEN 'not streaming'
   WHEN sync_state <> 'sync' THEN 'not synchronous' WHEN coalesce(replay_lag_ms, 0) < 1000 THEN 'healthy'
   WHEN replay_lag_ms <= 5000 THEN 'watch' ELSE 'investigate' END AS status FROM standbys),
@@ -570,11 +572,18 @@ FROM stats WHERE calls > 3 {_TOP}""",
     "parse_slow_log": """
 SELECT date_trunc('second', ts) AS logged_at, CAST(event_id AS INTEGER) AS pid, 'u' || user_id AS user,
   'billing' AS db, 'api' AS app, '10.0.1.4' AS client, CAST(cents / 100.0 AS DECIMAL(18,3)) AS duration_ms,
-  'SELECT ' || event_type AS statement FROM log WHERE cents > 20000""",
+  CASE event_id % 10 WHEN 5 THEN NULL WHEN 7 THEN 'execute q1' ELSE 'statement' END AS kind,
+  CASE WHEN event_id % 10 <> 5 THEN 'SELECT ' || event_type END AS statement
+FROM log WHERE cents > 20000 AND event_id % 100 <> 8""",
+    "unparsed_durations": "SELECT 'duration: unknown' AS line, count(*) AS lines FROM log WHERE event_id % 100 = 8 GROUP BY 1",
+    "longest_statements": """
+SELECT instance, taken_at AS snapshot_ts, event_id AS pid, epoch_us(taken_at) - epoch_us(ts) AS running_micros,
+  event_type AS query FROM sessions WHERE state = 'active'""",
     "slowest_statements": """
 SELECT date_trunc('second', ts) AS logged_at, CAST(event_id AS INTEGER) AS pid,
-  CAST(cents / 100.0 AS DECIMAL(18,3)) AS duration_ms, 'SELECT ' || event_type AS statement
-FROM log WHERE cents > 20000 ORDER BY cents DESC, 1, 2, 4 LIMIT 20""",
+  CAST(cents / 100.0 AS DECIMAL(18,3)) AS duration_ms,
+  CASE WHEN event_id % 10 <> 5 THEN 'SELECT ' || event_type END AS statement
+FROM log WHERE cents > 20000 AND event_id % 100 <> 8 ORDER BY cents DESC, 1, 2, 4 LIMIT 20""",
     "cache_hit_ratio": f"""
 SELECT *, CASE WHEN cache_hit_ratio > 99 THEN 'healthy' WHEN cache_hit_ratio >= 95 THEN 'acceptable'
   ELSE 'investigate' END AS status
@@ -606,7 +615,8 @@ FROM sessions GROUP BY 1, 2""",
     "dead_rows": f"""
 SELECT *, CASE WHEN pct_dead < 10 OR pct_dead IS NULL THEN 'healthy' WHEN pct_dead <= 20 THEN 'monitor'
   ELSE 'investigate' END AS status
-FROM (SELECT instance, snapshot_ts, relname, n_live_tup, n_dead_tup, {_DEAD} AS pct_dead
+FROM (SELECT instance, snapshot_ts, 'public' AS schemaname, relname, n_live_tup, n_dead_tup, {_DEAD} AS pct_dead,
+  last_autovacuum, last_vacuum
   FROM table_stats WHERE relname LIKE 'invoices%')""",
     "health_check": f"""
 , cache AS (SELECT instance, snapshot_ts, {_CACHE} AS cache_hit_ratio FROM table_io GROUP BY 1, 2),

@@ -245,6 +245,8 @@ TELEMETRY: dict[str, Query] = {
     "statement_top_spread": _fleet(telemetry.statement_top_spread, "statement_stats", min_calls=3),
     "parse_slow_log": _fleet(telemetry.parse_slow_log, "log_lines"),
     "slowest_statements": _fleet(_slowest, "log_lines"),
+    "unparsed_durations": _fleet(telemetry.unparsed_durations, "log_lines"),
+    "longest_statements": _fleet(telemetry.longest_statements, "sessions"),
     "cache_hit_ratio": _fleet(telemetry.cache_hit_ratio, "table_io"),
     "cache_hit_by_table": _fleet(telemetry.cache_hit_by_table, "table_io"),
     "index_usage": _fleet(telemetry.index_usage, "table_stats"),

@@ -21,9 +21,11 @@ CACHE_BANDS = ((99, "healthy"), (95, "acceptable"))
 DEAD_ROW_BANDS = ((10, "healthy"), (20, "monitor"))
 INDEX_SHARE_HEALTHY = 90
 LAG_HEALTHY_MS, LAG_INVESTIGATE_MS = 1000, 5000
-LOG_PREFIX = (
-    r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d) UTC \[(\d+)\]: user=([^,]*),db=([^,]*),app=([^,]*),client=(\S*) "
-    r"LOG:  duration: (\d+(?:\.\d+)?) ms  statement: (.*)$"
+# A duration entry: time and zone, process, the connection's fields where the prefix has them, what was run and its text.
+LOG_ENTRY = (
+    r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(?:\.\d{1,6})?) (\S+) \[(\d+)\]: "
+    r"(?:user=([^,]*),db=([^,]*),app=([^,]*),client=(\S*) )?"
+    r"LOG:  duration: (\d+(?:\.\d+)?) ms(?:  ((?:statement|execute|bind|parse|fastpath function call)[^:]*): (.*))?$"
 )
 
 
@@ -78,27 +80,46 @@ def read_slow_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def _matched(lines: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Lines that speak of a duration, with the parts of each as ``_fields``; other lengths mean no match.
+
+    A plain substring test comes first, so the pattern only meets lines that can match, and
+    each of those is matched once: its parts come out joined by a control character.
+    """
+    names = ["_time", "_zone", "pid", "user", "db", "app", "client", "duration_ms", "kind", "statement"]
+    kept = [c for c in lines.columns if c != "line"]
+    joined = F.regexp_replace("line", LOG_ENTRY, "\x01".join(f"${n}" for n in range(1, len(names) + 1)))
+    # A one-row generator: filters and fields below see its result and do not match again.
+    rows = lines.where(F.col("line").contains("duration:")).select(
+        *kept, "line", F.explode(F.array(F.split(joined, "\x01", len(names)))).alias("_fields"))
+    return rows, names
+
+
 def parse_slow_log(lines: DataFrame, threshold_ms: float = SLOW_STATEMENT_MS) -> DataFrame:
     """Duration entries of a server log, one row each, slower than ``threshold_ms``.
 
-    A plain substring test comes first, so the pattern only meets lines that can match, and
-    each of those is matched once: its fields come out joined by a control character.
+    ``kind`` is what was run: ``statement``, ``execute`` with the name of what was prepared, and so on; NULL, as is
+    ``statement``, for an entry that gives the time only. Times are instants, whatever zone they are logged in. What
+    else speaks of a duration is left to ``unparsed_durations``.
     """
-    names = ["logged_at", "pid", "user", "db", "app", "client", "duration_ms", "statement"]
+    rows, names = _matched(lines)
     kept = [c for c in lines.columns if c != "line"]
-    joined = F.regexp_replace("line", LOG_PREFIX, "\x01".join(f"${n}" for n in range(1, len(names) + 1)))
-    fields = (
-        lines.where(F.col("line").contains("duration:"))
-        # A one-row generator: filters and fields below see its result and do not match again.
-        .select(*kept, F.explode(F.array(F.split(joined, "\x01", len(names)))).alias("_fields"))
-        .where(F.size("_fields") == len(names))
-    )
-    parsed = fields.select(*kept, *[F.col("_fields")[n].alias(name) for n, name in enumerate(names)])
+    parsed = rows.where(F.size("_fields") == len(names)).select(
+        *kept, *[F.nullif(F.col("_fields")[n], F.lit("")).alias(name) if name in ("kind", "statement") else F.col("_fields")[n].alias(name)
+                 for n, name in enumerate(names)])
+    at = F.concat_ws(" ", "_time", "_zone")
     typed = parsed.withColumns({
-        "logged_at": F.to_timestamp("logged_at", "yyyy-MM-dd HH:mm:ss"),
+        "logged_at": F.coalesce(F.try_to_timestamp(at, F.lit("yyyy-MM-dd HH:mm:ss z")), F.try_to_timestamp(at, F.lit("yyyy-MM-dd HH:mm:ss.[SSSSSS][SSS][SS][S] z"))),
         "pid": F.col("pid").cast("int"), "duration_ms": F.col("duration_ms").cast("decimal(18,3)"),
     })
-    return typed.where(F.col("duration_ms") > F.lit(threshold_ms))
+    return typed.where(F.col("duration_ms") > F.lit(threshold_ms)).select(
+        *kept, "logged_at", "pid", "user", "db", "app", "client", "duration_ms", "kind", "statement")
+
+
+def unparsed_durations(lines: DataFrame) -> DataFrame:
+    """Lines that speak of a duration and fit no known form, each with how often it stands there."""
+    rows, names = _matched(lines)
+    return rows.where(F.size("_fields") != len(names)).groupBy("line").agg(F.count("*").alias("lines"))
 
 
 def slowest_statements(lines: DataFrame, n: int = 20, threshold_ms: float = SLOW_STATEMENT_MS) -> DataFrame:
@@ -163,7 +184,7 @@ def replication_health(replication: DataFrame) -> DataFrame:
         .otherwise("investigate")
     )
     return replication.select(
-        *SNAPSHOT, "application_name", "state", "sync_state", "replay_lag_ms",
+        *SNAPSHOT, "application_name", "state", "sync_state", "write_lag_ms", "flush_lag_ms", "replay_lag_ms",
         (F.col("current_lsn") - F.col("replay_lsn")).alias("lag_bytes"), status.alias("status"),
     )
 
@@ -191,6 +212,14 @@ def idle_in_transaction(sessions: DataFrame, ordered: bool = True) -> DataFrame:
     return idle.orderBy(F.desc_nulls_first("idle_micros"), *SNAPSHOT, "pid") if ordered else idle
 
 
+def longest_statements(sessions: DataFrame, ordered: bool = True) -> DataFrame:
+    """Statements at work when the snapshot was taken, longest first."""
+    active = sessions.where(F.col("state") == "active").select(
+        *SNAPSHOT, "pid", (F.unix_micros("snapshot_ts") - F.unix_micros("query_start")).alias("running_micros"), "query",
+    )
+    return active.orderBy(F.desc_nulls_first("running_micros"), *SNAPSHOT, "pid") if ordered else active
+
+
 def pool_pressure(sessions: DataFrame, limit: int = POOL_LIMIT) -> DataFrame:
     """Sessions in use against what the connection pool may open."""
     counted = sessions.groupBy(*SNAPSHOT).agg(F.count("*").alias("sessions"))
@@ -205,7 +234,8 @@ def dead_rows(table_stats: DataFrame, prefix: str = "invoices") -> DataFrame:
         F.when(share.isNull() | (share < low), healthy).when(share <= high, monitor).otherwise("investigate")
     )
     return table_stats.where(F.col("relname").startswith(prefix)).select(
-        *SNAPSHOT, "relname", "n_live_tup", "n_dead_tup", share.alias("pct_dead"), status.alias("status"),
+        *SNAPSHOT, "schemaname", "relname", "n_live_tup", "n_dead_tup", share.alias("pct_dead"), status.alias("status"),
+        "last_autovacuum", "last_vacuum",
     )
 
 

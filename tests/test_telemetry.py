@@ -26,6 +26,34 @@ def test_slow_log(spark):
     assert len(telemetry.slowest_statements(lines, n=1).collect()) == 1
 
 
+def test_every_duration_entry_is_kept_or_counted(spark):
+    lines = spark.createDataFrame([(x,) for x in (
+        "2025-03-02 10:00:00 UTC [1]: user=a,db=b,app=c,client=d LOG:  duration: 300 ms  statement: SELECT 1: x",
+        "2025-03-02 10:00:00.250 UTC [2]: user=a,db=b,app=c,client=d LOG:  duration: 301.5 ms  execute s_7/p: SELECT $1",
+        "2025-03-02 10:00:00 CET [3]: user=a,db=b,app=c,client=d LOG:  duration: 302 ms",
+        "2025-03-02 10:00:00 UTC [4]: LOG:  duration: 303 ms  bind <unnamed>: SELECT 2",
+        "2025-03-02 10:00:00 UTC [5]: LOG:  duration: about 5 s", "duration: ?", "duration: ?", "checkpoint",
+    )], "line string")
+    found = {r["pid"]: (r["logged_at"], r["kind"], r["statement"], r["user"]) for r in telemetry.parse_slow_log(lines).collect()}
+    assert found == {
+        1: (datetime(2025, 3, 2, 10), "statement", "SELECT 1: x", "a"),
+        2: (datetime(2025, 3, 2, 10, 0, 0, 250000), "execute s_7/p", "SELECT $1", "a"),
+        3: (datetime(2025, 3, 2, 9), None, None, "a"),
+        4: (datetime(2025, 3, 2, 10), "bind <unnamed>", "SELECT 2", ""),
+    }
+    assert sorted(r["lines"] for r in telemetry.unparsed_durations(lines).collect()) == [1, 2]
+
+
+def test_longest_statements(spark):
+    sessions = spark.createDataFrame(
+        [("a", _AT, 1, "active", datetime(2025, 4, 14, 23), "q1"), ("a", _AT, 2, "active", datetime(2025, 4, 14, 20), "q2"),
+         ("a", _AT, 3, "idle", datetime(2025, 4, 1), "q3")],
+        "instance string, snapshot_ts timestamp, pid int, state string, query_start timestamp, query string",
+    )
+    assert [(r["pid"], r["running_micros"]) for r in telemetry.longest_statements(sessions).collect()] == [
+        (2, 4 * 3_600_000_000), (1, 3_600_000_000)]
+
+
 def test_share_of_total_covers_all_statements(spark):
     stats = spark.createDataFrame(
         [("db", _AT, f"q{n:02}", 1, float(n), float(n), float(n)) for n in range(1, 21)],
@@ -49,7 +77,7 @@ def test_bands(spark):
         [("a", _AT, "invoices_1", 95, 5), ("a", _AT, "invoices_2", 85, 15), ("a", _AT, "invoices_3", 70, 30),
          ("a", _AT, "invoices_4", 0, 0), ("a", _AT, "users", 0, 9)],
         "instance string, snapshot_ts timestamp, relname string, n_live_tup long, n_dead_tup long",
-    )
+    ).selectExpr("*", "'public' AS schemaname", "snapshot_ts AS last_vacuum", "CAST(NULL AS TIMESTAMP) AS last_autovacuum")
     assert {r["relname"]: r["status"] for r in telemetry.dead_rows(tables).collect()} == {
         "invoices_1": "healthy", "invoices_2": "monitor", "invoices_3": "investigate", "invoices_4": "healthy",
     }
@@ -57,7 +85,7 @@ def test_bands(spark):
         [("s1", "streaming", "sync", None), ("s2", "streaming", "sync", 3000), ("s3", "streaming", "sync", 9000),
          ("s4", "streaming", "async", None), ("s5", "catchup", "sync", None)],
         "application_name string, state string, sync_state string, replay_lag_ms long",
-    ).selectExpr("'a' AS instance", "current_timestamp() AS snapshot_ts", "*", "10L AS current_lsn", "4L AS replay_lsn")
+    ).selectExpr("'a' AS instance", "current_timestamp() AS snapshot_ts", "*", "10L AS current_lsn", "4L AS replay_lsn", "1L AS write_lag_ms", "2L AS flush_lag_ms")
     assert {r["application_name"]: r["status"] for r in telemetry.replication_health(standbys).collect()} == {
         "s1": "healthy", "s2": "watch", "s3": "investigate", "s4": "not synchronous", "s5": "not streaming",
     }
