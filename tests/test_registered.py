@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from checks import fixtures as fx
+from checks import oracles, queries
 from checks.compare import connect, differences
 from tallyline.operators import reports
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,12 @@ def connection():
 
 def test_each_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
+def test_one_tenants_history_reads_the_ledger_once_and_gathers_no_keys_of_others(spark):
+    plan = plan_of(QUERIES["tenant_invoice_history"](spark, SF))
+    assert plan.count("o_orderkey#") and len(re.findall(r"FileScan parquet \[o_", plan)) == 1
 
 
 @pytest.mark.parametrize("name", QUERIES)
