@@ -41,7 +41,7 @@ PIECE = 8 << 20
 #: Share of the texts looked at for very frequent keys, and how often such a key occurs among them.
 SAMPLE, FREQUENT, KEYS = 0.01, 200, 10_000
 #: Suffixes merged at once; a larger group is dealt by more of its bytes.
-MERGED, SPLIT = 8_192, 4_096
+MERGED, SPLIT, PARTS = 8_192, 4_096, 4
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -295,10 +295,41 @@ def _anchored(rows: DataFrame, length: int, reach: int, share: float, times: int
             .mapInArrow(lambda it: _flags(it, frequent.value), "row long, at long, key long, right long, left long, long boolean, full boolean"))
 
 
+def _with_points(rows: DataFrame, contexts: DataFrame, columns: list[str]) -> DataFrame:
+    """(row, packed, points): the texts that have any of the contexts, with these as an array."""
+    points = contexts.groupBy("row").agg(F.collect_list(F.struct(*columns)).alias("points"))
+    return _packed(rows, ["row"]).join(points, "row")
+
+
+def _parted(rows: DataFrame, contexts: DataFrame, length: int, reach: int) -> DataFrame:
+    """Contexts of very large groups, dealt by more of their bytes: (unit, row, at, low, high).
+
+    Windows that start between ``low`` and ``high`` bytes before an anchor have all but some thirty bytes in common,
+    whose hash is their new group. Contexts alone in theirs are done.
+    """
+    step = -(-reach // PARTS)
+
+    def part(r: dict) -> dict:
+        out: dict[str, list] = {k: [] for k in ("unit", "row", "at", "low", "high")}
+        for row, packed, points in zip(r["row"], r["packed"], r["points"], strict=True):
+            raw = memoryview(_unpacked(packed))
+            for p in points:
+                for low in range(0, reach, step):
+                    high = min(low + step, reach) - 1
+                    a = p["at"]
+                    if a >= low and a - high + length <= len(raw):
+                        for k, v in zip(out, (_hash(raw[a - low:a - high + length]), row, a, low, high), strict=True):
+                            out[k].append(v)
+        return out
+
+    found = per_slice(_with_points(rows, contexts, ["at"]), "unit long, row long, at long, low int, high int", part, rows=128)
+    return saved(found, "parts")
+
+
 def _fetched(rows: DataFrame, contexts: DataFrame, length: int, reach: int) -> DataFrame:
     """The shards' transforms: (shard, rank, unit, row, at, before, after), ranks in suffix order within a unit.
 
-    Of anchors in large groups come the hashes of their windows instead: (unit, row, at) without bytes.
+    Of contexts marked ``split`` come the hashes of their windows instead: (unit, row, at) without bytes.
     """
     names = ("unit", "row", "at", "before", "after")
 
@@ -308,18 +339,17 @@ def _fetched(rows: DataFrame, contexts: DataFrame, length: int, reach: int) -> D
             raw = memoryview(_unpacked(packed))
             for p in points:
                 a = p["at"]
-                if p["large"]:
-                    starts = range(max(0, a - reach + 1), min(a, len(raw) - length) + 1)
+                if p["split"]:
+                    starts = range(max(0, a - p["high"]), min(a - p["low"], len(raw) - length) + 1)
                     found += [(_hash(raw[x:x + length]), row, x, None, None) for x in starts]
                 else:
-                    found.append((p["key"], row, a, bytes(raw[max(0, a - reach + 1):a]), bytes(raw[a:a + length])))
+                    found.append((p["unit"], row, a, bytes(raw[max(0, a - reach + 1):a]), bytes(raw[a:a + length])))
         found.sort(key=lambda x: (x[0], x[4] or b""))
         columns = zip(*found, strict=True) if found else ((),) * 5
         shard = r["row"][0] if r["row"] else 0
         return {"shard": [shard] * len(found), "rank": list(range(len(found))), **dict(zip(names, map(list, columns), strict=True))}
 
-    points = contexts.groupBy("row").agg(F.collect_list(F.struct("at", "key", "large")).alias("points"))
-    joined = _packed(rows, ["row"]).join(points, "row")
+    joined = _with_points(rows, contexts, ["at", "unit", "low", "high", "split"])
     return per_slice(joined, "shard long, rank int, unit long, row long, at long, before binary, after binary", fetch, rows=128)
 
 
@@ -344,11 +374,16 @@ def covered(rows: DataFrame, length: int = LENGTH, reach: int = REACH, share: fl
     placed = saved(placed.withColumn("open", ~F.col("full") & ~(F.col("long") & (F.col("island") <= behind)))
                    .select("row", "at", "key", "right", "left", "low", "high", "open"), "stretches")
 
-    # Every context of a group with something open, once; very large groups go by their windows' hashes.
+    # Every context of a group with something open, once; very large groups are dealt again, by more of their bytes.
     contexts = saved(placed.join(placed.where("open").select("key").distinct(), "key", "left_semi").dropDuplicates(["key", "right", "left"])
-                     .select("row", "at", "key"), "contexts")
-    large = contexts.groupBy("key").agg((F.count(F.lit(1)) > SPLIT).alias("large"))
-    fetched = saved(_fetched(rows, contexts.join(large, "key"), length, reach), "suffixes")
+                     .select("row", "at", F.col("key").alias("unit")), "contexts")
+    members = contexts.groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
+    counted = contexts.join(members, "unit")
+    small = counted.where(F.col("n") <= SPLIT).select("row", "at", "unit", F.lit(0).alias("low"), F.lit(reach - 1).alias("high"), F.lit(False).alias("split"))
+    parts = _parted(rows, counted.where(F.col("n") > SPLIT), length, reach)
+    shared = parts.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    large = parts.join(shared, "unit").select("row", "at", "unit", "low", "high", (F.col("n") > SPLIT).alias("split"))
+    fetched = saved(_fetched(rows, small.unionByName(large), length, reach), "suffixes")
     windows = fetched.where("after is null").select("unit", "row", "at").distinct()
     twice = windows.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     by_hash = windows.join(twice, "unit", "left_semi").select("row", F.col("at").alias("low"), (F.col("at") + length).alias("high"))
