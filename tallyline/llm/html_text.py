@@ -10,17 +10,20 @@ menus, headers, footers, sidebars, notices, adverts, forms or comments go as wel
 from __future__ import annotations
 
 import re
+import zlib
 from html import unescape
 from urllib.parse import urlsplit
 
-import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import per_slice, saved
 
 SHARE, LEAST = 0.5, 4
+#: Largest hosts whose pages are dealt over several tasks, and how many pages a task then has.
+LARGE, PART_PAGES = 1_000, 1_000
 
 # Fixed lists of HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -170,10 +173,10 @@ def host(url: str | None) -> str:
         return ""
 
 
-def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """(host, template): the subtree hashes that recur across a host's pages.
+def subtree_counts(pages: DataFrame, least: int = LEAST) -> DataFrame:
+    """(host, hash, n): on how many pages of its host each subtree hash stands, if on ``least`` at least; without a
+    hash, how many pages the host has.
 
-    At most ``1 / share`` times the subtrees of a page for a host, however many pages it has.
     Tasks count first, so that a host with a third of all pages arrives as one row a task and hash.
     """
     def run(rows: dict) -> dict:
@@ -186,9 +189,16 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> Dat
         return out
 
     counted = per_slice(_pages(pages), "host string, hash long", run).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    often = saved(counted.where(F.col("hash").isNull() | (F.col("n") >= least)), "subtree-counts")
-    total = often.where("hash is null").select("host", F.col("n").alias("pages"))
-    return (often.where("hash is not null").join(total, "host").where(F.col("n") >= share * F.col("pages"))
+    return saved(counted.where(F.col("hash").isNull() | (F.col("n") >= least)), "subtree-counts")
+
+
+def templates(counts: DataFrame, share: float = SHARE) -> DataFrame:
+    """(host, template): the subtree hashes that recur across a host's pages.
+
+    At most ``1 / share`` times the subtrees of a page for a host, however many pages it has.
+    """
+    total = counts.where("hash is null").select("host", F.col("n").alias("pages"))
+    return (counts.where("hash is not null").join(total, "host").where(F.col("n") >= share * F.col("pages"))
             .groupBy("host").agg(F.collect_list("hash").alias("template")))
 
 
@@ -200,18 +210,32 @@ def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataF
     """page_id, url, text and n_chars (code points) of every page, repeated rows included.
 
     A null or empty page has an empty text; a page whose url names no host shares the host "".
-    Other columns of ``pages`` are ignored.
+    Other columns of ``pages`` are ignored. Pages meet their host's template compressed; those of the ``LARGE`` largest hosts
+    are dealt over as many parts as they have thousands of pages, each with a copy of the template.
     """
-    @F.pandas_udf("string")
-    def host_of(urls: pd.Series) -> pd.Series:
-        return urls.map(host)
+    spark = pages.sparkSession
+    counts = subtree_counts(pages, least)
+    largest = counts.where("hash is null").orderBy(F.desc("n"), "host").limit(LARGE).collect()
+    parts = {r.host: -(-r.n // PART_PAGES) for r in largest if r.n > PART_PAGES}
+
+    def pack(rows: dict) -> dict:
+        press = zstandard.ZstdCompressor(level=3)
+        hosts = [host(u) for u in rows["url"]]
+        packed = [press.compress(h.encode("utf-8", "surrogatepass")) for h in rows["html"]]
+        return {"page_id": rows["page_id"], "url": rows["url"], "host": hosts, "packed": packed,
+                "part": [zlib.crc32(f"{i} {len(p)}".encode()) % parts.get(h, 1) for i, h, p in zip(rows["page_id"], hosts, packed, strict=True)]}
 
     def run(rows: dict) -> dict:
-        new = [parse(h, frozenset(t or ())) for h, t in zip(rows["html"], rows["template"], strict=True)]
+        press = zstandard.ZstdDecompressor()
+        new = [parse(press.decompress(p).decode("utf-8", "surrogatepass"), frozenset(t or ()))
+               for p, t in zip(rows["packed"], rows["template"], strict=True)]
         return {"page_id": rows["page_id"], "url": rows["url"], "text": new, "n_chars": [len(t) for t in new]}
 
-    found = templates(pages, share, least)
-    hosted = _pages(pages).withColumn("host", host_of("url"))
     key = pages.schema["page_id"].dataType.simpleString()
-    return per_slice(hosted.join(found, "host", "left").select("page_id", "url", "html", "template"),
+    hosted = per_slice(_pages(pages), f"page_id {key}, url string, host string, packed binary, part int", pack)
+    # At most LARGE rows.
+    split = F.broadcast(spark.createDataFrame(sorted(parts.items()), "host string, parts int"))
+    found = (templates(counts, share).join(split, "host", "left")
+             .select("host", "template", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")))
+    return per_slice(hosted.join(found, ["host", "part"], "left").select("page_id", "url", "packed", "template"),
                      f"page_id {key}, url string, text string, n_chars long", run)
