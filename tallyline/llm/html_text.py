@@ -1,7 +1,8 @@
 """Operator 9, main text of web pages by removing what a site repeats.
 
-Every element's subtree is hashed; Spark counts on how many pages of its host each hash stands,
+Every element's subtree is hashed; Spark counts on how many different pages of its host each hash stands,
 and a subtree on at least ``SHARE`` of a host's pages (and ``LEAST`` of them) is template and goes.
+Pages of equal main text are copies of one page and count once. What holds an article is never template.
 Text blocks inside an article never count as template: a sentence may recur without being one.
 A host of few pages shows no repetition, so elements that by their name, role or class are
 menus, headers, footers, sidebars, notices, adverts, forms or comments go as well.
@@ -37,6 +38,8 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
         "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 #: An implied end never reaches beyond these.
 SCOPE = frozenset("table ul ol dl article main section body html div blockquote td th".split())
+#: Never template, nor is what holds an article or main element.
+KEPT = frozenset("body html article main".split())
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tr td th tbody thead figure figcaption".split())
 DROPPED = frozenset("head script style noscript template iframe title nav footer aside form button select textarea menu dialog "
                     "svg object canvas noembed noframes xmp math audio video".split())
@@ -54,11 +57,12 @@ _SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "inside", "dropped", "parts", "first", "marks")
+    __slots__ = ("tag", "inside", "dropped", "parts", "first", "marks", "holds")
 
     def __init__(self, tag: str, inside: bool, dropped: bool, marks: str, first: int):
         self.tag, self.inside, self.dropped, self.marks, self.first = tag, inside, dropped, marks, first
         self.parts: list[str] = []
+        self.holds = tag in KEPT  # whether it is or has an article or main element
 
 
 def _is_aside(tag: str, attrs: str, inside: bool) -> tuple[bool, str]:
@@ -94,11 +98,12 @@ def parse(html: str, template: frozenset[int] = frozenset(), hashes: list | None
         else:
             flush()
             value = xxhash.xxh3_64_intdigest(f"{element.tag}|{element.marks}|{''.join(element.parts)}") - (1 << 63)
-            if hashes is not None and element.tag not in ("body", "html", "article", "main"):
+            if hashes is not None and not element.holds:
                 hashes.append(value)
-            if value in template and element.tag not in ("body", "html", "article", "main"):
+            if value in template and not element.holds:
                 del blocks[element.first:]
             digest = f"#{value}"
+        stack[-1].holds |= element.holds
         stack[-1].parts.append(digest)
 
     def end(tag: str) -> None:
@@ -174,26 +179,32 @@ def host(url: str | None) -> str:
 
 
 def subtree_counts(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """(host, hash, n): on how many pages of its host each subtree hash stands, if on ``least`` at least; without a
-    hash, how many pages the host has.
+    """(host, hash, n): on how many different pages of its host each subtree hash stands, if on ``least`` at least; without
+    a hash, how many different pages the host has. Pages of equal main text, before templates go, are one page.
 
-    Tasks count first, so that a host with a third of all pages arrives as one row a task and hash.
+    Copies go first, dealt by host, hash and page, then tasks count: a host with a third of all pages arrives as one row
+    a task and hash.
     """
     def run(rows: dict) -> dict:
-        out: dict[str, list] = {"host": [], "hash": []}
+        out: dict[str, list] = {"host": [], "hash": [], "page": []}
+        seen = set()
         for url, html in zip(rows["url"], rows["html"], strict=True):
-            parse(html, hashes=(own := []))
-            found = {*own, None}  # the null row counts the page itself
-            out["host"] += [host(url)] * len(found)
-            out["hash"] += found
+            page = xxhash.xxh3_64_intdigest(parse(html, hashes=(own := [])).encode("utf-8", "surrogatepass")) - (1 << 63)
+            name = host(url)
+            for value in {*own, None}:  # the null row counts the page itself
+                if (name, value, page) not in seen:
+                    seen.add((name, value, page))
+                    for column, x in zip(out.values(), (name, value, page), strict=True):
+                        column.append(x)
         return out
 
-    counted = per_slice(_pages(pages), "host string, hash long", run).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+    once = per_slice(_pages(pages), "host string, hash long, page long", run).distinct()
+    counted = once.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
     return saved(counted.where(F.col("hash").isNull() | (F.col("n") >= least)), "subtree-counts")
 
 
 def templates(counts: DataFrame, share: float = SHARE) -> DataFrame:
-    """(host, template): the subtree hashes that recur across a host's pages.
+    """(host, template): the subtree hashes that recur across a host's different pages.
 
     At most ``1 / share`` times the subtrees of a page for a host, however many pages it has.
     """
@@ -215,7 +226,8 @@ def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataF
     """
     spark = pages.sparkSession
     counts = subtree_counts(pages, least)
-    largest = counts.where("hash is null").orderBy(F.desc("n"), "host").limit(LARGE).collect()
+    named = per_slice(pages.select("url"), "host string", lambda r: {"host": [host(u) for u in r["url"]]})
+    largest = named.groupBy("host").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "host").limit(LARGE).collect()
     parts = {r.host: -(-r.n // PART_PAGES) for r in largest if r.n > PART_PAGES}
 
     def pack(rows: dict) -> dict:

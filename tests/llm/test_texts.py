@@ -148,6 +148,20 @@ def test_what_a_site_repeats_goes(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    wrapped = "<body><div id=content><article><div class=entry><p>story</p><p>end</p></div></article></div></body>"
+    plain = "<body><div id=content><p>story</p></div></body>"
+    pages = [(k, f"http://a.example/?v={k}", wrapped) for k in range(6)] + [(k, "http://b.example/", plain) for k in range(6)]
+    pages += [(10 + k, "http://a.example/x", f"<body><nav>{k}</nav>{wrapped}") for k in range(6)]
+    got = html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert len(got) == 18 and {r.text for r in got} == {"story\nend", "story"}
+    # A listing that stands on pages of different main text keeps its article as well.
+    teaser = "<body><div><article><p>news</p></article></div><main><p>page {}</p></main></body>"
+    shared = [(k, "http://c.example/", teaser.format(k)) for k in range(8)]
+    got = html_text.extract(spark.createDataFrame(shared, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got} == {f"news\npage {k}" for k in range(8)}
+
+
 # --- classifiers -----------------------------------------------------------------------------------
 
 
