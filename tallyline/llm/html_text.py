@@ -5,7 +5,8 @@ and a subtree on at least ``SHARE`` of a host's pages (and ``LEAST`` of them) is
 Pages of equal main text are copies of one page and count once. What holds an article is never template.
 Text blocks inside an article never count as template: a sentence may recur without being one.
 A host of few pages shows no repetition, so elements that by their name, role or class are
-menus, headers, footers, sidebars, notices, adverts, forms or comments go as well.
+menus, headers, footers, sidebars, notices, adverts, forms or comments go as well. Names never take
+a page's only article or main element, be it on that element or around it.
 """
 
 from __future__ import annotations
@@ -49,10 +50,17 @@ MARKS = frozenset(
     "disqus footer gdpr menu modal nav navbar navigation newsletter notice notices popup promo promotion related replies "
     "share sharing sidebar social sponsor sponsored subscribe widget".split())
 
+#: A mark may stand behind one of these, as in site-footer.
+PLACES = frozenset("bottom global main page primary secondary site top".split())
+#: Behind a mark these tell of a state or layout of the page (nav-open, sidebar-left), not what the element is.
+STATES = frozenset(
+    "active bottom closed collapsed disabled enabled expanded fixed free hidden inactive layout left none off on open opened "
+    "present right shown sticky top visible".split())
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_WORD = re.compile(r"[a-z]+")
+_PART = re.compile(r"[-_:]+")
 _SPACE = re.compile(r"\s+")
 
 
@@ -65,30 +73,47 @@ class Element:
         self.holds = tag in KEPT  # whether it is or has an article or main element
 
 
-def _is_aside(tag: str, attrs: str, inside: bool) -> tuple[bool, str]:
-    """Whether an element is no main text by itself, and what its hash says of its attributes."""
+def _is_mark(name: str, is_id: bool) -> bool:
+    """Whether a whole class name or id is a mark, begins with one (sidebar-inner) or is one with its place (site-footer)."""
+    head, *rest = [w for w in _PART.split(name) if w] or [""]
+    head = head.rstrip("0123456789")
+    if not rest:
+        return head in MARKS
+    if head in PLACES:
+        return len(rest) == 1 and rest[0] in MARKS
+    return head in MARKS and (is_id or rest[-1] not in STATES)
+
+
+def _is_aside(tag: str, attrs: str, inside: bool) -> tuple[bool, bool, str]:
+    """Whether an element is no main text by its tag or role, whether by its names, and what its hash says of its attributes."""
     if tag in DROPPED or tag == "header" and not inside:
-        return True, ""
+        return True, False, ""
     if not attrs or tag in ("html", "body"):
-        return False, ""
+        return False, False, ""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTR.finditer(attrs)}
-    words = set(_WORD.findall(f"{found.get('class', '')} {found.get('id', '')}"))
-    return found.get("role") in ROLES or bool(words & MARKS), f"{found.get('class', '')}|{found.get('id', '')}"
+    named = tag not in KEPT and (any(_is_mark(c, False) for c in found.get("class", "").split()) or _is_mark(found.get("id", ""), True))
+    return found.get("role") in ROLES, named, f"{found.get('class', '')}|{found.get('id', '')}"
 
 
-def parse(html: str, template: frozenset[int] = frozenset(), hashes: list | None = None) -> str:
+def parse(html: str, template: frozenset[int] = frozenset(), hashes: list | None = None, lifted: frozenset[int] = frozenset()) -> str:
     """The main text of a page; ``hashes`` gets the hashes of subtrees that may be template.
 
     Blocks are kept with whether they stand inside an article or main element; if any does, only
-    those count. A subtree whose hash is in ``template`` is taken out once its end is seen.
+    those count. A subtree whose hash is in ``template`` is taken out once its end is seen. Where all
+    articles stand in elements dropped by name, the page is parsed again with these names ``lifted``.
     """
+    named: dict[int, Element] = {}  # elements dropped by name, by where their tag ends
+    around: set[int] = set()  # those that hold an article or main element
+    free = False  # whether there is text in an article outside of them
     blocks: list[tuple[bool, str]] = []
     text: list[str] = []
     stack = [Element("", False, False, "", 0)]
 
     def flush() -> None:
+        nonlocal free
         if text:
             if joined := _SPACE.sub(" ", unescape("".join(text))).strip():
+                free |= stack[-1].inside
                 blocks.append((stack[-1].inside, joined))
             text.clear()
 
@@ -148,8 +173,13 @@ def parse(html: str, template: frozenset[int] = frozenset(), hashes: list | None
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
             continue
         inside = stack[-1].inside or tag in ("article", "main")
-        aside, marks = _is_aside(tag, m[3], stack[-1].inside)
-        stack.append(Element(tag, inside, stack[-1].dropped or aside, marks, len(blocks)))
+        aside, by_name, marks = _is_aside(tag, m[3], stack[-1].inside)
+        by_name &= at not in lifted
+        if named and inside and not stack[-1].inside:
+            around.update(k for k, e in named.items() if e in stack)
+        stack.append(Element(tag, inside, stack[-1].dropped or aside or by_name, marks, len(blocks)))
+        if by_name:
+            named[at] = stack[-1]
         if tag in RAW:
             over = html.lower().find(f"</{tag}", at) if tag not in ("script", "style") else _raw_end(html, tag, at)
             over = n if over < 0 else over
@@ -159,6 +189,10 @@ def parse(html: str, template: frozenset[int] = frozenset(), hashes: list | None
         flush()
         close(stack.pop())
     flush()
+    if around and not free:
+        if hashes is not None:
+            hashes.clear()
+        return parse(html, template, hashes, lifted | around)
     main = any(inside for inside, _ in blocks)
     return "\n".join(b for inside, b in blocks if inside or not main)
 

@@ -162,6 +162,21 @@ def test_copies_of_a_page_are_no_template(spark):
     assert {r.text for r in got} == {f"news\npage {k}" for k in range(8)}
 
 
+def test_names_do_not_take_articles():
+    story = "<p>story</p><div class=comments><article class=comment><p>reader</p></article></div>"
+    for start in ("div class='content has-sidebar'", "div class='wrapper nav-open'", "div id=sidebar class=widget", "app-root class=modal"):
+        assert html_text.parse(f"<body><{start}><article class='post category-social'>{story}</article></{start.split()[0]}>") == "story"
+    assert html_text.parse(f"<main class='no-comments'>{story}</main>") == "story"
+    for start in ("content has-sidebar", "wrapper nav-open", "post category-social", "no-comments", "container sidebar-left"):
+        assert html_text.parse(f"<div class='{start}'><p>story</p></div>") == "story"
+    for start in ("class=sidebar-inner", "class='box ad'", "id=sidebar-left", "class='x site-footer'", "class=ad_300", "class=ad2"):
+        assert html_text.parse(f"<p>story</p><div {start}><p>aside</p></div>") == "story"
+    assert html_text.parse("<article>a</article><div class=related><article>b</article></div>") == "a"
+    hashes = []
+    html_text.parse("<div class=sidebar><div>x</div><main><div>y</div></main></div>", hashes=hashes)
+    assert len(hashes) == 2
+
+
 # --- classifiers -----------------------------------------------------------------------------------
 
 
