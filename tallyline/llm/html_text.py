@@ -1,7 +1,8 @@
 """Operator 9, main text of web pages by removing what a site repeats.
 
 Every element's subtree is hashed; Spark counts on how many different pages of its host each hash stands,
-and a subtree on at least ``SHARE`` of a host's pages (and ``LEAST`` of them) is template and goes.
+and a subtree on ``LEAST`` of them, more on a host of over forty pages and ``MANY`` on one of any size, is template and goes.
+List items and table cells recur as data, so they must stand on ``SHARE`` of a host's pages.
 Pages of equal main text are copies of one page and count once. What holds an article is never template.
 Text blocks inside an article never count as template: a sentence may recur without being one.
 A host of few pages shows no repetition, so elements that by their name, role or class are
@@ -16,6 +17,7 @@ import zlib
 from html import unescape
 from urllib.parse import urlsplit
 
+import numpy as np
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -24,6 +26,9 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import per_slice, saved
 
 SHARE, LEAST = 0.5, 4
+#: What must recur is a tenth of a host's different pages, but never more than so many.
+TENTH, MANY = 0.1, 100
+ITEMS = frozenset("li dt dd tr td th".split())
 #: Largest hosts whose pages are dealt over several tasks, and how many pages a task then has.
 LARGE, PART_PAGES = 1_000, 1_000
 
@@ -122,7 +127,8 @@ def parse(html: str, template: frozenset[int] = frozenset(), hashes: list | None
             digest = f"<{element.tag}{element.marks}>" + "".join(element.parts)
         else:
             flush()
-            value = xxhash.xxh3_64_intdigest(f"{element.tag}|{element.marks}|{''.join(element.parts)}") - (1 << 63)
+            # The last bit tells items from others.
+            value = (xxhash.xxh3_64_intdigest(f"{element.tag}|{element.marks}|{''.join(element.parts)}") - (1 << 63)) & ~1 | (element.tag in ITEMS)
             if hashes is not None and not element.holds:
                 hashes.append(value)
             if value in template and not element.holds:
@@ -237,14 +243,18 @@ def subtree_counts(pages: DataFrame, least: int = LEAST) -> DataFrame:
     return saved(counted.where(F.col("hash").isNull() | (F.col("n") >= least)), "subtree-counts")
 
 
-def templates(counts: DataFrame, share: float = SHARE) -> DataFrame:
-    """(host, template): the subtree hashes that recur across a host's different pages.
+def templates(counts: DataFrame, share: float = SHARE, many: int = MANY) -> DataFrame:
+    """(host, template): the subtree hashes that recur across a host's different pages, packed as 64-bit numbers.
 
-    At most ``1 / share`` times the subtrees of a page for a host, however many pages it has.
+    At most ``1 / many`` of a large host's subtrees, or ten times those of a page.
     """
+    def pack(rows: dict) -> dict:
+        return {"host": rows["host"], "template": [np.array(t, np.int64).tobytes() for t in rows["template"]]}
+
     total = counts.where("hash is null").select("host", F.col("n").alias("pages"))
-    return (counts.where("hash is not null").join(total, "host").where(F.col("n") >= share * F.col("pages"))
-            .groupBy("host").agg(F.collect_list("hash").alias("template")))
+    least = F.when(F.col("hash").bitwiseAND(1) == 1, share * F.col("pages")).otherwise(F.least(F.lit(float(many)), TENTH * F.col("pages")))
+    found = counts.where("hash is not null").join(total, "host").where(F.col("n") >= least)
+    return per_slice(found.groupBy("host").agg(F.collect_list("hash").alias("template")), "host string, template binary", pack)
 
 
 def _pages(pages: DataFrame) -> DataFrame:
@@ -273,7 +283,8 @@ def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataF
 
     def run(rows: dict) -> dict:
         press = zstandard.ZstdDecompressor()
-        new = [parse(press.decompress(p).decode("utf-8", "surrogatepass"), frozenset(t or ()))
+        known = {t: frozenset(np.frombuffer(t or b"", np.int64).tolist()) for t in set(rows["template"])}
+        new = [parse(press.decompress(p).decode("utf-8", "surrogatepass"), known[t])
                for p, t in zip(rows["packed"], rows["template"], strict=True)]
         return {"page_id": rows["page_id"], "url": rows["url"], "text": new, "n_chars": [len(t) for t in new]}
 

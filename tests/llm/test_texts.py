@@ -162,6 +162,16 @@ def test_copies_of_a_page_are_no_template(spark):
     assert {r.text for r in got} == {f"news\npage {k}" for k in range(8)}
 
 
+def test_template_of_a_part_of_a_host_goes(spark):
+    layout = "<body><div class=l{0}><p>hello from {0}</p></div><section><p>{1}</p><table><tr><td>kg<td>{1}</table></section><div>join {0}</div></body>"
+    pages = [(k, "http://a.example/", layout.format(k % 3, f"text {k}")) for k in range(30)]
+    pages += [(100 + k, "http://b.example/", f"<p>text {k}</p>" + "<div>far and wide</div>" * (k < 110) + "<ul><li>salt</ul>" * (k < 3)
+               + f"<ul><li>pepper<li>{k}</ul>" * (k % 5 == 0)) for k in range(1200)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"text {k}\ntext {k}" for k in range(30))
+    assert got[101] == "text 1\nsalt" and got[111] == "text 11" and got[105] == "text 5\npepper\n5" and got[300] == "text 200\npepper\n200"
+
+
 def test_names_do_not_take_articles():
     story = "<p>story</p><div class=comments><article class=comment><p>reader</p></article></div>"
     for start in ("div class='content has-sidebar'", "div class='wrapper nav-open'", "div id=sidebar class=widget", "app-root class=modal"):
