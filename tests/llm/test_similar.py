@@ -121,6 +121,22 @@ def test_contamination_within_the_distance_is_found_and_nothing_else(spark):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - dirty
 
 
+def test_edits_of_the_rarest_words_hide_no_item():
+    """A fifth of the words changed, those first that the fewest items have and that are longest."""
+    items = [(k, prose(n)) for k, n in enumerate(rng.choices(range(6, 90), k=60))]
+    spread = [x for _, t in items for x in set(t.split())]
+    index, texts = decontamination.Index(items), []
+    for _, t in items:
+        w = t.split()
+        starts = sorted(range(len(w)), key=lambda o, w=w: (spread.count(w[o]), -len(w[o]), o))
+        for n, o in enumerate(starts[:len(w) // 5]):
+            w[o] = f"changed{n}"
+        texts += [f"{prose(30)} {' '.join(w)} {prose(30)}", " ".join(w)]
+    for n, found in enumerate(index.matches(texts)):
+        k, want = n // 2, brute.edit_distance(brute.words(items[n // 2][1]), brute.words(texts[n]))
+        assert found[k][0] == want <= int(0.2 * len(items[k][1].split()))
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")
