@@ -16,12 +16,16 @@ run of words more than it may have edits, of which one at least stands unchanged
 every position of every text is looked up among these runs, and what is found is verified the
 same way. Together nothing within the distance is missed; the walks alone promise no recall.
 
+Words stand between white space; in scripts that write none between words, each character is a word.
+Items of fewer than ``LEAST_WORDS`` words are searched as they are, without edits.
+
 Items are searched in blocks of at most ``BLOCK``, which bounds what is sent to the workers; every
 block sees every text.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -33,7 +37,7 @@ from tallyline.llm.common import per_slice, texts
 from tallyline.llm.jaccard_join import _mixed, word_hashes
 
 DISTANCE = 0.2
-#: Items of fewer words are no evidence and are not searched.
+#: Items of fewer words must stand unchanged.
 LEAST_WORDS = 6
 STARTS = 5
 WALKS, BITS = 24, 3
@@ -43,9 +47,18 @@ BLOCK = 20_000
 _END = np.uint64(0x5851F42D4C957F2D)
 
 
+#: Thai, Lao, Burmese, Khmer, Chinese and Japanese, with their signs.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+                       "\uf900-\ufaff\uff01-\uff9f\U00020000-\U0003ffff])")
+
 _WALK_SEEDS = _mixed(np.arange(1, WALKS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def spaced(text: str) -> str:
+    """A text with white space around each character of a script that has none between words."""
+    return text if text.isascii() else _UNSPACED.sub(r" \1 ", text)
+
+
 def _samples(size: int) -> np.ndarray:
     """For each walk the steps whose outputs make its key; never the first, where windows stand on the same word anyway."""
     last = max(3, 3 * size // 2)
@@ -103,12 +116,14 @@ class Index:
 
     def __init__(self, items: list[tuple[object, str]], share: float = DISTANCE):
         self.share = share
-        kept = [(i, t, w) for i, t in items if len(w := word_hashes(t)) >= LEAST_WORDS]
+        kept = [(i, t, w) for i, t in ((i, spaced(t)) for i, t in items) if len(w := word_hashes(t))]
         self.items = [(i, w) for i, _, w in kept]
         spread = Counter(x for _, w in self.items for x in np.unique(w).tolist())
         by_size: dict[int, list[tuple[int, int]]] = defaultdict(list)
         anchors: dict[int, set[int]] = defaultdict(set)
         for k, (_, text, words) in enumerate(kept):
+            if len(words) < LEAST_WORDS:
+                continue
             # Starting words with most of the item after them; a repeated word counts once. Long words are rare in texts, too.
             room = max(len(words) // 2, len(words) - SIZES[-1])
             length = [len(x) for x in text.lower().split()]
@@ -142,7 +157,8 @@ class Index:
 
     def allowed(self, k: int) -> int:
         """How many words of an item may be changed."""
-        return int(self.share * len(self.items[k][1]))
+        n = len(self.items[k][1])
+        return int(self.share * n) if n >= LEAST_WORDS else 0
 
     def unchanged(self, words: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """As ``candidates``, of texts and items that have a run of words in common."""
@@ -174,7 +190,7 @@ class Index:
 
     def matches(self, texts: list[str]) -> list[dict[int, tuple[int, int]]]:
         """Items found in each text: number of the item to (least distance, last word of that stretch)."""
-        each = [word_hashes(t) for t in texts]
+        each = [word_hashes(spaced(t)) for t in texts]
         ends = np.cumsum([len(w) for w in each])
         words = np.concatenate([*each, np.array([_END])])
         found: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
@@ -196,7 +212,7 @@ class Index:
 
 
 def _blocks(benchmark: DataFrame, share: float, block: int) -> Iterator[Index]:
-    """Indexes of the benchmark's items, block after block; null and short texts are left out."""
+    """Indexes of the benchmark's items, block after block; null and empty texts are left out."""
     rows = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).where("text <> ''")
     held: list[tuple[object, str]] = []
     for r in rows.toLocalIterator():

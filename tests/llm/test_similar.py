@@ -137,6 +137,16 @@ def test_edits_of_the_rarest_words_hide_no_item():
         assert found[k][0] == want <= int(0.2 * len(items[k][1].split()))
 
 
+def test_short_items_and_items_without_spaces_are_searched():
+    chinese, thai = "一个农夫有十七只羊，除了九只以外都死了，还剩几只？", "ชาวนามีแกะสิบเจ็ดตัวตายไปเหลือเก้าตัว"
+    items = [(0, "Two words"), (1, "one"), (2, chinese), (3, thai), (4, "five words stand right here"), (5, " "), (6, "羊")]
+    texts = ["those two WORDS here", "two other words", f"前言。{chinese}后记", f"前言{chinese.replace('农夫', '牧民')}", chinese[:9], f"x{thai}x",
+             "five words stand right there", "so five words stand right here", "", "no one"]
+    index = decontamination.Index(items)
+    found = [{index.items[k][0]: d for k, (d, _) in m.items()} for m in index.matches(texts)]
+    assert found == [{0: 0}, {}, {2: 0, 6: 0}, {2: 2, 6: 0}, {6: 0}, {3: 0}, {}, {4: 0}, {}, {1: 0}]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")
