@@ -272,18 +272,26 @@ def _late_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A month waits in the quarantine; of every fifth row the table has it, and the quarantine holds another amount."""
+    """A month waits in the quarantine; of every fifth row the table has it, and the quarantine holds another amount.
+
+    All other months stand in both places. What recovery has changed of them comes out as well: no row, if it is right.
+    """
     root, schema = scratch_dir(spark, "conflicts"), schema_of("invoices", fx.KEY)
     path, quarantine = f"{root}/invoices", f"{root}/invoices_default"
-    rows = fx.invoices(spark, sf_dir).where("date_format(created_at, 'yyyy-MM') = '1996-03'")
-    write_monthly(rows.where("id % 5 = 0"), "created_at", path)
-    write_monthly(rows.withColumn("amount_cents", F.col("amount_cents") + F.when(F.col("id") % 5 == 0, 1).otherwise(0)), "created_at", quarantine)
+    rows = fx.invoices(spark, sf_dir)
+    at_hand = F.coalesce(F.date_format("created_at", "yyyy-MM") == "1996-03", F.lit(False))
+    waiting = rows.withColumn("amount_cents", F.col("amount_cents") + F.when(F.col("id") % 5 == 0, 1).otherwise(0))
+    write_monthly(rows.where(~at_hand | (F.col("id") % 5 == 0)), "created_at", path)
+    write_monthly(waiting, "created_at", quarantine)
     for _ in range(2):
         ledger.recover_default(spark, path, quarantine, "1996-03", "created_at", schema)
-    held = [(path, "ledger"), (quarantine, "quarantine")]
-    return reduce(DataFrame.unionByName, [
-        read_monthly(spark, p, schema).select("id", "amount_cents", F.lit(place).alias("place")) for p, place in held
-    ])
+    parts = []
+    for p, place, before in [(path, "ledger", rows), (quarantine, "quarantine", waiting)]:
+        held, before = read_monthly(spark, p, schema).select(*rows.columns), before.where(~at_hand)
+        others = held.where(~at_hand)
+        for df in (held.where(at_hand), others.exceptAll(before), before.exceptAll(others)):
+            parts.append(df.select("id", "amount_cents", F.lit(place).alias("place")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _month_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

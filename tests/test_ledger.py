@@ -2,6 +2,7 @@
 
 import pytest
 
+from checks import lake_queries
 from tallyline import scratch_dir
 from tallyline.functions import month_range, shift_month
 from tallyline.operators import ledger, lookups
@@ -163,3 +164,15 @@ def test_lookups(t):
     assert ids(lookups.plan_changes_of(t.plan_change_events, subscription_id="s4")) == {"c1"}
     left = {(r["plan_name"], r["status"]): r["subscriptions"] for r in lookups.plan_subscribers(t.plans, t.subscriptions).collect()}
     assert left["team-2019", None] == 0 and left["team", "cancelled"] == 2
+
+
+def test_recovery_query_shows_changes_of_other_months(spark, monkeypatch):
+    query, recover = lake_queries.LAKE["recover_default_conflicts"], ledger.recover_default
+    right = query(spark, "/root/testdata/sf0.001").count()
+
+    def too_much(spark, path, quarantine, *rest):
+        delete_path(spark, f"{quarantine}/month=1996-04")
+        return recover(spark, path, quarantine, *rest)
+
+    monkeypatch.setattr(ledger, "recover_default", too_much)
+    assert query(spark, "/root/testdata/sf0.001").count() > right > 0
