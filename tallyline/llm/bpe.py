@@ -5,10 +5,11 @@ space and never joins across it, so a text's ids are its words' ids in order of
 
 ``word_table`` counts words over all documents in Spark and encodes each frequent one once;
 its most frequent ``head`` words (a bound on rows and, by ``HEAD_CHARS``, on bytes) go to all
-workers. ``encode`` splits every text again and joins ids back by position. A word outside
+workers. ``encode`` splits every text again and looks ids up in order of position. A word outside
 that table is encoded where it is met, once for each task that meets it: sending each of its
-positions through two shuffles would cost several times the input in disk. Decoding looks
-each id up in the vocabulary's id-to-piece table, whose size the vocabulary bounds.
+positions through two shuffles is estimated, not measured, at several times the input in disk.
+Decoding looks each id up in the vocabulary's id-to-piece table, whose size the vocabulary
+bounds; ``decode`` does the same as a join.
 """
 
 from __future__ import annotations
