@@ -12,8 +12,8 @@ anchor is the same in all copies, at most ``REACH`` - 1 bytes from their beginni
 2. What is then undecided lies at the edges of repeated strings. There the bytes themselves are
    fetched. Each task holds shards of suffixes, in suffix order within a shard, with what stands
    before them: the shards' transforms, the preceding text being the transform's column. They
-   are merged by refining their interleave, symbol by symbol and only inside intervals that are
-   still repeated; where an interval splits, its depth is the common prefix. Reading the column
+   are merged by sorting by their bytes, eight at a time and only inside intervals that are still
+   repeated, not through the transforms' mapping; where an interval splits, its depth is the common prefix. Reading the column
    backwards refines it in the same way. A window repeats when another suffix falls into the same
    interval on both sides.
 3. Covered stretches are joined with the texts and cut out.
