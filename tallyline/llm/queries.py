@@ -7,8 +7,12 @@ from collections.abc import Callable
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import bpe, decontamination, fingerprints, html_text, jaccard_join, pii, quality, suffix_dedup, token_counts, toxicity
+from tallyline.llm import (
+    bpe, decontamination, divergence, fingerprints, html_text, jaccard_join, line_dedup, pii, quality, ranked_search, suffix_dedup,
+    token_counts, toxicity,
+)
 from tallyline.llm.common import read
+from tallyline.llm.oracles import ORACLES
 
 WORD_BPE = tokenizer_path("word_bpe_49k.json")
 
@@ -53,6 +57,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_common_lines(read(spark, sf_dir, "documents")).drop("kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -65,8 +81,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": op8_fingerprints,
         "op9_html_text": op9_html_text,
         "op10_quality": op10_quality,
+        "op11_ranked_search": op11_ranked_search,
+        "op12_divergence": op12_divergence,
+        "op13_line_dedup": op13_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
