@@ -34,8 +34,20 @@ def statement_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(instance, entry): log entries of up to a dozen lines, with a tab before each further line of every second one."""
+    e, n = _events(spark, sf_dir).where("event_id % 100 <> 8"), F.col("event_id")
+    more = F.concat(F.lit("\n"), F.when(n % 2 == 0, "\t").otherwise(""), F.lit("AND n = "), n)
+    again = F.when(n % 10 == 9, F.lit("\n\tduration: 9.0 ms of nothing")).when(n % 10 == 5, "").otherwise(F.repeat(more, (n % 12).cast("int")))
+    return e.select("instance", F.concat(_log_line(), again).alias("entry"))
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _events(spark, sf_dir)
+    unknown = F.when(F.col("event_id") % 100 == 8, F.lit("duration: unknown"))
+    return _events(spark, sf_dir).select(F.coalesce(unknown, _log_line()).alias("line"))
+
+
+def _log_line() -> Column:
     line = F.concat(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC ["), F.col("event_id"), F.lit("]: user=u"),
         F.col("user_id"), F.lit(",db=billing,app=api,client=10.0.1.4 LOG:  duration: "),
@@ -45,7 +57,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_id") % 10 == 5, "").otherwise(F.concat(F.lit("SELECT "), "event_type")),
     )
     noise = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC [1]: LOG:  checkpoint starting"))
-    return e.select(F.when(F.col("event_id") % 10 == 9, noise).when(F.col("event_id") % 100 == 8, F.lit("duration: unknown")).otherwise(line).alias("line"))
+    return F.when(F.col("event_id") % 10 == 9, noise).otherwise(line)
 
 
 def table_io(spark: SparkSession, sf_dir: str) -> DataFrame:

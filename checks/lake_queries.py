@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
+from checks import fleet
 from tallyline import scratch_dir
 from tallyline.functions.months import MONTH
-from tallyline.operators import ledger, proration, reports, usage
+from tallyline.operators import ledger, proration, reports, telemetry, usage
 from tallyline.sources.lake import delete_path, month_folders, read_monthly, read_raw, write_monthly
 from tallyline.sources.schema import MONTHLY, load, schema_of
 from tallyline.streaming import (
@@ -44,6 +45,39 @@ def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.read_usage(spark, path, fx.KEY).select(*_USAGE)
 
 
+def _upsert_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every seventh bucket the hour is unknown; the same rows come twice, then half of them with other counts."""
+    path = f"{scratch_dir(spark, 'undated')}/usage"
+    buckets = fx.usage(spark, sf_dir)
+    spoilt = buckets.withColumns({
+        "recorded_at": F.when(F.col("id") % 7 > 0, F.col("recorded_at")), "endpoint": F.concat("endpoint", F.lit("#"), F.col("id").cast("string"))})
+    for _ in range(2):
+        usage.upsert_usage(spark, path, spoilt, fx.KEY)
+    usage.upsert_usage(spark, path, spoilt.where("id % 2 = 0").withColumn("event_count", F.col("event_count") + 1), fx.KEY)
+    usage.vacuum_usage(spark, path)
+    parts = {"table": usage.read_usage(spark, path, fx.KEY), "undated": usage.undated_usage(spark, path, fx.KEY)}
+    return reduce(DataFrame.unionByName, [df.select(F.lit(place).alias("place"), *_USAGE) for place, df in parts.items()])
+
+
+def _refresh_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rollup kept up while usage comes in three waves, a cycle moves and a tenant goes; the last version is what readers see."""
+    root = scratch_dir(spark, "increments")
+    path, table = f"{root}/usage_by_cycle", f"{root}/usage"
+    buckets, tenants, subs = fx.usage(spark, sf_dir), fx.tenants(spark, sf_dir), fx.subscriptions(spark, sf_dir)
+    moved = subs.withColumn("current_period_start", F.when(F.col("id") % 5 == 0, F.expr("current_period_start - INTERVAL 9 DAYS"))
+                            .otherwise(F.col("current_period_start")))
+    waves = [
+        (buckets.where("tenant_id % 3 > 0").withColumn("event_count", F.col("event_count") * 3), tenants.withColumn("deleted_at", F.lit(None).cast("timestamp")), moved),
+        (buckets.where("tenant_id % 3 = 0 AND day(recorded_at) <= 15"), tenants, moved),
+        (buckets.where("tenant_id % 3 > 0 OR day(recorded_at) > 15"), tenants, subs),
+    ]
+    for version, (rows, owners, cycles) in enumerate(waves):
+        usage.upsert_usage(spark, table, rows, fx.KEY)
+        usage.refresh_from_usage(spark, table, path, f"v{version}", owners, cycles, fx.plans(spark), as_of=fx.AS_OF, key_type=fx.KEY)
+        usage.vacuum_usage(spark, table, rollups=[path])
+    return usage.read_usage_by_cycle(spark, path)
+
+
 def _refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two refreshes of the rollup; readers see the second."""
     path = f"{scratch_dir(spark, 'rollup')}/usage_by_cycle"
@@ -186,6 +220,15 @@ def _with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.unionByName(rejected(spark, path).select("topic", "key", F.col("reason").alias("outcome")))
 
 
+def _rejects_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spoilt events in one batch, then in two overlapping ones of another stream that numbers its batches alike."""
+    path = f"{scratch_dir(spark, 'rejects')}/raw"
+    events = _events(spark, sf_dir).withColumn("value", F.when(F.col("key").cast("long") % 3 == 0, F.lit("{")).otherwise(F.col("value")))
+    for batch, part in (("0", "TRUE"), ("0", "CAST(key AS LONG) % 2 = 0"), ("1", "CAST(key AS LONG) % 2 = 1 OR CAST(key AS LONG) % 5 = 0")):
+        land_batch(events.where(part), path, batch)
+    return rejected(spark, path)
+
+
 def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log twice in one stream; the watermark spans its whole time range."""
     root = scratch_dir(spark, "dedupe")
@@ -271,6 +314,46 @@ def _late_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_monthly(spark, archive, schema).select("id", "amount_cents", MONTH)
 
 
+def _nameless_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth row has no id, some stand twice; archived, retired, more rows of the same months come, archived again, and again."""
+    root, schema = scratch_dir(spark, "nameless"), schema_of("invoices", fx.KEY)
+    path, archive = f"{root}/invoices", f"{root}/archive"
+    rows = fx.invoices(spark, sf_dir).withColumn("n", F.when(F.col("id") % 15 == 0, 2).otherwise(1))
+    rows = rows.select("id", F.when(F.col("id") % 5 > 0, F.col("id")).alias("named"), *[c for c in rows.columns if c not in ("id", "n")],
+                       F.explode(F.array_repeat(F.lit(1), F.col("n"))).alias("once"))
+    for wave in ("id % 6 <> 1", "id % 6 = 1", "FALSE"):
+        part = rows.where(wave).select(F.col("named").alias("id"), *[c for c in rows.columns if c not in ("id", "named", "once")])
+        write_monthly(part, "created_at", path)
+        report = ledger.archive_months(spark, path, archive, "1997-01-01", "created_at", "amount_cents", schema)
+        if wave == "id % 6 <> 1":
+            for month in [r["month"] for r in report.where("removable").select("month").collect()]:
+                delete_path(spark, f"{path}/{MONTH}={month}")
+    return read_monthly(spark, archive, schema).select("id", "tenant_id", "amount_cents", MONTH)
+
+
+def _swapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of which two rows have changed their amounts: counts and totals agree, the rows do not."""
+    rows = fx.invoices(spark, sf_dir)
+    pairs = rows.groupBy(F.date_format("created_at", "yyyy-MM").alias("m")).agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a % 2 = 0 AND a < b")
+    ends = pairs.join(rows.select(F.col("id").alias("a"), F.col("amount_cents").alias("of_a")), "a").join(
+        rows.select(F.col("id").alias("b"), F.col("amount_cents").alias("of_b")), "b")
+    changes = ends.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("of_b").alias("new")), F.struct(F.col("b").alias("id"), F.col("of_a").alias("new")))).alias("c")).select("c.*")
+    swapped = rows.join(changes, "id", "left").withColumn("amount_cents", F.coalesce("new", "amount_cents")).select(*rows.columns)
+    return ledger.reconcile(rows, swapped, "created_at", "amount_cents")
+
+
+def _slow_log_over_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of several lines in log files that are read in splits of 64 KB, so that many entries lie across two."""
+    root, key = scratch_dir(spark, "logs"), "spark.sql.files.maxPartitionBytes"
+    fleet.log_entries(spark, sf_dir).coalesce(1).write.partitionBy("instance").text(root)
+    usual = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        return telemetry.parse_slow_log(telemetry.read_log_entries(spark, root))
+    finally:
+        spark.conf.set(key, usual)
+
+
 def _conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month waits in the quarantine; of every fifth row the table has it, and the quarantine holds another amount.
 
@@ -320,7 +403,9 @@ LAKE: dict[str, Query] = {
     "load_tables": _loaded,
     "usage_by_cycle_months": _pruned_cycles,
     "upsert_usage": _upsert,
+    "upsert_usage_undated": _upsert_undated,
     "refresh_usage_by_cycle": _refresh,
+    "refresh_from_usage": _refresh_changed,
     "ledger_between_months": _monthly_read,
     "recover_default": _recovered,
     "migrate_to_monthly": _migrated,
@@ -337,7 +422,11 @@ LAKE: dict[str, Query] = {
     "status_changes_stream": _status_stream,
     "pipeline_in_slices": _in_slices,
     "land_raw_rejects": _with_rejects,
+    "land_raw_rejects_replayed": _rejects_replayed,
+    "parse_slow_log_over_lines": _slow_log_over_lines,
     "archive_late_rows": _late_archive,
+    "archive_null_ids": _nameless_archive,
+    "reconcile_swapped": _swapped,
     "recover_default_conflicts": _conflicts,
     "ranges_by_month": _month_ranges,
     "missing_months_stored": _stored_coverage,

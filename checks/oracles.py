@@ -574,6 +574,12 @@ SELECT date_trunc('second', ts) AS logged_at, CAST(event_id AS INTEGER) AS pid,
   'billing' AS db, 'api' AS app, '10.0.1.4' AS client, CAST(cents / 100.0 AS DECIMAL(18,3)) AS duration_ms,
   CASE event_id % 10 WHEN 5 THEN NULL WHEN 7 THEN 'execute q1' ELSE 'statement' END AS kind,
   CASE WHEN event_id % 10 <> 5 THEN 'SELECT ' || event_type END AS statement
+FROM log WHERE cents > 20000 AND event_id % 100 <> 8""",
+    "parse_slow_log_over_lines": """
+SELECT instance, date_trunc('second', ts) AS logged_at, CAST(event_id AS INTEGER) AS pid, 'u' || user_id AS user,
+  'billing' AS db, 'api' AS app, '10.0.1.4' AS client, CAST(cents / 100.0 AS DECIMAL(18,3)) AS duration_ms,
+  CASE event_id % 10 WHEN 5 THEN NULL WHEN 7 THEN 'execute q1' ELSE 'statement' END AS kind,
+  CASE WHEN event_id % 10 <> 5 THEN 'SELECT ' || event_type || repeat(chr(10) || 'AND n = ' || event_id, event_id % 12) END AS statement
 FROM log WHERE cents > 20000 AND event_id % 100 <> 8""",
     "unparsed_durations": "SELECT 'duration: unknown' AS line, count(*) AS lines FROM log WHERE event_id % 100 = 8 GROUP BY 1",
     "longest_statements": """
@@ -662,6 +668,12 @@ UNION ALL SELECT 'plan_change_events', tenant_id || '|' || subscription_id || '|
     "upsert_usage": """
 SELECT tenant_id, recorded_at, endpoint,
   CASE WHEN tenant_id % 2 = 0 THEN event_count ELSE event_count + 1 END AS event_count FROM usage""",
+    "upsert_usage_undated": """
+SELECT CASE WHEN id % 7 > 0 THEN 'table' ELSE 'undated' END AS place, tenant_id,
+  CASE WHEN id % 7 > 0 THEN recorded_at END AS recorded_at, endpoint || '#' || id AS endpoint,
+  CAST(event_count + (id % 2 = 0)::INTEGER AS INTEGER) AS event_count FROM usage""",
+    "refresh_from_usage": f"""
+{REPORTS['usage_by_cycle']}""",
     "refresh_usage_by_cycle": f"""
 {REPORTS['usage_by_cycle']}""",
     "ledger_between_months": f"""
@@ -691,6 +703,15 @@ SELECT tenant_id, subscription_id, CAST(days_remaining AS INTEGER) AS days_remai
 SELECT {_TOPIC} AS topic, CAST(id AS VARCHAR) AS key, 'landed' AS outcome FROM audit_log WHERE id % 7 > 2
 UNION ALL SELECT {_TOPIC}, CAST(id AS VARCHAR),
   CASE id % 7 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'no date' ELSE 'no id' END FROM audit_log WHERE id % 7 <= 2""",
+    "land_raw_rejects_replayed": f"""
+SELECT {_TOPIC} AS topic, CAST(id AS VARCHAR) AS key, '{{' AS value, 'unreadable' AS reason, '0' AS batch FROM audit_log WHERE id % 3 = 0""",
+    "archive_null_ids": f"""
+SELECT CASE WHEN id % 5 > 0 THEN id END AS id, tenant_id, amount_cents, {_MONTH} AS month
+FROM invoices, generate_series(1, CASE WHEN id % 15 = 0 THEN 2 ELSE 1 END) WHERE created_at < TIMESTAMP '1997-01-01 00:00:00'""",
+    "reconcile_swapped": f"""
+SELECT {_MONTH} AS month, count(*) AS source_rows, count(*) AS target_rows, CAST(sum(amount_cents) AS BIGINT) AS source_total,
+  CAST(sum(amount_cents) AS BIGINT) AS target_total, min(id) % 2 <> 0 OR arg_min(amount_cents, id) = arg_max(amount_cents, id) AS matches
+FROM invoices GROUP BY 1""",
     "archive_late_rows": f"""
 SELECT id, amount_cents, {_MONTH} AS month FROM invoices WHERE created_at < TIMESTAMP '1997-01-01 00:00:00'""",
     "recover_default_conflicts": f"""

@@ -131,25 +131,42 @@ def recover_default(
     return Recovered(total - conflicts, conflicts)
 
 
-def _per_month(df: DataFrame, ts: str, amount: str, side: str) -> DataFrame:
+def row_hashes(columns: list[Column]) -> list[Column]:
+    """128 bits of a row as two whole numbers. A NULL differs from every value, also from one in the next column."""
+    parts = [part for c in columns for part in (c.isNull(), c)]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)]
+
+
+def _per_month(df: DataFrame, ts: str, amount: str, side: str, columns: list[Column]) -> DataFrame:
+    """Rows, total and fingerprint of each month: sums and exclusive ors of row hashes, whatever the order of rows.
+
+    Repeated rows cancel out of the exclusive or but not of the sums. All of it combines before the shuffle.
+    """
     key = F.col(MONTH) if MONTH in df.columns else month_key(F.col(ts))
-    return df.groupBy(key.alias(MONTH)).agg(
-        F.count("*").alias(f"{side}_rows"), F.sum(F.col(amount).cast("bigint")).alias(f"{side}_total"),
+    first, second = row_hashes(columns)
+    keyed = df.select(key.alias(MONTH), F.col(amount).cast("bigint").alias("_amount"), first.alias("_h1"), second.alias("_h2"))
+    marks = [F.count("*"), *[f(F.col(h)) for h in ("_h1", "_h2") for f in (lambda c: F.sum(c.cast("decimal(20,0)")), F.bit_xor)]]
+    return keyed.groupBy(MONTH).agg(
+        F.count("*").alias(f"{side}_rows"), F.sum("_amount").alias(f"{side}_total"), F.struct(*marks).alias(f"_{side}_mark"),
     )
 
 
 def reconcile(source: DataFrame, target: DataFrame, ts: str, amount: str) -> DataFrame:
-    """Row count and total per month on both sides, and whether they agree."""
-    left, right = _per_month(source, ts, amount, "source"), _per_month(target, ts, amount, "target")
+    """Row count and total per month on both sides, and whether both hold the same rows, each as often.
+
+    ``matches`` goes by the contents of all columns that both have, as ``target`` types them, not by the totals alone: amounts that
+    have changed places are seen, and NULLs count as values. One pass over each side, no join of rows.
+    """
+    columns = [c for c in source.columns if c != MONTH and c in target.columns]
+    same_type = [F.col(c).cast(target.schema[c].dataType) for c in columns]
+    left = _per_month(source, ts, amount, "source", same_type)
+    right = _per_month(target, ts, amount, "target", [F.col(c) for c in columns])
     both = left.join(right, left[MONTH].eqNullSafe(right[MONTH]), "full")
-    counted = both.select(
+    return both.select(
         F.coalesce(left[MONTH], right[MONTH]).alias(MONTH), F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
         F.coalesce("target_rows", F.lit(0)).alias("target_rows"), "source_total", "target_total",
+        F.col("_source_mark").eqNullSafe(F.col("_target_mark")).alias("matches"),
     )
-    return counted.withColumn("matches", (
-        (F.col("source_rows") == F.col("target_rows"))
-        & F.col("source_total").eqNullSafe(F.col("target_total"))
-    ))
 
 
 def migrate_to_monthly(
@@ -170,8 +187,8 @@ def archive_months(
     """Add months earlier than ``before`` to the archive and verify the copy.
 
     The archive only grows: a month's new copy is what it held, with rows of the table added, or
-    put in the place of an older state of the same ``(id, ts)``. It is staged, seen to hold all of both, and
-    then swapped in. ``removable`` is true for a month whose every row the archive
+    put in the place of an older state of the same ``(id, ts)``; a row without an id stays what it is. The copy is staged, seen to
+    hold exactly that, row by row, and then swapped in. ``removable`` is true for a month whose every row the archive
     holds as it is. Nothing is deleted from the table here.
     """
     archive = archive.rstrip("/")
@@ -192,21 +209,17 @@ def archive_months(
         return read_monthly(spark, archive, schema).where(F.lit(True) if wanted is None else wanted)
 
     held = archived((F.col(MONTH) < limit) & F.col(MONTH).isin(months))
-    key = ["id", ts]
-    kept = held.join(old.select(*key), key, "left_anti").select(*columns)
-    write_monthly(kept.unionByName(old.select(*columns)), ts, stage)
+    whole = _grown(held.select(*columns), old.select(*columns), ts)
+    write_monthly(whole, ts, stage)
     staged = read_monthly(spark, stage, schema) if month_folders(spark, stage) else empty_frame(spark, old.schema)
-    lost = held.select(*key).join(staged.select(*key), key, "left_anti")
-    missing = old.join(staged, _same_row(old, staged, columns), "left_anti")
-    if not lost.isEmpty() or not missing.isEmpty():
+    if not reconcile(whole, staged, ts, amount).where("NOT matches").isEmpty() or not old.exceptAll(staged.select(*old.columns)).isEmpty():
         raise RuntimeError(f"the new copy below {stage} is not whole; archive left as it is")
     mark_complete(spark, stage)
     replace_months(spark, stage, archive)
     delete_path(spark, stage)
 
     stored = archived(F.col(MONTH) < limit)
-    absent = (old.join(stored, _same_row(old, stored, columns), "left_anti")
-              .groupBy(F.col(MONTH).alias("_month")).agg(F.count("*").alias("_absent")))
+    absent = (old.exceptAll(stored.select(*old.columns)).groupBy(F.col(MONTH).alias("_month")).agg(F.count("*").alias("_absent")))
     # Months archived and removed earlier are in the archive only; they are not up for a decision.
     checked = reconcile(old, stored, ts, amount).where(F.col("source_rows") > 0)
     checked = checked.join(absent, F.col(MONTH).eqNullSafe(F.col("_month")), "left")
@@ -215,3 +228,17 @@ def archive_months(
         F.col("source_total").alias("total"), F.col("target_total").alias("archived_total"),
         (F.coalesce("_absent", F.lit(0)) == 0).alias("removable"),
     )
+
+
+def _grown(held: DataFrame, old: DataFrame, ts: str) -> DataFrame:
+    """What an archive holds and rows of the table added, a state of the same ``(id, ts)`` put in the place of an older one.
+
+    A row without an id is no state of another. It stays as it is, as often as the side says that has it more often.
+    """
+    key = ["id", ts]
+    named, states = held.where("id IS NOT NULL"), old.select(*[F.col(k).alias(f"_{k}") for k in key])
+    kept = named.join(states, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key], "left_anti")
+    sides = [df.where("id IS NULL").groupBy(*held.columns).agg(F.count("*").alias("_n")) for df in (held, old)]
+    nameless = reduce(DataFrame.unionByName, sides).groupBy(*held.columns).agg(F.max("_n").alias("_n"))
+    nameless = nameless.select(*held.columns, F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))))
+    return reduce(DataFrame.unionByName, [kept, old.where("id IS NOT NULL"), nameless.select(*held.columns)])

@@ -310,17 +310,13 @@ def _by_month(periods: DataFrame, usage: DataFrame) -> DataFrame:
     return clamped.withColumn("_month", months).drop("_first", "_last")
 
 
-def usage_by_cycle(
-    usage: DataFrame, tenants: DataFrame, subscriptions: DataFrame, plans: DataFrame,
-    as_of: datetime | str | None = None,
-) -> DataFrame:
-    """Calls per subscription cycle and endpoint against the plan's limit.
+#: What is counted of a cycle's usage: calls, buckets that give a number of calls, and all buckets.
+CALLS = ["calls", "counted", "buckets"]
 
-    A cycle is split into the months it touches, so usage joins on (tenant, month) and
-    only then on the half-open time range: a heavy tenant is spread over its months, and
-    month folders outside every cycle are not read. Overlapping cycles count a call twice.
-    """
-    cycles = (
+
+def metered_cycles(tenants: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """The cycle of every metered subscription of an active tenant, empty cycles left out."""
+    return (
         _subscription_columns(
             subscriptions.where(F.col("status").isin(*METERED_STATUSES)),
             subscription_id="id", tenant_id="tenant_id", plan_id="plan_id",
@@ -329,6 +325,15 @@ def usage_by_cycle(
         .where(F.col("period_end") > F.col("period_start"))
         .join(active_tenants(tenants, "name"), "tenant_id")
     )
+
+
+def cycle_calls(usage: DataFrame, cycles: DataFrame) -> DataFrame:
+    """``CALLS`` of each cycle and endpoint that has usage.
+
+    A cycle is split into the months it touches, so usage joins on (tenant, month) and
+    only then on the half-open time range: a heavy tenant is spread over its months, and
+    month folders outside every cycle are not read. Overlapping cycles count a call twice.
+    """
     slices = _by_month(cycles.select(
         F.col("tenant_id").alias("_tenant"), "subscription_id", "period_start", "period_end",
     ), usage)
@@ -338,7 +343,7 @@ def usage_by_cycle(
             month_key(F.col("_month")).alias("_folder"),
         ).distinct()
         usage = usage.join(F.broadcast(months), F.col(MONTH) == F.col("_folder"), "left_semi")
-    calls = (
+    return (
         usage.select(
             "tenant_id", "recorded_at", "endpoint", "event_count",
             F.date_trunc("month", "recorded_at").alias("_usage_month"),
@@ -351,11 +356,16 @@ def usage_by_cycle(
             & (F.col("recorded_at") < F.col("period_end")),
         )
         .groupBy("subscription_id", "endpoint")
-        .agg(F.sum("event_count").alias("total_calls"))
+        .agg(F.sum(F.coalesce("event_count", F.lit(0))).alias("calls"), F.count("event_count").alias("counted"), F.count("*").alias("buckets"))
     )
+
+
+def cycle_report(calls: DataFrame, cycles: DataFrame, plans: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
+    """Counted calls against the plan's limit."""
+    counted = calls.select("subscription_id", "endpoint", F.when(F.col("counted") > 0, F.col("calls")).alias("total_calls"))
     limit, total = F.col("api_limit"), F.col("total_calls")
     return (
-        calls.join(cycles, "subscription_id")
+        counted.join(cycles, "subscription_id")
         .join(_plan_columns(plans, "name", "api_limit"), "plan_id")
         .select(
             "tenant_id", "tenant_name", "subscription_id", "plan_name", "api_limit", "endpoint",
@@ -363,3 +373,12 @@ def usage_by_cycle(
             percent_of(total, limit).alias("pct_limit_consumed"), instant(as_of).alias("last_refreshed_at"),
         )
     )
+
+
+def usage_by_cycle(
+    usage: DataFrame, tenants: DataFrame, subscriptions: DataFrame, plans: DataFrame,
+    as_of: datetime | str | None = None,
+) -> DataFrame:
+    """Calls per subscription cycle and endpoint against the plan's limit."""
+    cycles = metered_cycles(tenants, subscriptions)
+    return cycle_report(cycle_calls(usage, cycles), cycles, plans, as_of)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.months import instant
+from tallyline.session import scratch_dir
 
 SNAPSHOT = ["instance", "snapshot_ts"]
 
@@ -25,8 +26,10 @@ LAG_HEALTHY_MS, LAG_INVESTIGATE_MS = 1000, 5000
 LOG_ENTRY = (
     r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(?:\.\d{1,6})?) (\S+) \[(\d+)\]: "
     r"(?:user=([^,]*),db=([^,]*),app=([^,]*),client=(\S*) )?"
-    r"LOG:  duration: (\d+(?:\.\d+)?) ms(?:  ((?:statement|execute|bind|parse|fastpath function call)[^:]*): (.*))?$"
+    r"LOG:  duration: (\d+(?:\.\d+)?) ms(?:  ((?:statement|execute|bind|parse|fastpath function call)[^:\n]*): ((?s:.*)))?$"
 )
+# How any entry begins. What else stands in a log goes on with the entry before it.
+ENTRY_START = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(?:\.\d{1,6})? \S+ \[\d+\]: "
 
 
 def _two_decimals(value: Column) -> Column:
@@ -80,6 +83,39 @@ def read_slow_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def read_log_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Duration entries of server log files, each whole as one ``line``, with those that go on over several lines.
+
+    Lines are ordered by where Spark has split the file and by their place in that split, so a task sorts one split, never a file. The lines
+    before a split's first entry belong to the last entry of an earlier one, which one small row a split tells. The result
+    does not depend on how files are split. A tab that marks a line as continued goes; lines before a file's first entry belong
+    to none. Other columns are those of folders, as in ``read_slow_log``.
+    """
+    lines = spark.read.text(path)
+    kept = [c for c in lines.columns if c != "value"]
+    split = ["_file", "_block"]
+    start = F.col("value").rlike(ENTRY_START)
+    placed = lines.select(
+        *kept, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"), start.alias("_start"), (start & F.col("value").contains("duration:")).alias("_timed"), "value")
+    # Of other entries only that they begin matters.
+    placed = placed.withColumn("value", F.when(~F.col("_start") | F.col("_timed"), F.col("value")))
+    inside = Window.partitionBy(*split).orderBy("_at")
+    entry = F.when(F.col("_start"), F.struct(F.col("_block").alias("block"), F.col("_at").alias("at"), F.col("_timed").alias("timed")))
+    numbered = placed.withColumns({"_entry": F.last(entry, ignorenulls=True).over(inside), "_end": F.lead(F.lit(1)).over(inside).isNull()})
+    # Written once: read again, a file might be split elsewhere. Lines of entries without a duration are left out here.
+    stage = scratch_dir(spark, "log-entries")
+    numbered.where(F.col("_entry").isNull() | F.col("_entry.timed") | F.col("_end")).drop("_start", "_timed").write.parquet(stage)
+    numbered = spark.read.parquet(stage)
+    ends = numbered.groupBy(*split).agg(F.max_by("_entry", "_at").alias("_last"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*split, F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    whole = numbered.join(carried, split).withColumn("_entry", F.coalesce("_entry", "_carried")).where("_entry.timed")
+    text = F.when(F.col("_at") == F.col("_entry.at"), F.col("value")).otherwise(F.regexp_replace("value", "^\t", ""))
+    pieces = F.sort_array(F.collect_list(F.struct("_block", "_at", text.alias("text"))))
+    return whole.groupBy(*kept, "_file", "_entry").agg(F.array_join(pieces["text"], "\n").alias("line")).select(*kept, "line")
+
+
 def _matched(lines: DataFrame) -> tuple[DataFrame, list[str]]:
     """Lines that speak of a duration, with the parts of each as ``_fields``; other lengths mean no match.
 
@@ -98,6 +134,7 @@ def _matched(lines: DataFrame) -> tuple[DataFrame, list[str]]:
 def parse_slow_log(lines: DataFrame, threshold_ms: float = SLOW_STATEMENT_MS) -> DataFrame:
     """Duration entries of a server log, one row each, slower than ``threshold_ms``.
 
+    ``lines`` are single lines (``read_slow_log``), or whole entries (``read_log_entries``), whose statements may have several.
     ``kind`` is what was run: ``statement``, ``execute`` with the name of what was prepared, and so on; NULL, as is
     ``statement``, for an entry that gives the time only. Times are instants, whatever zone they are logged in. What
     else speaks of a duration is left to ``unparsed_durations``.

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterable
 from datetime import datetime
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.functions.months import MONTH, month_key, within
+from tallyline.functions.months import MONTH, within
 from tallyline.functions.text import normalise_endpoint
+from tallyline.operators.reports import CALLS, cycle_calls, cycle_report, metered_cycles
 from tallyline.sources.lake import (
-    current_version, delete_path, empty_frame, list_folders, path_exists, publish_version, read_text, write_text,
+    current_version, delete_path, empty_frame, list_folders, move_path, path_exists, publish_version, read_text, write_text,
 )
 from tallyline.sources.schema import schema_of
 
 DAY = "day"
+#: Stands for the day of rows that have none.
+UNDATED = "undated"
 NATURAL_KEY = ["tenant_id", "recorded_at", "endpoint"]
 
 
@@ -65,12 +71,17 @@ def newest_per_bucket(old: DataFrame, batch: DataFrame) -> DataFrame:
     return ranked.groupBy(*NATURAL_KEY).agg(newest.alias("_row")).select(*NATURAL_KEY, "_row.*")
 
 
-def _folders(spark: SparkSession, path: str) -> dict[str, str]:
-    """The folder of each day that readers see, as the published manifest lists them."""
+def _manifest(spark: SparkSession, path: str) -> dict[str, str]:
+    """Folder of each day that readers see and, under ``UNDATED``, that of the rows without a usable time."""
     current = current_version(spark, path)
     return {} if current is None else json.loads(read_text(spark, current))
 
 
+def _folders(spark: SparkSession, path: str) -> dict[str, str]:
+    """The folder of each day that readers see, as the published manifest lists them."""
+    return {day: folder for day, folder in _manifest(spark, path).items() if day != UNDATED}
+
+
 def _read_days(spark: SparkSession, path: str, folders: list[str], schema: T.StructType) -> DataFrame:
     if not folders:
         return empty_frame(spark, T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())]))
@@ -88,39 +99,76 @@ def read_usage(spark: SparkSession, path: str, key_type: T.DataType | None = Non
     return _read_days(spark, path, sorted(_folders(spark, path).values()), schema_of("api_usage_events", key_type))
 
 
-def upsert_usage(spark: SparkSession, path: str, batch: DataFrame, key_type: T.DataType | None = None) -> None:
+def undated_usage(spark: SparkSession, path: str, key_type: T.DataType | None = None) -> DataFrame:
+    """Rows that came without a time, or with one outside the years 1 to 9999: no day is theirs, and no report counts them."""
+    path, schema = path.rstrip("/"), schema_of("api_usage_events", key_type)
+    folder = _manifest(spark, path).get(UNDATED)
+    return empty_frame(spark, schema) if folder is None else spark.read.schema(schema).parquet(f"{path}/{folder}")
+
+
+class Upserted(NamedTuple):
+    """What ``upsert_usage`` has published: days it has put in place, rows it has set aside without a time."""
+
+    days: int
+    undated: int
+
+
+def upsert_usage(spark: SparkSession, path: str, batch: DataFrame, key_type: T.DataType | None = None) -> Upserted:
     """Replace-on-conflict write of ``batch`` into the usage table at ``path``.
 
-    ``batch`` is what ``meter_hourly`` returns, or rows of the usage table. It is evaluated once,
-    staged by day. Only the days it touches are merged, into new folders; a manifest that names a
-    folder for every day is then published in one rename. Readers therefore never meet a
+    ``batch`` is what ``meter_hourly`` returns, or rows of the usage table. It is evaluated once, into a stage by day. Days that
+    the table does not have yet are moved from there as they are; only those it has are merged with
+    what they hold. Rows without a usable time are set aside, merged on the same key, for ``undated_usage`` to read. A manifest that names a
+    folder for every day, each seen to exist, is then published in one rename. Readers therefore never meet a
     day half replaced, a run that dies publishes nothing, and repeating a batch changes nothing.
     ``vacuum_usage`` removes folders no longer named.
     """
     schema, path = schema_of("api_usage_events", key_type), path.rstrip("/")
     version, stage = uuid.uuid4().hex, f"{path}/stage-{uuid.uuid4().hex}"
+    manifest = _manifest(spark, path)
     rows = with_bucket_id(batch).select(*[F.col(f.name).cast(f.dataType) for f in schema])
-    rows.withColumn(DAY, _day()).write.partitionBy(DAY).parquet(stage)
+    _write_days(newest_per_bucket(empty_frame(spark, schema), rows), version, stage)
     # Bounded by the calendar, not by the data: one short text per touched day.
-    touched = [name.split("=", 1)[1] for name in list_folders(spark, stage, f"{DAY}=")]
-    if touched:
-        folders = _folders(spark, path)
-        old = _read_days(spark, path, [folders[d] for d in touched if d in folders], schema)
-        merged = newest_per_bucket(old, spark.read.schema(schema).parquet(stage).drop(DAY))
-        (
-            merged.withColumn(MONTH, month_key(F.col("recorded_at"))).withColumn(DAY, _day()).withColumn("version", F.lit(version))
-            .hint("rebalance", F.col(DAY)).sortWithinPartitions(DAY, "tenant_id", "recorded_at")
-            .write.mode("append").partitionBy(MONTH, DAY, "version").parquet(f"{path}/data")
-        )
-        folders |= {d: f"{MONTH}={d[:7]}/{DAY}={d}/version={version}" for d in touched}
-        manifest = f"manifest-{version}.json"
-        write_text(spark, f"{path}/{manifest}", json.dumps(folders, sort_keys=True))
-        publish_version(spark, path, manifest)
+    touched = {name.split("=", 1)[1]: f"{month}/{name}" for month in list_folders(spark, stage, f"{MONTH}=")
+               for name in list_folders(spark, f"{stage}/{month}", f"{DAY}=")}
+    undated = touched.pop(UNDATED, None)
+    known = [day for day in touched if day in manifest]
+    for day in touched.keys() - set(known):
+        move_path(spark, f"{stage}/{touched[day]}/version={version}", f"{path}/data/{touched[day]}/version={version}")
+    if known:
+        staged = _read_stage(spark, stage, [touched[day] for day in known], schema)
+        _write_days(newest_per_bucket(_read_days(spark, path, [manifest[d] for d in known], schema), staged), version, f"{path}/data")
+    aside = 0
+    if undated:
+        waiting = _read_stage(spark, stage, [undated], schema)
+        aside = waiting.count()
+        merged = newest_per_bucket(undated_usage(spark, path, key_type), waiting).select(*schema.names)
+        merged.write.parquet(f"{path}/{UNDATED}/version={version}")
+        manifest[UNDATED] = f"{UNDATED}/version={version}"
+    if touched or undated:
+        new = {day: f"{folder}/version={version}" for day, folder in touched.items()}
+        if absent := [f for f in new.values() if not path_exists(spark, f"{path}/data/{f}")]:
+            raise RuntimeError(f"not written, nothing published: {absent[:3]}")
+        write_text(spark, f"{path}/manifest-{version}.json", json.dumps(manifest | new, sort_keys=True))
+        publish_version(spark, path, f"manifest-{version}.json")
     delete_path(spark, stage)
+    return Upserted(len(touched), aside)
+
+
+def _write_days(rows: DataFrame, version: str, path: str) -> None:
+    """Rows in folders by month, day and version; all without a usable time in those of one name."""
+    at = F.col("recorded_at")
+    dated = at.between(F.lit("0001-01-01").cast("timestamp"), F.lit("9999-12-31 23:59:59.999999").cast("timestamp"))
+    folder = lambda text: F.when(dated, F.date_format(at, text)).otherwise(UNDATED)
+    (
+        rows.withColumn(MONTH, folder("yyyy-MM")).withColumn(DAY, folder("yyyy-MM-dd")).withColumn("version", F.lit(version))
+        .hint("rebalance", F.col(DAY)).sortWithinPartitions(DAY, "tenant_id", "recorded_at")
+        .write.mode("append").partitionBy(MONTH, DAY, "version").parquet(path)
+    )
 
 
-def _day() -> Column:
-    return F.date_format("recorded_at", "yyyy-MM-dd")
+def _read_stage(spark: SparkSession, stage: str, folders: list[str], schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*[f"{stage}/{f}" for f in folders])
 
 
 def remeter(
@@ -135,19 +183,24 @@ def remeter(
     upsert_usage(spark, path, meter_hourly(within(requests, "requested_at", start, end)), key_type)
 
 
-def vacuum_usage(spark: SparkSession, path: str) -> int:
+def vacuum_usage(spark: SparkSession, path: str, rollups: Iterable[str] = ()) -> int:
     """Delete folders and manifests that are not published; returns how many folders went.
 
-    Not to be run while somebody reads an older state or writes a new one.
+    ``rollups`` are paths of rollups kept by ``refresh_from_usage``: the days they were made from stay, so that their
+    next refresh can tell what has changed. Not to be run while somebody reads an older state or writes a new one.
     """
     path = path.rstrip("/")
-    named, gone = set(_folders(spark, path).values()), 0
-    for month in list_folders(spark, f"{path}/data", f"{MONTH}="):
-        for day in list_folders(spark, f"{path}/data/{month}", f"{DAY}="):
-            for version in list_folders(spark, f"{path}/data/{month}/{day}", "version="):
-                if f"{month}/{day}/{version}" not in named:
-                    delete_path(spark, f"{path}/data/{month}/{day}/{version}")
-                    gone += 1
+    manifest, gone = _manifest(spark, path), 0
+    named = {f if day == UNDATED else f"data/{f}" for day, f in manifest.items()}
+    for rollup in rollups:
+        named |= {f"data/{f}" for f in _source(spark, current_version(spark, rollup.rstrip("/"))).values()}
+    days = [f"data/{month}/{day}" for month in list_folders(spark, f"{path}/data", f"{MONTH}=")
+            for day in list_folders(spark, f"{path}/data/{month}", f"{DAY}=")]
+    for folder in [*days, UNDATED]:
+        for version in list_folders(spark, f"{path}/{folder}", "version="):
+            if f"{folder}/{version}" not in named:
+                delete_path(spark, f"{path}/{folder}/{version}")
+                gone += 1
     for stage in list_folders(spark, path, "stage-"):
         delete_path(spark, f"{path}/{stage}")
     return gone
@@ -173,6 +226,68 @@ def refresh_usage_by_cycle(spark: SparkSession, rollup: DataFrame, path: str, ve
     return target
 
 
+def _source(spark: SparkSession, version: str | None) -> dict[str, str]:
+    """The folders of usage days that a rollup version was made from."""
+    source = f"{version}.source.json"
+    return json.loads(read_text(spark, source)) if version and path_exists(spark, source) else {}
+
+
+def refresh_from_usage(
+    spark: SparkSession, usage: str, path: str, version: str, tenants: DataFrame, subscriptions: DataFrame, plans: DataFrame,
+    as_of: str | datetime | None = None, key_type: T.DataType | None = None,
+) -> Refreshed:
+    """Publish the rollup of the usage table at ``usage`` as a new version, from what has changed since the last one.
+
+    The last version remembers its usage days by their folders, its cycles, and the calls of each. A cycle that is
+    still the same takes its calls from there, less what the changed days held before, plus what they hold now. Cycles that are new or other
+    than before are counted from the whole table, their months only. The first version, one that was made another way, and one whose days have been
+    vacuumed are counted so for all cycles. The result is always that of ``reports.usage_by_cycle``.
+    """
+    usage, path = usage.rstrip("/"), path.rstrip("/")
+    schema = schema_of("api_usage_events", key_type)
+    target, last = f"{path}/{version}", current_version(spark, path)
+    if path_exists(spark, target):
+        raise ValueError(f"rollup version {version} exists; versions are written once")
+    now, before = _folders(spark, usage), _source(spark, last)
+    changed = sorted(day for day in now.keys() | before.keys() if now.get(day) != before.get(day))
+    stale = [before[day] for day in changed if day in before]
+    usable = bool(last) and path_exists(spark, f"{last}.cycles") and path_exists(spark, f"{last}.source.json") and all(
+        path_exists(spark, f"{usage}/data/{f}") for f in stale)
+
+    metered_cycles(tenants, subscriptions).write.mode("overwrite").parquet(f"{target}.cycles")
+    cycles = spark.read.parquet(f"{target}.cycles")
+    whole, others = _read_days(spark, usage, sorted(now.values()), schema), cycles
+    parts = []
+    if usable:
+        old = spark.read.schema(cycles.schema).parquet(f"{last}.cycles")
+        shape = ["subscription_id", "tenant_id", "period_start", "period_end"]
+        a, b = cycles.select(*shape), old.select(*shape)
+        moved = a.exceptAll(b).unionByName(b.exceptAll(a)).select("subscription_id").distinct()
+        same, others = cycles.join(moved, "subscription_id", "left_anti"), cycles.join(moved, "subscription_id", "left_semi")
+        held = spark.read.parquet(f"{last}.calls")
+        parts.append(held.join(same.select("subscription_id").distinct(), "subscription_id", "left_semi"))
+        for folders, sign in ((stale, -1), ([now[day] for day in changed if day in now], 1)):
+            if folders:
+                calls = cycle_calls(_read_days(spark, usage, folders, schema), same)
+                parts.append(calls.select("subscription_id", "endpoint", *[(F.col(c) * sign).alias(c) for c in CALLS]))
+    if not usable or not others.isEmpty():
+        parts.append(cycle_calls(whole, others))
+    total = reduce(DataFrame.unionByName, parts).groupBy("subscription_id", "endpoint").agg(*[F.sum(c).alias(c) for c in CALLS])
+    total.where("buckets > 0").write.mode("overwrite").parquet(f"{target}.calls")
+    write_text(spark, f"{target}.source.json", json.dumps(now, sort_keys=True))
+    calls = spark.read.parquet(f"{target}.calls")
+    return Refreshed(refresh_usage_by_cycle(spark, cycle_report(calls, cycles, plans, as_of), path, version),
+                     len(changed) if usable else len(now), usable)
+
+
+class Refreshed(NamedTuple):
+    """Path of a published rollup version, usage days read for cycles as before, whether the last version was of use."""
+
+    path: str
+    days: int
+    incremental: bool
+
+
 def read_usage_by_cycle(spark: SparkSession, path: str) -> DataFrame:
     """The published version of the rollup."""
     current = current_version(spark, path.rstrip("/"))

@@ -45,6 +45,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to where nothing is yet: no data read."""
+    old, fs = _path(spark, source)
+    new, _ = _path(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise RuntimeError(f"could not move {source} to {target}")
+
+
 def replace_months(spark: SparkSession, stage: str, path: str) -> None:
     """Put the staged month folders in the place of those of ``path``: renames, no data read.
 

@@ -1,6 +1,9 @@
 """Month folders: pruning, coverage, quarantine, re-layout, archive."""
 
+from functools import reduce
+
 import pytest
+from pyspark.sql import functions as F
 
 from checks import lake_queries
 from tallyline import scratch_dir
@@ -104,6 +107,55 @@ def test_the_archive_only_grows(spark, t):
     assert {"x", "i8"} <= ids(read_monthly(spark, archive, SCHEMA))
 
 
+def test_rows_without_an_id_are_archived_and_stay(spark, t):
+    root = scratch_dir(spark, "test")
+    path, archive = f"{root}/invoices", f"{root}/archive"
+    row = t.invoices.where("id = 'i8'")
+    month = row.selectExpr("date_format(created_at, 'yyyy-MM')").first()[0]
+
+    def nameless(*amounts):
+        return reduce(lambda a, b: a.unionByName(b), [row.withColumns({
+            "id": F.lit(None).cast("string"), "amount_cents": F.lit(a)}) for a in amounts]).select(*row.columns)
+
+    def run():
+        found = ledger.archive_months(spark, path, archive, "2024-10-01", "created_at", "amount_cents", SCHEMA)
+        held = read_monthly(spark, archive, SCHEMA).where(F.col("month") == month)
+        return ({r["month"]: r["removable"] for r in found.collect()}.get(month),
+                sorted((r["id"] or "-", r["amount_cents"]) for r in held.collect()))
+
+    write_monthly(row.unionByName(nameless(5, 5, 7)), "created_at", path)
+    first = [("-", 5), ("-", 5), ("-", 7), ("i8", row.first()["amount_cents"])]
+    assert run() == (True, first) and run() == (True, first)
+    delete_path(spark, f"{path}/month={month}")
+    write_monthly(nameless(5, 9, 9), "created_at", path)
+    assert run() == (True, sorted([*first, ("-", 9), ("-", 9)]))
+    assert run() == (True, sorted([*first, ("-", 9), ("-", 9)]))
+
+
+def test_amounts_that_change_places_are_seen(t):
+    rows = t.invoices.withColumn("amount_cents", F.when(F.col("id") == "i3", 11).otherwise(F.col("amount_cents")))
+
+    def swapped(a, b):
+        amounts = {r["id"]: r["amount_cents"] for r in rows.where(F.col("id").isin(a, b)).collect()}
+        new = F.when(F.col("id") == a, amounts[b]).when(F.col("id") == b, amounts[a]).otherwise(F.col("amount_cents"))
+        return rows.withColumn("amount_cents", new.cast("int"))
+
+    same = ledger.reconcile(rows, rows.orderBy(F.desc("id")), "created_at", "amount_cents")
+    assert all(r["matches"] for r in same.collect())
+    found = ledger.reconcile(rows, swapped("i3", "i12"), "created_at", "amount_cents").collect()
+    assert [(r["month"], r["source_rows"] == r["target_rows"], r["source_total"] == r["target_total"]) for r in found if not r["matches"]] == [("2025-09", True, True)]
+    # A NULL that moves to the next column, a row that stands twice in place of another.
+    other = rows.withColumns({"due_date": F.when(F.col("id") != "i5", F.col("due_date"))})
+    assert [r["month"] for r in ledger.reconcile(rows, other, "created_at", "amount_cents").collect() if not r["matches"]] == ["2025-02"]
+    twice = rows.where("id = 'i3'").unionByName(rows.where("id = 'i3'")).unionByName(rows.where("id NOT IN ('i3', 'i12')"))
+    assert [r["month"] for r in ledger.reconcile(rows, twice, "created_at", "amount_cents").collect() if not r["matches"]] == ["2025-09"]
+
+
+def test_reconciling_joins_no_rows(t):
+    plan = ledger.reconcile(t.invoices, t.invoices, "created_at", "amount_cents")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("Aggregate") == 2
+
+
 def test_ranges_written_in_other_ways_prune_the_same_folders(spark, stored):
     table = read_monthly(spark, stored, SCHEMA)
     flat = table.drop("month")

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tallyline import scratch_dir
 from tallyline.sources.lake import read_raw
+from tallyline.streaming import landing
 from tallyline.streaming import (
-    audit_stream, dedupe_events, land_batch, land_raw, meter_hourly_stream, rejected, route, run_pipeline,
+    audit_stream, dedupe_events, land_batch, land_raw, meter_hourly_stream, parse_event, rejected, route, run_pipeline,
     status_changes_stream, to_event, verify_landing,
 )
 from tallyline.sources.lake import write_text
@@ -110,6 +111,60 @@ def test_a_run_that_died_between_events_and_index_lands_nothing_twice(spark):
     assert read_raw(spark, path).count() == 1
 
 
+def audit_event(number, day="2025-01-01", topic="billing.invoice.created"):
+    return (topic, str(number), f'{{"audit_log_id":"{number}","changed_at":"{day}T0{number % 10}"}}')
+
+
+def test_every_rejected_event_is_kept_once_whatever_brings_it(spark):
+    path, schema = f"{scratch_dir(spark, 'test')}/raw", "topic string, key string, value string"
+    bad = [("t", "1", "{"), ("t", "2", "{"), ("u", "1", "{"), ("t", None, "{"), (None, "t", "{"), ("t", "3", None), (None, None, None)]
+    batches = [("0", bad[:3]), ("0", bad[2:5]), ("1", bad), ("1", [*bad, bad[0], bad[0]]), ("7", [audit_event(1)])]
+    for name, rows in batches:
+        land_batch(spark.createDataFrame(rows, schema), path, name)
+    found = rejected(spark, path).collect()
+    assert sorted((tuple(r)[:3] for r in found), key=str) == sorted(bad, key=str)
+    assert {r["batch"] for r in found if r["key"] in ("1", "2")} == {"0"} and {r["reason"] for r in found} == {"unreadable"}
+    assert read_raw(spark, path).count() == 1
+
+
+def test_two_streams_with_checkpoints_of_their_own_keep_all_rejects(spark):
+    root, schema = scratch_dir(spark, "test"), "topic string, key string, value string"
+    for name, rows in (("a", [("t", "1", "x"), audit_event(1)]), ("b", [("t", "2", "y"), audit_event(2)])):
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/{name}")
+        for checkpoint in ("first", "lost"):
+            land_raw(spark.readStream.schema(schema).parquet(f"{root}/{name}"), f"{root}/raw", f"{root}/{name}-{checkpoint}").awaitTermination()
+    assert sorted(r["key"] for r in rejected(spark, f"{root}/raw").collect()) == ["1", "2"]
+    assert read_raw(spark, f"{root}/raw").count() == 2
+
+
+def test_a_batch_looks_up_its_own_days_and_ids(spark):
+    path, schema = f"{scratch_dir(spark, 'test')}/raw", "topic string, key string, value string"
+    for day in ("2025-01-01", "2025-01-02", "2025-02-01"):
+        land_batch(spark.createDataFrame([audit_event(100 + k, day) for k in range(5)], schema), path)
+    good = parse_event(spark.createDataFrame([audit_event(103, "2025-01-02"), audit_event(200, "2025-01-02")], schema))
+    known = landing._known(good, path)
+    scan = known._jdf.queryExecution().executedPlan().toString()
+    assert "event_month" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    pushed = scan.split("PushedFilters: [")[1].split("]")[0]
+    assert "EqualTo(event_date,2025-01-02)" in pushed and "GreaterThanOrEqual(audit_log_id,103)" in pushed and "LessThanOrEqual(audit_log_id,200)" in pushed
+    assert sorted(r["audit_log_id"] for r in known.collect()) == ["103", "104"]
+
+
+def test_the_check_of_a_landing_reads_no_events(spark):
+    path, schema = f"{scratch_dir(spark, 'test')}/raw", "topic string, key string, value string"
+    for number, day in ((1, "2025-01-01"), (2, "2025-01-01"), (2, "2025-01-01"), (3, "2025-02-01")):
+        land_batch(spark.createDataFrame([audit_event(number, day)], schema), path)
+    summary = verify_landing(spark, path)
+    assert tuple(summary.first()) == (3, "2025-02-01T03")
+    assert all(".days/" in f for f in summary.inputFiles())
+    assert tuple(verify_landing(spark, path, "2025-01-02").first()) == (1, "2025-02-01T03")
+    # While a run is between events and index, or has died there, the events themselves are counted.
+    write_text(spark, f"{path}.ids.pending", "")
+    assert tuple(verify_landing(spark, path).first()) == (3, "2025-02-01T03")
+    land_batch(spark.createDataFrame([audit_event(1), audit_event(4)], schema), path)
+    assert tuple(verify_landing(spark, path).first()) == (4, "2025-02-01T03") and read_raw(spark, path).count() == 4
+
+
 def test_late_versions_are_set_aside_and_their_rows_taken_again(spark):
     root, start = scratch_dir(spark, "test"), datetime(2025, 1, 1)
     schema = "table_name string, row_id string, status string, version_at timestamp, version_no int"

@@ -3,6 +3,8 @@
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
+
 from tallyline.operators import telemetry
 
 _AT = datetime(2025, 4, 15)
@@ -97,3 +99,37 @@ def test_latest_snapshot(spark):
         "instance string, snapshot_ts timestamp, n int",
     )
     assert [r["n"] for r in telemetry.latest_snapshot(stats, "2025-01-05").collect()] == [2]
+
+
+@pytest.mark.parametrize("size", [37, 200, 1000, 1 << 20])
+def test_statements_of_many_lines_come_out_whole_however_files_are_split(spark, tmp_path, size):
+    head = "2025-01-01 10:00:{:02d} UTC [{}]: user=u,db=d,app=a,client=c LOG:  duration: 900.5 ms  statement: "
+    want, files = set(), {"instance=a/1.log": [], "instance=a/2.log": [], "instance=b/1.log": []}
+    for f, (name, lines) in enumerate(files.items()):
+        lines += ["\tgoes on from an older file", "2"]
+        for k in range(30):
+            text = [f"SELECT {f}", *[f"  line {n} 2025-01-01 [x]: duration: 1 ms" if n % 3 else "" for n in range(k % 11)]]
+            tab = "\t" if k % 2 else ""
+            lines += [head.format(k, k) + text[0], *[tab + x for x in text[1:]]]
+            want.add((name[9], k, "\n".join(text)))
+            lines += ["2025-01-01 10:00:59 UTC [9]: LOG:  checkpoint starting", "\tof which nothing", "duration: none"] * (k % 4)
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_text("\n".join(lines) + "\n")
+    keys = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        entries = telemetry.read_log_entries(spark, str(tmp_path))
+        found = [(r["instance"], r["pid"], r["statement"]) for r in telemetry.parse_slow_log(entries).collect()]
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    assert len(found) == len(want) and set(found) == want
+    assert telemetry.unparsed_durations(entries).count() == 0
+
+
+def test_logs_without_entries(spark, tmp_path):
+    (tmp_path / "1.log").write_text("\tno\nentry duration: 5 ms\n")
+    (tmp_path / "2.log").write_text("")
+    assert telemetry.read_log_entries(spark, str(tmp_path)).collect() == []
