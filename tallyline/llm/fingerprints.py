@@ -9,12 +9,14 @@ of text that two documents have in common, estimated from those.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.llm.common import per_partition, sha256, texts
 
@@ -24,6 +26,9 @@ BASES = (1_000_003, 69_069_069)
 #: (span length, number of hashes kept); the short spans speak for texts below ``SHORT`` code points.
 LONG_SPANS, SHORT_SPANS, SHORT = (16, 48), (4, 24), 96
 
+#: Ids drawn for each range where ids have no quantiles.
+SAMPLED = 100
+
 _powers = [np.ones(1, np.int64) for _ in PRIMES]
 
 
@@ -131,12 +136,20 @@ def edited(text: str, following: str) -> str:
 
 
 def _ranges(docs: DataFrame, parts: int) -> list:
-    """First ids of up to ``parts`` ranges of about equal row counts; each is an id that occurs, or None where ids are missing."""
-    shares = [k / parts for k in range(1, parts)] or [0.5]
-    found = docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * parts)).alias("q"), F.min("doc_id").alias("low"),
-                     F.count(F.when(F.col("doc_id").isNull(), 1)).alias("missing")).first()
-    ids = sorted(set(found.q or []) | ({found.low} if found.low is not None else set()))
-    return [None, *ids] if found.missing else ids
+    """First ids of up to ``parts`` ranges of about equal row counts; each is an id that occurs, or None where ids are missing.
+
+    Whole numbers have quantiles; of texts a bounded random sample has.
+    """
+    known = docs.where("doc_id IS NOT NULL")
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        shares = [k / parts for k in range(1, parts)] or [0.5]
+        found = known.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * parts))).first()[0] or []
+    else:
+        drawn = sorted(r[0] for r in known.select("doc_id").orderBy(F.rand(1)).limit(SAMPLED * parts).collect())
+        found = drawn[::SAMPLED]
+    low, rows, with_id = docs.agg(F.min("doc_id"), F.count("*"), F.count("doc_id")).first()
+    ids = sorted(set(found) | ({low} if with_id else set()))
+    return [None, *ids] if rows > with_id else ids
 
 
 def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -144,7 +157,7 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
 
     Rows are dealt once, by ranges of ids; the first row of each range also goes to the range before,
     the very first to the last range, so that every row finds its successor where it is. Rows of one
-    id are ordered by their text, rows without an id come first. Returns doc_id, n_chars,
+    id are ordered by their text, rows without an id come first. Ids are whole numbers or texts. Returns doc_id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and common_prefix, the
     longest common extension of text and edited text from their starts. Null texts count as
     empty; an empty text is like another empty one only.
@@ -154,19 +167,21 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     rows = texts(docs)
     first = _ranges(rows, parts)
     missing = bool(first) and first[0] is None
-    known = np.array([x for x in first if x is not None], dtype=np.int64)
+    known = [x for x in first if x is not None]
+    number = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
 
     @F.pandas_udf("array<int>")
     def dealt(ids: pd.Series) -> pd.Series:
         """The range of an id; for the first id of a range also the range before, as -1 - range."""
         out = []
         for x in ids:
-            at = 0 if pd.isna(x) else int(np.searchsorted(known, int(x), side="right")) - 1 + missing
-            lead = pd.isna(x) if at == 0 and missing else int(x) == known[at - missing]
+            x = int(x) if number and x is not None else x
+            at = 0 if x is None else bisect_right(known, x) - 1 + missing
+            lead = x is None if at == 0 and missing else x == known[at - missing]
             out.append([at, -1 - (at - 1) % len(first)] if lead else [at])
         return pd.Series(out)
 
-    placed = (rows.select("doc_id", "text", F.explode(dealt(F.col("doc_id").cast("long"))).alias("to"))
+    placed = (rows.select("doc_id", "text", F.explode(dealt(F.col("doc_id").cast("string"))).alias("to"))
               .select(F.when(F.col("to") < 0, -1 - F.col("to")).otherwise(F.col("to")).alias("part"), (F.col("to") < 0).alias("guard"), "doc_id", "text"))
     order = ("part", "guard", "doc_id", "text")
 

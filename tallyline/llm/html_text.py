@@ -7,7 +7,9 @@ Pages of equal main text are copies of one page and count once. What holds an ar
 Text blocks inside an article never count as template: a sentence may recur without being one.
 A host of few pages shows no repetition, so elements that by their name, role or class are
 menus, headers, footers, sidebars, notices, adverts, forms or comments go as well. Names never take
-a page's only article or main element, be it on that element or around it.
+a page's only article or main element, be it on that element or around it. A form around a page's only article, or around its
+menus, is the frame of the page and no form. Where a page would be left without any text, forms with paragraphs stand, and
+what holds or is an article.
 """
 
 from __future__ import annotations
@@ -55,6 +57,12 @@ MARKS = frozenset(
     "disqus footer gdpr menu modal nav navbar navigation newsletter notice notices popup promo promotion related replies "
     "share sharing sidebar social sponsor sponsored subscribe widget".split())
 
+#: Names of what readers write, also of an article, and where it may stand.
+COMMENTS = frozenset("comment comments commentform commentlist commentsection replies reply reviews".split())
+READERS = frozenset("article blog customer entry post public reader readers story user users visitor visitors".split())
+#: What a form around a page has inside, and what one that is all of a page has.
+FRAME, PROSE = frozenset(["nav"]), frozenset("p h1 h2 h3 h4 h5 h6".split())
+
 #: A mark may stand behind one of these, as in site-footer.
 PLACES = frozenset("bottom global main page primary secondary site top".split())
 #: Behind a mark these tell of a state or layout of the page (nav-open, sidebar-left), not what the element is.
@@ -67,6 +75,8 @@ _TAG = re.compile(
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[-_:]+")
 _SPACE = re.compile(r"\s+")
+#: In the text as it is: lower-cased, some letters take more places.
+_RAW_ENDS = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 
 
 class Element:
@@ -78,25 +88,31 @@ class Element:
         self.holds = tag in KEPT  # whether it is or has an article or main element
 
 
-def _is_mark(name: str, is_id: bool) -> bool:
-    """Whether a whole class name or id is a mark, begins with one (sidebar-inner) or is one with its place (site-footer)."""
+def _is_mark(name: str, is_id: bool, marks: frozenset[str] = MARKS | COMMENTS) -> bool:
+    """Whether a whole class name or id is a mark, begins with one (sidebar-inner), is one with its place (site-footer) or
+    one of what readers write (user-reviews)."""
     head, *rest = [w for w in _PART.split(name) if w] or [""]
     head = head.rstrip("0123456789")
     if not rest:
-        return head in MARKS
+        return head in marks
+    if head in READERS:
+        return rest[0] in COMMENTS and rest[-1] not in STATES
     if head in PLACES:
-        return len(rest) == 1 and rest[0] in MARKS
-    return head in MARKS and (is_id or rest[-1] not in STATES)
+        return len(rest) == 1 and rest[0] in marks
+    return head in marks and (is_id or rest[-1] not in STATES)
 
 
 def _is_aside(tag: str, attrs: str, inside: bool) -> tuple[bool, bool, str]:
     """Whether an element is no main text by its tag or role, whether by its names, and what its hash says of its attributes."""
+    if tag == "form":
+        return False, True, ""
     if tag in DROPPED or tag == "header" and not inside:
         return True, False, ""
     if not attrs or tag in ("html", "body"):
         return False, False, ""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTR.finditer(attrs)}
-    named = tag not in KEPT and (any(_is_mark(c, False) for c in found.get("class", "").split()) or _is_mark(found.get("id", ""), True))
+    marks = COMMENTS if tag == "article" else frozenset() if tag in KEPT else MARKS | COMMENTS
+    named = bool(marks) and (any(_is_mark(c, False, marks) for c in found.get("class", "").split()) or _is_mark(found.get("id", ""), True, marks))
     return found.get("role") in ROLES, named, f"{found.get('class', '')}|{found.get('id', '')}"
 
 
@@ -105,11 +121,16 @@ def parse(html: str, template: frozenset[int] = frozenset(), hashes: list | None
 
     Blocks are kept with whether they stand inside an article or main element; if any does, only
     those count. A subtree whose hash is in ``template`` is taken out once its end is seen. Where all
-    articles stand in elements dropped by name, the page is parsed again with these names ``lifted``.
+    articles stand in forms or elements dropped by name, or a form is the frame of the page, the page is parsed again with these ``lifted``.
+    If there is no text at all, so are forms with paragraphs, dropped elements that hold an article, and articles of comments.
     """
-    named: dict[int, Element] = {}  # elements dropped by name, by where their tag ends
-    around: set[int] = set()  # those that hold an article or main element
+    named: dict[int, Element] = {}  # elements dropped by name and forms, by where their tag ends
+    others: dict[int, Element] = {}  # elements dropped by tag or role
+    around: set[int] = set()  # of the first kind, those that hold an article or main element
+    frames: set[int] = set()  # forms around the page
+    last: set[int] = set()  # what is lifted only if there would be no text
     free = False  # whether there is text in an article outside of them
+    gone = False  # whether a template had text
     blocks: list[tuple[bool, str]] = []
     text: list[str] = []
     stack = [Element("", False, False, "", 0)]
@@ -123,6 +144,7 @@ def parse(html: str, template: frozenset[int] = frozenset(), hashes: list | None
             text.clear()
 
     def close(element: Element) -> None:
+        nonlocal gone
         if element.inside and element.tag in TEXT_BLOCKS or element.tag not in BLOCK:
             digest = f"<{element.tag}{element.marks}>" + "".join(element.parts)
         else:
@@ -132,6 +154,7 @@ def parse(html: str, template: frozenset[int] = frozenset(), hashes: list | None
             if hashes is not None and not element.holds:
                 hashes.append(value)
             if value in template and not element.holds:
+                gone |= len(blocks) > element.first
                 del blocks[element.first:]
             digest = f"#{value}"
         stack[-1].holds |= element.holds
@@ -181,36 +204,38 @@ def parse(html: str, template: frozenset[int] = frozenset(), hashes: list | None
         inside = stack[-1].inside or tag in ("article", "main")
         aside, by_name, marks = _is_aside(tag, m[3], stack[-1].inside)
         by_name &= at not in lifted
-        if named and inside and not stack[-1].inside:
-            around.update(k for k, e in named.items() if e in stack)
+        aside &= at not in lifted
+        if named and (tag in FRAME or tag in PROSE):
+            (frames if tag in FRAME else last).update(k for k, e in named.items() if e.tag == "form" and e in stack)
+        if inside and not stack[-1].inside:
+            # An article of comments is none that its surroundings could be lifted for.
+            (last if by_name else around).update(k for k, e in named.items() if e in stack)
+            last.update(k for k, e in others.items() if e in stack)
+            if by_name:
+                last.add(at)
         stack.append(Element(tag, inside, stack[-1].dropped or aside or by_name, marks, len(blocks)))
         if by_name:
             named[at] = stack[-1]
+        elif aside and tag not in RAW:
+            others[at] = stack[-1]
         if tag in RAW:
-            over = html.lower().find(f"</{tag}", at) if tag not in ("script", "style") else _raw_end(html, tag, at)
-            over = n if over < 0 else over
+            end_tag = _RAW_ENDS[tag].search(html, at)
+            over = end_tag.start() if end_tag else n
             stack[-1].parts.append(html[at:over])
             at = over
     while len(stack) > 1:
         flush()
         close(stack.pop())
     flush()
-    if around and not free:
+    lift = (around if not free else set()) | frames or (last | around if not blocks and not gone else set())
+    if lift - lifted:
         if hashes is not None:
             hashes.clear()
-        return parse(html, template, hashes, lifted | around)
+        return parse(html, template, hashes, lifted | lift)
     main = any(inside for inside, _ in blocks)
     return "\n".join(b for inside, b in blocks if inside or not main)
 
 
-_RAW_ENDS = {t: re.compile(f"</{t}", re.I) for t in ("script", "style")}
-
-
-def _raw_end(html: str, tag: str, at: int) -> int:
-    m = _RAW_ENDS[tag].search(html, at)
-    return m.start() if m else -1
-
-
 def host(url: str | None) -> str:
     try:
         return (urlsplit(url or "").hostname or "").lower()

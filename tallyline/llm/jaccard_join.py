@@ -329,14 +329,15 @@ def linked(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, to
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group, with all columns of ``docs``; of repeated rows that would stay, one does."""
+    """One document of each group, with all columns of ``docs``, whatever their names; of repeated rows that would stay, one does."""
     groups = linked(docs, **options)
     stays = groups.where("stays").groupBy("doc_id", "row_key").agg(F.count(F.lit(1)).alias("times"))
-    keyed = docs.withColumn("row_key", F.xxhash64(F.coalesce("text", F.lit("")))) if "row_key" not in docs.columns else None
-    if keyed is None:
-        raise ValueError("documents must not have a column named row_key")
     flags = saved(stays, "staying")
-    same = keyed["doc_id"].eqNullSafe(flags["doc_id"]) & (keyed["row_key"] == flags["row_key"])
+    own = "row_key"
+    while own in docs.columns:
+        own = f"_{own}"
+    keyed = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = keyed["doc_id"].eqNullSafe(flags["doc_id"]) & (keyed[own] == flags["row_key"])
     once = keyed.join(flags.where("times = 1"), same, "left_semi").select(*docs.columns)
-    more = keyed.join(flags.where("times > 1"), same, "left_semi").dropDuplicates(["doc_id", "row_key"]).select(*docs.columns)
+    more = keyed.join(flags.where("times > 1"), same, "left_semi").dropDuplicates(["doc_id", own]).select(*docs.columns)
     return once.unionByName(more)

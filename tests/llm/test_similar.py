@@ -154,3 +154,12 @@ def test_empty_tables(spark):
     assert jaccard_join.linked(docs).count() == 0 and jaccard_join.deduplicated(docs).count() == 0
     assert suffix_dedup.without_repeats(docs).count() == 0
     assert decontamination.find(docs, bench).count() == 0 and decontamination.clean(some, bench).count() == 1
+
+
+def test_copies_go_whatever_columns_are_called(spark):
+    text = prose(60)
+    rows = [(1, text, "x", 7), (2, text, "y", 8), (3, prose(60), "z", 9), (3, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row_key string, _row_key long")
+    got = jaccard_join.deduplicated(df)
+    assert got.schema == df.schema
+    assert sorted((r.doc_id, r.row_key or "") for r in got.collect()) == [(1, "x"), (3, ""), (3, "z")]

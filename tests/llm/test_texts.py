@@ -111,6 +111,18 @@ def test_fingerprints_against_a_plain_version(spark, parts):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_ids_of_fingerprints_may_be_texts_or_very_large(spark):
+    big = 2**62
+    for ids, kind in ([["b", "a", "é", None, "a", "ab", ""], "string"], [[big + 3, big + 1, big + 2, None, big + 1, big, -5], "long"]):
+        rows = [(i, f"text {k} " + prose(9)) for k, i in enumerate(ids)]
+        order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or (0 if kind == "long" else ""), r[1]))
+        marks = [fingerprints.fingerprint(fingerprints.PrefixHash(t)) for _, t in order]
+        want = {(i, marks[k], fingerprints.likeness(marks[k], marks[(k + 1) % len(order)])) for k, (i, _) in enumerate(order)}
+        for parts in (1, 4):
+            got = fingerprints.fingerprints(spark.createDataFrame(rows, f"doc_id {kind}, text string"), parts).collect()
+            assert {(r.doc_id, r.fingerprint, r.near_next) for r in got} == want and len(got) == len(rows)
+
+
 def test_likeness_follows_what_texts_share():
     words = [f"w{k * 7919 % 10007}" for k in range(4000)]
     a, b = " ".join(words[:1000]), " ".join(words[2000:3000])
@@ -187,6 +199,63 @@ def test_names_do_not_take_articles():
     assert len(hashes) == 2
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<html><head><title>" + "İ" * 20 + "</title></head><body><article><p>story</p></article></body>", "story"),
+    ("<textarea>" + "İ" * 30 + "</TEXTAREA><p>story", "story"),
+    ("<form action=x><div><header>h</header><div><p>story</p></div><footer>f</footer></div></form>", "story"),
+    ("<form><nav>m</nav><div>story</div><div>end</div></form>", "story\nend"),
+    ("<form><article><p>story</p></article></form>", "story"),
+    ("<article><p>story</p></article><form><article>x</article></form>", "story"),
+    ("<div><p>story</p></div><form><p>sign up</p><input></form>", "story"),
+    ("<article><p>story</p><form><p>sign up</p></form></article>", "story"),
+    ("<form><label>only a login</label><input></form>", ""),
+    ("<article><p>story</p></article><article class='comment'><p>c</p></article>", "story"),
+    ("<div><p>story</p></div><article class='comment'><p>c</p></article>", "story"),
+    ("<article><p>story</p><article id=comment-12><p>c</p></article></article>", "story"),
+    ("<article>story<ol class=commentlist><li>c</ol><div class='post-comments'>x</div><div class='user-reviews'>y</div></article>", "story"),
+    ("<article class=comment><p>only</p></article>", "only"),
+    ("<footer><article>only</article></footer>", "only"),
+    ("<article class=review><p>story</p></article>", "story"),
+    ("<div class='post-comments-closed'><p>story</p></div>", "story"),
+    ("", ""), ("<form></form>", ""),
+])
+def test_articles_stay_and_comments_go(page, text):
+    assert html_text.parse(page) == text
+
+
+def test_raw_elements_take_time_in_proportion():
+    page = "<p>story</p>" + "<noscript>x</noscript><title>İ</title>" * 20_000 + "<p>end</p>"
+    assert html_text.parse(page) == "story\nend"
+
+
+def _page(r):
+    """A page made of parts that are known to be main text or not, and its main text."""
+    kept, parts = [], []
+    asides = ["<nav><ul><li>{}</ul></nav>", "<div class='sidebar'><p>{}</p></div>", "<form><p>{}</p><input></form>", "<aside>{}</aside>", "<script>{}</script>",
+              "<section id=comments><article class=comment><p>{}</p></article></section>", "<div class='x ad'>{}</div>", "<!-- {} -->", "<ol class=commentlist><li>{}</ol>",
+              "<div role=search>{}</div>", "<style>{}</style>", "<article class=comment>{}</article>"]
+    for k in range(r.randint(1, 12)):
+        words = " ".join(r.choice(COMMON) for _ in range(r.randint(1, 9)))
+        if r.random() < 0.5:
+            parts.append(r.choice(asides).format(f"not {words}"))
+            continue
+        shape = r.choice(["<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<div>{}</div>", "<div class='entry has-sidebar'><p>{}</p></div>", "<ul><li>{}</ul>", "<table><tr><td>{}</table>", "<blockquote>{}</blockquote>"])
+        parts.append(shape.format(words.replace(" ", r.choice([" ", "\n\t", "&#32;", " <b></b>", "&nbsp;"]))))
+        kept.append(words)
+    body = "".join(parts)
+    frame = r.choice(["<body>{}</body>", "<article>{}</article>", "<div id=page><main>{}</main></div>", "<body><header>not</header><div class='content nav-open'>{}</div><footer>not</footer>",
+                      "<form id=all><nav>not</nav>{}</form>", "<div class=widget><article>{}</article></div>", "<title>İİİ not</title><body>{}"])
+    return frame.format(body), kept, parts
+
+
+def test_made_pages_give_what_they_were_made_of():
+    r = random.Random(9)
+    for _ in range(600):
+        page, kept, parts = _page(r)
+        if kept:
+            assert html_text.parse(page) == "\n".join(kept), page
+
+
 # --- classifiers -----------------------------------------------------------------------------------
 
 
