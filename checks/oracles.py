@@ -411,6 +411,13 @@ FROM invoices WHERE {_OPENED} <> status""",
 SELECT 'invoices' AS table_name, row_id, 'system' AS changed_by, old_status, status AS new_status,
   version_at AS changed_at
 FROM (SELECT *, lag(status) OVER (PARTITION BY row_id ORDER BY version_at, version_no) AS old_status FROM versions)
+WHERE old_status <> status""",
+    "status_changes_hot_row": """
+SELECT 'invoices' AS table_name, row_id, 'system' AS changed_by, old_status, status AS new_status, version_at AS changed_at
+FROM (SELECT *, lag(status) OVER (PARTITION BY row_id ORDER BY version_at, version_no) AS old_status FROM (
+  SELECT status, CASE WHEN row_id % 3 = 0 THEN 0 ELSE row_id END AS row_id,
+    CASE WHEN row_id % 3 = 0 THEN row_id * 3 + version_no ELSE version_no END AS version_no,
+    CASE WHEN row_id % 3 = 0 THEN TIMESTAMP '1996-03-01 00:00:00' + to_seconds(row_id % 50) ELSE version_at END AS version_at FROM versions))
 WHERE old_status <> status""",
     "audit_history": """
 SELECT * FROM audit_log WHERE table_name = 'subscriptions' AND row_id = 12""",
@@ -441,6 +448,15 @@ WHERE NOT p.is_active AND s.created_at >= TIMESTAMP '1994-06-01 00:00:00'"""),
     "rollup_violations": _sql(f"""
 SELECT 'usage_by_cycle' AS table_name, 'primary_key' AS rule, subscription_id || '|' || endpoint AS key, CAST(2 AS BIGINT) AS rows
 FROM ({REPORTS['usage_by_cycle']}) WHERE subscription_id % 4 = 0"""),
+    "overlapping_periods_hot": _sql("""
+SELECT tenant_id, subscription_id, period_start, period_end, busy_until
+FROM (SELECT *, max(period_end) OVER (PARTITION BY tenant_id ORDER BY period_start, subscription_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS busy_until
+  FROM (SELECT CASE WHEN id % 3 = 0 THEN 0 ELSE tenant_id END AS tenant_id, id AS subscription_id,
+      CASE WHEN id % 2 = 0 THEN created_at ELSE TIMESTAMP '1996-03-01 00:00:00' END AS period_start,
+      CASE WHEN id % 2 = 0 THEN created_at ELSE TIMESTAMP '1996-03-01 00:00:00' END + to_days(CAST(id % 9 AS INTEGER)) AS period_end FROM invoices)
+  WHERE period_end > period_start)
+WHERE busy_until > period_start"""),
     "overlapping_periods": _sql("""
 SELECT tenant_id, subscription_id, period_start, period_end, busy_until
 FROM (SELECT tenant_id, id AS subscription_id, current_period_start AS period_start, current_period_end AS period_end,

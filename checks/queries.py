@@ -110,6 +110,25 @@ def _from_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_id(audit.status_changes_from_feed(feed))
 
 
+def _from_hot_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all versions are of one row and one day, many of them of one instant."""
+    hot = F.col("row_id") % 3 == 0
+    at = F.expr("TIMESTAMP '1996-03-01 00:00:00' + make_dt_interval(0, 0, 0, row_id % 50)")
+    feed = fx.version_feed(spark, sf_dir).withColumns({
+        "app_user": F.lit("system"), "version_no": F.when(hot, F.col("row_id") * 3 + F.col("version_no")).otherwise(F.col("version_no")),
+        "version_at": F.when(hot, at).otherwise(F.col("version_at")), "row_id": F.when(hot, 0).otherwise(F.col("row_id"))})
+    return _without_id(audit.status_changes_from_feed(feed))
+
+
+def _hot_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all invoices as periods of one tenant, many of them of one month."""
+    periods = fx.invoices(spark, sf_dir).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 0 ELSE tenant_id END AS tenant_id",
+        "CASE WHEN id % 2 = 0 THEN created_at ELSE TIMESTAMP '1996-03-01 00:00:00' END AS current_period_start",
+        "CASE WHEN id % 2 = 0 THEN created_at ELSE TIMESTAMP '1996-03-01 00:00:00' END + make_dt_interval(CAST(id % 9 AS INT)) AS current_period_end")
+    return rules.overlapping_periods(periods)
+
+
 def _log(select: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: select(fx.audit_log(spark, sf_dir))
 
@@ -117,6 +136,7 @@ def _log(select: Callable[[DataFrame], DataFrame]) -> Query:
 AUDIT: dict[str, Query] = {
     "status_changes": _from_snapshots,
     "status_changes_from_feed": _from_feed,
+    "status_changes_hot_row": _from_hot_feed,
     "audit_history": _log(lambda log: audit.audit_history(log, "subscriptions", 12)),
     "audit_between": _log(lambda log: audit.audit_between(log, "1997-03-01", "1997-05-15")),
     "audit_since": _log(lambda log: audit.audit_since(log, "1998-01-01 00:00:00")),
@@ -160,6 +180,7 @@ RULES: dict[str, Query] = {
     "ledger_edits": _edits,
     "retired_plan_subscriptions": _retired,
     "rollup_violations": _rollup_violations,
+    "overlapping_periods_hot": _hot_periods,
     "overlapping_periods": lambda spark, sf_dir: rules.overlapping_periods(fx.subscriptions(spark, sf_dir)),
 }
 

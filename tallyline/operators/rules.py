@@ -13,10 +13,11 @@ from datetime import datetime
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.months import instant
+from tallyline.plans import with_running_max
 from tallyline.sources.schema import SCHEMAS, required_columns
 
 
@@ -238,11 +239,13 @@ def overlapping_periods(subscriptions: DataFrame) -> DataFrame:
     """Subscriptions whose period begins before an earlier one of their tenant has ended; such cycles count usage twice.
 
     ``tenant_id, subscription_id, period_start, period_end, busy_until``: the latest end among
-    the tenant's periods that began before. Of equal beginnings the lesser id is the earlier one.
+    the tenant's periods that began before. Of equal beginnings the lesser id is the earlier one. A tenant with a large
+    share of all subscriptions is sorted by months, and a crowded month in pieces.
     """
-    w = Window.partitionBy("tenant_id").orderBy("period_start", "subscription_id").rowsBetween(Window.unboundedPreceding, -1)
     periods = subscriptions.select(
         "tenant_id", F.col("id").alias("subscription_id"), F.col("current_period_start").alias("period_start"),
         F.col("current_period_end").alias("period_end"),
     ).where(F.col("period_end") > F.col("period_start"))
-    return periods.withColumn("busy_until", F.max("period_end").over(w)).where(F.col("busy_until") > F.col("period_start"))
+    month = F.date_trunc("month", "period_start")
+    busy = with_running_max(periods, ["tenant_id"], ["period_start", "subscription_id"], "period_end", month, "busy_until")
+    return busy.where(F.col("busy_until") > F.col("period_start"))
