@@ -24,6 +24,7 @@ from tallyline.streaming import (
 )
 from tallyline.streaming.landing import land_batch
 from tallyline.streaming.status import with_late_versions
+from tallyline.streaming.status_table import land_status_changes, read_status_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -302,6 +303,18 @@ def _late_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_late_versions(steps, feed)
 
 
+def _status_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions in three waves: the newest of a third of the rows come first, and the second wave once more under another checkpoint."""
+    root, feed = scratch_dir(spark, "status-table"), fx.version_feed(spark, sf_dir).drop("app_user")
+    late = "row_id % 3 = 0"
+    for run, wave in enumerate([f"version_no = 2 AND {late} OR version_no = 0 AND NOT {late}", f"version_no = 1 OR version_no = 0 AND {late}", f"version_no = 2 AND NOT {late}"]):
+        feed.where(wave).write.parquet(f"{root}/feed-{run}")
+        for checkpoint in ("a", "b")[: 2 if run == 1 else 1]:
+            versions = spark.readStream.schema(feed.schema).parquet(f"{root}/feed-{run}")
+            land_status_changes(versions, f"{root}/steps", f"{root}/checkpoint-{run}{checkpoint}").awaitTermination()
+    return read_status_changes(spark, f"{root}/steps", fx.KEY)
+
+
 def _late_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive, retire what may be, let more rows of the same months arrive, archive again."""
     root, rows = scratch_dir(spark, "late"), fx.invoices(spark, sf_dir)
@@ -432,4 +445,5 @@ LAKE: dict[str, Query] = {
     "missing_months_stored": _stored_coverage,
     "meter_stream_completed": _completed_stream,
     "status_changes_late": _late_versions,
+    "status_changes_table": _status_table,
 }

@@ -754,6 +754,10 @@ WHERE recorded_at + INTERVAL 1 HOUR
     "status_changes_stream": """
 SELECT 'invoices' AS table_name, row_id, old_status, status AS new_status, version_at AS changed_at
 FROM (SELECT *, lag(status) OVER (PARTITION BY row_id ORDER BY version_at, version_no) AS old_status FROM versions)
+WHERE old_status <> status""",
+    "status_changes_table": """
+SELECT 'invoices' AS table_name, row_id, old_status, status AS new_status, version_at AS changed_at
+FROM (SELECT *, lag(status) OVER (PARTITION BY row_id ORDER BY version_at, version_no) AS old_status FROM versions)
 WHERE old_status <> status""",
     "status_changes_late": """
 SELECT 'invoices' AS table_name, row_id, old_status, status AS new_status, version_at AS changed_at
