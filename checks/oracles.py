@@ -435,6 +435,7 @@ WHERE changed_at > TIMESTAMP '1998-01-01 00:00:00' AND table_name IN ('invoices'
 RULES = {
     "rule_summary": _summary(*_BROKEN_TABLES),
     "rule_violations": _violation_list(*_BROKEN_TABLES),
+    "rule_violations_kept": _violation_list("invoices"),
     "ledger_edits": _broken_sql("""
 SELECT o.id, CASE WHEN n.id IS NULL THEN 'removed' ELSE 'changed' END AS edit
 FROM invoices o LEFT JOIN (SELECT * FROM b_invoices WHERE id % 100 <> 50) n ON n.id = o.id

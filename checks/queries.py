@@ -13,9 +13,10 @@ from checks import fixtures as fx
 from checks import fleet
 from checks.broken import broken_tables
 from checks.lake_queries import LAKE
-from tallyline import configure
+from tallyline import configure, scratch_dir
 from tallyline.functions.text import normalise_endpoint
-from tallyline.operators import audit, ledger, lookups, proration, reports, rules, telemetry, usage
+from tallyline.operators import audit, kept_rules, ledger, lookups, proration, reports, rules, telemetry, usage
+from tallyline.sources.lake import write_monthly
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = fx.AS_OF
@@ -158,6 +159,17 @@ def _violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [rules.validate(name, df, frames) for name, df in frames.items()])
 
 
+def _kept_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faulty facts in folders, their rules kept up over three writes: some sound, then faulty, then the rest."""
+    frames, root = broken_tables(spark, sf_dir), scratch_dir(spark, "kept-rules")
+    sound = dict(fx.tables(spark, sf_dir).items())
+    for step in range(3):
+        write_monthly((sound if step == 0 else frames)["invoices"].where("month(created_at) % 2 = 0" if step < 2 else "month(created_at) % 2 = 1 OR created_at IS NULL"),
+                      "created_at", f"{root}/invoices", mode="overwrite")
+        kept_rules.refresh_months(spark, "invoices", f"{root}/invoices", f"{root}/kept/invoices", fx.KEY)
+    return kept_rules.violations(spark, "invoices", f"{root}/kept/invoices", frames)
+
+
 def _rollup_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rollup with the rows of every second cycle repeated."""
     rollup = REPORTS["usage_by_cycle"](spark, sf_dir)
@@ -180,6 +192,7 @@ RULES: dict[str, Query] = {
     "ledger_edits": _edits,
     "retired_plan_subscriptions": _retired,
     "rollup_violations": _rollup_violations,
+    "rule_violations_kept": _kept_violations,
     "overlapping_periods_hot": _hot_periods,
     "overlapping_periods": lambda spark, sf_dir: rules.overlapping_periods(fx.subscriptions(spark, sf_dir)),
 }

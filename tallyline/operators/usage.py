@@ -77,12 +77,13 @@ def _manifest(spark: SparkSession, path: str) -> dict[str, str]:
     return {} if current is None else json.loads(read_text(spark, current))
 
 
-def _folders(spark: SparkSession, path: str) -> dict[str, str]:
+def day_folders(spark: SparkSession, path: str) -> dict[str, str]:
     """The folder of each day that readers see, as the published manifest lists them."""
     return {day: folder for day, folder in _manifest(spark, path).items() if day != UNDATED}
 
 
-def _read_days(spark: SparkSession, path: str, folders: list[str], schema: T.StructType) -> DataFrame:
+def read_folders(spark: SparkSession, path: str, folders: list[str], schema: T.StructType) -> DataFrame:
+    """Rows of day folders, with their ``month``."""
     if not folders:
         return empty_frame(spark, T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())]))
     stored = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in (MONTH, DAY, "version")]])
@@ -96,7 +97,7 @@ def read_usage(spark: SparkSession, path: str, key_type: T.DataType | None = Non
     A reader sees the table as it was published when the frame was made, whatever is written meanwhile.
     """
     path = path.rstrip("/")
-    return _read_days(spark, path, sorted(_folders(spark, path).values()), schema_of("api_usage_events", key_type))
+    return read_folders(spark, path, sorted(day_folders(spark, path).values()), schema_of("api_usage_events", key_type))
 
 
 def undated_usage(spark: SparkSession, path: str, key_type: T.DataType | None = None) -> DataFrame:
@@ -137,7 +138,7 @@ def upsert_usage(spark: SparkSession, path: str, batch: DataFrame, key_type: T.D
         move_path(spark, f"{stage}/{touched[day]}/version={version}", f"{path}/data/{touched[day]}/version={version}")
     if known:
         staged = _read_stage(spark, stage, [touched[day] for day in known], schema)
-        _write_days(newest_per_bucket(_read_days(spark, path, [manifest[d] for d in known], schema), staged), version, f"{path}/data")
+        _write_days(newest_per_bucket(read_folders(spark, path, [manifest[d] for d in known], schema), staged), version, f"{path}/data")
     aside = 0
     if undated:
         waiting = _read_stage(spark, stage, [undated], schema)
@@ -248,7 +249,7 @@ def refresh_from_usage(
     target, last = f"{path}/{version}", current_version(spark, path)
     if path_exists(spark, target):
         raise ValueError(f"rollup version {version} exists; versions are written once")
-    now, before = _folders(spark, usage), _source(spark, last)
+    now, before = day_folders(spark, usage), _source(spark, last)
     changed = sorted(day for day in now.keys() | before.keys() if now.get(day) != before.get(day))
     stale = [before[day] for day in changed if day in before]
     usable = bool(last) and path_exists(spark, f"{last}.cycles") and path_exists(spark, f"{last}.source.json") and all(
@@ -256,7 +257,7 @@ def refresh_from_usage(
 
     metered_cycles(tenants, subscriptions).write.mode("overwrite").parquet(f"{target}.cycles")
     cycles = spark.read.parquet(f"{target}.cycles")
-    whole, others = _read_days(spark, usage, sorted(now.values()), schema), cycles
+    whole, others = read_folders(spark, usage, sorted(now.values()), schema), cycles
     parts = []
     if usable:
         old = spark.read.schema(cycles.schema).parquet(f"{last}.cycles")
@@ -268,7 +269,7 @@ def refresh_from_usage(
         parts.append(held.join(same.select("subscription_id").distinct(), "subscription_id", "left_semi"))
         for folders, sign in ((stale, -1), ([now[day] for day in changed if day in now], 1)):
             if folders:
-                calls = cycle_calls(_read_days(spark, usage, folders, schema), same)
+                calls = cycle_calls(read_folders(spark, usage, folders, schema), same)
                 parts.append(calls.select("subscription_id", "endpoint", *[(F.col(c) * sign).alias(c) for c in CALLS]))
     if not usable or not others.isEmpty():
         parts.append(cycle_calls(whole, others))

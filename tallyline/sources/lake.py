@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +42,13 @@ def list_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return sorted(n for n in names if n.startswith(prefix))
 
 
+def folder_signature(spark: SparkSession, path: str) -> str:
+    """Names and lengths of the files of a folder, digested: no data read. Written files have names of their own."""
+    hadoop, fs = _path(spark, path)
+    files = sorted(f"{s.getPath().getName()} {s.getLen()}" for s in fs.listStatus(hadoop) if s.isFile())
+    return hashlib.sha256("\n".join(files).encode()).hexdigest()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     hadoop, fs = _path(spark, path)
     fs.delete(hadoop, True)

@@ -151,8 +151,8 @@ def kept(spark):
 def test_a_refresh_reads_changed_days_only(spark, kept, monkeypatch):
     t, table, path, again = kept
     read = []
-    days = usage._read_days
-    monkeypatch.setattr(usage, "_read_days", lambda spark, where, folders, schema: (read.append(len(folders)), days(spark, where, folders, schema))[1])
+    days = usage.read_folders
+    monkeypatch.setattr(usage, "read_folders", lambda spark, where, folders, schema: (read.append(len(folders)), days(spark, where, folders, schema))[1])
     seen = []
     counted = usage.cycle_calls
     monkeypatch.setattr(usage, "cycle_calls", lambda rows, cycles: (seen.append(len(rows.inputFiles())), counted(rows, cycles))[1])
