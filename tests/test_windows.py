@@ -60,7 +60,7 @@ def test_a_cell_of_very_many_rows_is_cut_in_pieces_in_order(spark):
 
 
 def test_rows_of_one_key_and_day_are_spread_over_tasks(spark):
-    hot = spark.range(100_000).select((F.col("id") * 0).alias("key"), (F.col("id") * 0).alias("at"), F.col("id").alias("n"), F.col("id").alias("value"))
+    hot = spark.range(100_000).select(F.pmod("id", F.lit(1)).alias("key"), F.pmod("id", F.lit(1)).alias("at"), F.col("id").alias("n"), F.col("id").alias("value"))
     placed = in_pieces(hot, ["key"], ORDER, F.lit(1))
     spread = placed.repartition(16, "key", "_cell").groupBy(F.spark_partition_id()).count().collect()
     assert len(spread) > 8 and max(r["count"] for r in spread) < 40_000
