@@ -1,6 +1,7 @@
 """Operators 1, 2 and 3 against plain versions."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -137,6 +138,29 @@ def test_edits_of_the_rarest_words_hide_no_item():
         assert found[k][0] == want <= int(0.2 * len(items[k][1].split()))
 
 
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.2])
+def test_walks_alone_reach_their_recall(share):
+    """Without the lookup of unchanged runs: words exchanged at random, and the rarest and longest first."""
+    items = [(k, prose(n)) for k, n in enumerate(rng.choices(range(10, 90), k=150))]
+    spread = Counter(x for _, t in items for x in set(t.split()))
+    index = decontamination.Index(items, exact=False)
+    assert not index.runs
+    for rarest in (False, True):
+        texts = []
+        for _, t in items:
+            w = t.split()
+            order = sorted(range(len(w)), key=lambda o, w=w: (spread[w[o]], -len(w[o]), o)) if rarest else rng.sample(range(len(w)), len(w))
+            for n, o in enumerate(order[:int(share * len(w))]):
+                w[o] = f"changed{n}"
+            texts.append(f"{prose(30)} {' '.join(w)} {prose(30)}")
+        found = index.matches(texts)
+        assert sum(k in f for k, f in enumerate(found)) >= decontamination.RECALL * len(items)
+
+
+def test_longer_windows_get_more_walks():
+    assert decontamination.walks_for(4, share=0.0) == 1 and decontamination.walks_for(16) < decontamination.walks_for(64)
+
+
 def test_short_items_and_items_without_spaces_are_searched():
     chinese, thai = "一个农夫有十七只羊，除了九只以外都死了，还剩几只？", "ชาวนามีแกะสิบเจ็ดตัวตายไปเหลือเก้าตัว"
     items = [(0, "Two words"), (1, "one"), (2, chinese), (3, thai), (4, "five words stand right here"), (5, " "), (6, "羊")]
