@@ -1,23 +1,29 @@
 """Operator 6, toxicity by a weighted finite-state pattern grammar.
 
-Words map to classes (insult, threat, target, negation, reported speech, other); insults carry a
-weight. Each pattern is a small transducer over classes: an insult is stronger near a target,
-a threat counts only with one, either is weaker in the scope of a negation or of reported
-speech. The transducers are composed into one, which runs over every clause that holds an
-insult or a threat; a document is scored from its matched clauses, never from a word by itself.
+Words map to classes (insult, threat, harm done, target, negation, reported speech, ...); insults carry a
+weight. Each pattern is a small transducer over classes: an insult is stronger near a target, a threat
+counts only with one (before it, or in the passive with "you ... be" before it), either is weaker in the
+scope of a negation or of reported speech. Commas, colons and quotation marks end a clause, which all forget
+but reported speech: that goes on to the end of the sentence, and begins with the sentence where the verb
+of saying follows a mark ("..., he said"). The transducers are composed into one, which runs over every
+sentence that holds an insult or a threat; a document is scored from its matched clauses, never from a
+word by itself.
 
 What is learned, from labelled rows outside the held-out fold: the weights of insults (words and
-stems whose document frequency among toxic rows is significantly higher) and the
-three coefficients that turn clause scores into a probability. Both are fitted on at
+stems whose document frequency among toxic rows is significantly higher), how much negation, reported
+speech and targets change them (the likeliest of ``GRID``, held to the first by ``PULL``), and the
+three coefficients that turn clause scores into a probability. All are fitted on at
 most ``SAMPLE`` labelled rows.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,47 +39,72 @@ STEMS = (4, 5, 6, 7)
 EVIDENCE, PRECISION = 20.0, 0.9
 FOLDS, FOLD = 5, 0
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
+CLASSES = INSULT, THREAT, HARMED, TARGET, ADDRESS, NEGATION, REPORT, BE, BREAK, OTHER = range(10)
+#: Classes on which weight is paid out.
+PAID = INSULT, HARMED, TARGET, ADDRESS
+#: What negation, reported speech and a target make of a weight: tried values, the first where labels do not tell.
+GRID = list(itertools.product((0.5, 0.2, 1.0), (0.7, 0.3, 1.0), (1.5, 1.0, 2.25)))
+#: How many units of log-likelihood a factor e times another must gain.
+PULL = 2.0
 
 #: Grammar words of four languages; insults in it only matter where labels say nothing about them.
 GRAMMAR = {
-    TARGET: "you your yours you're u ur he she they him her them du dich dir ihr euch sie tu te toi vous ton ta tes usted tú ti vosotros ustedes",
-    NEGATION: "not no never neither nor isn't aren't don't doesn't nicht kein keine keinen nie niemals pas jamais aucun nunca jamás ningún tampoco",
+    TARGET: "he she they him her them sie",
+    ADDRESS: "you your yours you're you'll u ur du dich dir ihr euch tu te toi vous ton ta tes usted tú ti vosotros ustedes",
+    NEGATION: "not no never neither nor isn't aren't don't doesn't won't nicht kein keine keinen nie niemals pas jamais aucun nunca jamás ningún tampoco",
     REPORT: "said says say saying called calls claimed claims reported quote quoted wrote sagte sagt sagten nannte nennt schrieb dit disait disent "
             "appelé appelle écrit dijo dice decía llamó escribió",
-    THREAT: "kill murder hurt destroy beat strangle stab shoot töten umbringen schlagen vernichten tuer frapper détruire matar golpear destruir",
+    THREAT: "kill kills killing murder murders murdering hurt hurts hurting destroy destroys destroying beat beats beating strangle strangling "
+            "stab stabs stabbing shoot shoots shooting töten töte tötet umbringen schlagen schlage vernichten vernichte tuer tuerai frapper frapperai "
+            "détruire matar mataré golpear golpearé destruir destruiré",
+    HARMED: "killed murdered destroyed beaten strangled stabbed shot getötet umgebracht erschlagen vernichtet tué tuée frappé détruit "
+            "asesinado asesinada golpeado destruido",
+    BE: "be get wirst werdet seras serez serás",
     INSULT: "idiot idiots moron morons stupid scum scumbag worthless loser losers pathetic disgusting trash imbecile dumbass bastard "
             "dummkopf abschaum arschloch imbécile connard salaud ordure estúpido imbécil basura",
 }
 PRIOR = 3.0
 
 _WORDS = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
-_CLAUSE = re.compile(r"[.!?;:,\n\r|]+")
+_TOKENS = re.compile(_WORDS.pattern + "|[,:\"“”„«»]")
+_MARKS = set(",:\"“”„«»")
+_SENTENCE = re.compile(r"[.!?;\n\r|]+")
+#: Words after a mark among which a verb of saying is looked for.
+AHEAD = 3
 
 Transducer = dict[tuple, tuple]
 
 
 def negation(scope: int = 3, factor: float = 0.5) -> Transducer:
-    """Within ``scope`` words after a negation, insults and threats (paid out on their target) weigh less."""
-    return {(s, c): (scope if c == NEGATION else max(s - 1, 0), factor if s and c in (INSULT, TARGET) else 1.0)
-            for s in range(scope + 1) for c in range(6)}
+    """Within ``scope`` words after a negation, in its clause, insults and threats (paid out on their target) weigh less."""
+    return {(s, c): (scope if c == NEGATION else 0 if c == BREAK else max(s - 1, 0), factor if s and c in PAID else 1.0)
+            for s in range(scope + 1) for c in CLASSES}
 
 
 def reported(factor: float = 0.7) -> Transducer:
-    """After a verb of saying, to the end of the clause."""
-    return {(s, c): (1 if c == REPORT else s, factor if s and c == INSULT else 1.0) for s in (0, 1) for c in range(6)}
+    """After a verb of saying, to the end of the sentence."""
+    return {(s, c): (1 if c == REPORT else s, factor if s and c in PAID else 1.0) for s in (0, 1) for c in CLASSES}
 
 
 def targeted(factor: float = 1.5) -> Transducer:
-    """After somebody was addressed, insults weigh more."""
-    return {(s, c): (1 if c == TARGET else s, factor if s and c == INSULT else 1.0) for s in (0, 1) for c in range(6)}
+    """After somebody was addressed or named, in its clause, insults weigh more."""
+    return {(s, c): (1 if c in (TARGET, ADDRESS) else 0 if c == BREAK else s, factor if s and c == INSULT else 1.0) for s in (0, 1) for c in CLASSES}
 
 
 def threatened() -> Transducer:
-    """A threat weighs nothing until it meets a target, on which it is then paid out."""
-    made = {(s, c): (s, 0.0 if c in (THREAT, TARGET) else 1.0) for s in (0, 1) for c in range(6)}
-    made[0, THREAT] = (1, 0.0)
-    made[1, TARGET] = (0, 1.0)
+    """A threat weighs nothing until it meets a target, on which it is paid out; harm done pays after "you" and "be".
+
+    States: nothing, a threat open, "you" seen, "you ... be" seen. Clauses start anew.
+    """
+    nothing, threat, you, you_be = range(4)
+    made = {(s, c): (s, 0.0 if c in (THREAT, *PAID) and c != INSULT else 1.0) for s in range(4) for c in CLASSES}
+    for s in range(4):
+        made[s, THREAT] = (threat, 0.0)
+        made[s, TARGET] = (nothing, float(s == threat))
+        made[s, ADDRESS] = (you, float(s == threat))
+        made[s, BREAK] = (nothing, 1.0)
+    made[you, BE] = (you_be, 1.0)
+    made[you_be, HARMED] = (you_be, 1.0)
     return made
 
 
@@ -82,7 +113,7 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     names, made, todo = {(0, 0): 0}, {}, [(0, 0)]
     while todo:
         a, b = todo.pop()
-        for c in range(6):
+        for c in CLASSES:
             (a2, w), (b2, v) = first[a, c], second[b, c]
             if (a2, b2) not in names:
                 names[a2, b2] = len(names)
@@ -91,8 +122,23 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return made
 
 
-def grammar() -> Transducer:
-    return compose(compose(compose(threatened(), targeted()), reported()), negation())
+@cache
+def grammar(factors: tuple[float, float, float] = GRID[0]) -> Transducer:
+    negated, told, aimed = factors
+    return compose(compose(compose(threatened(), targeted(aimed)), reported(told)), negation(factor=negated))
+
+
+def clause_scores(symbols: list[tuple[int, float]], machine: Transducer) -> list[float]:
+    """The scores of a sentence's clauses that have any."""
+    told = any(k == BREAK and any(c == REPORT for c, _ in symbols[at + 1:at + 1 + AHEAD]) for at, (k, _) in enumerate(symbols))
+    state, score, scores = machine[0, REPORT][0] if told else 0, 0.0, []
+    for kind, weight in symbols:
+        state, factor = machine[state, kind]
+        score += factor * weight
+        if kind == BREAK:
+            scores.append(score)
+            score = 0.0
+    return [x for x in (*scores, score) if x > 0]
 
 
 def features(text: str) -> set[str]:
@@ -109,9 +155,11 @@ class Lexicon:
         self.known: dict[str, tuple[int, float]] = {}
         for kind, words in GRAMMAR.items():
             for w in words.split():
-                self.known[w] = (kind, PRIOR if kind in (INSULT, THREAT, TARGET) else 0.0)
+                self.known[w] = (kind, PRIOR if kind in (INSULT, THREAT, *PAID) else 0.0)
 
     def __getitem__(self, word: str) -> tuple[int, float]:
+        if word in _MARKS:
+            return BREAK, 0.0
         if word in self.learned:
             w = self.learned[word]
             return (INSULT, w) if w > 0 else (OTHER, 0.0)
@@ -124,8 +172,8 @@ class Lexicon:
 class Scorer:
     """Clause scores of texts, with a table of the words met so far."""
 
-    def __init__(self, learned: dict[str, float], held: int = 300_000):
-        self.lexicon, self.machine, self.held = Lexicon(learned), grammar(), held
+    def __init__(self, learned: dict[str, float], factors: tuple[float, float, float] = GRID[0], held: int = 300_000):
+        self.lexicon, self.machine, self.held = Lexicon(learned), grammar(factors), held
         self.seen: dict[str, tuple[int, float]] = {}
 
     def _classes(self, words: list[str]) -> list[tuple[int, float]]:
@@ -136,21 +184,24 @@ class Scorer:
         return [self.seen[w] for w in words]
 
     def clause(self, words: list[str]) -> float:
-        state, score = 0, 0.0
-        for kind, weight in self._classes(words):
-            state, factor = self.machine[state, kind]
-            score += factor * weight
-        return score
+        """The score of words as one clause."""
+        return sum(clause_scores(self._classes(words), self.machine))
 
-    def inputs(self, text: str) -> tuple[float, float]:
-        """The strongest clause, and the sum of all, of a text."""
+    def sentences(self, text: str) -> list[list[tuple[int, float]]]:
+        """Classes and weights of the sentences of a text that hold an insult or a threat."""
         low = text.lower()
         words = set(_WORDS.findall(low))
-        hot = [w for w, (kind, _) in zip(words, self._classes(list(words)), strict=True) if kind in (INSULT, THREAT)]
-        if not hot:
-            return 0.0, 0.0
-        scores = [s for c in _CLAUSE.split(low) if any(w in c for w in hot) and (s := self.clause(_WORDS.findall(c))) > 0]
-        return max(scores, default=0.0), sum(scores)
+        hot = [w for w, (kind, _) in zip(words, self._classes(list(words)), strict=True) if kind in (INSULT, THREAT, HARMED)]
+        return [self._classes(_TOKENS.findall(c)) for c in _SENTENCE.split(low) if any(w in c for w in hot)] if hot else []
+
+    def inputs(self, text: str, machine: Transducer | None = None) -> tuple[float, float]:
+        """The strongest clause, and the sum of all, of a text."""
+        return _strongest(self.sentences(text), machine or self.machine)
+
+
+def _strongest(sentences: list[list[tuple[int, float]]], machine: Transducer) -> tuple[float, float]:
+    scores = [x for symbols in sentences for x in clause_scores(symbols, machine)]
+    return max(scores, default=0.0), sum(scores)
 
 
 def design(strongest: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -201,7 +252,7 @@ def learn(train: DataFrame) -> dict[str, float]:
               .agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("a"),
                    F.sum(F.when(F.col("label") == 1, 0).otherwise(F.col("n"))).alias("b")))
     # The grammar's own insults are looked at whatever their counts, so that labels can overrule them.
-    own = [w for k in (INSULT, THREAT) for w in GRAMMAR[k].split()]
+    own = [w for k in (INSULT, THREAT, HARMED) for w in GRAMMAR[k].split()]
     rows = (counts.where((F.col("a") >= 4) & (F.col("a") >= PRECISION * (F.col("a") + F.col("b"))) | (F.col("feature") == "")
                          | F.col("feature").isin(own))
             .orderBy((F.col("feature") != ""), F.desc("a"), "b", "feature").limit(ENTRIES).collect())
@@ -221,8 +272,29 @@ def learn(train: DataFrame) -> dict[str, float]:
     return learned
 
 
-def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, float], np.ndarray]:
-    """Weights of words and stems, and coefficients of the clause scores, from labelled rows of ``docs``.
+def likelihood(x: np.ndarray, y: np.ndarray, beta: np.ndarray) -> float:
+    z = np.clip(x @ beta, -30, 30)
+    return float((y * z - np.logaddexp(0, z)).sum())
+
+
+def chosen(inputs: np.ndarray, y: np.ndarray, grid: list[tuple[float, float, float]] = GRID) -> tuple[tuple[float, float, float], np.ndarray]:
+    """The factors of ``grid`` under which the labels are likeliest, and the coefficients that go with them.
+
+    ``inputs``: rows by grid by (strongest, sum). Each factor is held to that of the first by ``PULL``.
+    """
+    best = None
+    for k, factors in enumerate(grid):
+        x = design(inputs[:, k, 0], inputs[:, k, 1])
+        beta = fit(x, y)
+        value = likelihood(x, y, beta) - PULL * sum(abs(math.log(f / g)) for f, g in zip(factors, grid[0], strict=True))
+        if best is None or value > best[0]:
+            best = value, factors, beta
+    return best[1], best[2]
+
+
+def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
+           grid: list[tuple[float, float, float]] = GRID) -> tuple[dict[str, float], tuple[float, float, float], np.ndarray]:
+    """Weights of words and stems, factors of the grammar, and coefficients of the clause scores, from labelled rows of ``docs``.
 
     Without usable labels the grammar's own weights are used as they are.
     """
@@ -231,13 +303,13 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[di
 
     def inputs(rows: dict) -> dict:
         scorer = Scorer(learned)
-        found = [scorer.inputs(t) for t in rows["text"]]
-        return {"label": rows["label"], "m": [m for m, _ in found], "s": [s for _, s in found]}
+        found = [scorer.sentences(t) for t in rows["text"]]
+        return {"label": rows["label"], "x": [[v for f in grid for v in _strongest(s, grammar(f))] for s in found]}
 
-    seen = per_slice(train, "label int, m double, s double", inputs).toPandas()
+    seen = per_slice(train, "label int, x array<double>", inputs).toPandas()
     if seen["label"].nunique() < 2:
-        return learned, np.array([-3.0, 1.0, 0.0])
-    return learned, fit(design(seen["m"].to_numpy(), seen["s"].to_numpy()), seen["label"].to_numpy(float))
+        return learned, grid[0], np.array([-3.0, 1.0, 0.0])
+    return learned, *chosen(np.stack(seen["x"]).reshape(len(seen), len(grid), 2), seen["label"].to_numpy(float), grid)
 
 
 def probabilities(scorer: Scorer, beta: np.ndarray, texts: list[str]) -> np.ndarray:
@@ -251,10 +323,10 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
     One row for each row of ``docs``, repeated ids included; null and empty texts get the score of
     a text without any match. Columns other than doc_id and text are ignored.
     """
-    learned, beta = fitted(docs, labels, sample)
+    learned, factors, beta = fitted(docs, labels, sample)
 
     def run(slices: Iterator[dict]) -> Iterator[dict]:
-        scorer = Scorer(learned)
+        scorer = Scorer(learned, factors)
         for rows in slices:
             p = probabilities(scorer, beta, rows["text"])
             yield {"doc_id": rows["doc_id"], "held_out": rows["held_out"], "score": p.tolist(), "predicted": (p >= 0.5).astype(int).tolist()}
@@ -266,10 +338,10 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
 
 def clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs``, with all columns, whose score is below a half; null texts stay."""
-    learned, beta = fitted(docs, labels, sample)
+    learned, factors, beta = fitted(docs, labels, sample)
 
     def run(slices: Iterator[dict]) -> Iterator[dict]:
-        scorer = Scorer(learned)
+        scorer = Scorer(learned, factors)
         for rows in slices:
             stays = probabilities(scorer, beta, [t or "" for t in rows["text"]]) < 0.5
             yield {k: [x for x, s in zip(v, stays, strict=True) if s] for k, v in rows.items()}

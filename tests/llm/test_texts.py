@@ -276,6 +276,74 @@ def test_composition_runs_both():
     assert weight == 0.5 * 1.5
 
 
+def _plain(kinds, negated, told, aimed):
+    """What each word's weight is multiplied by, from the words before it."""
+    out = []
+    for i, k in enumerate(kinds):
+        clause = kinds[max((j + 1 for j in range(i) if kinds[j] == toxicity.BREAK), default=0):i]
+        last = max((j for j, c in enumerate(clause) if c in (toxicity.THREAT, toxicity.TARGET, toxicity.ADDRESS)), default=None)
+        if k in (toxicity.TARGET, toxicity.ADDRESS):
+            f = float(last is not None and clause[last] == toxicity.THREAT)
+        elif k == toxicity.HARMED:
+            f = float(last is not None and clause[last] == toxicity.ADDRESS and toxicity.BE in clause[last:])
+        else:
+            f = float(k != toxicity.THREAT)
+        if k == toxicity.INSULT and {toxicity.TARGET, toxicity.ADDRESS} & set(clause):
+            f *= aimed
+        if k in toxicity.PAID:
+            f *= (told if toxicity.REPORT in kinds[:i] else 1) * (negated if toxicity.NEGATION in clause[-3:] else 1)
+        out.append(f)
+    return out
+
+
+def test_the_composed_transducer_weighs_as_its_rules_say():
+    for _ in range(3000):
+        kinds, factors = [rng.choice(toxicity.CLASSES) for _ in range(rng.randint(0, 14))], rng.choice(toxicity.GRID)
+        machine, state, got = toxicity.grammar(factors), 0, []
+        for k in kinds:
+            state, f = machine[state, k]
+            got.append(f)
+        assert np.allclose(got, _plain(kinds, *factors)), kinds
+
+
+def test_speech_is_reported_over_marks_and_threats_have_forms():
+    one = lambda t: toxicity.Scorer({}).inputs(t)[0]
+    said = one("you are an idiot")
+    for text in ('he said, "you are an idiot"', "he said: you are an idiot", '"you are an idiot", he said', "he said you are an idiot"):
+        assert one(text) == pytest.approx(0.7 * said), text
+    assert one("he said so. you are an idiot") == one("you know, you are an idiot") == said
+    assert one("you, says one idiot") < said  # no clause but its own is aimed at
+    for text in ("you will be killed", "you are going to be murdered", "du wirst getötet", "i am killing you", "we will kill them"):
+        assert one(text) > 0, text
+    for text in ("a man was killed", "killed time", "you kill time", "you know, they will be shot", "killing, you know"):
+        assert one(text) == 0, text
+    assert 0 < one("you will not be killed") < one("you will be killed")
+
+
+def test_the_grammar_changes_predictions_for_the_better(spark):
+    """Insults that are thrown and insults that are told of: the same words, told apart by the grammar alone."""
+    docs, labels = [], []
+    for k in range(500):
+        kind = (0, 0, 1, 2, 2)[k % 5]
+        middle = ("you are an idiot", 'she said, "you are an idiot"', prose(4))[kind]
+        docs.append((k, f"{prose(15)}. {middle}. {prose(10)}"))
+        labels.append((k, int(kind == 0)))
+    df, marked = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    right = []
+    for grid in (toxicity.GRID, [(1.0, 1.0, 1.0)]):
+        learned, factors, beta = toxicity.fitted(df, marked, grid=grid)
+        p = toxicity.probabilities(toxicity.Scorer(learned, factors), beta, [t for _, t in docs])
+        right.append(np.mean([(x >= 0.5) == bool(y) for x, (_, y) in zip(p, labels, strict=True)]))
+    assert right[0] == 1.0 and right[1] <= 0.8
+
+
+def test_labels_choose_the_factors():
+    y = np.array([1.0, 0.0] * 100)
+    inputs = np.stack([np.stack([np.where(y == 1, 3, 3 * told), np.where(y == 1, 3, 3 * told)], axis=1) for _, told, _ in toxicity.GRID], axis=1)
+    assert toxicity.chosen(inputs, y)[0] == (0.5, 0.3, 1.5)
+    assert toxicity.chosen(np.ones_like(inputs), y)[0] == toxicity.GRID[0]
+
+
 def _corpus(spark, bad):
     docs, labels = [], []
     for k in range(600):
