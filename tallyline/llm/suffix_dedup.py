@@ -302,15 +302,16 @@ def _with_points(rows: DataFrame, contexts: DataFrame, columns: list[str]) -> Da
 
 
 def _parted(rows: DataFrame, contexts: DataFrame, length: int, reach: int) -> DataFrame:
-    """Contexts of very large groups, dealt by more of their bytes: (unit, row, at, low, high).
+    """Contexts of very large groups, dealt by more of their bytes: (unit, span, row, at, low, high, begin, end).
 
     Windows that start between ``low`` and ``high`` bytes before an anchor have all but some thirty bytes in common,
-    whose hash is their new group. Contexts alone in theirs are done.
+    whose hash is their new group. Contexts alone in theirs are done. ``span`` is the hash of all bytes that these
+    windows hold, from ``begin`` to ``end``, and of where among them the anchor stands: of contexts of one span every window repeats.
     """
     step = -(-reach // PARTS)
 
     def part(r: dict) -> dict:
-        out: dict[str, list] = {k: [] for k in ("unit", "row", "at", "low", "high")}
+        out: dict[str, list] = {k: [] for k in ("unit", "span", "row", "at", "low", "high", "begin", "end")}
         for row, packed, points in zip(r["row"], r["packed"], r["points"], strict=True):
             raw = memoryview(_unpacked(packed))
             for p in points:
@@ -318,11 +319,13 @@ def _parted(rows: DataFrame, contexts: DataFrame, length: int, reach: int) -> Da
                     high = min(low + step, reach) - 1
                     a = p["at"]
                     if a >= low and a - high + length <= len(raw):
-                        for k, v in zip(out, (_hash(raw[a - low:a - high + length]), row, a, low, high), strict=True):
+                        begin, end = max(0, a - high), min(a - low + length, len(raw))
+                        span = xxhash.xxh3_64_intdigest(raw[begin:end], seed=a - begin) - (1 << 63)
+                        for k, v in zip(out, (_hash(raw[a - low:a - high + length]), span, row, a, low, high, begin, end), strict=True):
                             out[k].append(v)
         return out
 
-    found = per_slice(_with_points(rows, contexts, ["at"]), "unit long, row long, at long, low int, high int", part, rows=128)
+    found = per_slice(_with_points(rows, contexts, ["at"]), "unit long, span long, row long, at long, low int, high int, begin long, end long", part, rows=128)
     return saved(found, "parts")
 
 
@@ -381,15 +384,20 @@ def covered(rows: DataFrame, length: int = LENGTH, reach: int = REACH, share: fl
     counted = contexts.join(members, "unit")
     small = counted.where(F.col("n") <= SPLIT).select("row", "at", "unit", F.lit(0).alias("low"), F.lit(reach - 1).alias("high"), F.lit(False).alias("split"))
     parts = _parted(rows, counted.where(F.col("n") > SPLIT), length, reach)
-    shared = parts.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    large = parts.join(shared, "unit").select("row", "at", "unit", "low", "high", (F.col("n") > SPLIT).alias("split"))
+    # Of contexts with the same bytes in all windows of a part one goes on, for the others of the group to be held against.
+    spans = saved(parts.groupBy("unit", "span").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "at", "low", "high")).alias("first")), "spans")
+    by_span = (parts.join(spans.where("n > 1").select("unit", "span"), ["unit", "span"], "left_semi")
+               .select("row", F.col("begin").alias("low"), F.col("end").alias("high")))
+    ones = spans.select("unit", "first.*")
+    shared = ones.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    large = ones.join(shared, "unit").select("row", "at", "unit", "low", "high", (F.col("n") > SPLIT).alias("split"))
     fetched = saved(_fetched(rows, small.unionByName(large), length, reach), "suffixes")
     windows = fetched.where("after is null").select("unit", "row", "at").distinct()
     twice = windows.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     by_hash = windows.join(twice, "unit", "left_semi").select("row", F.col("at").alias("low"), (F.col("at") + length).alias("high"))
     by_merge = (fetched.where("after is not null").repartition("unit").sortWithinPartitions("unit", "shard", "rank")
                 .mapInArrow(lambda it: _edges(it, length, reach), "row long, low long, high long"))
-    return placed.where("low is not null").select("row", "low", "high").unionByName(by_hash).unionByName(by_merge)
+    return placed.where("low is not null").select("row", "low", "high").unionByName(by_span).unionByName(by_hash).unionByName(by_merge)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, reach: int = REACH, keep_bytes: bool = False, share: float = SAMPLE,

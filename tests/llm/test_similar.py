@@ -88,6 +88,20 @@ def test_removed_bytes_equal_those_of_all_positions(repeats, options, split, mon
     assert sorted((tuple(r) for r in suffix_dedup.without_repeats(df, **options).collect()), key=key) == sorted(brute.without_repeats(rows), key=key)
 
 
+def test_near_copies_in_groups_of_any_size(spark, monkeypatch):
+    """Copies that differ in single bytes anywhere, so that of a part's windows all, some or none repeat."""
+    monkeypatch.setattr(suffix_dedup, "SPLIT", 2)
+    base, texts = prose(150)[:700], []
+    for k in range(40):
+        made = list(base)
+        for p in rng.sample(range(700), k % 3):
+            made[p] = "#"
+        texts.append("".join(made)[rng.randint(0, 40):700 - rng.randint(0, 40)])
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in suffix_dedup.without_repeats(df).collect()) == sorted(brute.without_repeats(rows))
+
+
 def test_interleaving_gives_suffix_order_and_common_prefixes():
     rows = [bytes(rng.choice(b"ab") for _ in range(16)) for _ in range(300)]
     shards = sorted(rows[:100]) + sorted(rows[100:220]) + sorted(rows[220:])
