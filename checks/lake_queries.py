@@ -358,7 +358,8 @@ def _swapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _slow_log_over_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of several lines in log files that are read in splits of 64 KB, so that many entries lie across two."""
     root, key = scratch_dir(spark, "logs"), "spark.sql.files.maxPartitionBytes"
-    fleet.log_entries(spark, sf_dir).coalesce(1).write.partitionBy("instance").text(root)
+    # Files of an instance are as many as its entries need; a task writes one, of bounded size.
+    fleet.log_entries(spark, sf_dir).hint("rebalance", F.col("instance")).write.partitionBy("instance").text(root)
     usual = spark.conf.get(key)
     spark.conf.set(key, "64k")
     try:
