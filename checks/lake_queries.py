@@ -29,6 +29,8 @@ from tallyline.streaming.status_table import land_status_changes, read_status_ch
 Query = Callable[[SparkSession, str], DataFrame]
 
 _USAGE = ("tenant_id", "recorded_at", "endpoint", "event_count")
+#: Rows of the audit log in one of its files, at most but for chance.
+_FILE_ROWS = 2_000_000
 
 
 def _usage_schema():
@@ -198,8 +200,8 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 
 def _in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs without any time beyond their first batch, until one has caught up."""
-    root = scratch_dir(spark, "slices")
-    fx.audit_log(spark, sf_dir).repartition(4).write.parquet(f"{root}/log")
+    root, entries = scratch_dir(spark, "slices"), fx.audit_log(spark, sf_dir)
+    entries.repartition(max(4, -(-entries.count() // _FILE_ROWS))).write.parquet(f"{root}/log")
     while True:
         summary = run_pipeline(spark, f"{root}/log", f"{root}/raw", f"{root}/checkpoint", fx.KEY, seconds=0, max_files=2)
         if summary.first()["caught_up"]:
