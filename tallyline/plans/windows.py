@@ -17,51 +17,67 @@ def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     return reduce(and_, [left[c].eqNullSafe(right[f"{c}_r"]) for c in columns])
 
 
-def in_pieces(df: DataFrame, keys: list[str], order: list[str], cell: Column, every: int = EVERY, pieces: int = PIECES) -> DataFrame:
+def piece_begins(df: DataFrame, keys: list[str], order: list[str], cell: Column, every: int = EVERY, pieces: int = PIECES) -> DataFrame:
+    """Where the pieces of cells of very many rows begin: ``_begins`` by keys and cell, named with ``_r`` behind.
+
+    Only a sample of the rows is looked at, drawn by a hash of their keys and order.
+    """
+    drawn = df.withColumn("_at", cell)
+    drawn = drawn.select(*[F.col(c).alias(f"{c}_r") for c in [*keys, "_at"]], F.struct(*order).alias("_begin"), F.xxhash64(*keys, *order).alias("_draw"))
+    mine = [f"{c}_r" for c in [*keys, "_at"]]
+    few = Window.partitionBy(*mine).orderBy("_draw")
+    drawn = drawn.where(F.pmod("_draw", F.lit(every)) == 0).withColumn("_rank", F.row_number().over(few)).where(F.col("_rank") <= pieces)
+    return drawn.groupBy(*mine).agg(F.sort_array(F.collect_list("_begin")).alias("_begins")).where(F.size("_begins") > 1)
+
+
+def in_pieces(
+    df: DataFrame, keys: list[str], order: list[str], cell: Column, every: int = EVERY, pieces: int = PIECES, begins: DataFrame | None = None,
+) -> DataFrame:
     """Add ``_cell``: the row's cell and, where one (keys, cell) has very many rows, its piece of it.
 
     ``_cell`` does not decrease along ``order`` within ``keys``, as ``cell`` must not. Pieces begin at rows picked by a hash of
     their keys and order, so they are the same in every evaluation. Cells of few rows have one piece; only a
-    sample of the rows is looked at to find the others.
+    sample of the rows is looked at to find the others. ``begins`` are those of ``piece_begins``, where they are at hand.
     """
+    begins = piece_begins(df, keys, order, cell, every, pieces) if begins is None else begins
     place = F.struct(*order)
     rows = df.withColumn("_at", cell)
-    drawn = rows.select(*[F.col(c).alias(f"{c}_r") for c in [*keys, "_at"]], place.alias("_begin"), F.xxhash64(*keys, *order).alias("_draw"))
-    mine = [f"{c}_r" for c in [*keys, "_at"]]
-    few = Window.partitionBy(*mine).orderBy("_draw")
-    drawn = drawn.where(F.pmod("_draw", F.lit(every)) == 0).withColumn("_rank", F.row_number().over(few)).where(F.col("_rank") <= pieces)
-    begins = drawn.groupBy(*mine).agg(F.sort_array(F.collect_list("_begin")).alias("_begins")).where(F.size("_begins") > 1)
     piece = F.size(F.filter("_begins", lambda begin: begin <= place))
     found = rows.join(begins, _same(rows, begins, [*keys, "_at"]), "left")
-    return found.select(*df.columns, F.struct("_at", F.when(F.col("_begins").isNull(), 0).otherwise(piece).alias("_piece")).alias("_cell"))
+    split = F.col("_begins").isNotNull()
+    return found.select(*df.columns, F.struct("_at", F.when(split, piece).otherwise(0).alias("_piece"), split.alias("_split")).alias("_cell"))
 
 
 def with_previous(
-    df: DataFrame, keys: list[str], order: list[str], value: str, cell: Column, out: str, every: int = EVERY, pieces: int = PIECES,
+    df: DataFrame, keys: list[str], order: list[str], value: str, cell: Column | None, out: str, every: int = EVERY, pieces: int = PIECES,
+    begins: DataFrame | None = None,
 ) -> DataFrame:
     """Add struct column ``out(value)`` holding the previous row's ``value`` within ``keys``.
 
     NULL struct means there is no previous row. ``order`` must be unique within ``keys`` and
     ``cell`` must not decrease along it (say, the day of the first order column). Each
     (keys, cell) group, or each piece of one with very many rows, is sorted on its own, so a hot key spreads over its cells and a hot
-    cell over its pieces; only the first and last row of these are looked at across them.
+    cell over its pieces; only the first and last row of these are looked at across them. Without ``cell`` all rows of
+    the keys are one cell, and those of one piece are done when it is sorted: what suits few rows a key.
     """
-    placed = in_pieces(df, keys, order, cell, every, pieces).withColumn("_value", F.struct(F.col(value).alias("value")))
+    one = cell is None
+    placed = in_pieces(df, keys, order, F.lit(0) if one else cell, every, pieces, begins).withColumn("_value", F.struct(F.col(value).alias("value")))
     inside = Window.partitionBy(*keys, "_cell").orderBy(*order)
     rows = placed.select(
         "*",
         F.lag("_value").over(inside).alias("_before"),
         F.row_number().over(inside).alias("_n"),
-        F.lead(F.lit(1)).over(inside).isNull().alias("_last"),
+        F.lead(F.lit(1)).over(inside).isNull().alias("_last_of"),
     )
-    # Both branches start from the same shuffle, which Spark does once.
-    within_cell = rows.where(F.col("_n") > 1).withColumn(out, F.col("_before"))
+    # Both branches start from the same shuffle, which Spark does once; without cells the second one takes the rows of split keys only.
+    done = F.col("_n") > 1
+    within_cell = rows.where(done | ~F.col("_cell._split") if one else done).withColumn(out, F.col("_before"))
     across = Window.partitionBy(*keys).orderBy(*order)
-    edges = rows.where((F.col("_n") == 1) | F.col("_last")).withColumn(
+    edges = (rows.where("_cell._split") if one else rows).where((F.col("_n") == 1) | F.col("_last_of")).withColumn(
         out, F.lag("_value").over(across),
     )
     first_of_cell = edges.where(F.col("_n") == 1)
-    return within_cell.unionByName(first_of_cell).drop("_cell", "_value", "_before", "_n", "_last")
+    return within_cell.unionByName(first_of_cell).drop("_cell", "_value", "_before", "_n", "_last_of")
 
 
 def with_running_max(

@@ -11,13 +11,14 @@ import uuid
 from functools import reduce
 from operator import and_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.plans import with_previous
-from tallyline.sources.lake import current_version, empty_frame, list_folders, publish_version, read_text, write_text
+from tallyline.plans.windows import piece_begins, with_previous
+from tallyline.sources.lake import current_version, delete_path, empty_frame, list_folders, publish_version, read_text, write_text
 
 KEYS, ORDER = ["table_name", "row_id"], ["version_at", "version_no"]
 PLACE = [*KEYS, *ORDER]
@@ -55,10 +56,13 @@ def _newest(rows: DataFrame) -> DataFrame:
     return rows.groupBy("part", *KEYS).agg(F.max(F.struct(*ORDER)).alias("_top"), top.alias("status")).select("part", *KEYS, "_top.*", "status")
 
 
-def _steps(versions: DataFrame) -> DataFrame:
-    """Steps between versions; rows with ``_known`` set are there to be come from only."""
-    compared = with_previous(versions, KEYS, ORDER, "status", F.date_trunc("day", "version_at"), "_previous")
-    changed = compared.where(F.col("_previous").isNotNull() & ~F.col("_previous.value").eqNullSafe(F.col("status")) & ~F.col("_known"))
+def _steps(versions: DataFrame, begins: DataFrame | None = None) -> DataFrame:
+    """Steps between versions; the first of a row comes from its ``_last`` version, where there is one."""
+    compared = with_previous(versions, KEYS, ORDER, "status", None, "_previous", begins=begins)
+    if "_last" in versions.columns:
+        last = F.when(F.col("_last").isNotNull(), F.struct(F.col("_last_status").alias("value")))
+        compared = compared.withColumn("_previous", F.coalesce("_previous", last))
+    changed = compared.where(F.col("_previous").isNotNull() & ~F.col("_previous.value").eqNullSafe(F.col("status")))
     return changed.select(*KEYS, F.col("_previous.value").alias("old_status"), F.col("status").alias("new_status"), F.col("version_at").alias("changed_at"))
 
 
@@ -85,32 +89,48 @@ def land_versions(batch: DataFrame, path: str) -> None:
     def own(kind: str, commits: list[str]) -> DataFrame:
         return _read(spark, path, kind, commits, schema).where(F.col("part").isin(touched)).select(*schema.names)
 
-    new, rows = own("versions", [commit]), own("versions", [commit]).select(*KEYS).distinct()
-    known = _newest(own("newest", state["newest"]))
-    known = known.join(rows, _equal(known, rows, KEYS), "left_semi")
-    last = known.select(*[F.col(k).alias(f"_{k}") for k in KEYS], F.struct(*ORDER).alias("_last"))
-    matched = new.join(last, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]), "left").drop(*[f"_{k}" for k in KEYS])
-    behind = matched.where(F.struct(*ORDER) < F.col("_last")).drop("_last")
-    parts, late = [], empty_frame(spark, keys)
-    if not behind.isEmpty():
-        history = own("versions", state["versions"])
-        behind.join(history, _equal(behind, history, PLACE), "left_anti").select(*KEYS).distinct().write.parquet(into("again"))
-        late = _read(spark, path, "again", [commit], keys).select(*KEYS)
-        whole = own("versions", [*state["versions"], commit])
-        whole = whole.join(late, _equal(whole, late, KEYS), "left_semi").groupBy(*PLACE).agg(F.min("status").alias("status"))
-        parts.append(_steps(whole.withColumn("_known", F.lit(False))))
-        state["again"].append(commit)
-    ahead = matched.where(F.col("_last").isNull() | (F.struct(*ORDER) > F.col("_last"))).select(*PLACE, "status", F.lit(False).alias("_known"))
-    line = ahead.unionByName(known.select(*PLACE, "status", F.lit(True).alias("_known")))
-    parts.append(_steps(line.join(late, _equal(line, late, KEYS), "left_anti")))
-    reduce(DataFrame.unionByName, parts).write.parquet(into("steps"))
-
-    # Up to RUNS runs of newest versions, then one.
-    merge = len(state["newest"]) >= RUNS
-    before = _read(spark, path, "newest", state["newest"], schema).select(*schema.names) if merge else known.select(*schema.names)
-    _by_part(_newest(new.unionByName(before)), into("newest"))
-    state |= {"number": state["number"] + 1, "versions": [*state["versions"], commit], "steps": [*state["steps"], commit],
-              "newest": [commit] if merge else [*state["newest"], commit]}
+    begun: list[DataFrame] = []
+
+    def stepped(rows: DataFrame) -> DataFrame:
+        begun.append(piece_begins(rows, KEYS, ORDER, F.lit(0)).persist(StorageLevel.DISK_ONLY))
+        begun[-1].count()  # Their size is known then, and most often that of nothing.
+        return _steps(rows, begun[-1])
+
+    try:
+        new, known = own("versions", [commit]), own("newest", state["newest"])
+        known = _newest(known) if len(state["newest"]) > 1 else known
+        last = known.select(*[F.col(k).alias(f"_{k}") for k in KEYS], F.struct(*ORDER).alias("_last"), F.col("status").alias("_last_status"))
+        matched = new.join(last, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]), "left").drop(*[f"_{k}" for k in KEYS])
+        # Looked at several times, but made once.
+        matched.where(F.col("_last").isNull() | (F.struct(*ORDER) != F.col("_last"))).write.parquet(into("matched"))
+        matched = spark.read.schema(matched.schema).parquet(into("matched"))
+        behind = matched.where(F.struct(*ORDER) < F.col("_last")).select(*PLACE)
+        ahead = matched.where(F.col("_last").isNull() | (F.struct(*ORDER) > F.col("_last")))
+        parts, line = [], ahead
+        if not behind.isEmpty():
+            history = own("versions", state["versions"])
+            behind.join(history, _equal(behind, history, PLACE), "left_anti").select(*KEYS).distinct().write.parquet(into("again"))
+            late = _read(spark, path, "again", [commit], keys).select(*KEYS)
+            if not late.isEmpty():
+                whole = own("versions", [*state["versions"], commit])
+                whole = whole.join(late, _equal(whole, late, KEYS), "left_semi").groupBy(*PLACE).agg(F.min("status").alias("status"))
+                parts.append(stepped(whole))
+                line = ahead.join(late, _equal(ahead, late, KEYS), "left_anti")
+                state["again"].append(commit)
+        parts.append(stepped(line))
+        reduce(DataFrame.unionByName, parts).write.parquet(into("steps"))
+
+        # Rows that came no further have their newest version in an earlier run. Up to RUNS runs of newest versions, then one.
+        merge = len(state["newest"]) >= RUNS
+        top = ahead.select(*schema.names)
+        _by_part(_newest(top.unionByName(_read(spark, path, "newest", state["newest"], schema).select(*schema.names)) if merge else top), into("newest"))
+    finally:
+        for rows in begun:
+            rows.unpersist()
+        delete_path(spark, into("matched"))
+    state |= {"number": state["number"] + 1, "versions": [*state["versions"], commit], "steps": [*state["steps"], commit]}
+    if list_folders(spark, into("newest"), "part="):
+        state["newest"] = [commit] if merge else [*state["newest"], commit]
     write_text(spark, f"{path}/{commit}.json", json.dumps(state))
     publish_version(spark, path, f"{commit}.json")
 

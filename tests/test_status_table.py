@@ -3,7 +3,11 @@
 import random
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from tallyline import scratch_dir
+from tallyline.plans.windows import piece_begins
+from tallyline.sources.lake import list_folders
 from tallyline.streaming import status_table
 from tallyline.streaming.status_table import land_status_changes, land_versions, read_status_changes
 
@@ -90,3 +94,30 @@ def test_the_stream_runs_no_python_on_workers(spark):
     batch = spark.createDataFrame(rows, SCHEMA)
     plan = status_table._steps(batch.selectExpr("*", "false AS _known"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "FlatMapGroups" not in plan
+
+
+def test_a_batch_is_compared_once_and_writes_what_came_further_only(spark):
+    path = f"{scratch_dir(spark, 'test')}/steps"
+    first = [("t", f"r{k}", "open", START, 0) for k in range(40)]
+    land_versions(spark.createDataFrame(first, SCHEMA), path)
+    # A repeated batch brings nothing new: no newest versions, no rows to take again.
+    land_versions(spark.createDataFrame(first, SCHEMA), path)
+    state = status_table._state(spark, path)
+    assert len(state["versions"]) == 2 and len(state["newest"]) == 1 and state["again"] == []
+    second = [("t", "r1", "paid", START, 1), ("t", "r2", "open", START, 0), ("t", "r3", "late", START - timedelta(days=1), 0)]
+    land_versions(spark.createDataFrame(second, SCHEMA), path)
+    state = status_table._state(spark, path)
+    newest = spark.read.parquet(f"{path}/newest/commit={state['newest'][1]}")
+    assert [r["row_id"] for r in newest.collect()] == ["r1"] and len(state["again"]) == 1
+    assert not list_folders(spark, f"{path}/matched", "commit=")
+    assert steps(spark, path) == plain(first + second)
+
+
+def test_steps_of_a_row_with_very_many_versions_are_found_in_pieces(spark):
+    rows = spark.range(30_000).selectExpr(
+        "'t' AS table_name", "IF(id % 10 < 7, 'hot', concat('r', id % 50)) AS row_id", "IF(id % 11 = 0, NULL, concat('s', id % 3)) AS status",
+        "TIMESTAMP '2025-01-01' + make_dt_interval(0, 0, 0, id DIV 3) AS version_at", "CAST(id AS INT) AS version_no")
+    begins = piece_begins(rows, status_table.KEYS, status_table.ORDER, F.lit(0), every=64, pieces=30)
+    assert [r["row_id_r"] for r in begins.where("size(_begins) > 20").collect()] == ["hot"]
+    found = status_table._steps(rows, begins).collect()
+    assert sorted(map(tuple, found), key=str) == plain(map(tuple, rows.collect()))
