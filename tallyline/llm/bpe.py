@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,11 @@ from tallyline.llm.common import per_partition, per_slice, sha256, texts, tokeni
 #: Words in the broadcast table, and the longest of them, in characters: at most about 40 MB.
 HEAD = 200_000
 HEAD_CHARS = 48
-#: Words a task holds before it passes its counts or forgets its own encodings.
-HELD = 300_000
+#: Words a task holds before it passes its counts, and words outside the table before it forgets its own encodings: few of these recur.
+HELD, RARE = 300_000, 50_000
+#: Words the tokenizer encodes at once, each of which takes about a kilobyte then, and texts split into words at once.
+AT_ONCE = 1_000
+TEXTS = 64
 
 
 def split_words(text: str) -> list[str]:
@@ -66,7 +70,7 @@ def word_table(docs: DataFrame, path: str, head: int = HEAD) -> DataFrame:
         return {"word": rows["word"], "ids": [x.ids for x in made]}
 
     parts = docs.sparkSession.sparkContext.defaultParallelism
-    return per_slice(top.repartition(parts), "word string, ids array<int>", encode, rows=20_000)
+    return per_slice(top.repartition(parts), "word string, ids array<int>", encode, rows=AT_ONCE)
 
 
 def vocabulary(spark, path: str) -> DataFrame:
@@ -75,23 +79,27 @@ def vocabulary(spark, path: str) -> DataFrame:
     return spark.createDataFrame(pieces, "id int, piece string")
 
 
-def _words(path: str, head: dict[str, tuple], pieces: dict[int, str]):
-    """A lookup from words to (ids as text, number of ids, pieces as text), filled as words are met."""
-    own: dict[str, tuple] = {}
+def _packed(ids: list[int]) -> bytes:
+    """Ids as four bytes each: a fourth of what they take as a tuple of numbers, and joined without a look at each."""
+    return np.array(ids, np.int32).tobytes()
 
-    def made(ids: list[int]) -> tuple[str, int, str]:
-        return " ".join(map(str, ids)), len(ids), " ".join(pieces[i] for i in ids)
 
-    def look(words: set[str]) -> dict[str, tuple]:
-        if len(own) > HELD:
-            own.clear()
-        new = [w for w in words if w not in own]
-        ready = {w: made(head[w]) for w in new if w in head}
-        rest = [w for w in new if w not in ready]
-        encoded = tokenizer(path).encode_batch_fast(rest, add_special_tokens=False)
-        own.update(ready)
-        own.update((w, made(x.ids)) for w, x in zip(rest, encoded, strict=True))
-        return own
+def _words(path: str, head: dict[str, bytes]):
+    """A lookup from words to their packed ids: those of the table, and rare ones as they are met."""
+    rare: dict[str, bytes] = {}
+
+    def look(words: set[str]) -> dict[str, bytes]:
+        if len(rare) > RARE:
+            rare.clear()
+        found = {w: head[w] for w in words if w in head}
+        rest = [w for w in words if w not in found]
+        new = [w for w in rest if w not in rare]
+        for k in range(0, len(new), AT_ONCE):
+            some = new[k:k + AT_ONCE]
+            encoded = tokenizer(path).encode_batch_fast(some, add_special_tokens=False)
+            rare.update((w, _packed(x.ids)) for w, x in zip(some, encoded, strict=True))
+        found.update((w, rare[w]) for w in rest)
+        return found
 
     return look
 
@@ -104,31 +112,33 @@ def encode(docs: DataFrame, path: str, head: int = HEAD, keep_ids: bool = False)
     columns of ``docs`` are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    top = {r.word: tuple(r.ids) for r in word_table(docs, path, head).toLocalIterator()}
+    top = {r.word: _packed(r.ids) for r in word_table(docs, path, head).toLocalIterator()}
     table = spark.sparkContext.broadcast((top, {r.id: r.piece for r in vocabulary(spark, path).toLocalIterator()}))
     extra = ", ids array<int>, decoded string" if keep_ids else ""
 
     def run(slices: Iterator[dict]) -> Iterator[dict]:
-        look = _words(path, *table.value)
+        top, pieces = table.value
+        look, numbers = _words(path, top), {i: str(i) for i in pieces}
         for rows in slices:
             split = [split_words(t) for t in rows["text"]]
             known = look(set().union(*split))
             out: dict[str, list] = {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")}
             for words in split:
-                found = [x for x in map(known.__getitem__, words) if x[1]]
-                ids, decoded = " ".join([x[0] for x in found]), " ".join([x[2] for x in found])
-                out["n_tokens"].append(sum([x[1] for x in found]))
-                out["ids_sha256"].append(sha256(ids.encode()))
+                found = np.frombuffer(b"".join([known[w] for w in words]), np.int32)
+                ids = found.tolist()
+                decoded = " ".join([pieces[i] for i in ids])
+                out["n_tokens"].append(len(ids))
+                out["ids_sha256"].append(sha256(" ".join([numbers[i] for i in ids]).encode()))
                 out["decoded_sha256"].append(sha256(decoded.encode()))
                 if keep_ids:
-                    out["ids"].append([int(x) for x in ids.split()])
+                    out["ids"].append(found)
                     out["decoded"].append(decoded)
             if not keep_ids:
                 del out["ids"], out["decoded"]
             yield {"doc_id": rows["doc_id"], **out}
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return per_partition(texts(docs), f"doc_id {key}, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}", run)
+    return per_partition(texts(docs), f"doc_id {key}, n_tokens long, ids_sha256 string, decoded_sha256 string{extra}", run, rows=TEXTS)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import pytest
 from public_tokenizers import path as tokenizer_path
@@ -40,6 +41,20 @@ def test_encoding_equals_the_library(docs, head):
     assert bpe.encode(docs, PATH).where("doc_id is null").count() == 1
 
 
+def test_a_task_holds_little_beside_the_table(docs, monkeypatch):
+    # 150,000 words that occur once each: what a task keeps of them must not grow to all of them.
+    passes, made = [], bpe.per_partition
+    monkeypatch.setattr(bpe, "per_partition", lambda df, schema, fn, **k: passes.append(fn) or made(df, schema, fn, **k))
+    bpe.encode(docs, PATH, head=3, keep_ids=True)
+    slices = ({"doc_id": [k], "text": [" ".join(f"w{k}x{j}" for j in range(1_000))]} for k in range(150))
+    tokenizer(PATH)
+    tracemalloc.start()
+    n = sum(sum(out["n_tokens"]) for out in passes[-1](slices))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 150_000 and peak < 30e6
+
+
 def test_decoding_through_the_join(docs):
     kept = bpe.encode(docs, PATH, keep_ids=True).cache()
     joined = sorted((r.doc_id or -1, r.decoded) for r in bpe.decode(kept, PATH).collect())
