@@ -102,6 +102,16 @@ def test_near_copies_in_groups_of_any_size(spark, monkeypatch):
     assert sorted(tuple(r) for r in suffix_dedup.without_repeats(df).collect()) == sorted(brute.without_repeats(rows))
 
 
+@pytest.mark.parametrize("unit", ["to ", "the ", "from "])
+def test_a_suffix_is_not_held_against_itself(spark, unit, monkeypatch):
+    """Periodic stretches look alike from several distances to one anchor; what stands before and after them is found once only."""
+    monkeypatch.setattr(suffix_dedup, "SPLIT", 200)
+    texts = [f"{prose(40)}{(unit * 160)[:n]}{prose(40)}" for n in (450, *[320] * 40)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in suffix_dedup.without_repeats(df).collect()) == sorted(brute.without_repeats(rows))
+
+
 def test_interleaving_gives_suffix_order_and_common_prefixes():
     rows = [bytes(rng.choice(b"ab") for _ in range(16)) for _ in range(300)]
     shards = sorted(rows[:100]) + sorted(rows[100:220]) + sorted(rows[220:])
